@@ -1,6 +1,6 @@
 """Imports every testbed module so that the registry is complete."""
 
-from strata.plans import testbed_cohort, testbed_features, testbed_ml, testbed_models, testbed_overlap, testbed_profile  # noqa: F401
+from strata.plans import testbed_cohort, testbed_features, testbed_ml, testbed_models, testbed_overlap, testbed_passenger, testbed_profile  # noqa: F401
 from strata.plans.registry import REGISTRY
 
 __all__ = ["REGISTRY"]
