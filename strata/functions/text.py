@@ -1,21 +1,29 @@
 """Match keys for overlap detection.
 
-Accent stripping (Unicode NFKD, then dropping combining marks) has no Spark
-built-in, so it is the one Arrow-batched pandas UDF of the library; ASCII
-values pass through it untouched. Everything else is JVM-side.
+Accent stripping is Unicode NFKD decomposition with combining marks
+removed. Spark has no NFKD function, so this is the library's one
+Arrow-batched pandas UDF. Only texts that contain a non-ASCII character
+are handed to it; ASCII rows pass a NULL (nearly free to ship) and keep
+their text JVM-side.
 """
 
 from __future__ import annotations
 
+import sys
 import unicodedata
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from strata.functions.exprs import ColumnOrName, _col, normalize_whitespace
 
+# Ship this module's functions to Python workers by value: executors need
+# not have the package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def _strip_one(value):
     if value is None or value.isascii():
@@ -30,8 +38,10 @@ def _strip_accents_udf(values: pd.Series) -> pd.Series:
 
 
 def strip_accents(c: ColumnOrName) -> Column:
-    """NFKD decomposition with combining marks removed (pandas UDF)."""
-    return _strip_accents_udf(_col(c).cast("string"))
+    """NFKD decomposition with combining marks removed."""
+    text = _col(c).cast("string")
+    non_ascii = text.rlike("[^\\x00-\\x7F]")
+    return F.coalesce(_strip_accents_udf(F.when(non_ascii, text)), text)
 
 
 def name_key(c: ColumnOrName) -> Column:
@@ -41,14 +51,11 @@ def name_key(c: ColumnOrName) -> Column:
     outside ``[a-z0-9]`` become one space -> whitespace-normalize.
     Null/blank -> ``''``.
     """
-    text = normalize_whitespace(c)
-    keyed = F.regexp_replace(F.lower(strip_accents(text)), "[^a-z0-9]+", " ")
-    return F.when(text == "", F.lit("")).otherwise(normalize_whitespace(keyed))
+    keyed = F.regexp_replace(F.lower(strip_accents(normalize_whitespace(c))), "[^a-z0-9]+", " ")
+    return normalize_whitespace(keyed)
 
 
 def code_key(c: ColumnOrName) -> Column:
     """Code key: whitespace-normalize -> strip accents -> upper -> keep only
     ``[A-Z0-9]``. Null/blank -> ``''``."""
-    text = normalize_whitespace(c)
-    keyed = F.regexp_replace(F.upper(strip_accents(text)), "[^A-Z0-9]", "")
-    return F.when(text == "", F.lit("")).otherwise(keyed)
+    return F.regexp_replace(F.upper(strip_accents(normalize_whitespace(c))), "[^A-Z0-9]", "")
