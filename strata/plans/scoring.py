@@ -46,6 +46,32 @@ def score_batch(
     return scored
 
 
+def add_context_columns(scored: DataFrame, prepared: DataFrame, id_col: str, columns: Sequence[str],
+                        preferred: Sequence[str] = ()) -> DataFrame:
+    """Attach context columns from the prepared input by id (validated
+    one-to-one left join), then put ``preferred`` columns first."""
+    from strata.operators.filters import reorder_columns
+    from strata.operators.joins import left_join_one_to_one
+    ctx = prepared.select(id_col, *[c for c in columns if c in prepared.columns and c not in scored.columns])
+    return reorder_columns(left_join_one_to_one(scored, ctx, [id_col]), [id_col, *preferred])
+
+
+def prepare_for_scoring(raw: DataFrame, prepare: Callable[[DataFrame], DataFrame], id_col: str,
+                        features: Sequence[str]) -> DataFrame:
+    """Prepare features once and check the post-conditions in one
+    aggregate: same row count, ids still unique, every feature present."""
+    Q.require_columns(raw, [id_col], "scoring input")
+    prepared = prepare(raw)
+    Q.require_columns(prepared, features, "prepared scoring data")
+    before = raw.agg(F.count(F.lit(1)).alias("n")).first().n
+    after = prepared.agg(F.count(F.lit(1)).alias("n"), F.count_distinct(id_col).alias("ids")).first()
+    if after.n != before:
+        raise ValueError(f"preparation changed the row count ({before} -> {after.n})")
+    if after.ids != after.n:
+        raise ValueError("identifiers are not unique after preparation")
+    return prepared
+
+
 def evaluate_scored(scored: DataFrame, label: str, classes: Sequence) -> tuple[DataFrame, DataFrame]:
     """(metrics, classification report) against known labels; null or
     unknown labels are rejected."""

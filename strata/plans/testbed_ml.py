@@ -256,3 +256,14 @@ def q_rank_results(spark, sf):
     part = table(spark, sf, "part")
     res = part.groupBy(F.col("p_brand").alias("brand")).agg(F.round(F.avg("p_retailprice"), 2).alias("mean_score"))
     return rank_results(res, "mean_score", "rank_score")
+
+
+@register("context_join", "J02 J07 G05 P02", oracle=_SOFTMAX_SQL + """
+SELECT s.doc_id, d.lang, d.source, s.pred AS PredictedClass, ROUND(s.conf, 6) AS PredictionConfidence
+FROM s JOIN documents d ON s.doc_id = d.doc_id""")
+def q_context_join(spark, sf):
+    from strata.plans.scoring import add_context_columns
+    scored = SC.with_score_columns(_softmax_probs(spark, sf), F.col("probs"), [1, 2, 3], decimals=6)
+    scored = scored.select("doc_id", SC.PREDICTION, SC.CONFIDENCE)
+    docs = table(spark, sf, "documents")
+    return add_context_columns(scored, docs, "doc_id", ["lang", "source"], preferred=["lang"])

@@ -220,3 +220,13 @@ FROM audit GROUP BY lang
 def q_overlap_class_counts(spark, sf):
     ext, tr = _sides(spark, sf)
     return O.class_counts_before_after(O.audit_overlap(ext, tr), "either", "lang")
+
+
+@register("external_preparation", "H05 S20 A27 J06")
+def q_external_preparation(spark, sf):
+    from strata.plans.external import prepare_external
+    from strata.plans.testbed_passenger import passengers
+    # customers in the external layout vs the passenger-shaped training table
+    training = passengers(spark, sf).select("PassengerId", "Name", "Ticket")
+    run = prepare_external(external_source(spark, sf).drop("c_custkey"), training, rule="either", spec=SPEC)
+    return run.nonoverlap
