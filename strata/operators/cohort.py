@@ -5,15 +5,15 @@ Every operator is one declarative DataFrame plan. Aggregations run as a
 partial (map-side) + final HashAggregate pair, so a hot group costs one
 pre-aggregated row per input partition, never a task holding its rows.
 Grand totals are scalar subqueries over the already-aggregated rows (no
-single-partition window, no cross join); totals within a partition are
-windows over aggregated rows only.
+single-partition window, no cross join); totals within a key are a
+second partial aggregation joined back on the key.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.functions.exprs import ColumnOrName, _col, count_when, list_position, pct
@@ -80,6 +80,14 @@ def share_of_total(
     return grouped.withColumn(share_name, pct(F.col(count_name), total, decimals))
 
 
+def _totals_join(grouped: DataFrame, keys: Sequence[str], count_name: str) -> DataFrame:
+    """Attach ``_total`` = sum of ``count_name`` per ``keys`` (null-safe)."""
+    totals = grouped.groupBy(*keys).agg(F.sum(count_name).alias("_total"))
+    totals = totals.withColumnsRenamed({k: f"_t_{k}" for k in keys})
+    cond = [grouped[k].eqNullSafe(totals[f"_t_{k}"]) for k in keys]
+    return grouped.join(totals, cond).drop(*[f"_t_{k}" for k in keys])
+
+
 def share_within(
     df: DataFrame,
     outer: ColumnOrName,
@@ -92,15 +100,16 @@ def share_within(
 ) -> DataFrame:
     """Count per (outer, inner) and its percentage within ``outer``.
 
-    The window runs over aggregated rows only: its per-partition input is
-    bounded by the number of distinct ``inner`` values of one ``outer``.
+    Totals per ``outer`` are a second (partial) aggregation of the grouped
+    rows joined back on ``outer``: the totals table has one row per outer
+    value, so AQE broadcasts it when small and a hot outer value is never
+    gathered into one task (as a window partitioned by ``outer`` would).
     """
     outer_c, inner_c = _col(outer), _col(inner)
     src = df.filter(outer_c.isNotNull()) if drop_null_outer else df
     grouped = src.groupBy(outer_c, inner_c).agg(F.count(F.lit(1)).alias(count_name))
-    outer_name = grouped.columns[0]
-    within = F.sum(count_name).over(Window.partitionBy(outer_name))
-    return grouped.withColumn(share_name, pct(F.col(count_name), within, decimals))
+    joined = _totals_join(grouped, [grouped.columns[0]], count_name)
+    return joined.withColumn(share_name, pct(F.col(count_name), F.col("_total"), decimals)).drop("_total")
 
 
 def outcome_rate(

@@ -2,10 +2,9 @@
 grouped numeric summaries, histograms, box statistics and band counts.
 
 pandas-style semantics (nulls dropped, sample std, linear-interpolated
-percentiles) expressed as single-pass Spark aggregations. Exact
-percentiles use ``percentile`` (partial aggregation of value->count maps);
-pass ``accuracy`` to switch to ``percentile_approx`` for high-cardinality
-columns at scale, where the exact buffer grows with distinct values.
+percentiles). Moments come from single-pass aggregations; exact
+percentiles from ``strata.operators.quantiles`` (one distributed sort, no
+per-group value buffers). Pass ``accuracy`` to use ``percentile_approx``.
 """
 
 from __future__ import annotations
@@ -17,7 +16,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
 from strata.functions.exprs import ColumnOrName, _col, bin_column, pct
-from strata.operators.cohort import _keys
+from strata.operators.cohort import _keys, _totals_join
+from strata.operators.quantiles import quantiles_long, quantiles_wide
 
 PERCENTILES = (0.25, 0.5, 0.75)
 
@@ -26,12 +26,6 @@ def _pname(p: float) -> str:
     return f"p{round(p * 100):d}"
 
 
-def _quantiles(c: Column, ps: Sequence[float], accuracy: int | None) -> Column:
-    if accuracy:
-        return F.percentile_approx(c, list(ps), accuracy)
-    return F.percentile(c, F.array(*[F.lit(float(p)) for p in ps]))
-
-
 def value_counts(
     df: DataFrame,
     column: ColumnOrName,
@@ -101,19 +95,20 @@ def crosstab_normalized(
     ``index`` -> each row sums to 1, ``all`` -> the table sums to 1.
 
     Fractions are computed on the long (row, col, count) form before the
-    pivot; the column/row totals are windows over aggregated cells only.
+    pivot; column/row totals are aggregated cells joined back on the key.
     """
     src = df.filter(F.col(row).isNotNull() & F.col(col).isNotNull())
     values = list(values) if values is not None else _distinct_values(src, col)
     cells = src.groupBy(row, col).agg(F.count(F.lit(1)).alias("n"))
     if normalize == "columns":
-        denom = F.sum("n").over(Window.partitionBy(col))
+        cells = _totals_join(cells, [col], "n")
     elif normalize == "index":
-        denom = F.sum("n").over(Window.partitionBy(row))
+        cells = _totals_join(cells, [row], "n")
     elif normalize == "all":
-        denom = F.lit(cells.agg(F.sum("n")).scalar())
+        cells = cells.withColumn("_total", cells.agg(F.sum("n")).scalar())
     else:
         raise ValueError(f"normalize must be columns, index or all, not {normalize!r}")
+    denom = F.col("_total")
     frac = cells.withColumn("f", F.round(F.col("n") / denom, decimals))
     wide = frac.groupBy(row).pivot(col, values).agg(F.first("f"))
     return wide.select(row, *[F.coalesce(F.col(f"`{v}`"), F.lit(0.0)).alias(str(v)) for v in values])
@@ -129,25 +124,22 @@ def describe_numeric(
 ) -> DataFrame:
     """One row per column: count, mean, sample std, min, percentiles, max.
 
-    A single aggregate over the table computes every statistic of every
-    column; ``stack`` turns the one wide row into a long table.
-    """
+    One aggregate computes the moments of every column (``inline`` makes
+    the wide row long); the percentiles of all columns share one sort."""
     aggs = []
     for i, c in enumerate(columns):
-        v = F.col(c).cast("double")
+        v = F.col(f"`{c}`").cast("double")
         aggs += [F.count(v).alias(f"n{i}"), F.avg(v).alias(f"m{i}"), F.stddev_samp(v).alias(f"s{i}"),
-                 F.min(v).alias(f"lo{i}"), F.max(v).alias(f"hi{i}"), _quantiles(v, percentiles, accuracy).alias(f"q{i}")]
-    wide = df.agg(*aggs)
+                 F.min(v).alias(f"lo{i}"), F.max(v).alias(f"hi{i}")]
+    rows = [F.struct(F.lit(c).alias("column"), F.col(f"n{i}").alias("count"), F.col(f"m{i}").alias("mean"),
+                     F.col(f"s{i}").alias("std"), F.col(f"lo{i}").alias("min"), F.col(f"hi{i}").alias("max"))
+            for i, c in enumerate(columns)]
+    stats = df.agg(*aggs).select(F.inline(F.array(*rows)))
     pnames = [_pname(p) for p in percentiles]
-    rows = []
-    for i, c in enumerate(columns):
-        rows.append(F.struct(F.lit(c).alias("column"), F.col(f"n{i}").alias("count"),
-                             F.round(F.col(f"m{i}"), decimals).alias("mean"),
-                             F.round(F.col(f"s{i}"), decimals).alias("std"),
-                             F.round(F.col(f"lo{i}"), decimals).alias("min"),
-                             *[F.round(F.col(f"q{i}")[j], decimals).alias(pn) for j, pn in enumerate(pnames)],
-                             F.round(F.col(f"hi{i}"), decimals).alias("max")))
-    return wide.select(F.inline(F.array(*rows)))
+    q = quantiles_wide(df, columns, percentiles, pnames, accuracy=accuracy)
+    out = stats.join(q, "column", "left")
+    rd = lambda c: F.round(F.col(c), decimals).alias(c)
+    return out.select("column", "count", rd("mean"), rd("std"), rd("min"), *[rd(n) for n in pnames], rd("max"))
 
 
 def _melt_as_text(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -193,12 +185,14 @@ def group_summary(
     """Per group: count, mean, median, sample std, min, max of ``value``
     (nulls ignored, null group dropped). ``groups`` lists the groups to show
     in that order, absent groups as rows of nulls."""
-    v = _col(value).cast("double")
-    med = F.percentile_approx(v, 0.5, accuracy) if accuracy else F.median(v)
-    out = (df.filter(F.col(by).isNotNull()).groupBy(by)
-           .agg(F.count(v).alias("count"), F.round(F.avg(v), decimals).alias("mean"),
-                F.round(med, decimals).alias("median"), F.round(F.stddev_samp(v), decimals).alias("std"),
-                F.round(F.min(v), decimals).alias("min"), F.round(F.max(v), decimals).alias("max")))
+    src = df.filter(F.col(by).isNotNull()).select(by, _col(value).cast("double").alias("_v"))
+    v = F.col("_v")
+    stats = src.groupBy(by).agg(F.count(v).alias("count"), F.round(F.avg(v), decimals).alias("mean"),
+                                F.round(F.stddev_samp(v), decimals).alias("std"),
+                                F.round(F.min(v), decimals).alias("min"), F.round(F.max(v), decimals).alias("max"))
+    med = quantiles_long(src, ["_v"], [0.5], [by], accuracy=accuracy).select(
+        by, F.round("value", decimals).alias("median"))
+    out = stats.join(med, by, "left").select(by, "count", "mean", "median", "std", "min", "max")
     if groups is None:
         return out
     spark = df.sparkSession
@@ -209,8 +203,9 @@ def group_summary(
 
 def medians(df: DataFrame, columns: Sequence[str], *, accuracy: int | None = None) -> DataFrame:
     """One row with the median of each column (nulls ignored)."""
-    return df.agg(*[(F.percentile_approx(F.col(c), 0.5, accuracy) if accuracy else F.median(F.col(c))).alias(c)
-                    for c in columns])
+    long = quantiles_long(df, columns, [0.5], accuracy=accuracy)
+    wide = long.groupBy().pivot("column", list(columns)).agg(F.first("value"))
+    return wide.select(*[F.col(f"`{c}`").alias(c) for c in columns])
 
 
 def hist_int(df: DataFrame, column: ColumnOrName, *, name: str = "value") -> DataFrame:
@@ -258,13 +253,11 @@ def box_stats(
     """Box-plot statistics per group: quartiles (linear interpolation), IQR
     and whiskers = most extreme values within 1.5 IQR of the box.
 
-    Pass 1 aggregates quartiles per group; pass 2 joins the per-group
-    fences (one row per group, broadcast by AQE when small) back to the rows
-    and takes min/max inside the fences."""
+    Quartiles come from one distributed sort; the per-group fences (one row
+    per group) are joined back to the rows and min/max taken inside them."""
     v = _col(value).cast("double")
     src = df.select(F.col(by), v.alias("v")).filter(F.col("v").isNotNull() & F.col(by).isNotNull())
-    q = src.groupBy(by).agg(_quantiles(F.col("v"), PERCENTILES, accuracy).alias("q"))
-    q = q.select(by, F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"), F.col("q")[2].alias("q3"))
+    q = quantiles_wide(src, ["v"], PERCENTILES, ["q1", "median", "q3"], [by], accuracy=accuracy).drop("column")
     q = q.withColumn("iqr", F.col("q3") - F.col("q1"))
     fenced = src.join(q, by).where(
         (F.col("v") >= F.col("q1") - 1.5 * F.col("iqr")) & (F.col("v") <= F.col("q3") + 1.5 * F.col("iqr")))

@@ -50,8 +50,8 @@ class FillValuesModel(Model, HasInputCols, _JsonValues, DefaultParamsReadable, D
 
 
 class MedianImputer(Estimator, HasInputCols, DefaultParamsReadable, DefaultParamsWritable):
-    """Exact median per column (``median``); ``relativeError`` > 0 switches
-    to ``percentile_approx`` for very high-cardinality columns at scale.
+    """Exact median per column (one distributed sort for all columns);
+    ``relativeError`` > 0 switches to ``percentile_approx``.
     A column with no values is filled with null (left as is)."""
 
     relativeError = Param(Params._dummy(), "relativeError", "0 = exact median", TypeConverters.toFloat)
@@ -63,14 +63,11 @@ class MedianImputer(Estimator, HasInputCols, DefaultParamsReadable, DefaultParam
         self._set(**self._input_kwargs)
 
     def _fit(self, df: DataFrame) -> FillValuesModel:
+        from strata.operators.quantiles import medians_by_column
         cols = self.getInputCols()
         err = self.getOrDefault(self.relativeError)
-        def med(c):
-            v = F.col(c).cast("double")
-            v = F.when(~F.isnan(v), v)
-            return F.percentile_approx(v, 0.5, int(1 / err)) if err > 0 else F.median(v)
-        row = df.agg(*[med(c).alias(c) for c in cols]).first()
-        return FillValuesModel(inputCols=cols, values=json.dumps({c: row[c] for c in cols}))
+        meds = medians_by_column(df, cols, accuracy=int(1 / err) if err > 0 else None)
+        return FillValuesModel(inputCols=cols, values=json.dumps({c: meds.get(c) for c in cols}))
 
 
 class ModeImputer(Estimator, HasInputCols, DefaultParamsReadable, DefaultParamsWritable):

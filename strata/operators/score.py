@@ -101,11 +101,13 @@ def prediction_summary(scored: DataFrame, classes: Sequence, *, threshold: float
                        decimals: int = 4) -> DataFrame:
     """One row: rows, mean/median/min/max confidence, low-confidence count
     and percent (one aggregate)."""
+    from strata.operators.quantiles import quantiles_long
     conf = F.col(CONFIDENCE)
+    med = quantiles_long(scored, [CONFIDENCE], [0.5]).select("value")
     return scored.agg(
         F.count(F.lit(1)).alias("rows"),
         F.round(F.avg(conf), decimals).alias("mean_confidence"),
-        F.round(F.median(conf), decimals).alias("median_confidence"),
+        F.round(med.scalar(), decimals).alias("median_confidence"),
         F.round(F.min(conf), decimals).alias("min_confidence"),
         F.round(F.max(conf), decimals).alias("max_confidence"),
         F.sum((conf < threshold).cast("int")).cast("long").alias("low_confidence_count"),

@@ -26,20 +26,32 @@ def seeded_hash(seed: int, *cols: Column | str) -> Column:
     return F.xxhash64(F.lit(seed), *cols)
 
 
-def rank_within(df: DataFrame, group: str, order: Sequence[Column | str], name: str = "rank") -> DataFrame:
-    """0-based exact rank of each row within ``group`` by ``order`` (make
-    ``order`` unique, e.g. end with an id). For low-cardinality groups
-    (class labels): the per-partition metadata is partitions x groups."""
+def rank_within(df: DataFrame, group: str | Sequence[str], order: Sequence[Column | str],
+                name: str = "rank", *, broadcast_meta: bool = True) -> DataFrame:
+    """0-based exact rank of each row within ``group`` by ``order``.
+
+    Range partitioning on (group, order) spreads even a single huge group
+    over many tasks; the per-partition metadata (one row per partition and
+    group present in it) is the only thing gathered. It is broadcast when
+    the group count is modest (class labels, column names, parameter
+    combinations); pass ``broadcast_meta=False`` for many groups. Rows tied
+    on ``order`` get distinct consecutive ranks; make ``order`` unique (end
+    with an id) when the assignment of ranks to tied rows matters."""
+    groups = [group] if isinstance(group, str) else list(group)
     order = [F.col(o) if isinstance(o, str) else o for o in order]
-    s = df.repartitionByRange(F.col(group), *order).sortWithinPartitions(F.col(group), *order)
+    gcols = [F.col(g) for g in groups]
+    s = df.repartitionByRange(*gcols, *order).sortWithinPartitions(*gcols, *order)
     s = s.withColumns({"_pid": F.spark_partition_id(),
                        "_pos": F.monotonically_increasing_id().bitwiseAND(F.lit(_POS_MASK))})
-    meta = s.groupBy("_pid", group).agg(F.count(F.lit(1)).alias("_n"), F.min("_pos").alias("_first"))
-    before = Window.partitionBy(group).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    meta = meta.select("_pid", group, "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    out = s.join(F.broadcast(meta), ["_pid", group])
-    return out.withColumn(name, (F.col("_off") + F.col("_pos") - F.col("_first")).cast("long")).drop(
-        "_pid", "_pos", "_first", "_off")
+    meta = s.groupBy("_pid", *groups).agg(F.count(F.lit(1)).alias("_n"), F.min("_pos").alias("_first"))
+    before = Window.partitionBy(*groups).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    meta = meta.select(F.col("_pid").alias("_m_pid"), *[F.col(g).alias(f"_m_{g}") for g in groups], "_first",
+                       F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    # null-safe match on the group keys (a null group is a group too)
+    cond = [F.col("_pid") == F.col("_m_pid")] + [F.col(g).eqNullSafe(F.col(f"_m_{g}")) for g in groups]
+    out = s.join(F.broadcast(meta) if broadcast_meta else meta, cond)
+    out = out.withColumn(name, (F.col("_off") + F.col("_pos") - F.col("_first")).cast("long"))
+    return out.drop("_pid", "_pos", "_first", "_off", "_m_pid", *[f"_m_{g}" for g in groups])
 
 
 def class_counts(df: DataFrame, label: str) -> dict:
