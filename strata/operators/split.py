@@ -40,7 +40,10 @@ def rank_within(df: DataFrame, group: str | Sequence[str], order: Sequence[Colum
     groups = [group] if isinstance(group, str) else list(group)
     order = [F.col(o) if isinstance(o, str) else o for o in order]
     gcols = [F.col(g) for g in groups]
-    s = df.repartitionByRange(*gcols, *order).sortWithinPartitions(*gcols, *order)
+    # an explicit partition count keeps AQE from coalescing this exchange:
+    # both readers below must see the same partition ids
+    n_parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    s = df.repartitionByRange(n_parts, *gcols, *order).sortWithinPartitions(*gcols, *order)
     s = s.withColumns({"_pid": F.spark_partition_id(),
                        "_pos": F.monotonically_increasing_id().bitwiseAND(F.lit(_POS_MASK))})
     meta = s.groupBy("_pid", *groups).agg(F.count(F.lit(1)).alias("_n"), F.min("_pos").alias("_first"))
