@@ -41,6 +41,7 @@ def harmonize_external(df: DataFrame, spec: ExternalSpec = ExternalSpec(), *, ch
     cls = X.lower_trim("class")
     kept = df.filter(cls.isin(list(spec.class_codes)))
     kept = with_row_number(kept, "_row")
+    ints = Q.strict_integers(kept, ["sibsp", "parch"])
     clean = kept.select(
         F.col("_row").alias("PassengerId"),
         X.yes_no_code("survived").alias("Survived"),
@@ -48,8 +49,8 @@ def harmonize_external(df: DataFrame, spec: ExternalSpec = ExternalSpec(), *, ch
         X.normalize_whitespace("name").alias("Name"),
         X.lower_trim("gender").alias("Sex"),
         X.to_double(F.col("age").cast("string")).alias("Age"),
-        Q.strict_integer(kept, "sibsp").alias("SibSp"),
-        Q.strict_integer(kept, "parch").alias("Parch"),
+        ints["sibsp"].alias("SibSp"),
+        ints["parch"].alias("Parch"),
         X.blank_to_null("ticketno").alias("Ticket"),
         X.to_double(F.col("fare").cast("string")).alias("Fare"),
         F.lit(None).cast("string").alias("Cabin"),

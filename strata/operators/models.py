@@ -81,13 +81,14 @@ class MajorityClassifier(Estimator, HasLabelCol, HasFeaturesCol, HasPredictionCo
                              probabilityCol=self.getProbabilityCol(), featuresCol=self.getFeaturesCol())
 
 
-def logistic_regression(n_weighted: float, c: float = 1.0, max_iter: int = 2000, **kw) -> LogisticRegression:
+def logistic_regression(n_weighted: float, c: float = 1.0, max_iter: int = 2000, tol: float = 1e-4,
+                        **kw) -> LogisticRegression:
     """Multinomial L2 logistic regression. An objective ``0.5|w|^2 +
     C * sum(w_i loss_i)`` equals Spark's mean-loss form with
     ``regParam = 1 / (C * sum(w_i))``; features are pre-standardized."""
     return LogisticRegression(featuresCol="features", labelCol="label_idx", weightCol="weight",
                               family="multinomial", elasticNetParam=0.0, regParam=1.0 / (c * n_weighted),
-                              maxIter=max_iter, standardization=False, tol=1e-6, **kw)
+                              maxIter=max_iter, standardization=False, tol=tol, **kw)
 
 
 def random_forest(num_trees: int = 500, min_leaf: int = 2, max_depth: int | None = None,

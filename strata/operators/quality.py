@@ -38,22 +38,43 @@ def require_columns(df: DataFrame, required: Iterable[str], what: str = "input")
 # Type standardization
 # ---------------------------------------------------------------------------
 
-def strict_integer(df: DataFrame, column: str, max_examples: int = 10) -> Column:
-    """Integer coercion that fails on unparsable or fractional values.
-
-    The check is one ``exists``-style probe; on failure up to
-    ``max_examples`` distinct offending values are fetched with ``limit``."""
-    raw = F.col(column)
+def _integer_checks(column: str) -> tuple[Column, Column, Column]:
+    raw = F.col(f"`{column}`")
     as_double = raw.cast("string").try_cast("double")
     bad_parse = raw.isNotNull() & as_double.isNull()
     fractional = as_double.isNotNull() & (as_double != F.floor(as_double))
-    for cond, what in ((bad_parse, "values that cannot be converted to integers"),
-                       (fractional, "non-integer values")):
-        offenders = df.filter(cond).select(raw.cast("string").alias("v")).distinct().limit(max_examples)
-        examples = [r.v for r in offenders.collect()]
-        if examples:
-            raise ValueError(f"Column '{column}' contains {what}: {sorted(examples)}")
-    return as_double.cast("long")
+    return as_double, bad_parse, fractional
+
+
+def strict_integers(df: DataFrame, columns: Sequence[str], max_examples: int = 10) -> dict[str, Column]:
+    """Integer coercions that fail on unparsable or fractional values.
+
+    One aggregate counts the violations of every column; only when one is
+    found are up to ``max_examples`` distinct offenders fetched (``limit``).
+    Returns column -> coerced Column."""
+    checks = {c: _integer_checks(c) for c in columns}
+    if not checks:
+        return {}
+    aggs = []
+    for i, (c, (_, bad, frac)) in enumerate(checks.items()):
+        aggs += [F.sum(bad.cast("int")).alias(f"b{i}"), F.sum(frac.cast("int")).alias(f"f{i}")]
+    counts = df.agg(*aggs).first()
+    for i, (c, (_, bad, frac)) in enumerate(checks.items()):
+        for key, cond, what in ((f"b{i}", bad, "values that cannot be converted to integers"),
+                                (f"f{i}", frac, "non-integer values")):
+            if counts[key]:
+                offenders = df.filter(cond).select(F.col(f"`{c}`").cast("string").alias("v")).distinct()
+                examples = sorted(r.v for r in offenders.limit(max_examples).collect())
+                raise ValueError(f"Column '{c}' contains {what}: {examples}")
+    return {c: as_double.cast("long") for c, (as_double, _, _) in checks.items()}
+
+
+def strict_integer(df: DataFrame, column: str, max_examples: int = 10) -> Column:
+    """Single-column form of ``strict_integers``."""
+    return strict_integers(df, [column], max_examples)[column]
+
+
+_strict = strict_integers
 
 
 def standardize_types(
@@ -68,10 +89,11 @@ def standardize_types(
     (bad -> null, NaN -> null) and strings as text. Missing columns are
     skipped; nothing is imputed."""
     present = set(df.columns)
-    cols = {}
-    for c in integers:
-        if c in present:
-            cols[c] = strict_integer(df, c) if strict_integers else F.col(c).cast("string").try_cast("double").cast("long")
+    ints = [c for c in integers if c in present]
+    if strict_integers:
+        cols = dict(_strict(df, ints))
+    else:
+        cols = {c: F.col(c).cast("string").try_cast("double").cast("long") for c in ints}
     for c in doubles:
         if c in present:
             d = F.col(c).cast("string").try_cast("double")

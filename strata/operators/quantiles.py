@@ -3,10 +3,11 @@
 
 ``percentile``/``median`` merge a value->count map of every distinct value
 into a single task per group, which does not scale to a hot group or a
-high-cardinality column. Here the values are sorted once with range
-partitioning (``rank_within``), each group's size is counted, and only
-the rows at the two ranks around ``p * (n - 1)`` are joined back and
-interpolated. Several columns are handled in one sort by unpivoting them
+high-cardinality column. Group sizes are counted first: when the largest
+group is within ``AGGREGATE_MAX_VALUES`` that buffer is provably bounded
+and the one-pass aggregate is used; otherwise the values are sorted once
+with range partitioning (``rank_within``) and only the rows at the two
+ranks around ``p * (n - 1)`` are joined back and interpolated. Several columns are handled in one sort by unpivoting them
 into (column, value) rows. ``accuracy`` switches to ``percentile_approx``
 (one pass, bounded memory) when an approximation is acceptable.
 """
@@ -22,6 +23,10 @@ from strata.operators.split import rank_within
 
 # above this many groups the rank metadata is joined, not broadcast
 BROADCAST_GROUPS = 100_000
+# groups of at most this many values use the one-pass exact ``percentile``
+# aggregate: its per-task buffer (distinct value -> count) is then provably
+# bounded (about 16 bytes per value); larger groups take the sort path
+AGGREGATE_MAX_VALUES = 1_000_000
 
 
 def _long(df: DataFrame, columns: Sequence[str], by: Sequence[str]) -> DataFrame:
@@ -48,7 +53,12 @@ def quantiles_long(
         return q.select(*groups, F.posexplode("q").alias("i", "value")).select(
             *groups, F.element_at(F.array(*[F.lit(float(p)) for p in ps]), F.col("i") + 1).alias("p"), "value")
     counts = long.groupBy(*groups).agg(F.count(F.lit(1)).alias("n"))
-    n_groups = counts.count()
+    sizes = counts.agg(F.count(F.lit(1)).alias("groups"), F.max("n").alias("largest")).first()
+    n_groups = sizes.groups
+    if (sizes.largest or 0) <= AGGREGATE_MAX_VALUES:
+        q = long.groupBy(*groups).agg(F.percentile("v", F.array(*[F.lit(float(p)) for p in ps])).alias("q"))
+        return q.select(*groups, F.posexplode("q").alias("i", "value")).select(
+            *groups, F.element_at(F.array(*[F.lit(float(p)) for p in ps]), F.col("i") + 1).alias("p"), "value")
     wanted = counts.select(*groups, F.inline(F.array(*[F.struct(F.lit(float(p)).alias("p")) for p in ps])), "n")
     wanted = wanted.withColumn("pos", F.col("p") * (F.col("n") - 1)).withColumns(
         {"lo": F.floor("pos").cast("long"), "hi": F.ceil("pos").cast("long")})

@@ -69,3 +69,15 @@ def test_majority_and_scores(spark):
     bad = spark.createDataFrame([(1, [0.2, 0.2, 0.2])], "id long, p array<double>")
     with pytest.raises(ValueError):
         SC.check_probabilities(bad, F.col("p"), 3)
+
+
+def test_quantile_paths_agree(spark, monkeypatch):
+    from strata.operators import quantiles as QN
+    rows = [(i % 4, float((i * 7919) % 1013) if i % 11 else None) for i in range(2000)]
+    df = spark.createDataFrame(rows, "g long, v double")
+    fast = {(r.g, r.p): r.value for r in QN.quantiles_long(df, ["v"], [0.1, 0.5, 0.9], ["g"]).collect()}
+    monkeypatch.setattr(QN, "AGGREGATE_MAX_VALUES", 10)
+    sorted_path = {(r.g, r.p): r.value for r in QN.quantiles_long(df, ["v"], [0.1, 0.5, 0.9], ["g"]).collect()}
+    assert fast.keys() == sorted_path.keys()
+    for k in fast:
+        assert abs(fast[k] - sorted_path[k]) < 1e-9
