@@ -3,8 +3,8 @@ stays inside whole-stage codegen. No function here triggers a Spark job.
 
 Python's ``str.strip()`` / ``str.split()`` / ``re`` ``\\s`` treat all Unicode
 whitespace as blanks, while Spark's ``trim`` strips spaces only. The helpers
-below use ``(?U)\\s`` (Java UNICODE_CHARACTER_CLASS) to keep the Unicode
-semantics of the original operators.
+below use ``WS``, a Java character class equal to Python's whitespace set
+(Java's ``(?U)\\s`` alone misses U+001C..U+001F).
 """
 
 from __future__ import annotations
@@ -49,6 +49,11 @@ PORT_CODE_LETTERS = ("B", "C", "Q", "S")
 EXTERNAL_CLASS_CODES = {"1st": 1, "2nd": 2, "3rd": 3}
 
 
+# Python's whitespace (str.isspace / str.split / re \s) is Java's Unicode
+# White_Space property plus U+001C..U+001F; tests check the equivalence.
+WS = r"(?U)[\s\x{1C}-\x{1F}]"
+
+
 def _col(c: ColumnOrName) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
@@ -59,7 +64,7 @@ def _col(c: ColumnOrName) -> Column:
 
 def ustrip(c: ColumnOrName) -> Column:
     """Strip leading/trailing Unicode whitespace (Python ``str.strip``)."""
-    return F.regexp_replace(_col(c), r"(?U)^\s+|\s+$", "")
+    return F.regexp_replace(_col(c), f"^{WS}+|{WS}+$", "")
 
 
 def is_blank(c: ColumnOrName) -> Column:
@@ -76,7 +81,7 @@ def sql_blank(c: ColumnOrName) -> Column:
 
 def normalize_whitespace(c: ColumnOrName) -> Column:
     """Collapse whitespace runs to one space and strip; null -> ``''``."""
-    collapsed = F.regexp_replace(F.coalesce(_col(c).cast("string"), F.lit("")), r"(?U)\s+", " ")
+    collapsed = F.regexp_replace(F.coalesce(_col(c).cast("string"), F.lit("")), f"{WS}+", " ")
     return F.trim(collapsed)
 
 
@@ -228,7 +233,7 @@ def class_display_name(c: ColumnOrName, names: Mapping[int, str] = CLASS_DISPLAY
 # Passenger-style feature extraction (generic text operators)
 # ---------------------------------------------------------------------------
 
-TITLE_PATTERN = r",(?U)\s*([^.]*)\."
+TITLE_PATTERN = f",{WS}*([^.]*)\\."
 
 
 def extract_title(
@@ -268,7 +273,7 @@ def first_letter(c: ColumnOrName, unknown: str = "Unknown") -> Column:
 def token_count(c: ColumnOrName) -> Column:
     """Number of whitespace-separated tokens; blank/null -> 0."""
     c = _col(c)
-    return F.when(is_blank(c), F.lit(0)).otherwise(F.size(F.split(ustrip(c), r"(?U)\s+"))).cast("long")
+    return F.when(is_blank(c), F.lit(0)).otherwise(F.size(F.split(ustrip(c), f"{WS}+"))).cast("long")
 
 
 def token_prefix(c: ColumnOrName, unknown: str = "Unknown", none: str = "NONE") -> Column:
@@ -276,7 +281,7 @@ def token_prefix(c: ColumnOrName, unknown: str = "Unknown", none: str = "NONE")
     token, join the rest with ``_``; a single token -> ``none``."""
     c = _col(c)
     cleaned = ustrip(F.regexp_replace(F.regexp_replace(F.upper(c), r"\.", ""), "/", " "))
-    parts = F.split(cleaned, r"(?U)\s+")
+    parts = F.split(cleaned, f"{WS}+")
     n = F.size(parts)
     return (F.when(is_blank(c), F.lit(unknown))
             .when((cleaned == "") | (n <= 1), F.lit(none))

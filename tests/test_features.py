@@ -67,3 +67,9 @@ def test_recode_and_port_codes(spark):
     df = spark.createDataFrame([(v,) for v in ("Southampton", " cherbourg ", "Q", "x-port", "", None)], "v string")
     assert [r.o for r in df.select(X.port_code("v").alias("o")).collect()] == ["S", "C", "Q", "X-PORT", None, None]
     assert one(spark, lambda c: X.recode(c, {"a": "A"}), "b") is None
+
+
+def test_whitespace_class_equals_python(spark):
+    chars = [chr(c) for c in range(0x3100) if not (0xD800 <= c <= 0xDFFF)]
+    df = spark.createDataFrame([(c, c.isspace()) for c in chars], "c string, py boolean")
+    assert df.filter(F.col("c").rlike(f"^{X.WS}$") != F.col("py")).count() == 0
