@@ -32,21 +32,26 @@ def training_match_keys(training: DataFrame, name_col: str, ticket_col: str, id_
                            code_key(ticket_col).alias("NormalizedTicket"))
 
 
-def match_lookup(keys: DataFrame, key: str, *, max_ids_per_key: int | None = None) -> DataFrame:
-    """(key, match_count, matched_ids) for every non-empty key: all training
-    ids sharing the key, sorted.
-
-    The id list of a key is built in one task, so its size is the key's
-    multiplicity. ``max_ids_per_key`` turns that into a checked bound: a
-    key above it raises instead of being truncated, and the long-form
-    ``keys`` table (one row per training id) is the exact alternative.
-    """
+def match_lookup(keys: DataFrame, key: str) -> DataFrame:
+    """All training ids per non-empty key in long form: (key, TrainingId,
+    match_count). Linear in the training rows and exact; a hot key is just
+    many rows (spread by AQE skew handling), never one collected group."""
+    valid = keys.filter(F.col(key).isNotNull() & (F.col(key) != "")).select(key, "TrainingId")
+    counts = valid.groupBy(key).agg(F.count(F.lit(1)).alias("match_count"))
+    return valid.join(counts, key)
+
+
+def match_id_lists(keys: DataFrame, key: str, max_ids_per_key: int) -> DataFrame:
+    """(key, match_count, matched_ids) with the sorted ids as an array.
+
+    An array is built in one task, so its size is checked first: a key
+    with more than ``max_ids_per_key`` ids raises (use ``match_lookup``'s
+    long form) instead of being truncated or overflowing a task."""
     valid = keys.filter(F.col(key).isNotNull() & (F.col(key) != ""))
-    if max_ids_per_key is not None:
-        worst = valid.groupBy(key).count().agg(F.max("count")).first()[0] or 0
-        if worst > max_ids_per_key:
-            raise ValueError(f"key {key!r} has {worst} training rows (> {max_ids_per_key}); "
-                             "use the long-form key table instead of id lists")
+    worst = valid.groupBy(key).count().agg(F.max("count")).first()[0] or 0
+    if worst > max_ids_per_key:
+        raise ValueError(f"a {key} value matches {worst} training rows (> {max_ids_per_key}); "
+                         "use match_lookup for the long form")
     return valid.groupBy(key).agg(F.count(F.lit(1)).alias("match_count"),
                                   F.array_sort(F.collect_list("TrainingId")).alias("matched_ids"))
 
@@ -64,21 +69,22 @@ def audit_overlap(
     external_id: str = "PassengerId",
     training_id: str | None = "PassengerId",
     with_ids: bool = False,
+    max_ids_per_key: int = 10_000,
 ) -> DataFrame:
     """External rows + normalized keys, match flags, match counts, evidence
     (``name_and_ticket`` > ``name_only`` > ``ticket_only`` > ``none``) and,
-    with ``with_ids``, the sorted matching training ids per key."""
+    with ``with_ids``, the sorted matching training ids per key (checked
+    against ``max_ids_per_key``; the long form is ``match_lookup``)."""
     keys = training_match_keys(training, name_col, ticket_col,
                                training_id if training_id in training.columns else None)
     audit = external.withColumns({"NormalizedName": name_key(name_col), "NormalizedTicket": code_key(ticket_col)})
     rid = F.col(external_id)
     for kind, col in (("Name", "NormalizedName"), ("Ticket", "NormalizedTicket")):
-        valid = keys.filter(F.col(col) != "")
         if with_ids:
-            agg = valid.groupBy(col).agg(F.count(F.lit(1)).alias(f"{kind}MatchCount"),
-                                         F.array_sort(F.collect_list("TrainingId")).alias(f"MatchedTrainingIdsBy{kind}"))
+            agg = match_id_lists(keys, col, max_ids_per_key).withColumnsRenamed(
+                {"match_count": f"{kind}MatchCount", "matched_ids": f"MatchedTrainingIdsBy{kind}"})
         else:
-            agg = valid.groupBy(col).agg(F.count(F.lit(1)).alias(f"{kind}MatchCount"))
+            agg = keys.filter(F.col(col) != "").groupBy(col).agg(F.count(F.lit(1)).alias(f"{kind}MatchCount"))
         agg = agg.withColumnRenamed(col, f"_k{kind}")
         audit = audit.withColumn(f"_j{kind}", _spread_empty(F.col(col), rid))
         audit = audit.join(agg, audit[f"_j{kind}"] == agg[f"_k{kind}"], "left").drop(f"_j{kind}", f"_k{kind}")

@@ -140,44 +140,50 @@ WITH ext AS (SELECT doc_id AS PassengerId, {_name_key_sql('text')} AS nk,
 tr AS (SELECT doc_id AS TrainingId, {_name_key_sql('text')} AS nk,
               {_code_key_sql("source || ' ' || CAST(n_chars AS VARCHAR)")} AS tk
        FROM documents WHERE doc_id % 2 = 0),
-nl AS (SELECT nk, COUNT(*) AS n, list_sort(list(TrainingId)) AS ids FROM tr WHERE nk <> '' GROUP BY nk),
-tl AS (SELECT tk, COUNT(*) AS n, list_sort(list(TrainingId)) AS ids FROM tr WHERE tk <> '' GROUP BY tk),
+nl AS (SELECT nk, COUNT(*) AS n FROM tr WHERE nk <> '' GROUP BY nk),
+tl AS (SELECT tk, COUNT(*) AS n FROM tr WHERE tk <> '' GROUP BY tk),
 audit AS (
   SELECT e.PassengerId, e.lang, nl.n IS NOT NULL AS NameMatch, tl.n IS NOT NULL AS TicketMatch,
-         COALESCE(nl.n, 0)::BIGINT AS NameMatchCount, COALESCE(tl.n, 0)::BIGINT AS TicketMatchCount,
-         '[' || array_to_string(COALESCE(nl.ids, []), ', ') || ']' AS name_ids,
-         '[' || array_to_string(COALESCE(tl.ids, []), ', ') || ']' AS ticket_ids
+         COALESCE(nl.n, 0)::BIGINT AS NameMatchCount, COALESCE(tl.n, 0)::BIGINT AS TicketMatchCount
   FROM ext e LEFT JOIN nl ON e.nk = nl.nk AND e.nk <> '' LEFT JOIN tl ON e.tk = tl.tk AND e.tk <> '')"""
 
 
-@register("overlap_audit", "H03 H04 J03 J04 J05 F28", oracle=_AUDIT_SQL + """
+@register("overlap_audit", "H03 H04 J03 J05", oracle=_AUDIT_SQL + """
 SELECT PassengerId, NameMatch, TicketMatch, NameMatch AND TicketMatch AS NameAndTicketMatch,
        NameMatch OR TicketMatch AS NameOrTicketMatch, NameMatchCount, TicketMatchCount,
        CASE WHEN NameMatch AND TicketMatch THEN 'name_and_ticket' WHEN NameMatch THEN 'name_only'
-            WHEN TicketMatch THEN 'ticket_only' ELSE 'none' END AS OverlapEvidence,
-       name_ids AS MatchedTrainingIdsByName, ticket_ids AS MatchedTrainingIdsByTicket
+            WHEN TicketMatch THEN 'ticket_only' ELSE 'none' END AS OverlapEvidence
 FROM audit
 """)
 def q_overlap_audit(spark, sf):
     ext, tr = _sides(spark, sf)
-    audit = O.audit_overlap(ext, tr, with_ids=True)
+    audit = O.audit_overlap(ext, tr)
     return audit.select("PassengerId", "NameMatch", "TicketMatch", "NameAndTicketMatch", "NameOrTicketMatch",
-                        "NameMatchCount", "TicketMatchCount", "OverlapEvidence",
-                        X.ids_json("MatchedTrainingIdsByName").alias("MatchedTrainingIdsByName"),
-                        X.ids_json("MatchedTrainingIdsByTicket").alias("MatchedTrainingIdsByTicket"))
+                        "NameMatchCount", "TicketMatchCount", "OverlapEvidence")
 
 
 @register("match_lookup", "J04", oracle=f"""
-SELECT nk AS NormalizedTicket, COUNT(*) AS match_count,
-       '[' || array_to_string(list_sort(list(doc_id)), ', ') || ']' AS matched_ids
+SELECT nk AS NormalizedTicket, doc_id AS TrainingId, COUNT(*) OVER (PARTITION BY nk) AS match_count
 FROM (SELECT doc_id, {_code_key_sql("source || ' ' || CAST(n_chars AS VARCHAR)")} AS nk
-      FROM documents WHERE doc_id % 2 = 0) WHERE nk <> '' GROUP BY nk
+      FROM documents WHERE doc_id % 2 = 0) WHERE nk <> ''
 """)
 def q_match_lookup(spark, sf):
     _, tr = _sides(spark, sf)
     keys = O.training_match_keys(tr, "Name", "Ticket", "PassengerId")
-    lk = O.match_lookup(keys, "NormalizedTicket")
-    return lk.withColumn("matched_ids", X.ids_json("matched_ids"))
+    return O.match_lookup(keys, "NormalizedTicket")
+
+
+@register("match_id_lists", "J04 F28", oracle=f"""
+SELECT nk AS NormalizedName, COUNT(*) AS match_count,
+       '[' || array_to_string(list_sort(list(doc_id)), ', ') || ']' AS matched_ids
+FROM (SELECT doc_id, {_name_key_sql('text')} AS nk FROM documents WHERE doc_id % 2 = 0) WHERE nk <> ''
+GROUP BY nk
+""")
+def q_match_id_lists(spark, sf):
+    _, tr = _sides(spark, sf)
+    keys = O.training_match_keys(tr, "Name", "Ticket", "PassengerId")
+    lists = O.match_id_lists(keys, "NormalizedName", max_ids_per_key=10_000)
+    return lists.withColumn("matched_ids", X.ids_json("matched_ids"))
 
 
 @register("nonoverlap", "J06 H05", oracle=_AUDIT_SQL + """
