@@ -61,10 +61,17 @@ def mode_share(df: DataFrame, column: ColumnOrName, *, decimals: int = 2) -> Dat
                       pct(-F.col("b.neg"), F.col("total"), decimals).alias("mode_share_percent"))
 
 
-def _distinct_values(df: DataFrame, column: str) -> list:
-    """Pivot headers: the distinct non-null values of a low-cardinality
-    column (bounded by the width of the output table)."""
-    rows = df.select(column).filter(F.col(column).isNotNull()).distinct().orderBy(column).collect()
+MAX_PIVOT_VALUES = 1_000
+
+
+def _distinct_values(df: DataFrame, column: str, limit: int = MAX_PIVOT_VALUES) -> list:
+    """Pivot headers: the distinct non-null values of the column. They
+    become output columns, so their number is checked (``limit`` + 1 fetched
+    at most) and a wider crosstab raises."""
+    rows = (df.select(column).filter(F.col(column).isNotNull()).distinct().orderBy(column)
+            .limit(limit + 1).collect())
+    if len(rows) > limit:
+        raise ValueError(f"column {column!r} has more than {limit} distinct values; pass `values` explicitly")
     return [r[0] for r in rows]
 
 

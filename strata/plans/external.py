@@ -52,6 +52,7 @@ def prepare_external(external: DataFrame, training: DataFrame, *, rule: str = "e
         clean.write.mode("overwrite").parquet(os.path.join(output_dir, "external_clean"))
         kept.write.mode("overwrite").parquet(os.path.join(output_dir, "external_nonoverlap"))
         audit.write.mode("overwrite").option("header", True).csv(os.path.join(output_dir, "overlap_audit"))
-        with open(os.path.join(output_dir, "external_overlap_summary.json"), "w") as fh:
-            json.dump(summary, fh, indent=2, default=str)
+        from strata.sources.io import write_text_file
+        write_text_file(external.sparkSession, os.path.join(output_dir, "external_overlap_summary.json"),
+                        json.dumps(summary, indent=2, default=str))
     return ExternalPreparation(clean, audit, kept, summary)

@@ -113,8 +113,9 @@ def save_training_outputs(result: TrainingResult, output_dir: str) -> None:
     result.holdout_report.write.mode("overwrite").option("header", True).csv(
         os.path.join(output_dir, "classification_report"))
     result.holdout_metrics.write.mode("overwrite").json(os.path.join(output_dir, "holdout_metrics"))
-    with open(os.path.join(output_dir, "model_metadata.json"), "w") as fh:
-        json.dump(result.metadata, fh, indent=2, default=str)
+    from strata.sources.io import write_text_file
+    write_text_file(result.comparison.sparkSession, os.path.join(output_dir, "model_metadata.json"),
+                    json.dumps(result.metadata, indent=2, default=str))
 
 
 def load_model(path: str) -> PipelineModel:

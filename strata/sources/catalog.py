@@ -106,13 +106,14 @@ def manifest(results: Sequence[AnalysisResult], output_dir: str, source: str = "
             "query_count": len(results), "queries": [asdict(r) for r in results]}
 
 
-def save_manifest(results: Sequence[AnalysisResult], output_dir: str, source: str = "") -> str:
-    """Manifest JSON (query metadata only, a few KB) next to the outputs."""
+def save_manifest(results: Sequence[AnalysisResult], output_dir: str, source: str = "",
+                  spark: SparkSession | None = None) -> str:
+    """Manifest JSON (query metadata only, a few KB) next to the outputs,
+    written through the output folder's filesystem."""
+    from strata.sources.io import write_text_file
+    spark = spark or SparkSession.getActiveSession()
     path = os.path.join(output_dir, "analysis_manifest.json")
-    os.makedirs(output_dir, exist_ok=True)
-    with open(path, "w") as fh:
-        json.dump(manifest(results, output_dir, source), fh, indent=2)
-    return path
+    return write_text_file(spark, path, json.dumps(manifest(results, output_dir, source), indent=2))
 
 
 def summary_frame(spark: SparkSession, results: Sequence[AnalysisResult]) -> DataFrame:

@@ -24,6 +24,20 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(hpath)
 
 
+def write_text_file(spark: SparkSession, path: str, text: str) -> str:
+    """Write one small text file (a manifest, a metadata document) through
+    the Hadoop filesystem of ``path``: local disk, HDFS or object stores."""
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    out = fs.create(hpath, True)
+    try:
+        out.write(bytearray(text.encode("utf-8")))
+    finally:
+        out.close()
+    return path
+
+
 def read_csv(spark: SparkSession, path: str, schema: StructType | str | None = None, *, header: bool = True,
              reject_empty: bool = True, name: str = "dataset") -> DataFrame:
     """CSV with header; missing file -> FileNotFoundError; empty -> ValueError.

@@ -60,3 +60,15 @@ def test_audit_and_rules(spark):
     assert not set(O.AUDIT_COLUMNS) & set(O.nonoverlap(a).columns)
     with pytest.raises(ValueError):
         O.nonoverlap(a, "fuzzy")
+
+
+def test_external_job_writes_artifacts(spark, tmp_path):
+    from strata.plans.external import prepare_external
+    ext, train = frames(spark)
+    run = prepare_external(ext, train, rule="either", output_dir=str(tmp_path))
+    assert run.summary["external_rows"] == 4 and run.summary["either_matches"] == 3
+    assert run.summary["nonoverlap_rows"] == 1 and run.summary["training_rows"] == 3
+    assert spark.read.parquet(str(tmp_path / "external_nonoverlap")).count() == 1
+    assert (tmp_path / "external_overlap_summary.json").exists()
+    with pytest.raises(ValueError):
+        prepare_external(ext, train, rule="fuzzy")
