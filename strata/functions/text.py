@@ -32,11 +32,16 @@ def _strip_one(value):
     return "".join(ch for ch in decomposed if not unicodedata.combining(ch))
 
 
-@F.pandas_udf(StringType())
-def _strip_accents_udf(values: pd.Series) -> pd.Series:
+def _strip_accents_batch(values: pd.Series) -> pd.Series:
     return values.map(_strip_one, na_action="ignore")
 
 
+# Marked non-deterministic only so that Catalyst never duplicates it: a
+# filter on a key column would otherwise be pushed below the projection and
+# re-run the whole key expression (UDF and regexes over full texts) twice.
+_strip_accents_udf = F.pandas_udf(_strip_accents_batch, StringType()).asNondeterministic()
+
+
 def strip_accents(c: ColumnOrName) -> Column:
     """NFKD decomposition with combining marks removed."""
     text = _col(c).cast("string")
