@@ -64,6 +64,27 @@ def mode_share(df: DataFrame, column: ColumnOrName, *, decimals: int = 2) -> Dat
 MAX_PIVOT_VALUES = 1_000
 
 
+def modes(df: DataFrame, columns: Sequence[str]) -> dict:
+    """Most frequent non-null value of each column (ties -> smallest).
+
+    Per-value counts are a map-side combined group-by; the winner per
+    column is a partially aggregated ``min(struct(-count, value))``, so no
+    task ever holds a column's distinct values. Columns of one type share a
+    pass (unpivoted into (column, value) rows). Columns without values are
+    absent from the result."""
+    by_type: dict[str, list[str]] = {}
+    for c in columns:
+        by_type.setdefault(df.schema[c].dataType.simpleString(), []).append(c)
+    out = {}
+    for cols in by_type.values():
+        pairs = [F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").alias("value")) for c in cols]
+        long = df.select(F.inline(F.array(*pairs))).filter(F.col("value").isNotNull())
+        counts = long.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
+        best = counts.groupBy("column").agg(F.min(F.struct((-F.col("n")).alias("neg"), F.col("value"))).alias("b"))
+        out.update({r.column: r.b.value for r in best.collect()})  # one row per column
+    return out
+
+
 def _distinct_values(df: DataFrame, column: str, limit: int = MAX_PIVOT_VALUES) -> list:
     """Pivot headers: the distinct non-null values of the column. They
     become output columns, so their number is checked (``limit`` + 1 fetched

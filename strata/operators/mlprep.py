@@ -79,9 +79,10 @@ class ModeImputer(Estimator, HasInputCols, DefaultParamsReadable, DefaultParamsW
         self._set(**self._input_kwargs)
 
     def _fit(self, df: DataFrame) -> FillValuesModel:
+        from strata.operators.describe import modes
         cols = self.getInputCols()
-        row = df.agg(*[F.mode(F.col(c), True).alias(c) for c in cols]).first()
-        return FillValuesModel(inputCols=cols, values=json.dumps({c: row[c] for c in cols}))
+        found = modes(df, cols)
+        return FillValuesModel(inputCols=cols, values=json.dumps({c: found.get(c) for c in cols}))
 
 
 class PopulationScalerModel(Model, HasInputCols, _JsonValues, DefaultParamsReadable, DefaultParamsWritable):

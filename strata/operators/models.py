@@ -62,7 +62,7 @@ class MajorityModel(Model, HasFeaturesCol, HasPredictionCol, HasProbabilityCol,
 class MajorityClassifier(Estimator, HasLabelCol, HasFeaturesCol, HasPredictionCol, HasProbabilityCol,
                          DefaultParamsReadable, DefaultParamsWritable):
     """Always predicts the most frequent training class (ties -> lowest
-    index); probability is one-hot. Fit is one ``mode`` aggregate."""
+    index); probability is one-hot. Fit is a two-level count aggregate."""
 
     numClasses = Param(Params._dummy(), "numClasses", "number of classes", TypeConverters.toInt)
 
@@ -73,8 +73,9 @@ class MajorityClassifier(Estimator, HasLabelCol, HasFeaturesCol, HasPredictionCo
         self._set(**self._input_kwargs)
 
     def _fit(self, df: DataFrame) -> MajorityModel:
+        from strata.operators.describe import modes
         label = self.getLabelCol()
-        mode = df.agg(F.mode(F.col(label), True)).first()[0]
+        mode = modes(df, [label])[label]
         k = self.getOrDefault(self.numClasses) if self.isDefined(self.numClasses) else int(
             df.agg(F.max(label)).first()[0]) + 1
         return MajorityModel(majority=float(mode), numClasses=k, predictionCol=self.getPredictionCol(),
