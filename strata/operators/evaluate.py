@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.ml import Pipeline
 from pyspark.sql import Column, DataFrame, Window
@@ -144,24 +145,31 @@ def cross_validate(
     fold_col: str = "fold",
     label_col: str = "label_idx",
     prediction_col: str = "prediction",
+    parallelism: int = 1,
 ) -> dict:
     """Fit on k-1 folds, score the held-out fold, for every fold; metrics
-    of all folds come from one grouped confusion table. Returns means,
-    population stds and mean fit/score seconds."""
-    scored, fit_times, score_times = [], [], []
-    for f in range(k):
+    of all folds come from one grouped confusion table. With
+    ``parallelism`` > 1 fold fits are submitted from that many driver
+    threads and Spark runs their jobs concurrently (as
+    ``CrossValidator(parallelism=...)`` does); each concurrent forest fit
+    needs its own split-statistics memory, so size it to the executors.
+    Returns means, population stds and mean fit/score seconds."""
+
+    def run_fold(f: int):
         train = folds.filter(F.col(fold_col) != f)
         test = folds.filter(F.col(fold_col) == f)
         t0 = time.perf_counter()
         model = pipeline_factory().fit(train)
-        fit_times.append(time.perf_counter() - t0)
+        fit_time = time.perf_counter() - t0
         t0 = time.perf_counter()
         pred = model.transform(test).select(fold_col, label_col, prediction_col)
-        scored.append(pred)
-        score_times.append(time.perf_counter() - t0)
-    allpred = scored[0]
-    for p in scored[1:]:
-        allpred = allpred.unionByName(p)
+        return pred, fit_time, time.perf_counter() - t0
+
+    with ThreadPoolExecutor(max_workers=max(1, min(parallelism, k))) as pool:
+        runs = list(pool.map(run_fold, range(k)))
+    allpred = runs[0][0]
+    for pred, _, _ in runs[1:]:
+        allpred = allpred.unionByName(pred)
     conf = confusion_counts(allpred, label_col, prediction_col, group=[fold_col])
     per_fold = metrics_from_confusion(conf, group=[fold_col])
     agg = per_fold.agg(*[F.avg(m).alias(f"cv_{m}_mean") for m in ("accuracy", "balanced_accuracy", "f1_macro")],
@@ -169,18 +177,18 @@ def cross_validate(
     t0 = time.perf_counter()
     result = agg.first().asDict()
     score_total = time.perf_counter() - t0
-    result["fit_time_mean"] = sum(fit_times) / k
-    result["score_time_mean"] = (sum(score_times) + score_total) / k
+    result["fit_time_mean"] = sum(r[1] for r in runs) / k
+    result["score_time_mean"] = (sum(r[2] for r in runs) + score_total) / k
     return result
 
 
 def compare_models(candidates: dict[str, Callable[[], Pipeline]], folds: DataFrame, *, k: int,
-                   fold_col: str = "fold") -> DataFrame:
+                   fold_col: str = "fold", parallelism: int = 1) -> DataFrame:
     """Cross-validate every candidate on the same folds; ordered by macro
     F1, balanced accuracy, accuracy (descending) — the first row wins."""
     rows = []
     for name, factory in candidates.items():
-        res = cross_validate(factory, folds, k=k, fold_col=fold_col)
+        res = cross_validate(factory, folds, k=k, fold_col=fold_col, parallelism=parallelism)
         rows.append({"model": name, **res})
     spark = folds.sparkSession
     cols = ["model", "cv_accuracy_mean", "cv_accuracy_std", "cv_balanced_accuracy_mean", "cv_balanced_accuracy_std",
