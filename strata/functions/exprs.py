@@ -104,8 +104,9 @@ def to_double(c: ColumnOrName) -> Column:
 
 
 def pct(numerator: ColumnOrName, denominator: ColumnOrName, decimals: int = 2) -> Column:
-    """``ROUND(100 * num / den, d)`` computed in double precision."""
-    return F.round(F.lit(100.0) * _col(numerator).cast("double") / _col(denominator), decimals)
+    """``ROUND(100 * num / den, d)`` in double precision; null when the
+    denominator is 0 (empty input) instead of an ANSI division error."""
+    return F.round(F.try_divide(F.lit(100.0) * _col(numerator).cast("double"), _col(denominator)), decimals)
 
 
 def rate_pct(flag: ColumnOrName, decimals: int = 2) -> Column:

@@ -137,7 +137,7 @@ def crosstab_normalized(
     else:
         raise ValueError(f"normalize must be columns, index or all, not {normalize!r}")
     denom = F.col("_total")
-    frac = cells.withColumn("f", F.round(F.col("n") / denom, decimals))
+    frac = cells.withColumn("f", F.round(F.try_divide(F.col("n"), denom), decimals))
     wide = frac.groupBy(row).pivot(col, values).agg(F.first("f"))
     return wide.select(row, *[F.coalesce(F.col(f"`{v}`"), F.lit(0.0)).alias(str(v)) for v in values])
 
@@ -267,7 +267,7 @@ def hist_width(
         F.round(lo + F.col("bin") * width, decimals).alias("bin_start"),
         F.round(lo + (F.col("bin") + 1) * width, decimals).alias("bin_end"),
         "count",
-        F.round(F.col("count") / (group_total * width), decimals).alias("density"))
+        F.round(F.try_divide(F.col("count"), group_total * width), decimals).alias("density"))
 
 
 def box_stats(

@@ -53,7 +53,7 @@ def normalize_confusion(conf: DataFrame, normalize: str | None = None, decimals:
     if normalize not in parts:
         raise ValueError("normalize must be None, 'true', 'pred' or 'all'")
     total = F.sum("count").over(Window.partitionBy(*parts[normalize]))
-    return conf.withColumn("value", F.round(F.when(total > 0, F.col("count") / total).otherwise(0.0), decimals))
+    return conf.withColumn("value", F.round(F.coalesce(F.try_divide(F.col("count"), total), F.lit(0.0)), decimals))
 
 
 def _per_class(conf: DataFrame, group: Sequence[str] = ()) -> DataFrame:
@@ -61,11 +61,11 @@ def _per_class(conf: DataFrame, group: Sequence[str] = ()) -> DataFrame:
     support = conf.groupBy(*group, "label").agg(F.sum("count").alias("support"))
     predicted = conf.groupBy(*group, F.col("predicted").alias("label")).agg(F.sum("count").alias("predicted_total"))
     pc = tp.join(support, [*group, "label"]).join(predicted, [*group, "label"])
-    p = F.when(F.col("predicted_total") > 0, F.col("tp") / F.col("predicted_total")).otherwise(0.0)
-    r = F.when(F.col("support") > 0, F.col("tp") / F.col("support")).otherwise(0.0)
+    p = F.coalesce(F.try_divide(F.col("tp"), F.col("predicted_total")), F.lit(0.0))
+    r = F.coalesce(F.try_divide(F.col("tp"), F.col("support")), F.lit(0.0))
     pc = pc.withColumns({"precision": p, "recall": r})
-    f1 = F.when(F.col("precision") + F.col("recall") > 0,
-                2 * F.col("precision") * F.col("recall") / (F.col("precision") + F.col("recall"))).otherwise(0.0)
+    f1 = F.coalesce(F.try_divide(2 * F.col("precision") * F.col("recall"), F.col("precision") + F.col("recall")),
+                    F.lit(0.0))
     return pc.withColumn("f1", f1)
 
 
@@ -74,7 +74,7 @@ def metrics_from_confusion(conf: DataFrame, group: Sequence[str] = (), decimals:
     truth), macro F1 (zero division -> 0) and row count per group."""
     pc = _per_class(conf, group)
     out = pc.groupBy(*group).agg(
-        (F.sum("tp") / F.sum("support")).alias("accuracy"),
+        F.try_divide(F.sum("tp"), F.sum("support")).alias("accuracy"),
         F.avg(F.when(F.col("support") > 0, F.col("recall"))).alias("balanced_accuracy"),
         F.avg("f1").alias("f1_macro"),
         F.sum("support").cast("long").alias("rows"))
@@ -94,11 +94,11 @@ def classification_report(conf: DataFrame, decimals: int = 4) -> DataFrame:
                     F.col("support").cast("long").alias("support"))
     total = F.sum("support")
     summary = pc.agg(
-        (F.sum("tp") / total).alias("acc"), total.alias("n"),
+        F.try_divide(F.sum("tp"), total).alias("acc"), total.alias("n"),
         F.avg("precision").alias("mp"), F.avg("recall").alias("mr"), F.avg("f1").alias("mf"),
-        (F.sum(F.col("precision") * F.col("support")) / total).alias("wp"),
-        (F.sum(F.col("recall") * F.col("support")) / total).alias("wr"),
-        (F.sum(F.col("f1") * F.col("support")) / total).alias("wf"))
+        F.try_divide(F.sum(F.col("precision") * F.col("support")), total).alias("wp"),
+        F.try_divide(F.sum(F.col("recall") * F.col("support")), total).alias("wr"),
+        F.try_divide(F.sum(F.col("f1") * F.col("support")), total).alias("wf"))
     def row(name, p, r, f):
         return F.struct(F.lit(name).alias("label"), p.cast("double").alias("precision"),
                         r.cast("double").alias("recall"), f.alias("f1-score"),

@@ -156,12 +156,13 @@ def missing_profile(
         if blank_as_missing and isinstance(df.schema[c].dataType, StringType):
             return is_blank(col)
         return col.isNull()
-    wide = df.agg(F.count(F.lit(1)).alias("_n"), *[count_when(miss(c)).alias(f"m{i}") for i, c in enumerate(columns)])
+    wide = df.agg(F.count(F.lit(1)).alias("_n"),
+                  *[F.coalesce(count_when(miss(c)), F.lit(0)).alias(f"m{i}") for i, c in enumerate(columns)])
     rows = [F.struct(F.lit(c).alias("column"), F.col(f"m{i}").alias("missing_count")) for i, c in enumerate(columns)]
     long = wide.select(F.col("_n"), F.inline(F.array(*rows)))
     out = long.select("column", "missing_count",
                       pct(F.col("missing_count"), F.col("_n"), decimals).alias("missing_percent"),
-                      F.round(F.col("missing_count") / F.col("_n"), 6).alias("missing_fraction"))
+                      F.round(F.try_divide(F.col("missing_count"), F.col("_n")), 6).alias("missing_fraction"))
     if only_missing:
         out = out.filter(F.col("missing_count") > 0)
     return out.orderBy(F.col("missing_count").desc(), "column")

@@ -52,3 +52,12 @@ def test_row_numbers_are_consecutive(spark):
     rows = with_row_number(df, "rn").collect()
     assert sorted(r.rn for r in rows) == list(range(1, 1001))
     assert all(r.rn == r.x + 1 for r in rows)
+
+
+def test_empty_inputs_do_not_fail(spark):
+    from strata.operators import cohort as C
+    from strata.operators import describe as D
+    empty = spark.createDataFrame([], "a long, b string, v double")
+    assert {r.missing_count for r in Q.missing_profile(empty, only_missing=False).collect()} == {0}
+    assert C.share_of_total(empty, "b").collect() == []
+    assert D.describe_numeric(empty, ["v"]).first()["count"] == 0
