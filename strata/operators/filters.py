@@ -25,8 +25,7 @@ def isin_text(column: str, values: Sequence) -> Column:
 
 def in_range(column: str, lo: float, hi: float) -> Column:
     """Inclusive numeric range on the leniently parsed value; nulls fail."""
-    v = F.col(column) if column else None
-    v = v.cast("string").try_cast("double")
+    v = F.col(column).cast("string").try_cast("double")
     return v.between(F.lit(lo), F.lit(hi)) & v.isNotNull()
 
 

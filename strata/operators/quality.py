@@ -74,24 +74,21 @@ def strict_integer(df: DataFrame, column: str, max_examples: int = 10) -> Column
     return strict_integers(df, [column], max_examples)[column]
 
 
-_strict = strict_integers
-
-
 def standardize_types(
     df: DataFrame,
     *,
     integers: Sequence[str] = (),
     doubles: Sequence[str] = (),
     strings: Sequence[str] = (),
-    strict_integers: bool = True,
+    strict: bool = True,
 ) -> DataFrame:
     """Cast integer columns strictly (bad value raises), doubles leniently
     (bad -> null, NaN -> null) and strings as text. Missing columns are
     skipped; nothing is imputed."""
     present = set(df.columns)
     ints = [c for c in integers if c in present]
-    if strict_integers:
-        cols = dict(_strict(df, ints))
+    if strict:
+        cols = dict(strict_integers(df, ints))
     else:
         cols = {c: F.col(c).cast("string").try_cast("double").cast("long") for c in ints}
     for c in doubles:

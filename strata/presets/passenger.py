@@ -54,7 +54,7 @@ def add_passenger_features(df: DataFrame) -> DataFrame:
 
 def standardize(df: DataFrame, strict: bool = True) -> DataFrame:
     return Q.standardize_types(df, integers=RAW_INTEGERS, doubles=RAW_DOUBLES, strings=RAW_STRINGS,
-                               strict_integers=strict)
+                               strict=strict)
 
 
 def prepare_passenger_data(df: DataFrame, *, required=TRAINING_REQUIRED, strict: bool = True) -> DataFrame:
