@@ -109,6 +109,29 @@ def classification_report(conf: DataFrame, decimals: int = 4) -> DataFrame:
     return per.unionByName(summary.select(F.inline(rows)))
 
 
+_REPORT_ALIASES = {
+    "label": ("label", "class", "", "_c0", "index", "Unnamed: 0"),
+    "precision": ("precision",),
+    "recall": ("recall",),
+    "f1-score": ("f1-score", "f1_score", "f1", "f1score"),
+    "support": ("support", "count"),
+}
+
+
+def normalize_classification_report(report: DataFrame) -> DataFrame:
+    """Accept report tables written in other layouts (label column named
+    ``class``/unnamed, ``f1_score``/``f1``, ``count``) and return the fixed
+    column order label, precision, recall, f1-score, support. Missing
+    metric columns become nulls."""
+    lower = {c.lower(): c for c in report.columns}
+    cols = []
+    for target, aliases in _REPORT_ALIASES.items():
+        found = next((lower[a.lower()] for a in aliases if a.lower() in lower), None)
+        dtype = "string" if target == "label" else ("long" if target == "support" else "double")
+        cols.append((F.col(f"`{found}`") if found else F.lit(None)).cast(dtype).alias(target))
+    return report.select(*cols)
+
+
 def validate_labels(df: DataFrame, label: str, known: Sequence) -> None:
     """External evaluation guard: no null and no unknown true labels."""
     row = df.agg(F.sum(F.col(label).isNull().cast("int")).alias("nulls"),

@@ -80,8 +80,23 @@ def evaluate_scored(scored: DataFrame, label: str, classes: Sequence) -> tuple[D
     return EV.metrics_from_confusion(conf), EV.classification_report(conf)
 
 
-def save_scoring_outputs(scored: DataFrame, output_dir: str, classes: Sequence) -> None:
-    scored.write.mode("overwrite").parquet(os.path.join(output_dir, "predictions"))
-    SC.prediction_summary(scored, classes).write.mode("overwrite").json(os.path.join(output_dir, "summary"))
-    SC.class_distribution(scored).write.mode("overwrite").option("header", True).csv(
-        os.path.join(output_dir, "class_distribution"))
+def save_scoring_outputs(scored: DataFrame, output_dir: str, classes: Sequence, *,
+                         metrics: DataFrame | None = None, report: DataFrame | None = None) -> dict:
+    """Predictions (Parquet), run summary (JSON), class distribution and,
+    when labels were known, metrics and the class report. An empty result
+    is rejected before anything is written."""
+    if scored.isEmpty():
+        raise ValueError("no predictions to save")
+    paths = {"predictions": os.path.join(output_dir, "predictions"),
+             "summary": os.path.join(output_dir, "summary"),
+             "class_distribution": os.path.join(output_dir, "class_distribution")}
+    scored.write.mode("overwrite").parquet(paths["predictions"])
+    SC.prediction_summary(scored, classes).write.mode("overwrite").json(paths["summary"])
+    SC.class_distribution(scored).write.mode("overwrite").option("header", True).csv(paths["class_distribution"])
+    if metrics is not None:
+        paths["metrics"] = os.path.join(output_dir, "metrics")
+        metrics.write.mode("overwrite").json(paths["metrics"])
+    if report is not None:
+        paths["classification_report"] = os.path.join(output_dir, "classification_report")
+        report.write.mode("overwrite").option("header", True).csv(paths["classification_report"])
+    return paths

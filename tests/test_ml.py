@@ -81,3 +81,11 @@ def test_quantile_paths_agree(spark, monkeypatch):
     assert fast.keys() == sorted_path.keys()
     for k in fast:
         assert abs(fast[k] - sorted_path[k]) < 1e-9
+
+
+def test_normalize_report_layouts(spark):
+    other = spark.createDataFrame([("1", 0.5, 0.4, 0.44, 10)], "class string, precision double, recall double, "
+                                                                "f1_score double, count long")
+    out = EV.normalize_classification_report(other)
+    assert out.columns == list(EV.REPORT_COLUMNS)
+    assert out.first()["f1-score"] == 0.44 and out.first().support == 10
