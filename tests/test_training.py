@@ -1,6 +1,8 @@
 from pyspark.sql import functions as F
 
-from strata.plans.scoring import evaluate_scored, score_batch
+import pytest
+
+from strata.plans.scoring import evaluate_scored, save_scoring_outputs, score_batch
 from strata.plans.testbed_models import CATEGORICAL, NUMERIC, embedding_frame
 from strata.plans.training import TrainingConfig, load_model, run_training
 
@@ -26,3 +28,7 @@ def test_training_flow_end_to_end(spark, tmp_path):
     metrics, report = evaluate_scored(scored, "label", res.classes)
     assert metrics.first().rows == n
     assert {r.label for r in report.collect()} >= {"accuracy", "macro avg", "weighted avg"}
+    paths = save_scoring_outputs(scored, str(tmp_path / "scored"), res.classes, metrics=metrics, report=report)
+    assert spark.read.parquet(paths["predictions"]).count() == n
+    with pytest.raises(ValueError):
+        save_scoring_outputs(scored.limit(0), str(tmp_path / "empty"), res.classes)
