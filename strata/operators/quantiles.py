@@ -53,7 +53,8 @@ def quantiles_long(
         return q.select(*groups, F.posexplode("q").alias("i", "value")).select(
             *groups, F.element_at(F.array(*[F.lit(float(p)) for p in ps]), F.col("i") + 1).alias("p"), "value")
     counts = long.groupBy(*groups).agg(F.count(F.lit(1)).alias("n"))
-    sizes = counts.agg(F.count(F.lit(1)).alias("groups"), F.max("n").alias("largest")).first()
+    sizes = counts.agg(F.count(F.lit(1)).alias("groups"), F.max("n").alias("largest"),
+                       F.sum("n").alias("values")).first()
     n_groups = sizes.groups
     if (sizes.largest or 0) <= AGGREGATE_MAX_VALUES:
         q = long.groupBy(*groups).agg(F.percentile("v", F.array(*[F.lit(float(p)) for p in ps])).alias("q"))
@@ -64,7 +65,8 @@ def quantiles_long(
         {"lo": F.floor("pos").cast("long"), "hi": F.ceil("pos").cast("long")})
     wanted = wanted.withColumn("frac", F.col("pos") - F.col("lo"))
     need = wanted.select(*groups, F.explode(F.array_distinct(F.array("lo", "hi"))).alias("r")).distinct()
-    ranked = rank_within(long, groups, ["v"], "r", broadcast_meta=n_groups <= BROADCAST_GROUPS)
+    ranked = rank_within(long, groups, ["v"], "r", broadcast_meta=n_groups <= BROADCAST_GROUPS,
+                         rows=sizes["values"])
     small = n_groups * len(ps) <= BROADCAST_GROUPS
     picked = ranked.join(F.broadcast(need) if small else need, [*groups, "r"])
     lo = picked.select(*groups, F.col("r").alias("lo"), F.col("v").alias("v_lo"))

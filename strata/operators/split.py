@@ -19,6 +19,17 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 _POS_MASK = (1 << 33) - 1
+# target rows per range partition when the caller knows the row count
+ROWS_PER_PARTITION = 1_000_000
+
+
+def range_partitions(spark, rows: int | None) -> int:
+    """Partition count for an exact-rank sort: ~1M rows each, at most
+    ``spark.sql.shuffle.partitions``; the setting itself when unknown."""
+    cap = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if rows is None:
+        return cap
+    return max(1, min(cap, math.ceil(rows / ROWS_PER_PARTITION)))
 
 
 def seeded_hash(seed: int, *cols: Column | str) -> Column:
@@ -27,7 +38,7 @@ def seeded_hash(seed: int, *cols: Column | str) -> Column:
 
 
 def rank_within(df: DataFrame, group: str | Sequence[str], order: Sequence[Column | str],
-                name: str = "rank", *, broadcast_meta: bool = True) -> DataFrame:
+                name: str = "rank", *, broadcast_meta: bool = True, rows: int | None = None) -> DataFrame:
     """0-based exact rank of each row within ``group`` by ``order``.
 
     Range partitioning on (group, order) spreads even a single huge group
@@ -36,13 +47,14 @@ def rank_within(df: DataFrame, group: str | Sequence[str], order: Sequence[Colum
     the group count is modest (class labels, column names, parameter
     combinations); pass ``broadcast_meta=False`` for many groups. Rows tied
     on ``order`` get distinct consecutive ranks; make ``order`` unique (end
-    with an id) when the assignment of ranks to tied rows matters."""
+    with an id) when the assignment of ranks to tied rows matters. ``rows``
+    (when known) sizes the range partitioning."""
     groups = [group] if isinstance(group, str) else list(group)
     order = [F.col(o) if isinstance(o, str) else o for o in order]
     gcols = [F.col(g) for g in groups]
     # an explicit partition count keeps AQE from coalescing this exchange:
     # both readers below must see the same partition ids
-    n_parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n_parts = range_partitions(df.sparkSession, rows)
     s = df.repartitionByRange(n_parts, *gcols, *order).sortWithinPartitions(*gcols, *order)
     s = s.withColumns({"_pid": F.spark_partition_id(),
                        "_pos": F.monotonically_increasing_id().bitwiseAND(F.lit(_POS_MASK))})
@@ -92,8 +104,9 @@ def stratified_split(
 ) -> DataFrame:
     """Add a boolean ``split_col``: exact per-class test quotas, rows picked
     by seeded hash order (deterministic, independent of partitioning)."""
-    quotas = test_quotas(class_counts(df, label), test_fraction)
-    ranked = rank_within(df, label, [seeded_hash(seed, id_col), F.col(id_col)], "_rank")
+    counts = class_counts(df, label)
+    quotas = test_quotas(counts, test_fraction)
+    ranked = rank_within(df, label, [seeded_hash(seed, id_col), F.col(id_col)], "_rank", rows=sum(counts.values()))
     return ranked.withColumn(split_col, F.col("_rank") < _lookup(quotas, F.col(label))).drop("_rank")
 
 
@@ -110,7 +123,8 @@ def stratified_folds(
     counts = class_counts(df, label)
     if min(counts.values()) < k:
         raise ValueError(f"every class needs at least {k} rows for {k}-fold CV: {counts}")
-    ranked = rank_within(df, label, [seeded_hash(seed + 1, id_col), F.col(id_col)], "_rank")
+    ranked = rank_within(df, label, [seeded_hash(seed + 1, id_col), F.col(id_col)], "_rank",
+                         rows=sum(counts.values()))
     n = _lookup(counts, F.col(label))
     base = F.floor(n / k)
     extra = n % k
