@@ -18,7 +18,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from strata.functions.exprs import ColumnOrName, _col, normalize_whitespace
+from strata.functions.exprs import ColumnOrName, _col
 
 # Ship this module's functions to Python workers by value: executors need
 # not have the package installed.
@@ -52,15 +52,19 @@ def strip_accents(c: ColumnOrName) -> Column:
 def name_key(c: ColumnOrName) -> Column:
     """Punctuation/case/accent-insensitive text key.
 
-    whitespace-normalize -> strip accents -> lower -> runs of characters
-    outside ``[a-z0-9]`` become one space -> whitespace-normalize.
-    Null/blank -> ``''``.
+    Defined as whitespace-normalize -> strip accents -> lower -> runs of
+    characters outside ``[a-z0-9]`` become one space -> whitespace-normalize.
+    Whitespace is itself outside ``[a-z0-9]`` before and after NFKD, so the
+    two whitespace passes reduce to a final trim of single spaces.
+    Null/blank -> ``''``. Materialize keys with ``select``/``withColumn``
+    before aggregating them (the UDF inside is non-deterministic to Spark).
     """
-    keyed = F.regexp_replace(F.lower(strip_accents(normalize_whitespace(c))), "[^a-z0-9]+", " ")
-    return normalize_whitespace(keyed)
+    keyed = F.regexp_replace(F.lower(strip_accents(F.coalesce(_col(c).cast("string"), F.lit("")))), "[^a-z0-9]+", " ")
+    return F.trim(keyed)
 
 
 def code_key(c: ColumnOrName) -> Column:
     """Code key: whitespace-normalize -> strip accents -> upper -> keep only
     ``[A-Z0-9]``. Null/blank -> ``''``."""
-    return F.regexp_replace(F.upper(strip_accents(normalize_whitespace(c))), "[^A-Z0-9]", "")
+    text = F.coalesce(_col(c).cast("string"), F.lit(""))
+    return F.regexp_replace(F.upper(strip_accents(text)), "[^A-Z0-9]", "")

@@ -84,7 +84,10 @@ def audit_overlap(
             agg = match_id_lists(keys, col, max_ids_per_key).withColumnsRenamed(
                 {"match_count": f"{kind}MatchCount", "matched_ids": f"MatchedTrainingIdsBy{kind}"})
         else:
-            agg = keys.filter(F.col(col) != "").groupBy(col).agg(F.count(F.lit(1)).alias(f"{kind}MatchCount"))
+            # the '' group is kept: it can never match (empty external keys
+            # are replaced by unique values), and dropping it first would let
+            # the optimizer re-evaluate the key expression for the filter
+            agg = keys.groupBy(col).agg(F.count(F.lit(1)).alias(f"{kind}MatchCount"))
         agg = agg.withColumnRenamed(col, f"_k{kind}")
         audit = audit.withColumn(f"_j{kind}", _spread_empty(F.col(col), rid))
         audit = audit.join(agg, audit[f"_j{kind}"] == agg[f"_k{kind}"], "left").drop(f"_j{kind}", f"_k{kind}")
