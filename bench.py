@@ -40,20 +40,28 @@ def main() -> None:
     REGISTRY["group_profile"].build(spark, sf_dir).write.format("noop").mode("overwrite").save()
     REGISTRY["text_keys"].build(spark, sf_dir).write.format("noop").mode("overwrite").save()
     timings = {}
+    failed = []
     for name in names:
         build = REGISTRY[name].build
-        if os.environ.get("BENCH_WARMUP") == "1":
+        try:
+            if os.environ.get("BENCH_WARMUP") == "1":
+                build(spark, sf_dir).write.format("noop").mode("overwrite").save()
+            t0 = time.perf_counter()
             build(spark, sf_dir).write.format("noop").mode("overwrite").save()
-        t0 = time.perf_counter()
-        build(spark, sf_dir).write.format("noop").mode("overwrite").save()
-        timings[name] = round(time.perf_counter() - t0, 3)
+            timings[name] = round(time.perf_counter() - t0, 3)
+        except Exception as exc:  # noqa: BLE001 - record and keep measuring the rest
+            timings[name] = None
+            failed.append(f"{name}: {type(exc).__name__}")
     sf_text = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
     try:
         sf = float(sf_text)
     except ValueError:
         sf = sf_text
-    print(json.dumps({"metric": "total_query_seconds", "value": round(sum(timings.values()), 3), "unit": "sec",
-                      "queries": timings, "sf": sf}))
+    result = {"metric": "total_query_seconds", "value": round(sum(v for v in timings.values() if v is not None), 3),
+              "unit": "sec", "queries": timings, "sf": sf}
+    if failed:
+        result["failed"] = failed
+    print(json.dumps(result))
 
 
 if __name__ == "__main__":
