@@ -90,9 +90,9 @@ cat AS (SELECT "column", SUM(n)::BIGINT AS count, COUNT(*) AS "unique",
                MAX(CASE WHEN rk = 1 THEN value END) AS top, MAX(CASE WHEN rk = 1 THEN n END) AS freq
         FROM ranked GROUP BY "column"),
 num AS (SELECT 'p_size' AS "column", ROUND(AVG(p_size), 4) AS mean, ROUND(STDDEV_SAMP(p_size), 4) AS std,
-               ROUND(MIN(p_size), 4) AS min, ROUND(QUANTILE_CONT(p_size, 0.25), 4) AS p25,
+               ROUND(MIN(p_size)::DOUBLE, 4) AS min, ROUND(QUANTILE_CONT(p_size, 0.25), 4) AS p25,
                ROUND(QUANTILE_CONT(p_size, 0.5), 4) AS p50, ROUND(QUANTILE_CONT(p_size, 0.75), 4) AS p75,
-               ROUND(MAX(p_size), 4) AS max FROM part)
+               ROUND(MAX(p_size)::DOUBLE, 4) AS max FROM part)
 SELECT cat.*, num.mean, num.std, num.min, num.p25, num.p50, num.p75, num.max
 FROM cat LEFT JOIN num USING ("column")
 """)
@@ -113,11 +113,12 @@ def q_group_summary(spark, sf):
 
 
 @register("medians", "A28 M01", oracle="""
-SELECT MEDIAN(l_quantity) AS l_quantity, MEDIAN(l_extendedprice) AS l_extendedprice,
-       MEDIAN(l_discount) AS l_discount FROM lineitem
+SELECT ROUND(MEDIAN(l_quantity), 6) AS l_quantity, ROUND(MEDIAN(l_extendedprice), 6) AS l_extendedprice,
+       ROUND(MEDIAN(l_discount), 6) AS l_discount FROM lineitem
 """)
 def q_medians(spark, sf):
-    return D.medians(table(spark, sf, "lineitem"), ["l_quantity", "l_extendedprice", "l_discount"])
+    cols = ["l_quantity", "l_extendedprice", "l_discount"]
+    return D.medians(table(spark, sf, "lineitem"), cols).select(*[F.round(c, 6).alias(c) for c in cols])
 
 
 @register("hist_int", "A21", oracle="""
