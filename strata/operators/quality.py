@@ -201,12 +201,22 @@ def validate_ids(df: DataFrame, id_column: str) -> None:
         raise ValueError(f"Column '{id_column}' contains duplicate identifiers: {list(row.example_ids)}")
 
 
-def type_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Column, Spark type, kind (numeric/categorical) and exact distinct
-    non-null count, from one group-by over the unpivoted values."""
+def type_profile(df: DataFrame, columns: Sequence[str] | None = None, *,
+                 relative_sd: float | None = None) -> DataFrame:
+    """Column, Spark type, kind (numeric/categorical) and distinct non-null
+    count: exact from one group-by over the unpivoted values, or, with
+    ``relative_sd``, HyperLogLog++ estimates from a single aggregate (no
+    shuffle of the values) for very large or wide tables."""
     columns = list(columns or df.columns)
-    distinct = (_melt_text(df, columns).filter(F.col("value").isNotNull()).distinct()
-                .groupBy("column").agg(F.count(F.lit(1)).alias("distinct_count")))
+    if relative_sd is not None:
+        wide = df.agg(*[F.approx_count_distinct(F.col(f"`{c}`"), relative_sd).alias(f"d{i}")
+                        for i, c in enumerate(columns)])
+        distinct = wide.select(F.inline(F.array(*[
+            F.struct(F.lit(c).alias("column"), F.col(f"d{i}").alias("distinct_count"))
+            for i, c in enumerate(columns)])))
+    else:
+        distinct = (_melt_text(df, columns).filter(F.col("value").isNotNull()).distinct()
+                    .groupBy("column").agg(F.count(F.lit(1)).alias("distinct_count")))
     spark = df.sparkSession
     meta = spark.createDataFrame(
         [(c, df.schema[c].dataType.simpleString(),

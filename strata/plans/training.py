@@ -36,6 +36,7 @@ class TrainingConfig:
     num_trees: int = 500
     candidates: Sequence[str] = ("random_forest", "logistic_regression", "majority_class")
     output_dir: str | None = None
+    parallelism: int = 1
 
 
 @dataclass
@@ -75,8 +76,8 @@ def run_training(df: DataFrame, cfg: TrainingConfig) -> TrainingResult:
             params = {"numTrees": cfg.num_trees}
         return lambda: M.configure(name, params or {}, cfg.numeric, cfg.categorical, n_weighted, k)
 
-    comparison = EV.compare_models({n: factory(n) for n in cfg.candidates}, folds, k=cfg.folds)
-    comparison = cut_lineage(comparison)
+    comparison = EV.compare_models({n: factory(n) for n in cfg.candidates}, folds, k=cfg.folds,
+                                   parallelism=cfg.parallelism)
     best_row = comparison.first()
     best = best_row["model"]
     model = factory(best)().fit(train)
@@ -84,7 +85,7 @@ def run_training(df: DataFrame, cfg: TrainingConfig) -> TrainingResult:
     if cfg.tune and best in M.PARAMETER_DISTRIBUTIONS:
         tuning = T.random_search(best, lambda p: M.configure(best, p, cfg.numeric, cfg.categorical, n_weighted, k),
                                  M.PARAMETER_DISTRIBUTIONS[best], folds, k=cfg.folds, n_iter=cfg.tuning_iterations,
-                                 seed=cfg.seed)
+                                 seed=cfg.seed, parallelism=cfg.parallelism)
         if T.keep_tuned(best_row["cv_f1_macro_mean"], tuning):
             model = M.configure(best, tuning.best_params, cfg.numeric, cfg.categorical, n_weighted, k).fit(train)
             variant = "tuned"

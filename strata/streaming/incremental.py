@@ -2,7 +2,9 @@
 
 The batch scorer is applied to each micro-batch of a file-stream source
 (``foreachBatch``); the checkpoint folder tracks processed files, so a
-restarted query resumes where it stopped and each file is scored once.
+restarted query resumes where it stopped. Each micro-batch is written to
+its own ``epoch=<id>`` folder with overwrite, so a retried batch replaces
+its own output instead of appending duplicates (idempotent sink).
 The reference only scores static files; this is the same operator driven
 by a stream source instead of a one-off read.
 """
@@ -43,7 +45,7 @@ def score_stream(
     def write_batch(batch: DataFrame, epoch_id: int) -> None:
         scored = score_batch(model, batch, classes, id_col=id_col, features=features, prepare=prepare,
                              validate=False)
-        scored.write.mode("append").parquet(output_dir)
+        scored.write.mode("overwrite").parquet(f"{output_dir.rstrip('/')}/epoch={epoch_id}")
 
     writer = source.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint_dir)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="30 seconds")

@@ -61,3 +61,11 @@ def test_empty_inputs_do_not_fail(spark):
     assert {r.missing_count for r in Q.missing_profile(empty, only_missing=False).collect()} == {0}
     assert C.share_of_total(empty, "b").collect() == []
     assert D.describe_numeric(empty, ["v"]).first()["count"] == 0
+
+
+def test_type_profile_exact_and_approx(spark):
+    df = spark.range(0, 5000).selectExpr("id", "id % 7 AS m", "CAST(id % 3 AS STRING) AS s")
+    exact = {r.column: r.distinct_count for r in Q.type_profile(df).collect()}
+    assert exact == {"id": 5000, "m": 7, "s": 3}
+    approx = {r.column: r.distinct_count for r in Q.type_profile(df, relative_sd=0.02).collect()}
+    assert approx["m"] == 7 and approx["s"] == 3 and abs(approx["id"] - 5000) < 500
