@@ -167,9 +167,9 @@ def bin_column(
         if right:
             low_ok = (c >= F.lit(lo)) if (include_lowest and i == 0) else (c > F.lit(lo))
             high_ok = c <= F.lit(hi)
-        else:
+        else:  # [a, b): already left-closed, include_lowest has no effect (as in pd.cut)
             low_ok = c >= F.lit(lo)
-            high_ok = (c <= F.lit(hi)) if (include_lowest and i == len(labels) - 1) else (c < F.lit(hi))
+            high_ok = c < F.lit(hi)
         cond = low_ok & high_ok
         expr = F.when(cond, F.lit(label)) if expr is None else expr.when(cond, F.lit(label))
     return expr.otherwise(F.lit(None).cast("string"))
