@@ -15,13 +15,24 @@ from pyspark.sql import functions as F
 _POS_BITS = 33
 
 
+def _has_exchange(df: DataFrame) -> bool:
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return "Exchange" in plan
+
+
 def with_row_number(df: DataFrame, name: str = "row_number") -> DataFrame:
-    """Append ``name``: 1..n in the current partition order.
+    """Append ``name``: 1..n in the current partition order (file order for
+    a scan of one file).
 
-    The plan of ``df`` is evaluated twice (counts, then numbering); a file
-    scan yields identical partitions both times. For non-deterministic
-    inputs cut the lineage first (``strata.session.cut_lineage``).
+    ``df`` is read twice (per-partition counts, then numbering), so its
+    partitions must be reproducible: a file scan with narrow
+    transformations is. If the plan contains a shuffle (whose partitions AQE
+    may coalesce differently per read), the input is first materialized
+    with ``checkpoint()`` in the shared checkpoint folder.
     """
+    if _has_exchange(df):
+        from strata.session import cut_lineage
+        df = cut_lineage(df)
     tagged = df.withColumns({"_pid": F.spark_partition_id(),
                              "_pos": F.monotonically_increasing_id().bitwiseAND(F.lit((1 << _POS_BITS) - 1))})
     counts = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))

@@ -69,3 +69,9 @@ def test_type_profile_exact_and_approx(spark):
     assert exact == {"id": 5000, "m": 7, "s": 3}
     approx = {r.column: r.distinct_count for r in Q.type_profile(df, relative_sd=0.02).collect()}
     assert approx["m"] == 7 and approx["s"] == 3 and abs(approx["id"] - 5000) < 500
+
+
+def test_row_numbers_after_shuffle(spark):
+    df = spark.range(0, 500, numPartitions=4).groupBy((F.col("id") % 50).alias("k")).count()
+    rows = with_row_number(df, "rn").collect()
+    assert sorted(r.rn for r in rows) == list(range(1, 51))
