@@ -11,12 +11,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
 from strata.functions.exprs import ColumnOrName, _col, bin_column, pct
-from strata.operators.cohort import _keys, _totals_join
+from strata.operators.cohort import _totals_join
 from strata.operators.quantiles import quantiles_long, quantiles_wide
 
 PERCENTILES = (0.25, 0.5, 0.75)

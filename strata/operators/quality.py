@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType, StringType
 
-from strata.functions.exprs import _col, count_when, is_blank, pct
+from strata.functions.exprs import count_when, is_blank, pct
 
 
 # ---------------------------------------------------------------------------

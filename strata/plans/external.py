@@ -9,7 +9,6 @@ import os
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from strata.operators import harmonize as H
 from strata.operators import overlap as O

@@ -9,14 +9,13 @@ from __future__ import annotations
 
 from pyspark.ml import Pipeline
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from strata.functions.exprs import CLASS_DISPLAY_NAMES
 from strata.operators import evaluate as EV
 from strata.operators import score as SC
 from strata.operators import split as SP
-from strata.operators.mlprep import MedianImputer, ModeImputer, PopulationScaler
+from strata.operators.mlprep import MedianImputer, PopulationScaler
 from strata.operators.models import MajorityClassifier
 from strata.operators.mlprep import preprocessing_stages
 from strata.plans.registry import register, table

@@ -12,7 +12,6 @@ from dataclasses import dataclass, field
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from strata.operators import evaluate as EV
 from strata.operators import models as M

@@ -1,8 +1,6 @@
 import json
-import os
 
 import pytest
-from pyspark.sql import functions as F
 
 from strata.sources import catalog as CAT
 from strata.sources import io as IO
