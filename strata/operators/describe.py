@@ -255,8 +255,8 @@ def hist_width(
     (count / (group count * width)). min/max are scalar subqueries."""
     v = _col(column).cast("double")
     src = df.select(*([F.col(by)] if by else []), v.alias("v")).filter(F.col("v").isNotNull())
-    bounds = src.agg(F.min("v").alias("lo"), F.max("v").alias("hi"))
-    lo, hi = bounds.select("lo").scalar(), bounds.select("hi").scalar()
+    bounds = src.agg(F.struct(F.min("v").alias("lo"), F.max("v").alias("hi"))).scalar()  # one subquery
+    lo, hi = bounds.getField("lo"), bounds.getField("hi")
     width = F.when(hi > lo, (hi - lo) / F.lit(bins)).otherwise(F.lit(1.0))
     idx = F.when(hi > lo, F.least(F.floor((F.col("v") - lo) / width), F.lit(bins - 1))).otherwise(F.lit(0))
     keys = ([F.col(by)] if by else []) + [idx.cast("int").alias("bin")]
