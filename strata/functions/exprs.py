@@ -67,10 +67,14 @@ def ustrip(c: ColumnOrName) -> Column:
     return F.regexp_replace(_col(c), f"^{WS}+|{WS}+$", "")
 
 
+NON_WS = r"(?U)[^\s\x{1C}-\x{1F}]"
+
+
 def is_blank(c: ColumnOrName) -> Column:
-    """True when null or only whitespace (Python ``not s.strip()``)."""
+    """True when null or only whitespace (Python ``not s.strip()``); the
+    search stops at the first non-whitespace character."""
     c = _col(c)
-    return c.isNull() | (ustrip(c) == "")
+    return c.isNull() | ~c.rlike(NON_WS)
 
 
 def sql_blank(c: ColumnOrName) -> Column:
@@ -267,7 +271,8 @@ def extract_surname(name: ColumnOrName, unknown: str = "Unknown") -> Column:
 def first_letter(c: ColumnOrName, unknown: str = "Unknown") -> Column:
     """Upper-cased first character when alphabetic, else ``unknown``."""
     c = _col(c)
-    first = F.upper(F.substring(ustrip(c), 1, 1))
+    # first non-whitespace character, found without stripping the whole text
+    first = F.upper(F.regexp_extract(c, f"^{WS}*({NON_WS})", 1))
     return F.when(is_blank(c), F.lit(unknown)).when(first.rlike(r"^\p{L}+$"), first).otherwise(F.lit(unknown))
 
 
