@@ -33,6 +33,24 @@ EXPECTED_VALUES = {"Pclass": (1, 2, 3), "Survived": (0, 1), "Sex": ("female", "m
 FAMILY_GROUP_ORDER = ("Alone", "Small", "Medium", "Large")
 
 
+def range_rules() -> dict:
+    """The invalid-value rules of the quality report."""
+    return {
+        "negative_age_rows": F.col("Age") < 0,
+        "age_above_100_rows": F.col("Age") > 100,
+        "negative_fare_rows": F.col("Fare") < 0,
+        "negative_sibsp_rows": F.col("SibSp") < 0,
+        "negative_parch_rows": F.col("Parch") < 0,
+    }
+
+
+def quality_report(df: DataFrame) -> DataFrame:
+    """Data-quality report of a (standardized) passenger table: shape,
+    missing values, duplicates, types, unexpected categories and the
+    invalid-value counts above."""
+    return Q.quality_report(df, id_column=ID, expected=EXPECTED_VALUES, ranges=range_rules())
+
+
 def add_passenger_features(df: DataFrame) -> DataFrame:
     """The 11 derived columns (one ``withColumns``; input untouched)."""
     Q.require_columns(df, FEATURE_REQUIRED, "feature input")

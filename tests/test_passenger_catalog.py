@@ -81,3 +81,13 @@ def test_embarkation_mix_excludes_null_port(spark, catalog_run):
     assert all(r.embarkation_port is not None for r in rows)
     for port in {r.embarkation_port for r in rows}:
         assert abs(sum(r.percentage_within_port for r in rows if r.embarkation_port == port) - 100) <= 0.02
+
+
+def test_quality_report_rules(spark):
+    raw = spark.createDataFrame(ROWS + [(13, 1, 4, "Odd, Mr. X", "unknown", -1.0, 0, 0, "X 1", -5.0, None, "Z")],
+                                SCHEMA)
+    report = {(r.section, r.column, r.metric): r.value for r in P.quality_report(raw).collect()}
+    assert report[("ranges", "*", "negative_age_rows")] == "1"
+    assert report[("ranges", "*", "negative_fare_rows")] == "1"
+    assert ("unexpected", "Pclass", "value") in report and ("unexpected", "Embarked", "value") in report
+    assert report[("missing", "Age", "missing_count")] == "1"
