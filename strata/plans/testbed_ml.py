@@ -266,3 +266,15 @@ def q_context_join(spark, sf):
     scored = scored.select("doc_id", SC.PREDICTION, SC.CONFIDENCE)
     docs = table(spark, sf, "documents")
     return add_context_columns(scored, docs, "doc_id", ["lang", "source"], preferred=["lang"])
+
+
+@register("lowest_confidence", "O06 G08 P19", oracle=_SOFTMAX_SQL + """
+SELECT doc_id, pred AS PredictedClass, ROUND(conf, 6) AS PredictionConfidence,
+       CASE WHEN ROUND(conf, 6) >= 0.8 THEN 'High model confidence' WHEN ROUND(conf, 6) >= 0.6
+            THEN 'Moderate model confidence' ELSE 'Low model confidence' END AS ConfidenceBand
+FROM s ORDER BY ROUND(conf, 6), doc_id LIMIT 10""")
+def q_lowest_confidence(spark, sf):
+    from strata.operators.cohort import top_k
+    scored = SC.with_score_columns(_softmax_probs(spark, sf), F.col("probs"), [1, 2, 3], decimals=6)
+    scored = SC.with_confidence_band(scored).select("doc_id", SC.PREDICTION, SC.CONFIDENCE, "ConfidenceBand")
+    return top_k(scored, [F.col(SC.CONFIDENCE).asc(), F.col("doc_id")], 10)
