@@ -47,3 +47,11 @@ def test_csv_and_table_io(spark, tmp_path):
     assert ("people", "view") in [(r.name, r.type) for r in IO.list_objects(spark).collect()]
     assert IO.execute_script(spark, "-- views\nCREATE OR REPLACE TEMP VIEW v1 AS SELECT 1 AS a;\n"
                                     "CREATE OR REPLACE TEMP VIEW v2 AS SELECT 2 AS b;") == 2
+
+
+def test_invalid_sql_raises(spark):
+    from pyspark.errors import AnalysisException, ParseException
+    with pytest.raises((AnalysisException, ParseException)):
+        IO.query(spark, "SELEC nothing FROM nowhere").collect()
+    with pytest.raises(AnalysisException):
+        IO.query(spark, "SELECT missing_column FROM range(3)").collect()

@@ -89,3 +89,20 @@ def test_normalize_report_layouts(spark):
     out = EV.normalize_classification_report(other)
     assert out.columns == list(EV.REPORT_COLUMNS)
     assert out.first()["f1-score"] == 0.44 and out.first().support == 10
+
+
+def test_split_is_reproducible(spark):
+    df = labelled(spark)
+    a = {r.id: r.is_test for r in SP.stratified_split(df, "label", "id", seed=42).collect()}
+    b = {r.id: r.is_test for r in SP.stratified_split(df.repartition(3), "label", "id", seed=42).collect()}
+    c = {r.id: r.is_test for r in SP.stratified_split(df, "label", "id", seed=7).collect()}
+    assert a == b and a != c
+
+
+def test_tuned_variant_needs_strict_improvement(spark):
+    from strata.operators.tune import TuningResult, keep_tuned, sample_parameters
+    res = TuningResult("m", {}, 0.80, None)
+    assert not keep_tuned(0.80, res) and keep_tuned(0.79, res)
+    space = {"a": [1, 2, 3], "b": ["x", "y"]}
+    assert sample_parameters(space, 4, seed=1) == sample_parameters(space, 4, seed=1)
+    assert len({str(p) for p in sample_parameters(space, 10, seed=1)}) == 6
