@@ -57,7 +57,10 @@ def match_id_lists(keys: DataFrame, key: str, max_ids_per_key: int) -> DataFrame
 
 
 def _spread_empty(key: Column, row_id: Column) -> Column:
-    return F.when(key == "", F.concat(F.lit("\u0000"), row_id.cast("string"))).otherwise(key)
+    """'' -> a value no key can take, unique per row (the row id, or a
+    generated per-row number when the id is null)."""
+    unique = F.coalesce(row_id.cast("string"), F.concat(F.lit("#"), F.monotonically_increasing_id().cast("string")))
+    return F.when(key == "", F.concat(F.lit("\u0000"), unique)).otherwise(key)
 
 
 def audit_overlap(
@@ -124,7 +127,7 @@ def nonoverlap(audit: DataFrame, rule: str = "either", extra_audit_columns: Sequ
 
 
 def overlap_summary(audit: DataFrame, training_rows: Column | int, rule: str = "either",
-                    class_col: str = "Pclass", decimals: int = 2) -> DataFrame:
+                    decimals: int = 2) -> DataFrame:
     """One row: external/training rows, name/ticket/both/either matches,
     rows kept under ``rule`` and their percentage; one aggregate."""
     keep = ~overlap_mask(rule)
