@@ -74,7 +74,7 @@ def class_counts(df: DataFrame, label: str) -> dict:
     return {r[0]: r[1] for r in df.groupBy(label).count().collect()}
 
 
-def test_quotas(counts: dict, test_fraction: float) -> dict:
+def holdout_quotas(counts: dict, test_fraction: float) -> dict:
     """Test rows per class: ``ceil(fraction * n)`` in total, shared in
     proportion to class size, leftover rows to the largest remainders
     (ties -> smaller class label)."""
@@ -105,7 +105,7 @@ def stratified_split(
     """Add a boolean ``split_col``: exact per-class test quotas, rows picked
     by seeded hash order (deterministic, independent of partitioning)."""
     counts = class_counts(df, label)
-    quotas = test_quotas(counts, test_fraction)
+    quotas = holdout_quotas(counts, test_fraction)
     ranked = rank_within(df, label, [seeded_hash(seed, id_col), F.col(id_col)], "_rank", rows=sum(counts.values()))
     return ranked.withColumn(split_col, F.col("_rank") < _lookup(quotas, F.col(label))).drop("_rank")
 

@@ -28,7 +28,7 @@ def test_rank_within_matches_brute_force(spark):
 def test_split_quotas_and_folds(spark):
     df = labelled(spark)
     counts = SP.class_counts(df, "label")
-    quotas = SP.test_quotas(counts, 0.2)
+    quotas = SP.holdout_quotas(counts, 0.2)
     assert sum(quotas.values()) == math.ceil(0.2 * 300)
     s = SP.stratified_split(df, "label", "id")
     got = {r.label: r.n for r in s.filter("is_test").groupBy("label").agg(F.count("*").alias("n")).collect()}
