@@ -51,8 +51,7 @@ def predict_job(spark: SparkSession, input_csv: str, model_dir: str, output_dir:
     """Score a raw passenger CSV: prepare once (row count and ids checked),
     predict with probability/confidence columns, attach context, evaluate
     against ``Pclass`` when present, write the artifacts."""
-    meta = json.loads(spark.sparkContext.wholeTextFiles(os.path.join(model_dir, "model_metadata.json"))
-                      .values().first())
+    meta = json.loads(spark.read.text(os.path.join(model_dir, "model_metadata.json"), wholetext=True).first()[0])
     classes = meta["classes"]
     model = load_model(os.path.join(model_dir, "model"))
     raw = read_raw(spark, input_csv)
