@@ -46,27 +46,37 @@ def _integer_checks(column: str) -> tuple[Column, Column, Column]:
     return as_double, bad_parse, fractional
 
 
+def check_rules(df: DataFrame, rules: Sequence[tuple[str, Column, Column]], max_examples: int = 10) -> None:
+    """Raise on the first violated rule ``(message, violation, shown)``.
+
+    All rules are counted in one aggregate; only for a violated rule are up
+    to ``max_examples`` distinct offending ``shown`` values fetched
+    (``limit``)."""
+    if not rules:
+        return
+    counts = df.agg(*[F.sum(cond.cast("int")).alias(f"r{i}") for i, (_, cond, _) in enumerate(rules)]).first()
+    for i, (message, cond, shown) in enumerate(rules):
+        if counts[f"r{i}"]:
+            offenders = df.filter(cond).select(shown.cast("string").alias("v")).distinct()
+            examples = sorted(str(r.v) for r in offenders.limit(max_examples).collect())
+            raise ValueError(f"{message}: {examples}")
+
+
+def integer_rules(columns: Sequence[str]) -> list[tuple[str, Column, Column]]:
+    """Violation rules of strict integer coercion for ``columns``."""
+    rules = []
+    for c in columns:
+        _, bad, frac = _integer_checks(c)
+        rules += [(f"Column '{c}' contains values that cannot be converted to integers", bad, F.col(f"`{c}`")),
+                  (f"Column '{c}' contains non-integer values", frac, F.col(f"`{c}`"))]
+    return rules
+
+
 def strict_integers(df: DataFrame, columns: Sequence[str], max_examples: int = 10) -> dict[str, Column]:
-    """Integer coercions that fail on unparsable or fractional values.
-
-    One aggregate counts the violations of every column; only when one is
-    found are up to ``max_examples`` distinct offenders fetched (``limit``).
-    Returns column -> coerced Column."""
-    checks = {c: _integer_checks(c) for c in columns}
-    if not checks:
-        return {}
-    aggs = []
-    for i, (c, (_, bad, frac)) in enumerate(checks.items()):
-        aggs += [F.sum(bad.cast("int")).alias(f"b{i}"), F.sum(frac.cast("int")).alias(f"f{i}")]
-    counts = df.agg(*aggs).first()
-    for i, (c, (_, bad, frac)) in enumerate(checks.items()):
-        for key, cond, what in ((f"b{i}", bad, "values that cannot be converted to integers"),
-                                (f"f{i}", frac, "non-integer values")):
-            if counts[key]:
-                offenders = df.filter(cond).select(F.col(f"`{c}`").cast("string").alias("v")).distinct()
-                examples = sorted(r.v for r in offenders.limit(max_examples).collect())
-                raise ValueError(f"Column '{c}' contains {what}: {examples}")
-    return {c: as_double.cast("long") for c, (as_double, _, _) in checks.items()}
+    """Integer coercions that fail on unparsable or fractional values (one
+    aggregate for all columns). Returns column -> coerced Column."""
+    check_rules(df, integer_rules(columns), max_examples)
+    return {c: _integer_checks(c)[0].cast("long") for c in columns}
 
 
 def strict_integer(df: DataFrame, column: str, max_examples: int = 10) -> Column:

@@ -72,3 +72,11 @@ def test_external_job_writes_artifacts(spark, tmp_path):
     assert (tmp_path / "external_overlap_summary.json").exists()
     with pytest.raises(ValueError):
         prepare_external(ext, train, rule="fuzzy")
+
+
+def test_harmonize_domain_and_integer_rules(spark):
+    ext, _ = frames(spark)
+    with pytest.raises(ValueError, match="gender"):
+        H.harmonize_external(ext.withColumn("gender", F.lit("unknown")))
+    with pytest.raises(ValueError, match="non-integer"):
+        H.harmonize_external(ext.withColumn("sibsp", F.lit(1.5)))
