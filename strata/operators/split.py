@@ -101,9 +101,17 @@ def stratified_split(
     test_fraction: float = 0.2,
     seed: int = 42,
     split_col: str = "is_test",
+    exact: bool = True,
 ) -> DataFrame:
     """Add a boolean ``split_col``: exact per-class test quotas, rows picked
-    by seeded hash order (deterministic, independent of partitioning)."""
+    by seeded hash order (deterministic, independent of partitioning).
+
+    ``exact=False`` skips the counting and the sort: each row is a test row
+    when its seeded hash falls below ``test_fraction`` (one narrow pass, no
+    shuffle; per-class shares hold in expectation, not exactly)."""
+    if not exact:
+        u = F.pmod(seeded_hash(seed, id_col), F.lit(1_000_000)) / 1_000_000.0
+        return df.withColumn(split_col, u < F.lit(test_fraction))
     counts = class_counts(df, label)
     quotas = holdout_quotas(counts, test_fraction)
     ranked = rank_within(df, label, [seeded_hash(seed, id_col), F.col(id_col)], "_rank", rows=sum(counts.values()))
@@ -117,9 +125,14 @@ def stratified_folds(
     k: int = 5,
     seed: int = 42,
     fold_col: str = "fold",
+    exact: bool = True,
 ) -> DataFrame:
     """Add ``fold_col`` in 0..k-1: each class is cut into k blocks of sizes
-    differing by at most one (larger blocks first), by seeded hash order."""
+    differing by at most one (larger blocks first), by seeded hash order.
+    ``exact=False`` uses ``pmod(hash, k)`` instead (no shuffle; balanced in
+    expectation)."""
+    if not exact:
+        return df.withColumn(fold_col, F.pmod(seeded_hash(seed + 1, id_col), F.lit(k)).cast("int"))
     counts = class_counts(df, label)
     if min(counts.values()) < k:
         raise ValueError(f"every class needs at least {k} rows for {k}-fold CV: {counts}")

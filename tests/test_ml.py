@@ -106,3 +106,14 @@ def test_tuned_variant_needs_strict_improvement(spark):
     space = {"a": [1, 2, 3], "b": ["x", "y"]}
     assert sample_parameters(space, 4, seed=1) == sample_parameters(space, 4, seed=1)
     assert len({str(p) for p in sample_parameters(space, 10, seed=1)}) == 6
+
+
+def test_approximate_split_and_folds(spark):
+    df = spark.range(0, 20000).selectExpr("id", "id % 3 AS label")
+    s = SP.stratified_split(df, "label", "id", 0.2, exact=False)
+    share = s.filter("is_test").count() / 20000
+    assert abs(share - 0.2) < 0.02
+    f = SP.stratified_folds(df, "label", "id", 5, exact=False)
+    sizes = [r["count"] for r in f.groupBy("fold").count().collect()]
+    assert len(sizes) == 5 and max(sizes) - min(sizes) < 400
+    assert "Exchange" not in f._jdf.queryExecution().executedPlan().toString()
