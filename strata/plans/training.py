@@ -36,6 +36,7 @@ class TrainingConfig:
     candidates: Sequence[str] = ("random_forest", "logistic_regression", "majority_class")
     output_dir: str | None = None
     parallelism: int = 1
+    exact_split: bool = True  # False: shuffle-free hash split/folds (shares hold in expectation)
 
 
 @dataclass
@@ -61,13 +62,14 @@ def run_training(df: DataFrame, cfg: TrainingConfig) -> TrainingResult:
     classes = M.sorted_classes(df, cfg.label)
     k = len(classes)
     data = prepare_labels(df.select(cfg.id_col, cfg.label, *cfg.numeric, *cfg.categorical), cfg.label, classes)
-    split = SP.stratified_split(data, cfg.label, cfg.id_col, cfg.test_fraction, cfg.seed)
+    split = SP.stratified_split(data, cfg.label, cfg.id_col, cfg.test_fraction, cfg.seed, exact=cfg.exact_split)
     train_counts = SP.class_counts(split.filter("NOT is_test"), cfg.label)
     train = SP.with_class_weights(split.filter("NOT is_test"), cfg.label, counts=train_counts).drop("is_test")
     test = split.filter("is_test").drop("is_test")
     # the fold table is reused by every CV fit: materialize it once in the
     # shared checkpoint folder (survives executor loss, short lineage)
-    folds = cut_lineage(SP.stratified_folds(train, cfg.label, cfg.id_col, cfg.folds, cfg.seed))
+    folds = cut_lineage(SP.stratified_folds(train, cfg.label, cfg.id_col, cfg.folds, cfg.seed,
+                                            exact=cfg.exact_split))
     n_weighted = float(sum(train_counts.values()))
 
     def factory(name, params=None):
