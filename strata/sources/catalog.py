@@ -86,19 +86,29 @@ def run_analyses(
     output_dir: str,
     requested: Sequence[str] | None = None,
     required_tables: Sequence[str] = (),
+    parallelism: int = 1,
 ) -> list[AnalysisResult]:
-    """Run the selected queries in catalog order; a failure is re-raised
-    naming the query. Required tables must exist first."""
+    """Run the selected queries; results come back in catalog order and a
+    failure is re-raised naming the query. Required tables must exist
+    first. ``parallelism`` > 1 submits queries from that many driver threads
+    so Spark runs their jobs concurrently (use the FAIR scheduler to share
+    executors between them)."""
     missing = [t for t in required_tables if not spark.catalog.tableExists(t)]
     if missing:
         raise ValueError(f"required tables missing: {missing}")
-    results = []
-    for q in select_queries(queries, requested):
+    selected = select_queries(queries, requested)
+
+    def run(q: NamedQuery) -> AnalysisResult:
         try:
-            results.append(export_query(spark, q, output_dir))
+            return export_query(spark, q, output_dir)
         except Exception as exc:  # noqa: BLE001
             raise RuntimeError(f"query {q.name!r} failed: {exc}") from exc
-    return results
+
+    if parallelism <= 1:
+        return [run(q) for q in selected]
+    from concurrent.futures import ThreadPoolExecutor
+    with ThreadPoolExecutor(max_workers=parallelism) as pool:
+        return list(pool.map(run, selected))
 
 
 def manifest(results: Sequence[AnalysisResult], output_dir: str, source: str = "") -> dict:

@@ -55,3 +55,13 @@ def test_invalid_sql_raises(spark):
         IO.query(spark, "SELEC nothing FROM nowhere").collect()
     with pytest.raises(AnalysisException):
         IO.query(spark, "SELECT missing_column FROM range(3)").collect()
+
+
+def test_parallel_catalog_keeps_order(spark, tmp_path):
+    spark.range(100).createOrReplaceTempView("nums2")
+    qs = [CAT.sql_query(f"q{i}", f"SELECT id FROM nums2 WHERE id % {i + 2} = 0") for i in range(6)]
+    results = CAT.run_analyses(spark, qs, str(tmp_path), parallelism=3)
+    assert [r.name for r in results] == [f"q{i}" for i in range(6)]
+    assert [r.rows for r in results] == [len(range(0, 100, i + 2)) for i in range(6)]
+    with pytest.raises(RuntimeError, match="bad"):
+        CAT.run_analyses(spark, qs + [CAT.sql_query("bad", "SELECT nope FROM nums2")], str(tmp_path), parallelism=3)
