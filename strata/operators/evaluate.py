@@ -221,6 +221,19 @@ def compare_models(candidates: dict[str, Callable[[], Pipeline]], folds: DataFra
                       F.col("cv_accuracy_mean").desc(), "model")
 
 
+COMPARISON_COLUMNS = ("model", "cv_f1_macro_mean", "cv_f1_macro_std", "cv_balanced_accuracy_mean",
+                      "cv_balanced_accuracy_std", "cv_accuracy_mean", "cv_accuracy_std", "fit_time_mean",
+                      "score_time_mean")
+
+
+def format_comparison(comparison: DataFrame, decimals: int = 4) -> DataFrame:
+    """Comparison table for reporting: fixed column order, rounded values,
+    best model first."""
+    cols = [F.col("model")] + [F.round(c, decimals).alias(c) for c in COMPARISON_COLUMNS[1:] if c in comparison.columns]
+    return comparison.select(*cols).orderBy(F.col("cv_f1_macro_mean").desc(), F.col("cv_balanced_accuracy_mean").desc(),
+                                            F.col("cv_accuracy_mean").desc(), "model")
+
+
 def select_best(comparison: DataFrame) -> str:
     return comparison.first()["model"]
 

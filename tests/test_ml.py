@@ -117,3 +117,12 @@ def test_approximate_split_and_folds(spark):
     sizes = [r["count"] for r in f.groupBy("fold").count().collect()]
     assert len(sizes) == 5 and max(sizes) - min(sizes) < 400
     assert "Exchange" not in f._jdf.queryExecution().executedPlan().toString()
+
+
+def test_format_comparison(spark):
+    cols = list(EV.COMPARISON_COLUMNS)
+    rows = [("a", 0.5, 0.01, 0.5, 0.01, 0.6, 0.02, 1.23456, 0.1), ("b", 0.7, 0.01, 0.6, 0.01, 0.7, 0.02, 2.0, 0.2)]
+    df = spark.createDataFrame(rows, cols)
+    out = EV.format_comparison(df, 2).collect()
+    assert [r.model for r in out] == ["b", "a"] and out[1].fit_time_mean == 1.23
+    assert EV.select_best(EV.format_comparison(df)) == "b"
