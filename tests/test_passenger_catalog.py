@@ -91,3 +91,14 @@ def test_quality_report_rules(spark):
     assert report[("ranges", "*", "negative_fare_rows")] == "1"
     assert ("unexpected", "Pclass", "value") in report and ("unexpected", "Embarked", "value") in report
     assert report[("missing", "Age", "missing_count")] == "1"
+
+
+def test_sql_views_match_dataframe_views(spark, catalog_run):
+    from strata.sources import io as IO
+    passengers, _, _ = catalog_run
+    built = {name: sorted(map(tuple, fn(passengers).collect()), key=str) for name, fn in P.VIEWS.items()}
+    assert IO.execute_script(spark, P.VIEWS_SQL) == 4
+    for name in P.VIEWS:
+        cols = P.VIEWS[name](passengers).columns
+        via_sql = sorted(map(tuple, spark.table(name).select(*cols).collect()), key=str)
+        assert via_sql == built[name], name
