@@ -59,8 +59,9 @@ def predict_job(spark: SparkSession, input_csv: str, model_dir: str, output_dir:
     prepared = prepare_for_scoring(raw, lambda d: P.prepare_passenger_data(d, required=P.SCORING_REQUIRED), P.ID,
                                    features)
     labelled = P.TARGET in prepared.columns
+    # ids were verified (non-null, unique) by prepare_for_scoring
     scored = score_batch(model, prepared, classes, id_col=P.ID, features=features,
-                         label=P.TARGET if labelled else None)
+                         label=P.TARGET if labelled else None, check_ids=False)
     scored = add_context_columns(scored, prepared, P.ID, CONTEXT, preferred=CONTEXT)
     metrics = report = None
     if labelled:

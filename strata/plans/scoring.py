@@ -27,12 +27,15 @@ def score_batch(
     context: Sequence[str] = (),
     prepare: Callable[[DataFrame], DataFrame] | None = None,
     validate: bool = True,
+    check_ids: bool | None = None,
 ) -> DataFrame:
     """Scored rows: id, context columns, PredictedClass, one probability
     column per class, confidence, second-highest, margin, low-confidence
-    flag, and PredictionCorrect when ``label`` is present."""
+    flag, and PredictionCorrect when ``label`` is present. ``validate``
+    checks ids (null/duplicate) and probabilities; ``check_ids=False``
+    skips the id check when the caller already verified them."""
     Q.require_columns(df, [id_col, *features], "scoring input")
-    if validate:
+    if validate if check_ids is None else check_ids:
         Q.validate_ids(df, id_col)
     prepared = prepare(df) if prepare else df
     pred = model.transform(prepared)
@@ -64,9 +67,12 @@ def prepare_for_scoring(raw: DataFrame, prepare: Callable[[DataFrame], DataFrame
     prepared = prepare(raw)
     Q.require_columns(prepared, features, "prepared scoring data")
     before = raw.agg(F.count(F.lit(1)).alias("n")).first().n
-    after = prepared.agg(F.count(F.lit(1)).alias("n"), F.count_distinct(id_col).alias("ids")).first()
+    after = prepared.agg(F.count(F.lit(1)).alias("n"), F.count_distinct(id_col).alias("ids"),
+                         F.sum(F.col(id_col).isNull().cast("int")).alias("null_ids")).first()
     if after.n != before:
         raise ValueError(f"preparation changed the row count ({before} -> {after.n})")
+    if after.null_ids:
+        raise ValueError(f"{after.null_ids} rows have no identifier")
     if after.ids != after.n:
         raise ValueError("identifiers are not unique after preparation")
     return prepared
