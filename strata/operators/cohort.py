@@ -278,3 +278,31 @@ def profile_join(
     """
     extra = base.groupBy(_col(base_key).alias(key)).agg(*_named(aggs))
     return profile.join(extra, on=key, how="inner")
+
+
+def averages_through_join(
+    fact: DataFrame,
+    fact_key: str,
+    dim: DataFrame,
+    dim_key: str,
+    group: str,
+    averages: Mapping[str, tuple[Column, float, int]],
+    *,
+    group_name: str | None = None,
+) -> DataFrame:
+    """Per ``dim`` group, ``round(scale * avg(expr), decimals)`` over the
+    fact rows that join to the dimension (inner join semantics).
+
+    Averages decompose into sums and counts, so the facts are first
+    aggregated per join key (partial + final aggregate) and only one row
+    per key meets the dimension: a key holding a third of the facts costs
+    one row in the join, and the join input shrinks from facts to keys."""
+    group_name = group_name or group
+    parts = []
+    for i, (_, (expr, _, _)) in enumerate(averages.items()):
+        parts += [F.sum(expr).alias(f"_s{i}"), F.count(expr).alias(f"_n{i}")]
+    per_key = fact.groupBy(F.col(fact_key).alias("_k")).agg(*parts)
+    joined = per_key.join(dim.select(F.col(dim_key).alias("_k"), F.col(group).alias(group_name)), "_k")
+    return joined.groupBy(group_name).agg(*[
+        F.round(F.lit(float(scale)) * F.try_divide(F.sum(f"_s{i}"), F.sum(f"_n{i}")), decimals).alias(name)
+        for i, (name, (_, scale, decimals)) in enumerate(averages.items())])

@@ -118,11 +118,12 @@ def q_profile_join(spark, sf):
     orders = table(spark, sf, "orders")
     profile = C.group_profile(cust, F.col("c_mktsegment").alias("segment"),
                               {"average_balance": X.rounded_avg("c_acctbal")}, count_name="customer_count")
-    base = orders.join(cust.select("c_custkey", "c_mktsegment"), orders.o_custkey == cust.c_custkey)
-    return C.profile_join(profile, base, "segment", "c_mktsegment", {
-        "percent_finished": X.rate_pct(X.equals_flag("o_orderstatus", "F")),
-        "average_order_price": X.rounded_avg("o_totalprice"),
-    })
+    # order facts pre-aggregated per customer before meeting the customer table
+    extra = C.averages_through_join(orders, "o_custkey", cust, "c_custkey", "c_mktsegment", {
+        "percent_finished": (X.equals_flag("o_orderstatus", "F").cast("double"), 100.0, 2),
+        "average_order_price": (F.col("o_totalprice"), 1.0, 2),
+    }, group_name="segment")
+    return profile.join(extra, "segment")
 
 
 @register("outcome_rate", "Q04 A10 J02", oracle="""

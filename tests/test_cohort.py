@@ -44,3 +44,17 @@ def test_missing_by_group_and_banded(spark):
     assert sum(r.fare_count for r in m) == 12
     b = C.banded_profile(data(spark), "cls", "fare", [("low", None, 20), ("high", 20, None)]).collect()
     assert sum(r.low + r.high + r.value_missing_count for r in b) == 60
+
+
+def test_averages_through_join_equals_join_then_aggregate(spark):
+    facts = spark.createDataFrame([(k % 7, float(k), k % 3) for k in range(200)] + [(99, 5.0, 1)],
+                                  "k long, v double, f int")
+    dim = spark.createDataFrame([(k, "g" + str(k % 2)) for k in range(6)], "k long, g string")
+    got = {r.g: (r.avg_v, r.rate) for r in C.averages_through_join(
+        facts, "k", dim, "k", "g", {"avg_v": (F.col("v"), 1.0, 6), "rate": ((F.col("f") == 1).cast("double"), 100.0, 6)})
+        .collect()}
+    joined = facts.join(dim, "k")
+    want = {r.g: (r.avg_v, r.rate) for r in joined.groupBy("g").agg(
+        F.round(F.avg("v"), 6).alias("avg_v"), F.round(100.0 * F.avg((F.col("f") == 1).cast("double")), 6).alias("rate"))
+        .collect()}
+    assert got == want
