@@ -34,6 +34,8 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
     names = sys.argv[1:] or HEADLINE
+    if os.environ.get("BENCH_ALL") == "1":  # every registered query that does not fit models
+        names = [n for n, r in REGISTRY.items() if r.oracle]
     spark = get_spark("strata-bench", master=f"local[{cpus}]", shuffle_partitions=int(cpus) * 2,
                       extra_conf={"spark.driver.memory": "16g"})
     # start executors, Python workers and codegen once, outside the timings

@@ -20,5 +20,11 @@ def test_incremental_scoring(spark, tmp_path):
     q.awaitTermination(120)
     out = spark.read.parquet(str(tmp_path / "scored"))
     assert out.count() == data.count()
+    # a restart on the same checkpoint finds no new files: nothing is scored twice
+    q2 = score_stream(spark, model, classes, source_dir=src, schema=data.drop("label").schema,
+                      output_dir=str(tmp_path / "scored"), checkpoint_dir=str(tmp_path / "ckpt"),
+                      id_col="vec_id", features=[*NUMERIC, *CATEGORICAL])
+    q2.awaitTermination(120)
+    assert spark.read.parquet(str(tmp_path / "scored")).count() == data.count()
     assert out.filter(F.abs(F.col("PredictionConfidence") - F.greatest(
         *[F.col(f"ProbabilityClass{c}") for c in classes])) > 1e-12).count() == 0
