@@ -17,7 +17,7 @@ from pyspark.sql.types import NumericType
 
 from strata.functions.exprs import ColumnOrName, _col, bin_column, pct
 from strata.operators.cohort import _totals_join
-from strata.operators.quantiles import quantiles_long, quantiles_wide
+from strata.operators.quantiles import exact_aggregate_ok, quantiles_long, quantiles_wide
 
 PERCENTILES = (0.25, 0.5, 0.75)
 
@@ -154,18 +154,26 @@ def describe_numeric(
 
     One aggregate computes the moments of every column (``inline`` makes
     the wide row long); the percentiles of all columns share one sort."""
+    pnames = [_pname(p) for p in percentiles]
+    # percentiles join the moments in one aggregate when that is bounded
+    one_pass = bool(accuracy) or exact_aggregate_ok(df, columns)
     aggs = []
     for i, c in enumerate(columns):
         v = F.col(f"`{c}`").cast("double")
+        v = F.when(~F.isnan(v), v)
         aggs += [F.count(v).alias(f"n{i}"), F.avg(v).alias(f"m{i}"), F.stddev_samp(v).alias(f"s{i}"),
                  F.min(v).alias(f"lo{i}"), F.max(v).alias(f"hi{i}")]
+        if one_pass:
+            q = (F.percentile_approx(v, list(percentiles), accuracy) if accuracy
+                 else F.percentile(v, F.array(*[F.lit(float(p)) for p in percentiles])))
+            aggs.append(q.alias(f"q{i}"))
     rows = [F.struct(F.lit(c).alias("column"), F.col(f"n{i}").alias("count"), F.col(f"m{i}").alias("mean"),
-                     F.col(f"s{i}").alias("std"), F.col(f"lo{i}").alias("min"), F.col(f"hi{i}").alias("max"))
+                     F.col(f"s{i}").alias("std"), F.col(f"lo{i}").alias("min"), F.col(f"hi{i}").alias("max"),
+                     *([F.col(f"q{i}")[j].alias(n) for j, n in enumerate(pnames)] if one_pass else []))
             for i, c in enumerate(columns)]
-    stats = df.agg(*aggs).select(F.inline(F.array(*rows)))
-    pnames = [_pname(p) for p in percentiles]
-    q = quantiles_wide(df, columns, percentiles, pnames, accuracy=accuracy)
-    out = stats.join(q, "column", "left")
+    out = df.agg(*aggs).select(F.inline(F.array(*rows)))
+    if not one_pass:
+        out = out.join(quantiles_wide(df, columns, percentiles, pnames), "column", "left")
     rd = lambda c: F.round(F.col(c), decimals).alias(c)
     return out.select("column", "count", rd("mean"), rd("std"), rd("min"), *[rd(n) for n in pnames], rd("max"))
 
@@ -214,13 +222,19 @@ def group_summary(
     (nulls ignored, null group dropped). ``groups`` lists the groups to show
     in that order, absent groups as rows of nulls."""
     src = df.filter(F.col(by).isNotNull()).select(by, _col(value).cast("double").alias("_v"))
-    v = F.col("_v")
-    stats = src.groupBy(by).agg(F.count(v).alias("count"), F.round(F.avg(v), decimals).alias("mean"),
-                                F.round(F.stddev_samp(v), decimals).alias("std"),
-                                F.round(F.min(v), decimals).alias("min"), F.round(F.max(v), decimals).alias("max"))
-    med = quantiles_long(src, ["_v"], [0.5], [by], accuracy=accuracy).select(
-        by, F.round("value", decimals).alias("median"))
-    out = stats.join(med, by, "left").select(by, "count", "mean", "median", "std", "min", "max")
+    v = F.when(~F.isnan("_v"), F.col("_v"))
+    aggs = [F.count(v).alias("count"), F.round(F.avg(v), decimals).alias("mean"),
+            F.round(F.stddev_samp(v), decimals).alias("std"),
+            F.round(F.min(v), decimals).alias("min"), F.round(F.max(v), decimals).alias("max")]
+    if accuracy or exact_aggregate_ok(src, ["_v"], [by]):
+        # bounded groups: the median joins the moments in one aggregate
+        med = F.percentile_approx(v, 0.5, accuracy) if accuracy else F.median(v)
+        out = src.groupBy(by).agg(*aggs, F.round(med, decimals).alias("median"))
+    else:
+        stats = src.groupBy(by).agg(*aggs)
+        med = quantiles_long(src, ["_v"], [0.5], [by]).select(by, F.round("value", decimals).alias("median"))
+        out = stats.join(med, by, "left")
+    out = out.select(by, "count", "mean", "median", "std", "min", "max")
     if groups is None:
         return out
     spark = df.sparkSession

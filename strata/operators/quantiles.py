@@ -35,6 +35,24 @@ def _long(df: DataFrame, columns: Sequence[str], by: Sequence[str]) -> DataFrame
     return long.filter(F.col("v").isNotNull() & ~F.isnan("v"))
 
 
+def largest_group(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> int:
+    """Most non-null (non-NaN) values of one column in one group: one
+    aggregate of per-column counts (per group when ``by`` is given)."""
+    def n(c):
+        v = F.col(f"`{c}`").cast("double")
+        return F.count(F.when(~F.isnan(v), v))
+    counts = [n(c).alias(f"n{i}") for i, c in enumerate(columns)]
+    per = df.groupBy(*by).agg(*counts) if by else df.agg(*counts)
+    best = F.greatest(*[F.col(f"n{i}") for i in range(len(columns))]) if len(columns) > 1 else F.col("n0")
+    return per.agg(F.max(best)).first()[0] or 0
+
+
+def exact_aggregate_ok(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> bool:
+    """True when every group is small enough for the one-pass ``percentile``
+    aggregate (its buffer is then provably bounded)."""
+    return largest_group(df, columns, by) <= AGGREGATE_MAX_VALUES
+
+
 def quantiles_long(
     df: DataFrame,
     columns: Sequence[str],

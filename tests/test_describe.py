@@ -97,3 +97,17 @@ def test_search_and_reorder(spark):
     assert sorted(r.id for r in FL.literal_search(df, "a.b", ["a"]).collect()) == []  # literal, not a pattern
     assert [r.id for r in FL.row_search(df, "3 delta").collect()] == [3]
     assert FL.reorder_columns(df, ["b", "zz", "id"]).columns == ["b", "id", "a"]
+
+
+def test_sort_path_matches_pandas(frame, monkeypatch):
+    from strata.operators import quantiles as QN
+    monkeypatch.setattr(QN, "AGGREGATE_MAX_VALUES", 0)
+    pdf, sdf = frame
+    got = {r.column: r for r in D.describe_numeric(sdf, ["v", "w"], decimals=6).collect()}
+    want = pdf[["v", "w"]].describe()
+    for c in ("v", "w"):
+        for stat, key in (("p25", "25%"), ("p50", "50%"), ("p75", "75%"), ("mean", "mean")):
+            assert got[c][stat] == pytest.approx(want.loc[key, c], abs=1e-6)
+    gs = {r.g: r.median for r in D.group_summary(sdf, "g", "v", decimals=6).collect()}
+    for g, part in pdf.groupby("g")["v"]:
+        assert gs[g] == pytest.approx(part.median(), abs=1e-6)
