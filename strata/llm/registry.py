@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import piece_counts, ring_shard, url_filter, window_pack
+from strata.llm import line_quality, piece_counts, ring_shard, url_filter, window_pack
 from strata.plans.registry import Registered, table
 
 QUERIES: dict[str, Registered] = {}
@@ -102,3 +102,44 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
     listed = pages.filter(F.col("html").rlike(JUNK_TITLE)).select("url")
     return url_filter.judge_urls(pages, listed, URL_RULES)
+
+
+def _lines_oracle() -> str:
+    blank = "[\\x20\\x09-\\x0D]"
+    words = f"list_filter(regexp_split_to_array({{}}, '{blank}+'), lambda w: w <> '')"
+    normal = (
+        "translate(trim(regexp_replace(x, '" + blank + "+', ' ', 'g')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    )
+    return f"""
+WITH docs AS (SELECT doc_id, source, coalesce(text, '') AS text, row_number() OVER () AS r FROM documents),
+parts AS (SELECT *, {words.format('text')} AS words,
+    list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS lines FROM docs),
+grams AS (SELECT r, i, array_to_string(words[i:i+4], ' ') AS g
+          FROM (SELECT r, words, unnest(range(1, len(words) - 3)) AS i FROM parts WHERE len(words) >= 5)),
+again AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, g) AS n FROM grams) WHERE n > 1),
+covered AS (SELECT r, count(DISTINCT i + k) AS n FROM again, (SELECT unnest(range(5)) AS k) GROUP BY r),
+base AS (SELECT p.*, len(words) AS n_words, length(array_to_string(words, '')) AS word_chars,
+    length(text) - length(regexp_replace(text, '{line_quality.SYMBOLS}', '', 'g')) AS n_symbols,
+    len(lines) - len(list_distinct(lines)) AS n_dup_lines, coalesce(c.n, 0) AS n_repeat_words,
+    list_max(list_transform(words, lambda w, i: {{'l': length(w), 'w': w, 'i': i}})) AS best
+    FROM parts p LEFT JOIN covered c USING (r)),
+held AS (SELECT r, source, concat_ws(' ', best.w, words[best.i + 1]) AS sketch, unnest(lines) AS x FROM base),
+normal AS (SELECT r, source, sketch, {normal} AS line, len({words.format('x')}) AS n FROM held),
+frequent AS (SELECT source, line FROM (
+    SELECT source, line, count(DISTINCT sketch) AS d, count(DISTINCT r) AS s FROM normal GROUP BY ALL)
+    JOIN (SELECT source, count(*) AS every FROM docs GROUP BY source) USING (source)
+    WHERE d > {line_quality.MIN_DOCS} AND 2 * d >= s AND d > {line_quality.SHARE} * every),
+gone AS (SELECT r, sum(n) AS n FROM normal JOIN frequent USING (source, line) GROUP BY r)
+SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_symbols::BIGINT AS n_symbols,
+    n_dup_lines::BIGINT AS n_dup_lines, n_repeat_words::BIGINT AS n_repeat_words,
+    (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AS base_failed,
+    NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words)
+        AND (n_words - coalesce(gone.n, 0)) >= {line_quality.MIN_LEFT} * n_words AS kept,
+    coalesce(gone.n, 0)::BIGINT AS n_removed_words
+FROM base LEFT JOIN gone USING (r)"""
+
+
+@query("op7_line_quality", _lines_oracle())
+def op7_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base counts, line frequency and verdict of every document; the source is the host."""
+    return line_quality.line_quality(table(spark, sf_dir, "documents"))[0]
