@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import line_quality, piece_counts, ring_shard, url_filter, window_pack
+from strata.llm import line_quality, piece_counts, ring_shard, simhash, url_filter, window_pack
 from strata.plans.registry import Registered, table
 
 QUERIES: dict[str, Registered] = {}
@@ -143,3 +143,12 @@ FROM base LEFT JOIN gone USING (r)"""
 def op7_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base counts, line frequency and verdict of every document; the source is the host."""
     return line_quality.line_quality(table(spark, sf_dir, "documents"))[0]
+
+
+@query("op10_golay_simhash")
+def op10_golay_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and component of every document: 4-word shingles, 4 differing bits."""
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=4, distance=4)
+    return found.select(
+        F.col("id").alias("doc_id"), simhash.hex_print(F.col("print")).alias("fingerprint"), "component_id"
+    )
