@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import line_quality, piece_counts, ring_shard, simhash, url_filter, window_pack
+from strata.llm import decontaminate, line_quality, piece_counts, ring_shard, simhash, url_filter, window_pack
 from strata.plans.registry import Registered, table
 
 QUERIES: dict[str, Registered] = {}
@@ -152,3 +152,37 @@ def op10_golay_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         F.col("id").alias("doc_id"), simhash.hex_print(F.col("print")).alias("fingerprint"), "component_id"
     )
+
+
+_LEAKS_ORACLE = """
+WITH docs AS (SELECT doc_id, row_number() OVER () AS r, list_filter(regexp_split_to_array(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda w: w <> '') AS words FROM documents),
+items AS (SELECT item_id::VARCHAR AS item, list_filter(regexp_split_to_array(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda w: w <> '') AS words FROM benchmark WHERE item_id IS NOT NULL),
+cut AS (SELECT item, words, least(10, len(words)) AS n, unnest(range(1, len(words) - least(10, len(words)) + 2)) AS i
+        FROM items WHERE len(words) > 0),
+wanted AS (SELECT DISTINCT item, n, array_to_string(words[i:i+n-1], ' ') AS g FROM cut),
+sizes AS (SELECT DISTINCT n FROM wanted),
+grams AS (SELECT r, n, i, array_to_string(words[i:i+n-1], ' ') AS g
+          FROM (SELECT r, words, n, unnest(range(1, len(words) - n + 2)) AS i FROM docs, sizes WHERE len(words) >= n)),
+hits AS (SELECT r, item, i, n FROM grams JOIN wanted USING (n, g)),
+covered AS (SELECT r, count(DISTINCT k) AS n FROM (SELECT r, unnest(range(i, i + n)) AS k FROM hits) GROUP BY r),
+named AS (SELECT r, count(*) AS n, string_agg(item, ',' ORDER BY item) AS all_items
+          FROM (SELECT DISTINCT r, item FROM hits) GROUP BY r)
+SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(covered.n, 0)::BIGINT AS n_hit, coalesce(named.n, 0)::BIGINT AS n_items,
+       sha256(coalesce(all_items, '')) AS items_sha256, coalesce(covered.n, 0) > 0 AS contaminated
+FROM docs LEFT JOIN covered USING (r) LEFT JOIN named USING (r)"""
+
+
+@query("op2_prefix_decontaminate", _LEAKS_ORACLE)
+def op2_prefix_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words and items of the benchmark found in each document, 10-word windows."""
+    found = decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=10)
+    hit = F.aggregate("spans", F.lit(0).cast("long"), lambda a, s: a + s["stop"] - s["start"])
+    return found.select(
+        F.col("id").alias("doc_id"), "n_words", hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join(F.array_sort("items"), ","), 256).alias("items_sha256"),
+        (F.size("items") > 0).alias("contaminated"),
+    )
