@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import decontaminate, line_quality, piece_counts, ring_shard, simhash, url_filter, window_pack
+from strata.llm import decontaminate, line_quality, piece_counts, ring_shard, simhash, toxic_crf, url_filter, window_pack
 from strata.plans.registry import Registered, table
 
 QUERIES: dict[str, Registered] = {}
@@ -45,9 +45,11 @@ def op5_ring_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_window_pack")
 def op6_window_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in sequences of at most 1024 tokens."""
+    import public_tokenizers
+
     with open(tokenizer_path("byte_bpe_50k.json"), encoding="utf-8") as f:
         vocabulary = f.read()
-    return window_pack.pack(table(spark, sf_dir, "documents"), vocabulary)
+    return window_pack.pack(table(spark, sf_dir, "documents"), vocabulary, public_tokenizers.PATTERN)
 
 
 @query("op8_piece_counts")
@@ -186,3 +188,14 @@ def op2_prefix_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join(F.array_sort("items"), ","), 256).alias("items_sha256"),
         (F.size("items") > 0).alias("contaminated"),
     )
+
+
+@query("op3_toxic_crf")
+def op3_toxic_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, learned from the labels that are not held out."""
+    fold = F.crc32(F.col("doc_id").cast("string")) % 5
+    learn = table(spark, sf_dir, "labels").filter(fold != 0).select("doc_id", "toxic")
+    scored = toxic_crf.score_toxicity(table(spark, sf_dir, "documents").select("doc_id", "text"), learn)
+    return scored.select(F.col("id").alias("doc_id"), "score", "spans").select(
+        "doc_id", (fold == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "spans"
+    )
