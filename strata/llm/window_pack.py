@@ -18,6 +18,7 @@ import zlib
 from bisect import bisect_right, insort
 from collections.abc import Callable, Iterable, Iterator
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -27,45 +28,42 @@ from strata.llm.common import ship_by_value, slices, written
 
 ship_by_value(__name__)
 
-CACHE_CHUNKS = 250_000
 WINDOWS_PER_MERGE = 4096
 
 
-class ChunkEncoder:
-    """Token ids of a byte-level BPE, as little-endian 32-bit bytes.
+class IdEncoder:
+    """Token ids of a byte-level BPE file, as little-endian 32-bit bytes.
 
-    A text is cut at single spaces; a chunk that neither begins nor ends with
-    white space is tokenized alike alone (with its space) and in its text, so
-    its ids are kept for the next time. Any other text is encoded whole.
+    Texts within Latin-1 go through the faster of the two installed encoders
+    over the very same vocabulary, whose merge ranks are its ids; the two agree
+    there (the tests compare them). Other texts, whose character classes may
+    depend on an engine's Unicode version, go through the file's own tokenizer.
     """
 
-    def __init__(self, tokenizer_json: str) -> None:
+    def __init__(self, tokenizer_json: str, pattern: str) -> None:
+        import tiktoken
         from tokenizers import Tokenizer
 
         self.model = Tokenizer.from_str(tokenizer_json)
         self.model.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.known: dict[str, bytes] = {}
-
-    def _ids(self, texts: list[str]) -> list[bytes]:
-        import numpy as np
-
-        return [
-            np.asarray(e.ids, dtype="<u4").tobytes() for e in self.model.encode_batch(texts, add_special_tokens=False)
-        ]
+        special = {t.content for t in self.model.get_added_tokens_decoder().values()}
+        # byte-level files spell byte b as chr(b) where that is printable, else as the next free code from 256
+        plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        other = [b for b in range(256) if b not in set(plain)]
+        byte_of = {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(other)}
+        ranks = {
+            bytes(byte_of[ch] for ch in token): i for token, i in self.model.get_vocab().items() if token not in special
+        }
+        self.fast = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
 
     def encode(self, text: str) -> bytes:
-        first, *rest = text.split(" ")
-        chunks = [first, *rest]
-        if all(chunks) and not any(c[0].isspace() or c[-1].isspace() for c in set(chunks)):
-            new = list(set(rest).difference(self.known))
-            for i in range(0, len(new), 4096):
-                part = new[i : i + 4096]
-                self.known.update(zip(part, self._ids([" " + c for c in part])))
-            out = self._ids([first])[0] + b"".join(map(self.known.__getitem__, rest))
-            if len(self.known) > CACHE_CHUNKS:
-                self.known.clear()
-            return out
-        return self._ids([text])[0]
+        try:
+            text.encode("latin-1")
+        except UnicodeEncodeError:
+            ids = self.model.encode(text, add_special_tokens=False).ids
+        else:
+            ids = self.fast.encode_ordinary(text)
+        return np.array(ids, dtype="<u4").tobytes()
 
 
 class OpenWindows:
@@ -169,22 +167,23 @@ def _merge_group(size: int, limit: int) -> Callable[[pd.DataFrame], pd.DataFrame
 
 
 def pack(
-    docs: DataFrame, tokenizer_json: str, id_col: str = "doc_id", text_col: str = "text", size: int = 1024,
+    docs: DataFrame, tokenizer_json: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", size: int = 1024,
     open_windows: int = 128, end_id: int = 0,
 ) -> DataFrame:
     """Pieces (id, start, length, ids_crc32, doc_tokens, sequence_id, offset).
 
     Every token lies in one piece; a sequence has at most ``size`` tokens. The
-    tokenizer file's text is broadcast (its size does not depend on the data).
+    tokenizer file's text and the pattern that splits text before its merges are
+    broadcast (their size does not depend on the data).
     """
     spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(tokenizer_json)
+    shared = spark.sparkContext.broadcast((tokenizer_json, pattern))
     end = end_id.to_bytes(4, "little")
     rows = docs.select(docs[id_col].alias("id"), docs[text_col].cast("string").alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return _pack_partition(iter(batches), ChunkEncoder(shared.value).encode, end, size, open_windows, id_col)
+        return _pack_partition(iter(batches), IdEncoder(*shared.value).encode, end, size, open_windows, id_col)
 
     # Written once: tokenizing is the costly part, and the merge reads it several times.
     pieces = written(rows.mapInArrow(run, f"`{id_col}` {kind}, {PIECES}"), "packed")
