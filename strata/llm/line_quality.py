@@ -194,7 +194,11 @@ def clean(
     names = docs.columns
     text = F.col(text_col)
     rows = docs.withColumn("_digest", text_digest(text)).withColumn("_judged", text)
-    based = with_base(rows, "_judged").filter(~F.col("base_failed"))
+    # The always true second term is not deterministic for Spark, which keeps the
+    # filter above the projections: pushed below them it would take the base
+    # expressions along, one inside the other's lambda.
+    passed = ~F.col("base_failed") & (F.monotonically_increasing_id() >= 0)
+    based = with_base(rows, "_judged").withColumn("_passed", passed).filter("_passed")
     joined = _join_removed(based, removed, id_col, host_col)
     gone = F.coalesce(F.col("_r_removed"), F.lit(0))
     left = joined.filter((F.col("n_words") - gone) >= F.lit(min_left) * F.col("n_words"))
