@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import decontaminate, line_quality, phrase_dedup, piece_counts, ring_shard, simhash, toxic_crf, url_filter, window_pack
+from strata.llm import brown_lm, decontaminate, line_quality, phrase_dedup, piece_counts, ring_shard, simhash, toxic_crf, url_filter, window_pack
 from strata.plans.registry import Registered, table
 
 QUERIES: dict[str, Registered] = {}
@@ -209,3 +209,10 @@ def op4_phrase_automata(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.col("_n_words").alias("n_words"), F.col("_n_removed").alias("n_removed"),
         F.col("_kept").alias("kept_sha256"),
     )
+
+
+@query("op1_brown_lm")
+def op1_brown_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Score of every document under a class bigram model of those not held out."""
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 7 == 2
+    return brown_lm.score_corpus(table(spark, sf_dir, "documents"), held_out).withColumnRenamed("id", "doc_id")
