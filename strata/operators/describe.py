@@ -17,7 +17,7 @@ from pyspark.sql.types import NumericType
 
 from strata.functions.exprs import ColumnOrName, _col, bin_column, pct
 from strata.operators.cohort import _totals_join
-from strata.operators.quantiles import exact_aggregate_ok, quantiles_long, quantiles_wide
+from strata.operators.quantiles import per_group, quantiles_long, quantiles_wide
 
 PERCENTILES = (0.25, 0.5, 0.75)
 
@@ -153,10 +153,9 @@ def describe_numeric(
     """One row per column: count, mean, sample std, min, percentiles, max.
 
     One aggregate computes the moments of every column (``inline`` makes
-    the wide row long); the percentiles of all columns share one sort."""
+    the wide row long); the percentiles of all columns are narrowed together."""
     pnames = [_pname(p) for p in percentiles]
-    # percentiles join the moments in one aggregate when that is bounded
-    one_pass = bool(accuracy) or exact_aggregate_ok(df, columns)
+    one_pass = bool(accuracy)  # approximate percentiles join the moments in one aggregate
     aggs = []
     for i, c in enumerate(columns):
         v = F.col(f"`{c}`").cast("double")
@@ -164,9 +163,7 @@ def describe_numeric(
         aggs += [F.count(v).alias(f"n{i}"), F.avg(v).alias(f"m{i}"), F.stddev_samp(v).alias(f"s{i}"),
                  F.min(v).alias(f"lo{i}"), F.max(v).alias(f"hi{i}")]
         if one_pass:
-            q = (F.percentile_approx(v, list(percentiles), accuracy) if accuracy
-                 else F.percentile(v, F.array(*[F.lit(float(p)) for p in percentiles])))
-            aggs.append(q.alias(f"q{i}"))
+            aggs.append(F.percentile_approx(v, list(percentiles), accuracy).alias(f"q{i}"))
     rows = [F.struct(F.lit(c).alias("column"), F.col(f"n{i}").alias("count"), F.col(f"m{i}").alias("mean"),
                      F.col(f"s{i}").alias("std"), F.col(f"lo{i}").alias("min"), F.col(f"hi{i}").alias("max"),
                      *([F.col(f"q{i}")[j].alias(n) for j, n in enumerate(pnames)] if one_pass else []))
@@ -226,9 +223,8 @@ def group_summary(
     aggs = [F.count(v).alias("count"), F.round(F.avg(v), decimals).alias("mean"),
             F.round(F.stddev_samp(v), decimals).alias("std"),
             F.round(F.min(v), decimals).alias("min"), F.round(F.max(v), decimals).alias("max")]
-    if accuracy or exact_aggregate_ok(src, ["_v"], [by]):
-        # bounded groups: the median joins the moments in one aggregate
-        med = F.percentile_approx(v, 0.5, accuracy) if accuracy else F.median(v)
+    if accuracy:
+        med = F.percentile_approx(v, 0.5, accuracy)
         out = src.groupBy(by).agg(*aggs, F.round(med, decimals).alias("median"))
     else:
         stats = src.groupBy(by).agg(*aggs)
@@ -295,12 +291,13 @@ def box_stats(
     """Box-plot statistics per group: quartiles (linear interpolation), IQR
     and whiskers = most extreme values within 1.5 IQR of the box.
 
-    Quartiles come from one distributed sort; the per-group fences (one row
-    per group) are joined back to the rows and min/max taken inside them."""
+    The per-group fences (one row per group, broadcast if their checked number
+    allows it, so that rows are not shuffled by a hot group) are joined back to
+    the rows and min/max taken inside them."""
     v = _col(value).cast("double")
     src = df.select(F.col(by), v.alias("v")).filter(F.col("v").isNotNull() & F.col(by).isNotNull())
     q = quantiles_wide(src, ["v"], PERCENTILES, ["q1", "median", "q3"], [by], accuracy=accuracy).drop("column")
-    q = q.withColumn("iqr", F.col("q3") - F.col("q1"))
+    q = per_group(q.withColumn("iqr", F.col("q3") - F.col("q1")))
     fenced = src.join(q, by).where(
         (F.col("v") >= F.col("q1") - 1.5 * F.col("iqr")) & (F.col("v") <= F.col("q3") + 1.5 * F.col("iqr")))
     w = fenced.groupBy(by).agg(F.min("v").alias("whisker_low"), F.max("v").alias("whisker_high"))

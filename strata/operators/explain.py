@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.operators.evaluate import confusion_counts, metrics_from_confusion
-from strata.operators.split import rank_within, seeded_hash
+from strata.operators.split import hash_rank, seeded_hash
 
 
 def encoded_feature_names(model: PipelineModel, transformed: DataFrame, features_col: str = "features") -> list[str]:
@@ -91,9 +91,9 @@ def permutation_importance(
     base = metrics_from_confusion(confusion_counts(base_pred, label_col, "prediction")).first()["f1_macro"]
     combos = F.array(*[F.struct(F.lit(f).alias("pf"), F.lit(r).alias("pr")) for f in features for r in range(repeats)])
     copies = data.select("*", F.inline(combos)).withColumn("_grp", F.concat_ws("#", "pf", F.col("pr").cast("string")))
-    target = rank_within(copies, "_grp", [F.col(id_col)], "_rk")
-    donor = rank_within(copies.select("_grp", id_col, *[F.col(f).alias(f"_d_{f}") for f in features]), "_grp",
-                        [seeded_hash(seed, "_grp", id_col), F.col(id_col)], "_rk").drop(id_col)
+    donor_rows = copies.select("_grp", id_col, *[F.col(f).alias(f"_d_{f}") for f in features])
+    target = hash_rank(copies, "_grp", seeded_hash(seed + 1, "_grp", id_col), [id_col], "_rk", bits=6)
+    donor = hash_rank(donor_rows, "_grp", seeded_hash(seed, "_grp", id_col), [id_col], "_rk", bits=6).drop(id_col)
     joined = target.join(donor, ["_grp", "_rk"])
     permuted = joined.withColumns({f: F.when(F.col("pf") == f, F.col(f"_d_{f}")).otherwise(F.col(f)) for f in features})
     permuted = permuted.drop(*[f"_d_{f}" for f in features], "_rk")

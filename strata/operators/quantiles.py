@@ -3,11 +3,10 @@
 
 ``percentile``/``median`` merge a value->count map of every distinct value
 into a single task per group, which does not scale to a hot group or a
-high-cardinality column. Group sizes are counted first: when the largest
-group is within ``AGGREGATE_MAX_VALUES`` that buffer is provably bounded
-and the one-pass aggregate is used; otherwise the values are sorted once
-with range partitioning (``rank_within``) and only the rows at the two
-ranks around ``p * (n - 1)`` are joined back and interpolated. Several columns are handled in one sort by unpivoting them
+high-cardinality column. Here, at every size, one aggregate brackets each
+quantile by two approximate ones, a second counts exactly how many values lie
+below and inside each bracket, and only the (pre-aggregated) values inside it
+are put in order. Several columns are handled in one pass by unpivoting them
 into (column, value) rows. ``accuracy`` switches to ``percentile_approx``
 (one pass, bounded memory) when an approximation is acceptable.
 """
@@ -16,17 +15,23 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.operators.split import rank_within
+from strata.session import cut_lineage
 
-# above this many groups the rank metadata is joined, not broadcast
+# A per-group table of at most this many rows is broadcast to the rows (which
+# keeps few or hot groups from being shuffled); a larger one is joined by key.
 BROADCAST_GROUPS = 100_000
-# groups of at most this many values use the one-pass exact ``percentile``
-# aggregate: its per-task buffer (distinct value -> count) is then provably
-# bounded (about 16 bytes per value); larger groups take the sort path
-AGGREGATE_MAX_VALUES = 1_000_000
+# Accuracy of the bracketing: a bracket holds about six rows in this many.
+BRACKETING = 10_000
+
+
+def per_group(table: DataFrame) -> DataFrame:
+    """A small per-group table, computed once, with a broadcast hint if its
+    checked size allows one."""
+    table = cut_lineage(table)
+    return F.broadcast(table) if table.count() <= BROADCAST_GROUPS else table
 
 
 def _long(df: DataFrame, columns: Sequence[str], by: Sequence[str]) -> DataFrame:
@@ -35,24 +40,6 @@ def _long(df: DataFrame, columns: Sequence[str], by: Sequence[str]) -> DataFrame
     return long.filter(F.col("v").isNotNull() & ~F.isnan("v"))
 
 
-def largest_group(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> int:
-    """Most non-null (non-NaN) values of one column in one group: one
-    aggregate of per-column counts (per group when ``by`` is given)."""
-    def n(c):
-        v = F.col(f"`{c}`").cast("double")
-        return F.count(F.when(~F.isnan(v), v))
-    counts = [n(c).alias(f"n{i}") for i, c in enumerate(columns)]
-    per = df.groupBy(*by).agg(*counts) if by else df.agg(*counts)
-    best = F.greatest(*[F.col(f"n{i}") for i in range(len(columns))]) if len(columns) > 1 else F.col("n0")
-    return per.agg(F.max(best)).first()[0] or 0
-
-
-def exact_aggregate_ok(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> bool:
-    """True when every group is small enough for the one-pass ``percentile``
-    aggregate (its buffer is then provably bounded)."""
-    return largest_group(df, columns, by) <= AGGREGATE_MAX_VALUES
-
-
 def quantiles_long(
     df: DataFrame,
     columns: Sequence[str],
@@ -70,27 +57,68 @@ def quantiles_long(
         q = long.groupBy(*groups).agg(F.percentile_approx("v", list(ps), accuracy).alias("q"))
         return q.select(*groups, F.posexplode("q").alias("i", "value")).select(
             *groups, F.element_at(F.array(*[F.lit(float(p)) for p in ps]), F.col("i") + 1).alias("p"), "value")
-    counts = long.groupBy(*groups).agg(F.count(F.lit(1)).alias("n"))
-    sizes = counts.agg(F.count(F.lit(1)).alias("groups"), F.max("n").alias("largest"),
-                       F.sum("n").alias("values")).first()
-    n_groups = sizes.groups
-    if (sizes.largest or 0) <= AGGREGATE_MAX_VALUES:
-        q = long.groupBy(*groups).agg(F.percentile("v", F.array(*[F.lit(float(p)) for p in ps])).alias("q"))
-        return q.select(*groups, F.posexplode("q").alias("i", "value")).select(
-            *groups, F.element_at(F.array(*[F.lit(float(p)) for p in ps]), F.col("i") + 1).alias("p"), "value")
-    wanted = counts.select(*groups, F.inline(F.array(*[F.struct(F.lit(float(p)).alias("p")) for p in ps])), "n")
-    wanted = wanted.withColumn("pos", F.col("p") * (F.col("n") - 1)).withColumns(
-        {"lo": F.floor("pos").cast("long"), "hi": F.ceil("pos").cast("long")})
-    wanted = wanted.withColumn("frac", F.col("pos") - F.col("lo"))
-    need = wanted.select(*groups, F.explode(F.array_distinct(F.array("lo", "hi"))).alias("r")).distinct()
-    ranked = rank_within(long, groups, ["v"], "r", broadcast_meta=n_groups <= BROADCAST_GROUPS,
-                         rows=sizes["values"])
-    small = n_groups * len(ps) <= BROADCAST_GROUPS
-    picked = ranked.join(F.broadcast(need) if small else need, [*groups, "r"])
-    lo = picked.select(*groups, F.col("r").alias("lo"), F.col("v").alias("v_lo"))
-    hi = picked.select(*groups, F.col("r").alias("hi"), F.col("v").alias("v_hi"))
-    out = wanted.join(lo, [*groups, "lo"]).join(hi, [*groups, "hi"])
-    return out.select(*groups, "p", (F.col("v_lo") + (F.col("v_hi") - F.col("v_lo")) * F.col("frac")).alias("value"))
+    return _narrowed(long, groups, [float(p) for p in ps])
+
+
+def _same_group(groups: Sequence[str]):
+    cond = F.lit(True)
+    for g in groups:
+        cond = cond & F.col(g).eqNullSafe(F.col(f"_g_{g}"))
+    return cond
+
+
+def _narrowed(long: DataFrame, groups: list[str], ps: list[float]) -> DataFrame:
+    """(*groups, p, value) for the rows (*groups, v): see the module's text."""
+    margin = 3 / BRACKETING
+    n_p = len(ps)
+    own = [F.col(g).alias(f"_g_{g}") for g in groups]
+    while True:
+        edges = [max(p - margin, 0.0) for p in ps] + [min(p + margin, 1.0) for p in ps]
+        approx = long.groupBy(*groups).agg(F.percentile_approx("v", edges, BRACKETING).alias("_q"))
+        bracketed = long.join(per_group(approx.select(*own, "_q")), _same_group(groups))
+        measures = []
+        for i in range(n_p):
+            a, b, v = F.col("_q")[i], F.col("_q")[n_p + i], F.col("v")
+            measures += [F.count(F.when(v < a, 1)).alias(f"b{i}"), F.count(F.when((v >= a) & (v <= b), 1)).alias(f"i{i}"),
+                         F.max(F.when(v < a, v)).alias(f"u{i}"), F.min(F.when(v > b, v)).alias(f"o{i}")]
+        counted = bracketed.groupBy(*groups).agg(F.count(F.lit(1)).alias("n"), F.first("_q").alias("_q"), *measures)
+        each = [F.struct(F.lit(p).alias("p"), F.col("_q")[i].alias("a"), F.col("_q")[n_p + i].alias("b"),
+                         F.col(f"b{i}").alias("below"), F.col(f"i{i}").alias("inside"), F.col(f"u{i}").alias("under"),
+                         F.col(f"o{i}").alias("over")) for i, p in enumerate(ps)]
+        found = counted.select(*own, "n", F.inline(F.array(*each)))
+        pos = F.col("p") * (F.col("n") - 1)
+        found = found.withColumns({"lo": F.floor(pos).cast("long"), "hi": F.ceil(pos).cast("long"),
+                                   "frac": pos - F.floor(pos)})
+        found = cut_lineage(found)
+        # the two wanted ranks lie in the bracket or next to it; else (never seen) it is widened
+        missed = (F.col("lo") < F.col("below") - 1) | (F.col("hi") > F.col("below") + F.col("inside"))
+        if margin >= 1 or found.filter(missed).isEmpty():
+            break
+        margin *= 8
+    few = found.count() <= BROADCAST_GROUPS
+    wanted = F.broadcast(found) if few else found
+    inside = long.join(wanted, _same_group(groups) & F.col("v").between(F.col("a"), F.col("b")))
+    keys = [f"_g_{g}" for g in groups]
+    values = inside.groupBy(*keys, "p", "v").agg(F.count(F.lit(1)).alias("k"), F.first("below").alias("below"),
+                                                 F.first("lo").alias("lo"), F.first("hi").alias("hi"))
+    upto = Window.partitionBy(*keys, "p").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+    values = values.withColumn("last", F.col("below") + F.sum("k").over(upto) - 1)
+    at = lambda r: (F.col("last") >= F.col(r)) & (F.col("last") - F.col("k") < F.col(r))
+    picked = values.groupBy(*keys, "p").agg(F.max(F.when(at("lo"), F.col("v"))).alias("v_lo"),
+                                            F.max(F.when(at("hi"), F.col("v"))).alias("v_hi"))
+    names = {k: f"_x{k}" for k in [*keys, "p"]}
+    picked = picked.select(*[F.col(k).alias(x) for k, x in names.items()], "v_lo", "v_hi")
+    cond = F.lit(True)
+    for k, x in names.items():
+        cond = cond & F.col(k).eqNullSafe(F.col(x))
+    out = found.join(picked, cond, "left")
+    lo = F.when(F.col("lo") < F.col("below"), F.col("under")).otherwise(F.col("v_lo"))
+    hi = F.when(F.col("hi") >= F.col("below") + F.col("inside"), F.col("over")).otherwise(F.col("v_hi"))
+    # an outer neighbour may also serve as the upper value when the bracket ends right before it
+    hi = F.when(F.col("hi") < F.col("below"), F.col("under")).otherwise(hi)
+    lo = F.when(F.col("lo") >= F.col("below") + F.col("inside"), F.col("over")).otherwise(lo)
+    return out.select(*[F.col(f"_g_{g}").alias(g) for g in groups], "p",
+                      (lo + (hi - lo) * F.col("frac")).alias("value"))
 
 
 def quantiles_wide(

@@ -1,35 +1,28 @@
 """Exact stratified train/test split and stratified k-fold assignment.
 
-Rows are ordered within their class by a seeded hash of the id; the first
-``quota`` rows of each class form the test set, and folds take consecutive
-rank blocks. The rank within class is computed without a per-class window
-(which would put a whole class, possibly a third of the data, into one
-task): the data is range-partitioned by (class, hash, id), each partition
-reports how many rows of each class it holds (a table bounded by
-partitions x classes), and prefix sums of those counts give every row its
-exact rank.
+Rows are ordered within their class by a seeded hash of the id (ties: the
+id); the first ``quota`` rows of each class form the test set, and folds are
+consecutive blocks. Nothing is sampled and no row is moved: the hash's high
+bits are buckets, one count per (class, bucket) tells which bucket holds a
+cut, only the narrow (hash, id) pairs of those buckets are ranked, and each
+cut becomes a (hash, id) bound that every row is compared with in one narrow
+pass. The result depends on the rows alone, not on how they are partitioned.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from bisect import bisect_right
+from collections.abc import Mapping, Sequence
+from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-_POS_MASK = (1 << 33) - 1
-# target rows per range partition when the caller knows the row count
-ROWS_PER_PARTITION = 1_000_000
-
-
-def range_partitions(spark, rows: int | None) -> int:
-    """Partition count for an exact-rank sort: ~1M rows each, at most
-    ``spark.sql.shuffle.partitions``; the setting itself when unknown."""
-    cap = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    if rows is None:
-        return cap
-    return max(1, min(cap, math.ceil(rows / ROWS_PER_PARTITION)))
+# Buckets of a class: 2 ** BUCKET_BITS. The counts that reach the driver are
+# classes x buckets; a bucket holds that fraction of a class's rows.
+BUCKET_BITS = 12
+MAX_CLASSES = 10_000
 
 
 def seeded_hash(seed: int, *cols: Column | str) -> Column:
@@ -37,41 +30,79 @@ def seeded_hash(seed: int, *cols: Column | str) -> Column:
     return F.xxhash64(F.lit(seed), *cols)
 
 
-def rank_within(df: DataFrame, group: str | Sequence[str], order: Sequence[Column | str],
-                name: str = "rank", *, broadcast_meta: bool = True, rows: int | None = None) -> DataFrame:
-    """0-based exact rank of each row within ``group`` by ``order``.
+def _bucket(key: Column, bits: int) -> Column:
+    return F.shiftrightunsigned(key, 64 - bits)
+
 
-    Range partitioning on (group, order) spreads even a single huge group
-    over many tasks; the per-partition metadata (one row per partition and
-    group present in it) is the only thing gathered. It is broadcast when
-    the group count is modest (class labels, column names, parameter
-    combinations); pass ``broadcast_meta=False`` for many groups. Rows tied
-    on ``order`` get distinct consecutive ranks; make ``order`` unique (end
-    with an id) when the assignment of ranks to tied rows matters. ``rows``
-    (when known) sizes the range partitioning."""
+def hash_rank(df: DataFrame, group: str | Sequence[str], key: Column, ties: Sequence[Column | str],
+              name: str = "rank", *, bits: int = BUCKET_BITS) -> DataFrame:
+    """0-based exact rank of each row within ``group`` by the 64-bit hash
+    ``key`` (as unsigned number) and then ``ties``.
+
+    Rows are numbered inside (group, bucket) windows, a bucket being the
+    hash's high ``bits``, and the rows of the buckets before are added from
+    one count per (group, bucket). A group of any size spreads over 2**bits
+    windows, and both sides are functions of the row alone."""
     groups = [group] if isinstance(group, str) else list(group)
-    order = [F.col(o) if isinstance(o, str) else o for o in order]
     gcols = [F.col(g) for g in groups]
-    # an explicit partition count keeps AQE from coalescing this exchange:
-    # both readers below must see the same partition ids
-    n_parts = range_partitions(df.sparkSession, rows)
-    s = df.repartitionByRange(n_parts, *gcols, *order).sortWithinPartitions(*gcols, *order)
-    s = s.withColumns({"_pid": F.spark_partition_id(),
-                       "_pos": F.monotonically_increasing_id().bitwiseAND(F.lit(_POS_MASK))})
-    meta = s.groupBy("_pid", *groups).agg(F.count(F.lit(1)).alias("_n"), F.min("_pos").alias("_first"))
-    before = Window.partitionBy(*groups).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    meta = meta.select(F.col("_pid").alias("_m_pid"), *[F.col(g).alias(f"_m_{g}") for g in groups], "_first",
-                       F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    # null-safe match on the group keys (a null group is a group too)
-    cond = [F.col("_pid") == F.col("_m_pid")] + [F.col(g).eqNullSafe(F.col(f"_m_{g}")) for g in groups]
-    out = s.join(F.broadcast(meta) if broadcast_meta else meta, cond)
-    out = out.withColumn(name, (F.col("_off") + F.col("_pos") - F.col("_first")).cast("long"))
-    return out.drop("_pid", "_pos", "_first", "_off", "_m_pid", *[f"_m_{g}" for g in groups])
+    keyed = df.withColumn("_key", key).withColumn("_bucket", _bucket(F.col("_key"), bits))
+    before = Window.partitionBy(*gcols).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = keyed.groupBy(*gcols, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
+    offsets = offsets.select(F.col("_bucket").alias("_m_bucket"), *[F.col(g).alias(f"_m_{g}") for g in groups],
+                             F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    # unsigned order inside a bucket: its rows share the high bits, so signed order is the same
+    inside = Window.partitionBy(*gcols, "_bucket").orderBy("_key", *ties)
+    ranked = keyed.withColumn("_pos", F.row_number().over(inside) - 1)
+    cond = [F.col("_bucket") == F.col("_m_bucket")] + [F.col(g).eqNullSafe(F.col(f"_m_{g}")) for g in groups]
+    out = ranked.join(offsets, cond).withColumn(name, (F.col("_off") + F.col("_pos")).cast("long"))
+    return out.drop("_key", "_bucket", "_pos", "_off", "_m_bucket", *[f"_m_{g}" for g in groups])
 
 
 def class_counts(df: DataFrame, label: str) -> dict:
-    """Rows per class (one row per class reaches the driver)."""
-    return {r[0]: r[1] for r in df.groupBy(label).count().collect()}
+    """Rows per class (one row per class reaches the driver; a column with
+    more than ``MAX_CLASSES`` values is no class label and is refused)."""
+    rows = df.groupBy(label).count().limit(MAX_CLASSES + 1).collect()
+    if len(rows) > MAX_CLASSES:
+        raise ValueError(f"column '{label}' has more than {MAX_CLASSES} distinct values")
+    return {r[0]: r[1] for r in rows}
+
+
+def _cut_bounds(df: DataFrame, label: str, id_col: str, key: Column, cuts: Mapping) -> DataFrame:
+    """(_label, _bounds): for each class the rows (bucket, hash, id) at the
+    0-based ranks ``cuts[class]``; a rank past the class's end has none."""
+    narrow = df.select(F.col(label).alias("_label"), key.alias("_key"), F.col(id_col).alias("_id"))
+    narrow = narrow.withColumn("_bucket", _bucket(F.col("_key"), BUCKET_BITS))
+    counts: dict = {}
+    for value, bucket, n in narrow.groupBy("_label", "_bucket").count().collect():  # classes x buckets
+        counts.setdefault(value, []).append((bucket, n))
+    wanted = []
+    for value, found in counts.items():
+        found.sort()
+        before = [0, *accumulate(n for _, n in found)]
+        for cut in cuts[value]:
+            if cut < before[-1]:
+                at = bisect_right(before, cut) - 1
+                wanted.append((value, found[at][0], cut - before[at]))
+    schema = f"_w_label {df.schema[label].dataType.simpleString()}, _w_bucket long, _w_pos long"
+    table = df.sparkSession.createDataFrame(wanted, schema)  # one row per class and cut
+    same = F.col("_label").eqNullSafe(F.col("_w_label")) & (F.col("_bucket") == F.col("_w_bucket"))
+    inside = Window.partitionBy("_label", "_bucket").orderBy("_key", "_id")
+    # only rows of a bucket that holds a cut are moved and ranked
+    held = narrow.join(F.broadcast(table), same, "left_semi").withColumn("_pos", F.row_number().over(inside) - 1)
+    cut_rows = held.join(F.broadcast(table), same & (F.col("_pos") == F.col("_w_pos")))
+    place = F.struct(F.col("_bucket").alias("b"), F.col("_key").alias("k"), F.col("_id").alias("i"))
+    return cut_rows.groupBy("_label").agg(F.collect_list(place).alias("_bounds"))
+
+
+def _cuts_passed(df: DataFrame, label: str, id_col: str, key: Column, cuts: Mapping, name: str) -> DataFrame:
+    """Add ``name``: at or behind how many of its class's cut rows a row lies,
+    in (hash, id) order. Ids must be unique: rows that repeat one tie."""
+    bounds = F.broadcast(_cut_bounds(df, label, id_col, key, cuts))
+    # the bucket first, so that the hash counts as an unsigned number
+    own = F.struct(_bucket(key, BUCKET_BITS).alias("b"), key.alias("k"), F.col(id_col).alias("i"))
+    joined = df.withColumn("_own", own).join(bounds, F.col(label).eqNullSafe(F.col("_label")), "left")
+    passed = F.size(F.filter("_bounds", lambda x: x <= F.col("_own")))
+    return joined.withColumn(name, F.when(F.col("_bounds").isNull(), 0).otherwise(passed)).drop("_own", "_label", "_bounds")
 
 
 def holdout_quotas(counts: dict, test_fraction: float) -> dict:
@@ -112,10 +143,10 @@ def stratified_split(
     if not exact:
         u = F.pmod(seeded_hash(seed, id_col), F.lit(1_000_000)) / 1_000_000.0
         return df.withColumn(split_col, u < F.lit(test_fraction))
-    counts = class_counts(df, label)
-    quotas = holdout_quotas(counts, test_fraction)
-    ranked = rank_within(df, label, [seeded_hash(seed, id_col), F.col(id_col)], "_rank", rows=sum(counts.values()))
-    return ranked.withColumn(split_col, F.col("_rank") < _lookup(quotas, F.col(label))).drop("_rank")
+    quotas = holdout_quotas(class_counts(df, label), test_fraction)
+    cuts = {c: [q] for c, q in quotas.items()}
+    passed = _cuts_passed(df, label, id_col, seeded_hash(seed, id_col), cuts, "_passed")
+    return passed.withColumn(split_col, F.col("_passed") == 0).drop("_passed")
 
 
 def stratified_folds(
@@ -136,16 +167,11 @@ def stratified_folds(
     counts = class_counts(df, label)
     if min(counts.values()) < k:
         raise ValueError(f"every class needs at least {k} rows for {k}-fold CV: {counts}")
-    ranked = rank_within(df, label, [seeded_hash(seed + 1, id_col), F.col(id_col)], "_rank",
-                         rows=sum(counts.values()))
-    n = _lookup(counts, F.col(label))
-    base = F.floor(n / k)
-    extra = n % k
-    # the first `extra` folds hold base+1 rows
-    r = F.col("_rank")
-    big = extra * (base + 1)
-    fold = F.when(r < big, F.floor(r / (base + 1))).otherwise(extra + F.floor((r - big) / base))
-    return ranked.withColumn(fold_col, fold.cast("int")).drop("_rank")
+    cuts = {}
+    for c, n in counts.items():
+        base, extra = divmod(n, k)
+        cuts[c] = list(accumulate(base + (i < extra) for i in range(k - 1)))
+    return _cuts_passed(df, label, id_col, seeded_hash(seed + 1, id_col), cuts, fold_col)
 
 
 def class_weights(counts: dict) -> dict:

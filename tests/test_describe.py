@@ -99,9 +99,7 @@ def test_search_and_reorder(spark):
     assert FL.reorder_columns(df, ["b", "zz", "id"]).columns == ["b", "id", "a"]
 
 
-def test_sort_path_matches_pandas(frame, monkeypatch):
-    from strata.operators import quantiles as QN
-    monkeypatch.setattr(QN, "AGGREGATE_MAX_VALUES", 0)
+def test_narrowed_quantiles_match_pandas(frame):
     pdf, sdf = frame
     got = {r.column: r for r in D.describe_numeric(sdf, ["v", "w"], decimals=6).collect()}
     want = pdf[["v", "w"]].describe()

@@ -13,18 +13,38 @@ def labelled(spark, n=300):
     return spark.createDataFrame([(i, [1, 2, 3][i % 7 % 3]) for i in range(n)], "id long, label long")
 
 
-def test_rank_within_matches_brute_force(spark):
-    df = spark.createDataFrame([(i, i % 3, (i * 37) % 101) for i in range(300)], "id long, g long, k long")
-    got = {r.id: r.rank for r in SP.rank_within(df.repartition(5), "g", ["k", "id"]).collect()}
-    rows = sorted(((i % 3, (i * 37) % 101, i) for i in range(300)))
+def test_hash_rank_matches_brute_force(spark):
+    df = spark.createDataFrame([(i, i % 3, (i * 37) % 101 - 50) for i in range(300)], "id long, g long, k long")
+    key = F.xxhash64("k")
+    got = {r.id: r.rank for r in SP.hash_rank(df.repartition(5), "g", key, ["id"], bits=3).collect()}
+    rows = sorted((r.g, r.key % (1 << 64), r.id) for r in df.withColumn("key", key).collect())
     expect, last, r = {}, None, 0
-    for g, k, i in rows:
+    for g, _, i in rows:
         r = r + 1 if g == last else 0
         last = g
         expect[i] = r
     assert got == expect
 
 
+def test_split_is_exact_and_complete_on_three_million_rows(spark):
+    n = 3_000_000
+    df = spark.range(0, n, numPartitions=9).select(
+        "id", (F.col("id") % 7 % 3).alias("label"), F.sha1(F.col("id").cast("string")).alias("payload"))
+    counts = SP.class_counts(df, "label")
+    quotas = SP.holdout_quotas(counts, 0.2)
+    agg = (SP.stratified_split(df, "label", "id").groupBy("label", "is_test")
+           .agg(F.count("*").alias("n"), F.countDistinct("id").alias("ids")))
+    got = {(r.label, r.is_test): (r.n, r.ids) for r in agg.collect()}
+    for c, k in counts.items():
+        assert got[(c, True)] == (quotas[c], quotas[c])
+        assert got[(c, False)] == (k - quotas[c], k - quotas[c])
+    folds = SP.stratified_folds(df, "label", "id", 5).groupBy("label", "fold").count().collect()
+    assert sum(r["count"] for r in folds) == n and {r.fold for r in folds} == set(range(5))
+    for c, k in counts.items():
+        sizes = [r["count"] for r in folds if r.label == c]
+        assert max(sizes) - min(sizes) <= 1 and sum(sizes) == k
+
+
 def test_split_quotas_and_folds(spark):
     df = labelled(spark)
     counts = SP.class_counts(df, "label")
@@ -71,16 +91,17 @@ def test_majority_and_scores(spark):
         SC.check_probabilities(bad, F.col("p"), 3)
 
 
-def test_quantile_paths_agree(spark, monkeypatch):
+def test_quantiles_of_many_and_tied_values(spark):
+    import numpy as np
+
     from strata.operators import quantiles as QN
-    rows = [(i % 4, float((i * 7919) % 1013) if i % 11 else None) for i in range(2000)]
-    df = spark.createDataFrame(rows, "g long, v double")
-    fast = {(r.g, r.p): r.value for r in QN.quantiles_long(df, ["v"], [0.1, 0.5, 0.9], ["g"]).collect()}
-    monkeypatch.setattr(QN, "AGGREGATE_MAX_VALUES", 10)
-    sorted_path = {(r.g, r.p): r.value for r in QN.quantiles_long(df, ["v"], [0.1, 0.5, 0.9], ["g"]).collect()}
-    assert fast.keys() == sorted_path.keys()
-    for k in fast:
-        assert abs(fast[k] - sorted_path[k]) < 1e-9
+    n = 200_000
+    df = spark.range(0, n, numPartitions=7).select(
+        (F.col("id") % 3).alias("g"), F.when(F.col("id") % 3 == 0, F.lit(5.0)).otherwise(F.rand(seed=3)).alias("v"))
+    df = spark.createDataFrame(df.toPandas())
+    pdf = df.toPandas()
+    for r in QN.quantiles_long(df, ["v"], [0.0, 0.1, 0.5, 0.999, 1.0], ["g"]).collect():
+        assert abs(r.value - np.percentile(pdf.v[pdf.g == r.g], r.p * 100)) < 1e-12
 
 
 def test_normalize_report_layouts(spark):

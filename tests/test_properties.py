@@ -4,10 +4,11 @@ force on random small inputs."""
 import numpy as np
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from strata.operators import quantiles as QN
 from strata.operators.rows import with_row_number
-from strata.operators.split import rank_within
+from strata.operators.split import hash_rank
 
 SETTINGS = settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
 
@@ -16,13 +17,13 @@ rows_strategy = st.lists(st.tuples(st.integers(0, 3), st.integers(-50, 50)), min
 
 @SETTINGS
 @given(rows=rows_strategy, parts=st.integers(1, 5))
-def test_rank_within_is_exact(spark, rows, parts):
-    data = [(i, g, v) for i, (g, v) in enumerate(rows)]
+def test_hash_rank_is_exact(spark, rows, parts):
+    data = [(i, g, v * 2**57) for i, (g, v) in enumerate(rows)]
     df = spark.createDataFrame(data, "id long, g long, v long").repartition(parts)
-    got = {r.id: r.rank for r in rank_within(df, "g", ["v", "id"], rows=len(data)).collect()}
+    got = {r.id: r.rank for r in hash_rank(df, "g", F.col("v"), ["id"], bits=4).collect()}
     expect = {}
     for g in {g for _, g, _ in data}:
-        members = sorted((v, i) for i, gg, v in data if gg == g)
+        members = sorted((v % 2**64, i) for i, gg, v in data if gg == g)
         expect.update({i: k for k, (_, i) in enumerate(members)})
     assert got == expect
 
@@ -35,20 +36,15 @@ def test_row_numbers(spark, n, parts):
 
 
 @SETTINGS
-@given(rows=rows_strategy, use_sort=st.booleans())
-def test_quantiles_match_numpy(spark, rows, use_sort):
-    old = QN.AGGREGATE_MAX_VALUES
-    QN.AGGREGATE_MAX_VALUES = 0 if use_sort else old
-    try:
-        df = spark.createDataFrame([(g, float(v)) for g, v in rows], "g long, v double")
-        ps = [0.0, 0.25, 0.5, 0.9, 1.0]
-        got = {(r.g, r.p): r.value for r in QN.quantiles_long(df, ["v"], ps, ["g"]).collect()}
-        for g in {g for g, _ in rows}:
-            vals = np.array([v for gg, v in rows if gg == g], dtype=float)
-            for p in ps:
-                assert abs(got[(g, p)] - np.percentile(vals, p * 100)) < 1e-9
-    finally:
-        QN.AGGREGATE_MAX_VALUES = old
+@given(rows=rows_strategy)
+def test_quantiles_match_numpy(spark, rows):
+    df = spark.createDataFrame([(g, float(v)) for g, v in rows], "g long, v double")
+    ps = [0.0, 0.25, 0.5, 0.9, 1.0]
+    got = {(r.g, r.p): r.value for r in QN.quantiles_long(df, ["v"], ps, ["g"]).collect()}
+    for g in {g for g, _ in rows}:
+        vals = np.array([v for gg, v in rows if gg == g], dtype=float)
+        for p in ps:
+            assert abs(got[(g, p)] - np.percentile(vals, p * 100)) < 1e-9
 
 
 pairs_strategy = st.lists(st.tuples(st.sampled_from(["a", "b", "c", None]), st.integers(0, 3)), min_size=1,
