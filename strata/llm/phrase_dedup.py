@@ -27,6 +27,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -81,10 +82,14 @@ def _emit_seeds(batches: Iterator[pa.RecordBatch], window: int, seed: int) -> It
     for batch in slices(batches, "text", 4 << 20):
         words = [t.split() for t in encoded(batch.column(1))]
         text, _, value, place = window_seeds(words, window, seed)
-        at = _runs(text, place) if text.size else text  # as many rows as there will be fragments
+        at = _runs(text, place) if text.size else text  # the fragments that there may be
+        at = at[np.lexsort((value[at], text[at]))]
+        text, value = text[at], value[at]
+        first = _runs(text, value) if text.size else text  # one row for a seed of a document, with their number
         ids = batch.column(0).to_numpy()
         yield pa.RecordBatch.from_arrays(
-            [pa.array(value[at].view(np.int64)), pa.array(ids[text[at]])], names=["seed", "id"]
+            [pa.array(value[first].view(np.int64)), pa.array(ids[text[first]]),
+             pa.array(np.diff(np.append(first, text.size)).astype(np.int32))], names=["seed", "id", "k"],
         )
 
 
@@ -146,55 +151,56 @@ class Block:
         import ahocorasick
 
         number: dict[bytes, int] = {}
-        encoded_parts = {}
         first: dict[tuple[int, ...], int] = {}
         last: dict[tuple[int, ...], int] = {}
+        n = self.window
 
         def ids_of(part: bytes) -> tuple[int, ...]:
             return tuple([number.setdefault(w, len(number) + 1) for w in part.split(b" ")])
 
+        def seen(w: tuple[int, ...], low: int, high: int) -> None:
+            first[w] = min(low, first.get(w, low))
+            last[w] = max(high, last.get(w, high))
+
         for part, doc in carried.items():
-            first[ids_of(part)] = last[ids_of(part)] = doc
-        n = self.window
-        for (_, part), rows in self.rows.items():
-            ids = encoded_parts.get(part)
-            if ids is None:
-                ids = encoded_parts[part] = ids_of(part)
-            low, high = rows[0][0], rows[-1][0]  # rows come in order of their ids
-            for i in range(len(ids) - n + 1):
-                w = ids[i : i + n]
-                if w not in first:
-                    first[w], last[w] = low, high
-                else:
-                    if low < first[w]:
-                        first[w] = low
-                    if high > last[w]:
-                        last[w] = high
+            seen(ids_of(part), doc, doc)
+        streamed: list[tuple[tuple[int, ...], list[tuple[int, int, int]]]] = []
+        for key, group in groupby(self.rows.items(), lambda item: item[0][0]):
+            parts = [(ids_of(part), rows) for (_, part), rows in group]  # rows come in order of their ids
+            one_passage = len(parts) == 1 and not carried
+            if one_passage and parts[0][1][0][0] == parts[0][1][-1][0]:
+                continue  # in one document only
+            streamed += parts
+            for ids, rows in parts:
+                # where all fragments of a seed are alike, the passage is one phrase; else each window is
+                size = len(ids) if one_passage else n
+                for i in range(len(ids) - size + 1):
+                    seen(ids[i : i + size], rows[0][0], rows[-1][0])
         automaton = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
-        for w, doc in first.items():
-            if last[w] != doc:  # confirmed: the same words in two documents
-                automaton.add_word(w, doc)
+        for phrase, doc in first.items():
+            if last[phrase] != doc:  # confirmed: the same words in two documents
+                automaton.add_word(phrase, (len(phrase), doc))
         found: list[tuple[int, int, int, int]] = []
         if len(automaton):
             automaton.make_automaton()
-            for (_, part), rows in self.rows.items():
-                hits = [(end - n + 1, doc) for end, doc in automaton.iter(encoded_parts[part])]
+            for ids, rows in streamed:
+                hits = [(end - size + 1, end + 1, doc) for end, (size, doc) in automaton.iter(ids)]
                 if not hits:
                     continue
-                every = merged([(i, i + n) for i, _ in hits])
-                newest, oldest = max(h[1] for h in hits), min(h[1] for h in hits)
+                every = merged([(a, b) for a, b, _ in hits])
+                newest, oldest = max(h[2] for h in hits), min(h[2] for h in hits)
                 for doc, digest, start in rows:
                     if doc > newest:
                         spans = every
                     elif doc > oldest:
-                        spans = merged([(i, i + n) for i, own in hits if own < doc])
+                        spans = merged([(a, b) for a, b, own in hits if own < doc])
                     else:
                         continue
-                    found.extend((doc, digest, start + a, start + b) for a, b in spans)
-        return found, first_words(self.rows, first, ids_of, n, carried)
+                    found.extend([(doc, digest, start + a, start + b) for a, b in spans])
+        return found, first_words(self.rows, n, carried)
 
 
-def first_words(rows: dict, first: dict, ids_of, n: int, carried: dict[bytes, int]) -> dict[bytes, int]:
+def first_words(rows: dict, n: int, carried: dict[bytes, int]) -> dict[bytes, int]:
     """First document of each window of the last key in ``rows`` (a key that is
     the only one may have come over from the block before)."""
     last_key = next(reversed(rows))[0] if rows else None
@@ -202,10 +208,10 @@ def first_words(rows: dict, first: dict, ids_of, n: int, carried: dict[bytes, in
     for key, part in reversed(rows):
         if key != last_key:
             break
-        words = part.split(b" ")
-        ids = ids_of(part)
+        words, low = part.split(b" "), rows[key, part][0][0]
         for i in range(len(words) - n + 1):
-            out[b" ".join(words[i : i + n])] = first[ids[i : i + n]]
+            window = b" ".join(words[i : i + n])
+            out[window] = min(low, out.get(window, low))
     return out
 
 
@@ -298,11 +304,11 @@ def repeated_phrases(
         text_digest(F.col(text_col)).alias("_digest"), F.col(text_col).cast("string").alias("_text"),
     )
     narrow = held.filter("_id is not null").select(F.col("_id").alias("id"), F.col("_text").alias("text"))
-    seeds = narrow.mapInArrow(lambda b: _emit_seeds(b, window, seed), "seed long, id long")
+    seeds = narrow.mapInArrow(lambda b: _emit_seeds(b, window, seed), "seed long, id long, k int")
     by_seed = Window.partitionBy("seed")
     recurring = (
         seeds.withColumn("low", F.min("id").over(by_seed)).withColumn("high", F.max("id").over(by_seed))
-        .withColumn("n", F.count("*").over(by_seed)).filter("low < high")
+        .withColumn("n", F.sum("k").over(by_seed)).filter("low < high")
     )
     lists = recurring.groupBy(F.col("id").alias("_own")).agg(
         F.collect_set(F.when(F.col("n") <= frequent, F.col("seed"))).alias("seeds"),
