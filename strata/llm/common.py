@@ -67,3 +67,17 @@ def slices(batches: Iterable[pa.RecordBatch], text: str, limit: int = 8 << 20) -
             size += n
         if start < batch.num_rows:
             yield batch.slice(start)
+
+
+#: Operators that keep all columns carry them in one struct of this name, so
+#: that their own column names can clash with none of the input's.
+ROW = "__row"
+
+
+def as_row(docs: DataFrame, *others: Column) -> DataFrame:
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias(ROW), *others)
+
+
+def row_columns(docs: DataFrame, **replaced: Column) -> list[Column]:
+    """The columns of ``docs`` out of the struct again, some of them replaced."""
+    return [replaced.get(c, F.col(ROW)[c]).alias(c) for c in docs.columns]

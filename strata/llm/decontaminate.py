@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import encoded, ship_by_value, slices, text_digest, written
+from strata.llm.common import as_row, encoded, row_columns, ship_by_value, slices, text_digest, written
 
 ship_by_value(__name__)
 
@@ -145,7 +145,7 @@ def _shingle_counts(docs: DataFrame, index, window: int) -> dict[int, np.ndarray
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = index.value
         total = {size: np.zeros(codes.size, np.int64) for size, (codes, _) in own.by_size.items()}
-        for batch in slices(batches, "text", 4 << 20):
+        for batch in slices(batches, "text", 2 << 20):
             ids, _ = own.ids_of(encoded(batch.column(0)))
             for size, counts in total.items():
                 counts += np.bincount(own.find(ids, size)[1], minlength=counts.size)
@@ -165,7 +165,7 @@ def _shingle_counts(docs: DataFrame, index, window: int) -> dict[int, np.ndarray
 def _search(docs: DataFrame, index, only_hits: bool, kind: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = index.value
-        for batch in slices(batches, "text", 4 << 20):
+        for batch in slices(batches, "text", 2 << 20):
             ids, sizes = own.ids_of(encoded(batch.column(2)))
             first = np.cumsum(sizes + own.window) - sizes - own.window
             start, row = own.occurrences(ids)
@@ -255,6 +255,6 @@ def drop_leaks(
     """``docs`` without the documents that hold a window of a benchmark item; all columns stay."""
     leaks = find_leaks(docs, items, id_col, text_col, **options).filter(F.size("items") > 0)
     leaks = written(leaks.select(F.col("id").alias("_id"), F.col("digest").alias("_d")).distinct(), "leaks")
-    marked = docs.withColumn("_digest", text_digest(F.col(text_col)))
-    on = F.col(id_col).eqNullSafe(F.col("_id")) & (F.col("_digest") == F.col("_d"))
-    return marked.join(leaks, on, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    marked = as_row(docs, F.col(id_col).alias("_own"), text_digest(F.col(text_col)).alias("_digest"))
+    on = F.col("_own").eqNullSafe(F.col("_id")) & (F.col("_digest") == F.col("_d"))
+    return marked.join(leaks, on, "left_anti").select(*row_columns(docs))

@@ -6,7 +6,9 @@ longest word and the word after it), so exact and near copies of a document
 count about once. A line is above the limits when it stands in more than
 ``max(min_docs, share * documents of the host)`` distinct documents and these
 are at least half of the rows that hold it, so the lines of a large group of
-copies, whose rows are nearly all alike, are left alone. Such lines are
+copies, whose rows are nearly all alike, are left alone. (Documents whose
+longest word stands in the line itself count as one, which errs on the side of
+keeping the line.) Such lines are
 removed, and a document is rejected when less than ``min_left`` of its words
 remain, or when a base rule fails.
 
@@ -19,13 +21,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import BLANK_CLASS, ascii_lower, text_digest, written
+from strata.llm.common import BLANK_CLASS, ROW, as_row, ascii_lower, row_columns, text_digest, written
 
 SYMBOLS = "[#*$%&|<>]"
 WINDOW = 5
 MIN_DOCS = 10
 SHARE = 0.002
 MIN_LEFT = 0.3
+BROADCAST_LINES = 200_000  # above this many frequent lines the documents are joined by id instead
 
 
 def words_of(text: Column) -> Column:
@@ -171,13 +174,15 @@ def line_quality(
     what ``removed_lines`` gives, for ``clean``."""
     frequent = written(frequent_lines(docs, text_col, host_col, min_docs, share), "frequent-lines")
     removed = written(removed_lines(docs, frequent, id_col, text_col, host_col), "removed-lines")
-    rows = docs.select(F.col(id_col), F.col(host_col), F.col(text_col))
-    based = with_base(rows.withColumn("_digest", text_digest(F.col(text_col))), text_col)
-    joined = _join_removed(based, removed, id_col, host_col)
+    text = F.col(text_col)
+    rows = docs.select(
+        F.col(id_col).alias("_id"), F.col(host_col).alias("_host"), text.alias("_judged"), text_digest(text).alias("_digest")
+    )
+    joined = _join_removed(with_base(rows, "_judged"), removed, "_id", "_host")
     gone = F.coalesce(F.col("_r_removed"), F.lit(0)).cast("long")
     depleted = (F.col("n_words") - gone) < F.lit(min_left) * F.col("n_words")
     verdicts = joined.select(
-        F.col(id_col), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
+        F.col("_id").alias(id_col), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
         (~F.col("base_failed") & ~depleted).alias("kept"), gone.alias("n_removed_words"),
     )
     return verdicts, removed
@@ -190,20 +195,29 @@ def clean(
     """``docs`` without its rejected documents and without the lines above the
     limits; all columns stay (a text without such lines is left byte for byte)."""
     frequent = written(frequent_lines(docs, text_col, host_col, min_docs, share), "frequent-lines")
-    removed = written(removed_lines(docs, frequent, id_col, text_col, host_col), "removed-lines")
-    names = docs.columns
     text = F.col(text_col)
-    rows = docs.withColumn("_digest", text_digest(text)).withColumn("_judged", text)
+    rows = as_row(
+        docs, F.col(id_col).alias("_id"), F.col(host_col).cast("string").alias("_host"), text.alias("_judged"),
+        text_digest(text).alias("_digest"),
+    )
     # The always true second term is not deterministic for Spark, which keeps the
     # filter above the projections: pushed below them it would take the base
     # expressions along, one inside the other's lambda.
     passed = ~F.col("base_failed") & (F.monotonically_increasing_id() >= 0)
     based = with_base(rows, "_judged").withColumn("_passed", passed).filter("_passed")
-    joined = _join_removed(based, removed, id_col, host_col)
-    gone = F.coalesce(F.col("_r_removed"), F.lit(0))
-    left = joined.filter((F.col("n_words") - gone) >= F.lit(min_left) * F.col("n_words"))
-    bad = F.col("_r_bad")
-    shorter = F.array_join(
-        F.filter(F.split(text, "\n"), lambda x: ~F.coalesce(F.array_contains(bad, F.xxhash64(normal_line(x))), F.lit(False))), "\n"
+    if frequent.count() <= BROADCAST_LINES:
+        # A line counts only if a share of its host's documents hold it, so a host has few;
+        # with each host's list at hand no text is shuffled.
+        lists = frequent.groupBy(F.col("_host").alias("_r_host")).agg(F.collect_set("_line").alias("_r_bad"))
+        joined = based.join(F.broadcast(lists), F.col("_host").eqNullSafe(F.col("_r_host")), "left")
+    else:
+        joined = _join_removed(based, written(removed_lines(docs, frequent, id_col, text_col, host_col), "removed-lines"),
+                               "_id", "_host")
+    bad, own = F.col("_r_bad"), F.col(ROW)[text_col]
+    is_bad = lambda x: F.coalesce(F.array_contains(bad, F.xxhash64(normal_line(x))), F.lit(False))
+    gone = F.aggregate(
+        F.filter(lines_of(own), is_bad), F.lit(0).cast("long"), lambda n, x: n + F.size(words_of(x)).cast("long")
     )
-    return left.select(*[F.when(bad.isNull(), text).otherwise(shorter).alias(c) if c == text_col else F.col(f"`{c}`") for c in names])
+    left = joined.filter(bad.isNull() | ((F.col("n_words") - gone) >= F.lit(min_left) * F.col("n_words")))
+    kept = F.filter(F.split(own, "\n"), lambda x: ~is_bad(x))
+    return left.select(*row_columns(docs, **{text_col: F.when(bad.isNull(), own).otherwise(F.array_join(kept, "\n"))}))

@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.llm.common import encoded, ship_by_value, slices, text_digest
+from strata.llm.common import ROW, encoded, row_columns, ship_by_value, slices, text_digest
 
 ship_by_value(__name__)
 
@@ -79,7 +79,7 @@ def _runs(*columns: np.ndarray) -> np.ndarray:
 
 
 def _emit_seeds(batches: Iterator[pa.RecordBatch], window: int, seed: int) -> Iterator[pa.RecordBatch]:
-    for batch in slices(batches, "text", 4 << 20):
+    for batch in slices(batches, "text", 2 << 20):
         words = [t.split() for t in encoded(batch.column(1))]
         text, _, value, place = window_seeds(words, window, seed)
         at = _runs(text, place) if text.size else text  # the fragments that there may be
@@ -95,7 +95,7 @@ def _emit_seeds(batches: Iterator[pa.RecordBatch], window: int, seed: int) -> It
 
 def _emit_fragments(batches: Iterator[pa.RecordBatch], window: int, seed: int) -> Iterator[pa.RecordBatch]:
     """Input (id, digest, text, seeds, frequent); output (key, id, digest, start, words)."""
-    for batch in slices(batches, "text", 4 << 20):
+    for batch in slices(batches, "text", 2 << 20):
         batch = batch.filter(batch.column(3).is_valid())
         if not batch.num_rows:
             continue
@@ -256,7 +256,7 @@ def _finish(batches: Iterator[pa.RecordBatch], with_text: bool, names: list[str]
     n_removed, spans and the kept text (or its words' SHA-256)."""
     one_word = re.compile(rb"[^\x20\x09-\x0d]+")
     span_type = pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32())]))
-    for batch in slices(batches, "_text", 4 << 20):
+    for batch in slices(batches, "_text", 2 << 20):
         at = {c: i for i, c in enumerate(batch.schema.names)}
         texts = encoded(batch.column(at["_text"]))
         digests = batch.column(at["_digest"]).to_pylist()
@@ -296,11 +296,11 @@ def repeated_phrases(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 13, seed: int = SEED_WORDS,
     frequent: int = FREQUENT, block: int = BLOCK, with_text: bool = False,
 ) -> DataFrame:
-    """All columns of ``docs`` but the text, then _n_words, _n_removed, _spans
-    (word ranges removed) and _kept: SHA-256 of the kept words, or the kept text."""
+    """A struct of all columns of ``docs`` but the text, then _n_words, _n_removed,
+    _spans (word ranges removed) and _kept: SHA-256 of the kept words, or the kept text."""
     names = [c for c in docs.columns if c != text_col]
     held = docs.select(
-        *[F.col(f"`{c}`") for c in names], F.col(id_col).cast("long").alias("_id"),
+        F.struct(*[F.col(f"`{c}`") for c in names]).alias(ROW), F.col(id_col).cast("long").alias("_id"),
         text_digest(F.col(text_col)).alias("_digest"), F.col(text_col).cast("string").alias("_text"),
     )
     narrow = held.filter("_id is not null").select(F.col("_id").alias("id"), F.col("_text").alias("text"))
@@ -334,10 +334,8 @@ def repeated_phrases(
         *[F.col(f"`{c}`") for c in held.columns], "_marks"
     )
     made = {"_n_words": "long", "_n_removed": "long", "_spans": "array<struct<start:int,stop:int>>", "_kept": "string"}
-    schema = joined.select(
-        *[F.col(f"`{c}`") for c in names], *[F.lit(None).cast(kind).alias(c) for c, kind in made.items()]
-    ).schema
-    return joined.mapInArrow(lambda b: _finish(b, with_text, names), schema)
+    schema = joined.select(ROW, *[F.lit(None).cast(kind).alias(c) for c, kind in made.items()]).schema
+    return joined.mapInArrow(lambda b: _finish(b, with_text, [ROW]), schema)
 
 
 def drop_repeated_phrases(
@@ -346,4 +344,4 @@ def drop_repeated_phrases(
     """``docs`` with every repeated passage after its first document cut out of
     the texts; all columns and rows stay (a null text becomes empty)."""
     kept = repeated_phrases(docs, id_col, text_col, window, with_text=True, **options)
-    return kept.select(*[F.col("_kept").alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns])
+    return kept.select(*row_columns(docs, **{text_col: F.col("_kept")}))

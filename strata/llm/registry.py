@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import brown_lm, decontaminate, line_quality, phrase_dedup, piece_counts, ring_shard, simhash, toxic_crf, url_filter, window_pack
+from strata.llm import brown_lm, common, decontaminate, line_quality, phrase_dedup, piece_counts, ring_shard, simhash, toxic_crf, url_filter, window_pack
 from strata.plans.registry import Registered, table
 
 QUERIES: dict[str, Registered] = {}
@@ -206,7 +206,7 @@ def op4_phrase_automata(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of each document in 13-word windows that start in an earlier one too."""
     found = phrase_dedup.repeated_phrases(table(spark, sf_dir, "documents").select("doc_id", "text"), window=13)
     return found.select(
-        "doc_id", F.col("_n_words").alias("n_words"), F.col("_n_removed").alias("n_removed"),
+        f"{common.ROW}.doc_id", F.col("_n_words").alias("n_words"), F.col("_n_removed").alias("n_removed"),
         F.col("_kept").alias("kept_sha256"),
     )
 

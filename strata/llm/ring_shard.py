@@ -23,6 +23,8 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from strata.llm.common import ROW
+
 RING = 1 << 62
 ROWS_PER_CELL = 200_000
 MAX_CELLS = 1 << 16
@@ -73,12 +75,14 @@ def ring_shards(
     by a hash of the whole row, so rows that share a key spread over cells and
     the result does not depend on how the input is partitioned; equal rows are
     counted before they are shuffled and ranked together. Wide columns should
-    be joined on later: all columns of ``df`` are shuffled.
+    be joined on later: all columns of ``df`` are shuffled. Columns that have the
+    names of the two new ones are replaced.
     """
     spark = df.sparkSession
     nodes = virtual_nodes(shards, per_shard)
     ends, owners = [p for p, _ in nodes], [s for _, s in nodes]
-    columns = [F.col(f"`{c}`") for c in df.columns]
+    kept = [c for c in df.columns if c.lower() not in (shard_col.lower(), slot_col.lower())]
+    columns = [F.col(ROW)]
     # Lookup of a position's arc: for each even cut of the ring, the nodes before it and inside it.
     cuts = 4 * len(nodes)
     width = RING // cuts
@@ -89,8 +93,9 @@ def ring_shards(
     table.append((cuts, len(ends), []))  # the few positions past the last even cut
     lookup = F.broadcast(spark.createDataFrame(table, "_cut int, _first int, _inside array<long>"))
     placed = (
-        df.groupBy(*columns).agg(F.count("*").alias("_copies"))
-        .withColumn("_pos", F.xxhash64(*[F.col(f"`{c}`") for c in key_cols]).bitwiseAND(F.lit(RING - 1)))
+        df.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias(ROW))
+        .groupBy(ROW).agg(F.count("*").alias("_copies"))
+        .withColumn("_pos", F.xxhash64(*[F.col(ROW)[c] for c in key_cols]).bitwiseAND(F.lit(RING - 1)))
         .withColumn("_cut", F.expr(f"cast(_pos div {width} as int)"))
         .join(lookup, "_cut")
         # the arc past the last node wraps round to the first node
@@ -131,6 +136,6 @@ def ring_shards(
         .withColumn("_part", F.filter("_parts", lambda p: (p["a"] <= F.col("_n")) & (F.col("_n") < p["b"]))[0])
     )
     return ranked.select(
-        *columns, F.col("_part.shard").alias(shard_col),
+        *[F.col(ROW)[c].alias(c) for c in kept], F.col("_part.shard").alias(shard_col),
         (F.col("_part.base") + F.col("_n") - F.col("_part.a")).alias(slot_col),
     )

@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import encoded, ship_by_value, slices, text_digest, written
+from strata.llm.common import as_row, encoded, row_columns, ship_by_value, slices, text_digest, written
 from strata.llm.components import connected_components
 
 ship_by_value(__name__)
@@ -313,9 +313,8 @@ def drop_near_duplicates(
         copies.alias("c"), F.col("b.id").eqNullSafe(F.col("c.id")) & (F.col("b.digest") == F.col("c.digest"))
     ).select(F.col("b.id").alias("_id"), F.col("b.digest").alias("_d"), "n")
     best = written(best, "kept")
-    marked = docs.withColumn("_digest", text_digest(F.col(text_col)))
-    on = F.col(id_col).eqNullSafe(F.col("_id")) & (F.col("_digest") == F.col("_d"))
-    joined = marked.join(best, on)
-    once = joined.filter("n = 1").select(*[F.col(f"`{c}`") for c in docs.columns])
-    repeated = joined.filter("n > 1").dropDuplicates([id_col, "_digest"])
-    return once.unionByName(repeated.select(*[F.col(f"`{c}`") for c in docs.columns]))
+    marked = as_row(docs, F.col(id_col).alias("_own"), text_digest(F.col(text_col)).alias("_digest"))
+    joined = marked.join(best, F.col("_own").eqNullSafe(F.col("_id")) & (F.col("_digest") == F.col("_d")))
+    once = joined.filter("n = 1").select(*row_columns(docs))
+    repeated = joined.filter("n > 1").dropDuplicates(["_own", "_digest"]).select(*row_columns(docs))
+    return once.unionByName(repeated)

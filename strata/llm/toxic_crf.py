@@ -19,6 +19,7 @@ toxic labels (0 without labels). Repeated rows are scored alike.
 
 from __future__ import annotations
 
+import math
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -51,7 +52,8 @@ def longest(words: list[bytes]) -> bytes:
 
 def toxic_words(docs: list[list[bytes]], toxic: np.ndarray, share: float) -> set[bytes]:
     """Words that make a document likelier toxic than not at the labels' own
-    ``share``, held by at least 4 toxic documents and a fiftieth of them. Near
+    ``share``, by four standard deviations more often in toxic ones than chance
+    would have it, held by at least 4 toxic documents and a fiftieth of them. Near
     copies (texts with the same longest word) count as one document."""
     held: list[dict[bytes, set[bytes]]] = [defaultdict(set), defaultdict(set)]
     groups: list[set[bytes]] = [set(), set()]
@@ -67,8 +69,11 @@ def toxic_words(docs: list[list[bytes]], toxic: np.ndarray, share: float) -> set
     for w, own in held[1].items():
         k = len(own)
         if k >= max(4, 0.02 * n[1]):
-            clean = (len(held[0].get(w, ())) + 0.5) / (n[0] + 1)
-            if odds * k / (n[1] + 1) > clean:
+            others = len(held[0].get(w, ()))
+            chance = n[1] / sum(n)  # of a holder being toxic if the word said nothing
+            spread = math.sqrt((k + others) * chance * (1 - chance)) + 1e-9
+            surprising = k - (k + others) * chance > 4 * spread
+            if surprising and odds * k / (n[1] + 1) > (others + 0.5) / (n[0] + 1):
                 out.add(w)
     return out
 
