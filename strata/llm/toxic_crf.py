@@ -132,7 +132,7 @@ class Chain:
         f, b = self.messages(np.where(used, np.clip(self.evidence(ids), -30, 30), -30.0))
         return np.where(used, 1 / (1 + np.exp(-np.clip(f + b, -60, 60))), 0.0)
 
-    def fit(self, ids: np.ndarray, used: np.ndarray, labels: np.ndarray, rounds: int = 20, rate: float = 0.3) -> None:
+    def fit(self, ids: np.ndarray, used: np.ndarray, labels: np.ndarray, rounds: int = 40, rate: float = 0.5) -> None:
         """Gradient ascent (Adagrad) on the log-likelihood: seen minus expected features."""
         pair = used[:, 1:] & used[:, :-1]
         seen = np.array([[np.sum(pair & (labels[:, :-1] == a) & (labels[:, 1:] == b)) for b in (0, 1)] for a in (0, 1)])
