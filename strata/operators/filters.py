@@ -12,6 +12,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 from strata.functions.exprs import family_size
 
@@ -23,8 +24,11 @@ def isin_text(column: str, values: Sequence) -> Column:
     return F.col(column).cast("string").isin([str(v) for v in values])
 
 
-def in_range(column: str, lo: float, hi: float) -> Column:
-    """Inclusive numeric range on the leniently parsed value; nulls fail."""
+def in_range(column: str, lo: float, hi: float, numeric: bool = False) -> Column:
+    """Inclusive numeric range; nulls fail. A ``numeric`` column is compared as
+    it is, so that the range reaches the scan; else the value is leniently parsed."""
+    if numeric:
+        return F.col(column).between(F.lit(lo), F.lit(hi)) & F.col(column).isNotNull()
     v = F.col(column).cast("string").try_cast("double")
     return v.between(F.lit(lo), F.lit(hi)) & v.isNotNull()
 
@@ -64,7 +68,7 @@ class FilterSpec:
 
     def condition(self, df: DataFrame) -> Column:
         parts = [isin_text(c, v) for c, v in self.isin.items() if c in df.columns and v]
-        parts += [in_range(c, lo, hi) for c, (lo, hi) in self.ranges.items() if c in df.columns]
+        parts += [in_range(c, lo, hi, isinstance(df.schema[c].dataType, NumericType)) for c, (lo, hi) in self.ranges.items() if c in df.columns]
         if self.presence is not None:
             flag, source, wanted = self.presence
             parts.append(presence_status(df, flag, source) == F.lit(wanted))

@@ -95,7 +95,9 @@ def logistic_regression(n_weighted: float, c: float = 1.0, max_iter: int = 2000,
 def random_forest(num_trees: int = 500, min_leaf: int = 2, max_depth: int | None = None,
                   feature_subset: str = "sqrt", bootstrap: bool = True, seed: int = RANDOM_STATE,
                   **kw) -> RandomForestClassifier:
-    depth = MAX_TREE_DEPTH if max_depth is None else min(int(max_depth), MAX_TREE_DEPTH)
+    if max_depth is not None and max_depth > MAX_TREE_DEPTH:
+        raise ValueError(f"trees of more than {MAX_TREE_DEPTH} levels are not supported")
+    depth = MAX_TREE_DEPTH if max_depth is None else int(max_depth)
     return RandomForestClassifier(featuresCol="features", labelCol="label_idx", weightCol="weight",
                                   numTrees=num_trees, minInstancesPerNode=min_leaf, maxDepth=depth,
                                   featureSubsetStrategy=feature_subset, bootstrap=bootstrap, seed=seed,

@@ -40,10 +40,13 @@ def require_columns(df: DataFrame, required: Iterable[str], what: str = "input")
 
 def _integer_checks(column: str) -> tuple[Column, Column, Column]:
     raw = F.col(f"`{column}`")
-    as_double = raw.cast("string").try_cast("double")
+    text = raw.cast("string")
+    as_long, as_double = text.try_cast("long"), text.try_cast("double")
     bad_parse = raw.isNotNull() & as_double.isNull()
-    fractional = as_double.isNotNull() & (as_double != F.floor(as_double))
-    return as_double, bad_parse, fractional
+    fractional = as_long.isNull() & as_double.isNotNull() & (as_double != F.floor(as_double))
+    # integers never pass through double, which holds them only up to 2**53
+    exact = F.coalesce(as_long, text.try_cast("decimal(38,6)").try_cast("long"), as_double.try_cast("long"))
+    return exact, bad_parse, fractional
 
 
 def check_rules(df: DataFrame, rules: Sequence[tuple[str, Column, Column]], max_examples: int = 10) -> None:
@@ -100,7 +103,8 @@ def standardize_types(
     if strict:
         cols = dict(strict_integers(df, ints))
     else:
-        cols = {c: F.col(c).cast("string").try_cast("double").cast("long") for c in ints}
+        cols = {c: F.coalesce(F.col(c).cast("string").try_cast("long"),
+                              F.col(c).cast("string").try_cast("double").try_cast("long")) for c in ints}
     for c in doubles:
         if c in present:
             d = F.col(c).cast("string").try_cast("double")

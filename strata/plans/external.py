@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from strata.operators import harmonize as H
 from strata.operators import overlap as O
 from strata.operators import quality as Q
+from strata.session import cut_lineage
 
 
 @dataclass
@@ -43,14 +44,16 @@ def prepare_external(external: DataFrame, training: DataFrame, *, rule: str = "e
     O.overlap_mask(rule)  # unknown rules fail before any job runs
     Q.require_columns(training, ["Name", "Ticket"], "training data")
     clean = H.harmonize_external(external, spec)
-    audit = O.audit_overlap(clean, training, training_id=training_id, with_ids=False)
+    # harmonized and audited once; the summaries and writes below read the cut tables
+    clean = cut_lineage(clean)
+    audit = cut_lineage(O.audit_overlap(clean, training, training_id=training_id, with_ids=False))
     kept = O.nonoverlap(audit, rule)
     n_train = training.count()
     summary = summarize(clean, audit, n_train, H.class_filter_summary(external, spec), rule)
     if output_dir:
         clean.write.mode("overwrite").parquet(os.path.join(output_dir, "external_clean"))
         kept.write.mode("overwrite").parquet(os.path.join(output_dir, "external_nonoverlap"))
-        audit.write.mode("overwrite").option("header", True).csv(os.path.join(output_dir, "overlap_audit"))
+        audit.write.mode("overwrite").option("header", True).option("escape", '"').csv(os.path.join(output_dir, "overlap_audit"))
         from strata.sources.io import write_text_file
         write_text_file(external.sparkSession, os.path.join(output_dir, "external_overlap_summary.json"),
                         json.dumps(summary, indent=2, default=str))

@@ -108,11 +108,11 @@ def save_training_outputs(result: TrainingResult, output_dir: str) -> None:
     """Model (whole pipeline), comparison, tuning, holdout tables; the
     small metadata document is written as one JSON file."""
     result.model.write().overwrite().save(os.path.join(output_dir, "model"))
-    result.comparison.write.mode("overwrite").option("header", True).csv(os.path.join(output_dir, "model_comparison"))
+    result.comparison.write.mode("overwrite").option("header", True).option("escape", '"').csv(os.path.join(output_dir, "model_comparison"))
     if result.tuning is not None:
-        result.tuning.results.write.mode("overwrite").option("header", True).csv(
+        result.tuning.results.write.mode("overwrite").option("header", True).option("escape", '"').csv(
             os.path.join(output_dir, "search_results"))
-    result.holdout_report.write.mode("overwrite").option("header", True).csv(
+    result.holdout_report.write.mode("overwrite").option("header", True).option("escape", '"').csv(
         os.path.join(output_dir, "classification_report"))
     result.holdout_metrics.write.mode("overwrite").json(os.path.join(output_dir, "holdout_metrics"))
     from strata.sources.io import write_text_file
@@ -121,6 +121,10 @@ def save_training_outputs(result: TrainingResult, output_dir: str) -> None:
 
 
 def load_model(path: str) -> PipelineModel:
-    if not os.path.exists(path) and "://" not in path:
+    """The saved pipeline; the path is looked up in its own (Hadoop) filesystem."""
+    from pyspark.sql import SparkSession
+
+    from strata.sources.io import _exists
+    if not _exists(SparkSession.builder.getOrCreate(), path):
         raise FileNotFoundError(f"model not found: {path}")
     return PipelineModel.load(path)

@@ -75,7 +75,7 @@ def export_query(spark: SparkSession, q: NamedQuery, output_dir: str) -> Analysi
     df = q.build(spark)
     obs = Observation(f"rows_{q.name}")
     path = os.path.join(output_dir, q.name)
-    df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").option("header", True).csv(path)
+    df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
     rows = obs.get.get("rows", 0)
     return AnalysisResult(q.name, q.description, path, int(rows), len(df.columns), list(df.columns))
 

@@ -75,3 +75,20 @@ def test_row_numbers_after_shuffle(spark):
     df = spark.range(0, 500, numPartitions=4).groupBy((F.col("id") % 50).alias("k")).count()
     rows = with_row_number(df, "rn").collect()
     assert sorted(r.rn for r in rows) == list(range(1, 51))
+
+
+def test_integers_beyond_double_precision_stay_exact(spark):
+    from strata.operators import quality as Q
+    df = spark.createDataFrame([("9007199254740993",), ("9007199254740992",), ("7.0",), (None,)], "id string")
+    for strict in (True, False):
+        got = {r.id for r in Q.standardize_types(df, integers=["id"], strict=strict).collect()}
+        assert got == {9007199254740993, 9007199254740992, 7, None}
+
+
+def test_numeric_range_reaches_the_scan(spark, tmp_path):
+    from strata.operators.filters import FilterSpec, apply_filters
+    path = str(tmp_path / "t")
+    spark.range(100).selectExpr("id", "cast(id as double) v").write.parquet(path)
+    out = apply_filters(spark.read.parquet(path), FilterSpec(ranges={"v": (3, 5)}))
+    assert out.count() == 3
+    assert "GreaterThanOrEqual(v" in out._jdf.queryExecution().executedPlan().toString()
