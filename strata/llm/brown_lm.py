@@ -123,6 +123,13 @@ def _pair_counts(
     return rows.mapInArrow(run, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
 
 
+def _gathered(pair_counts: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(before, after, n) of a bounded table of pair counts, as plain arrays."""
+    table = pair_counts.toArrow()
+    pair = table["pair"].to_numpy()
+    return pair >> 32, pair & 0xFFFFFFFF, table["n"].to_numpy()
+
+
 def _xlogx(x: np.ndarray) -> np.ndarray:
     return x * np.log(np.maximum(x, 1e-300))
 
@@ -204,8 +211,10 @@ def train(
         if held + k > head:
             break
         least, held = n, held + k
-    top = [] if held == 0 else counts.filter(F.col("n") >= least).collect()
-    top = sorted(((int(r["n"]), bytes(r["word"])) for r in top), key=lambda x: (-x[0], x[1]))
+    top: list[tuple[int, bytes]] = []
+    if held:
+        table = counts.filter(F.col("n") >= least).toArrow()
+        top = sorted(zip(table["n"].to_pylist(), table["word"].to_pylist()), key=lambda x: (-x[0], x[1]))
     core, clustered = min(core, len(top)), min(clustered, len(top))
     number = {w: i for i, (_, w) in enumerate(top[:clustered])}
     core_numbers = {w: i for w, i in number.items() if i < core}
@@ -215,8 +224,8 @@ def train(
 
     shared = spark.sparkContext.broadcast((core_numbers, core, core_numbers.get(END, core)))
     pairs = np.zeros((core + 1, core + 1))
-    for pair, n in _pair_counts(rows, shared, neighbours).collect():  # at most (core + 1) squared numbers
-        pairs[pair >> 32, pair & 0xFFFFFFFF] = n
+    before, after, n = _gathered(_pair_counts(rows, shared, neighbours))  # at most (core + 1) squared numbers
+    pairs[before, after] = n
     core_class = exchange_classes(pairs, classes)
 
     # One exchange step for the words that follow: counts of (class before, word).
@@ -230,8 +239,8 @@ def train(
 
     shared = spark.sparkContext.broadcast((number, clustered, (class_of, number.get(END, clustered))))
     seen = np.zeros((clustered - core, classes + 1))
-    for pair, n in _pair_counts(rows, shared, context).collect():  # at most clustered * (classes + 1) numbers
-        seen[(pair & 0xFFFFFFFF) - core, pair >> 32] = n
+    before, after, n = _gathered(_pair_counts(rows, shared, context))  # at most clustered * (classes + 1) numbers
+    seen[after - core, before] = n
     hot = np.zeros((core + 1, classes + 1))
     hot[np.arange(core + 1), core_class] = 1
     table = hot.T @ pairs @ hot + 0.1
@@ -245,8 +254,8 @@ def train(
 
     shared = spark.sparkContext.broadcast((number, clustered, (class_of, number.get(END, clustered))))
     links = np.zeros((classes + 1, classes + 1))
-    for pair, n in _pair_counts(rows, shared, transitions).collect():  # at most (classes + 1) squared numbers
-        links[pair >> 32, pair & 0xFFFFFFFF] = n
+    before, after, n = _gathered(_pair_counts(rows, shared, transitions))  # at most (classes + 1) squared numbers
+    links[before, after] = n
     tokens_in, words_in = np.zeros(classes + 1), np.zeros(classes + 1)
     words: dict[bytes, tuple[int, int]] = {}
     for i, (n, w) in enumerate(top):
