@@ -214,10 +214,15 @@ def clean(
         joined = _join_removed(based, written(removed_lines(docs, frequent, id_col, text_col, host_col), "removed-lines"),
                                "_id", "_host")
     bad, own = F.col("_r_bad"), F.col(ROW)[text_col]
-    is_bad = lambda x: F.coalesce(F.array_contains(bad, F.xxhash64(normal_line(x))), F.lit(False))
+    lines = F.split(own, "\n")
+    over = F.transform(lines, lambda x: F.array_contains(bad, F.xxhash64(normal_line(x))))
+    marked = joined.withColumn("_over", F.when(bad.isNotNull(), over))  # each line is normalised once
     gone = F.aggregate(
-        F.filter(lines_of(own), is_bad), F.lit(0).cast("long"), lambda n, x: n + F.size(words_of(x)).cast("long")
+        F.filter(lines, lambda x, i: F.get("_over", i)), F.lit(0).cast("long"),
+        lambda n, x: n + F.size(words_of(x)).cast("long"),
     )
-    left = joined.filter(bad.isNull() | ((F.col("n_words") - gone) >= F.lit(min_left) * F.col("n_words")))
-    kept = F.filter(F.split(own, "\n"), lambda x: ~is_bad(x))
-    return left.select(*row_columns(docs, **{text_col: F.when(bad.isNull(), own).otherwise(F.array_join(kept, "\n"))}))
+    touched = F.coalesce(F.exists("_over", lambda x: x), F.lit(False))
+    enough = ~touched | ((F.col("n_words") - gone) >= F.lit(min_left) * F.col("n_words"))
+    left = marked.withColumn("_enough", enough & (F.monotonically_increasing_id() >= 0)).filter("_enough")
+    kept = F.filter(lines, lambda x, i: ~F.get("_over", i))
+    return left.select(*row_columns(docs, **{text_col: F.when(touched, F.array_join(kept, "\n")).otherwise(own)}))
