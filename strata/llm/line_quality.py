@@ -1,16 +1,12 @@
 """Quality rules by cross-document line frequency, in DataFrame operations only.
 
 Lines are normalised (A-Z lower-cased, blank runs to one space, trimmed) and
-hashed. Per host, documents are counted by a sketch of the whole text (its
-longest word and the word after it), so exact and near copies of a document
-count about once. A line is above the limits when it stands in more than
-``max(min_docs, share * documents of the host)`` distinct documents and these
-are at least half of the rows that hold it, so the lines of a large group of
-copies, whose rows are nearly all alike, are left alone. (Documents whose
-longest word stands in the line itself count as one, which errs on the side of
-keeping the line.) Such lines are
-removed, and a document is rejected when less than ``min_left`` of its words
-remain, or when a base rule fails.
+hashed. Per host, documents are counted by a digest of the whole text, so exact
+copies of a document count once. A line is above the limits when it stands in
+more than ``max(min_docs, share * documents of the host)`` distinct documents
+and these are at least half of the rows that hold it. Such lines are removed,
+and a document is rejected when less than ``min_left`` of its words remain, or
+when a base rule fails.
 
 Null and empty texts have no words and fail the base rule. A null host is a
 host of its own. Repeated rows are judged alike. An empty table gives no rows.
@@ -102,13 +98,6 @@ def with_base(docs: DataFrame, text_col: str) -> DataFrame:
     return step.withColumn("base_failed", failed)
 
 
-def sketch(text: Column) -> Column:
-    """Longest word of a text (ties: greatest word, then last place) and the word after it."""
-    words = words_of(text)
-    best = F.array_max(F.transform(words, lambda w, i: F.struct(F.length(w).alias("l"), w.alias("w"), i.alias("i"))))
-    return F.concat_ws(" ", best["w"], F.get(words, best["i"] + 1))
-
-
 def frequent_lines(
     docs: DataFrame, text_col: str = "text", host_col: str = "source", min_docs: int = MIN_DOCS, share: float = SHARE
 ) -> DataFrame:
@@ -116,9 +105,8 @@ def frequent_lines(
     host = F.col(host_col).cast("string")
     rows = docs.select(host.alias("_host"), F.col(text_col).alias("_text"))
     seen = (
-        rows.select("_host", "_text", F.xxhash64(sketch(F.col("_text"))).alias("_doc"))
-        .select(
-            "_host", "_doc",
+        rows.select(
+            "_host", text_digest(F.col("_text")).alias("_doc"),
             F.explode(F.array_distinct(F.transform(lines_of(F.col("_text")), lambda x: F.xxhash64(normal_line(x))))).alias("_line"),
         )
         # distinct documents first: a line or copy that fills a third of the rows is one row per task here

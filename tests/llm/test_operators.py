@@ -321,6 +321,15 @@ def test_line_quality(spark, empty, monkeypatch):
     assert line_quality.line_quality(empty)[0].count() == 0 and line_quality.clean(empty).count() == 0
 
 
+def test_line_quality_counts_documents_with_one_longest_word(spark):
+    rng = random.Random(8)
+    footer = "see https://example.org/a-very-long-address-on-every-page here"
+    rows = [(i, f"{sentence(rng, 40)}\n{footer}", "h") for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    assert {r.n_removed_words for r in line_quality.line_quality(docs)[0].collect()} == {3}
+    assert all(footer not in r.text for r in line_quality.clean(docs).collect())
+
+
 def test_line_quality_base_columns(docs):
     rows = line_quality.line_quality(docs)[0].collect()
     want = Counter()
