@@ -3,10 +3,10 @@
 Lines are normalised (A-Z lower-cased, blank runs to one space, trimmed) and
 hashed. Per host, documents are counted by a digest of the whole text, so exact
 copies of a document count once. A line is above the limits when it stands in
-more than ``max(min_docs, share * documents of the host)`` distinct documents
-and these are at least half of the rows that hold it. Such lines are removed,
-and a document is rejected when less than ``min_left`` of its words remain, or
-when a base rule fails.
+more than ``max(min_docs, share * documents of the host)`` distinct documents,
+however many copies some of them have. Such lines are removed, and a document is
+rejected when less than ``min_left`` of its words remain, or when a base rule
+fails.
 
 Null and empty texts have no words and fail the base rule. A null host is a
 host of its own. Repeated rows are judged alike. An empty table gives no rows.
@@ -110,9 +110,9 @@ def frequent_lines(
             F.explode(F.array_distinct(F.transform(lines_of(F.col("_text")), lambda x: F.xxhash64(normal_line(x))))).alias("_line"),
         )
         # distinct documents first: a line or copy that fills a third of the rows is one row per task here
-        .groupBy("_host", "_line", "_doc").agg(F.count("*").alias("_n"))
-        .groupBy("_host", "_line").agg(F.count("*").alias("_docs"), F.sum("_n").alias("_rows"))
-        .filter((F.col("_docs") > min_docs) & (F.col("_docs") * 2 >= F.col("_rows")))
+        .distinct()
+        .groupBy("_host", "_line").agg(F.count("*").alias("_docs"))
+        .filter(F.col("_docs") > min_docs)
     )
     hosts = rows.groupBy("_host").agg(F.count("*").alias("_all"))
     over = seen.join(hosts.withColumnRenamed("_host", "_h"), F.col("_host").eqNullSafe(F.col("_h")))

@@ -330,6 +330,18 @@ def test_line_quality_counts_documents_with_one_longest_word(spark):
     assert all(footer not in r.text for r in line_quality.clean(docs).collect())
 
 
+def test_line_quality_copies_do_not_shield_a_line(spark):
+    rng = random.Random(9)
+    footer = "all rights reserved"
+    texts = [f"{sentence(rng, 40)}\n{footer}" for _ in range(30)]
+    copy = f"{sentence(rng, 40)}\n{footer}"
+    rows = [(i, t, "h") for i, t in enumerate([*texts, *[copy] * 60])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    assert {r.n_removed_words for r in line_quality.line_quality(docs)[0].collect()} == {3}
+    left = {r.doc_id: r.text for r in line_quality.clean(docs).collect()}
+    assert left == {i: t.removesuffix(f"\n{footer}") for i, t, _ in rows}
+
+
 def test_line_quality_base_columns(docs):
     rows = line_quality.line_quality(docs)[0].collect()
     want = Counter()
