@@ -8,9 +8,11 @@ itself may be of any size.
 Classes. Exchange clustering of the ``core`` most frequent words: sweep by
 sweep each word moves to the class that raises the mutual information of
 neighbouring classes most, with all words outside the core as one class of
-their own. The next words, up to ``clustered``, then go in one exchange step to
-the class that best predicts them from the classes before them; all rarer words
-and unseen ones share the last class.
+their own. The next words up to ``clustered``, and all others that stand
+``least`` times or oftener, then go in one exchange step to the class that best
+predicts them from the classes before them: these counts are grouped by word
+over the corpus and never gathered. Rarer words and unseen ones share the last
+class. The driver holds the head and tables by class only.
 
 Score. P(w | v) = weight * P(class w | class v) * P(w | class w)
 + (1 - weight) * P(w); classes follow each other with counts smoothed towards
@@ -42,6 +44,7 @@ END = b"\n"  # no word holds a blank
 CLASSES = 48
 CORE = 1500
 CLUSTERED = 20_000
+LEAST = 5  # count from which every word has a class of its own choice
 HEAD = 200_000
 WEIGHT = 0.9
 PRIOR = 20.0
@@ -57,14 +60,18 @@ def _batches(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterato
         yield batch, encoded(batch.column(batch.schema.names.index(column)))
 
 
-def _numbers(texts: list[bytes], number: dict[bytes, int], other: int) -> np.ndarray:
-    """Word numbers of all texts in turn, the end after each."""
-    get, end = number.get, number.get(END, other)
-    out: list[int] = []
+def _flat(texts: list[bytes]) -> list[bytes]:
+    """The words of all texts in turn, the end after each."""
+    out: list[bytes] = []
     for text in texts:
-        out.extend([get(w, other) for w in words_of(text)])
-        out.append(end)
-    return np.array(out, np.int64)
+        out += words_of(text)
+        out.append(END)
+    return out
+
+
+def _numbers(words: list[bytes], number: dict[bytes, int], other: int) -> np.ndarray:
+    get = number.get
+    return np.array([get(w, other) for w in words], np.int64)
 
 
 def _before(numbers: np.ndarray, first: int) -> np.ndarray:
@@ -108,7 +115,7 @@ def _pair_counts(
             return value, np.bincount(at, np.concatenate(n_kept), value.size).astype(np.int64)
 
         for _, texts in _batches(batches):
-            value, n = np.unique(pairs(_numbers(texts, number, other), extra), return_counts=True)
+            value, n = np.unique(pairs(_numbers(_flat(texts), number, other), extra), return_counts=True)
             kept.append(value)
             n_kept.append(n)
             if sum(x.size for x in kept) > 4_000_000:
@@ -130,6 +137,126 @@ def _gathered(pair_counts: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarra
     return pair >> 32, pair & 0xFFFFFFFF, table["n"].to_numpy()
 
 
+def _context_counts(rows: DataFrame, shared: Broadcast) -> DataFrame:
+    """(word, before, n): each word outside the core by the core class before it
+    (the last class for words outside), counted."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words, class_of, core, size = shared.value  # head words in order; class of each core word and of all others
+        number = {w: i for i, w in enumerate(words)}
+        rare, classes = len(words), class_of[core]
+        end = number.get(END, rare)
+        found = np.zeros((0, 2), np.int64)
+        tail: Counter = Counter()
+
+        def out() -> pa.RecordBatch:
+            value, n = found[:, 0], found[:, 1]
+            keys = list(tail)
+            return pa.RecordBatch.from_arrays(
+                [pa.array([words[i] for i in (value // size).tolist()] + [w for w, _ in keys], pa.binary()),
+                 pa.array(np.concatenate((value % size, np.array([c for _, c in keys], np.int64)))),
+                 pa.array(np.concatenate((n, np.array(list(tail.values()), np.int64))))], names=["word", "before", "n"],
+            )
+
+        for _, texts in _batches(batches):
+            flat = _flat(texts)
+            numbers = _numbers(flat, number, rare)
+            before = class_of[np.minimum(_before(numbers, end), core)]
+            known = (numbers >= core) & (numbers < rare)
+            value, n = np.unique(numbers[known] * size + before[known], return_counts=True)
+            both = np.concatenate((found, np.stack((value, n), axis=1)))
+            value, at = np.unique(both[:, 0], return_inverse=True)
+            found = np.stack((value, np.bincount(at, both[:, 1], value.size).astype(np.int64)), axis=1)
+            at = np.nonzero(numbers == rare)[0]
+            tail.update(zip([flat[i] for i in at.tolist()], before[at].tolist()))
+            if len(tail) + len(found) > HELD:
+                yield out()
+                found, tail = found[:0], Counter()
+        yield out()
+
+    made = rows.mapInArrow(run, "word binary, before long, n long")
+    return made.groupBy("word", "before").agg(F.sum("n").alias("n"))
+
+
+def _word_classes(contexts: DataFrame, shared: Broadcast) -> DataFrame:
+    """(word, n, class): each word's count, and the class in which its contexts gain most."""
+    by_word = contexts.groupBy("word").agg(F.sum("n").alias("n"), F.collect_list(F.struct("before", "n")).alias("seen"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        logs = shared.value  # by class before and class
+        for batch in batches:
+            seen = np.zeros((batch.num_rows, logs.shape[0]))
+            at = np.repeat(np.arange(batch.num_rows), batch.column(2).value_lengths().to_numpy())
+            before, n = batch.column(2).flatten().flatten()
+            seen[at, before.to_numpy()] = n.to_numpy()
+            best = np.argmax((seen @ logs)[:, :-1], axis=1)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array(best.astype(np.int32))], names=["word", "n", "class"])
+
+    return by_word.mapInArrow(run, "word binary, n long, class int")
+
+
+def _class_of_tail(pairs: DataFrame, tail: DataFrame, side: str, other: int) -> DataFrame:
+    """``pairs`` with the class (and count) of the words on a side that stand
+    outside the head; rows without such a word do not meet the join."""
+    named, rest = pairs.filter(f"{side}_word is not null"), pairs.filter(f"{side}_word is null")
+    found = tail.select(F.col("word").alias("_word"), F.col("n").alias("_n"), F.col("class").alias("_class"))
+    joined = named.join(found, F.col(f"{side}_word") == F.col("_word"), "left")
+    joined = joined.withColumn(side, F.coalesce("_class", F.lit(other))).withColumn(f"{side}_count", F.coalesce("_n", F.lit(0)))
+    return joined.drop("_word", "_n", "_class", f"{side}_word").unionByName(
+        rest.withColumn(f"{side}_count", F.lit(None).cast("long")).drop(f"{side}_word")
+    )
+
+
+def _tail_pairs(
+    flat: list[bytes], numbers: np.ndarray, cls: np.ndarray, rare: int, end: int
+) -> tuple[np.ndarray, list[tuple]]:
+    """Places of the neighbours of which one or both stand outside the head, and
+    their (class, word) before and (class, word) after: a word only where outside."""
+    before = _before(numbers, end)
+    at = np.nonzero((numbers == rare) | (before == rare))[0]
+    return at, [
+        (*((None, flat[i - 1]) if v == rare else (v_class, None)), *((None, flat[i]) if w == rare else (w_class, None)))
+        for i, v, w, v_class, w_class in zip(
+            at.tolist(), before[at].tolist(), numbers[at].tolist(), cls[before[at]].tolist(), cls[numbers[at]].tolist())
+    ]
+
+
+PAIR = "a int, a_word binary, b int, b_word binary, n long"
+
+
+def _pair_columns(pairs: list[tuple], n: list[int]) -> list[pa.Array]:
+    a, a_word, b, b_word = zip(*pairs) if pairs else ((), (), (), ())
+    return [pa.array(a, pa.int32()), pa.array(a_word, pa.binary()), pa.array(b, pa.int32()), pa.array(b_word, pa.binary()),
+            pa.array(n, pa.int64())]
+
+
+def _class_pairs(rows: DataFrame, shared: Broadcast) -> DataFrame:
+    """(a, a_word, b, b_word, n): neighbours by class, by word where outside the head, counted."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words, cls, size = shared.value  # head words in order, the class of each and of all others
+        number = {w: i for i, w in enumerate(words)}
+        rare, end, names = len(words), number.get(END, len(words)), ["a", "a_word", "b", "b_word", "n"]
+        table = np.zeros(size * size, np.int64)
+        tail: Counter = Counter()
+        for _, texts in _batches(batches):
+            flat = _flat(texts)
+            numbers = _numbers(flat, number, rare)
+            before = _before(numbers, end)
+            known = (numbers != rare) & (before != rare)
+            table += np.bincount(cls[before[known]] * size + cls[numbers[known]], minlength=size * size)
+            tail.update(_tail_pairs(flat, numbers, cls, rare, end)[1])
+            if len(tail) > HELD:
+                yield pa.RecordBatch.from_arrays(_pair_columns(list(tail), list(tail.values())), names=names)
+                tail = Counter()
+        at = np.nonzero(table)[0].tolist()
+        both = [(i // size, None, i % size, None) for i in at] + list(tail)
+        yield pa.RecordBatch.from_arrays(_pair_columns(both, table[at].tolist() + list(tail.values())), names=names)
+
+    return rows.mapInArrow(run, PAIR)
+
+
 def _xlogx(x: np.ndarray) -> np.ndarray:
     return x * np.log(np.maximum(x, 1e-300))
 
@@ -187,6 +314,7 @@ class BrownModel:
                  words_in: np.ndarray, tokens_in: np.ndarray, weight: float) -> None:
         self.head, self.total, self.vocabulary = head, total, vocabulary
         self.other = links.shape[0] - 1
+        self.has_tail = vocabulary > len(head)
         share = (tokens_in + 1e-9) / (tokens_in.sum() + 1e-9 * tokens_in.size)
         follow = (links + PRIOR * share) / (links.sum(axis=1, keepdims=True) + PRIOR)
         size = tokens_in + words_in
@@ -198,26 +326,27 @@ class BrownModel:
 
 def train(
     rows: DataFrame, classes: int = CLASSES, core: int = CORE, clustered: int = CLUSTERED, head: int = HEAD,
-    weight: float = WEIGHT,
+    weight: float = WEIGHT, least: int = LEAST,
 ) -> tuple[BrownModel, DataFrame]:
-    """The model and the table of all counts, from the text column of ``rows``."""
+    """The model and the words outside its head (word, n, class), from the text column of ``rows``."""
     spark = rows.sparkSession
     counts = written(word_counts(rows), "word-counts")
     # How many words have each count: a small table, from which the head's least count follows.
     levels = sorted(map(tuple, counts.groupBy("n").agg(F.count("*")).collect()), reverse=True)
     total, vocabulary = sum(n * k for n, k in levels), sum(k for _, k in levels)
-    least, held = math.inf, 0
+    lowest, held = math.inf, 0
     for n, k in levels:
         if held + k > head:
             break
-        least, held = n, held + k
+        lowest, held = n, held + k
     top: list[tuple[int, bytes]] = []
     if held:
-        table = counts.filter(F.col("n") >= least).toArrow()
+        table = counts.filter(F.col("n") >= lowest).toArrow()
         top = sorted(zip(table["n"].to_pylist(), table["word"].to_pylist()), key=lambda x: (-x[0], x[1]))
     core, clustered = min(core, len(top)), min(clustered, len(top))
-    number = {w: i for i, (_, w) in enumerate(top[:clustered])}
-    core_numbers = {w: i for w, i in number.items() if i < core}
+    words = [w for _, w in top]
+    number = {w: i for i, w in enumerate(words)}
+    core_numbers = {w: i for i, w in enumerate(words[:core])}
 
     def neighbours(numbers: np.ndarray, end: int) -> np.ndarray:
         return _before(numbers, end) * (1 << 32) + numbers
@@ -228,48 +357,47 @@ def train(
     pairs[before, after] = n
     core_class = exchange_classes(pairs, classes)
 
-    # One exchange step for the words that follow: counts of (class before, word).
-    class_of = np.full(clustered + 1, classes)
-    class_of[:core] = core_class[:-1]
-
-    def context(numbers: np.ndarray, extra: tuple) -> np.ndarray:
-        by_number, end = extra
-        found = by_number[_before(numbers, end)] * (1 << 32) + numbers
-        return found[(numbers >= core) & (numbers < by_number.size - 1)]
-
-    shared = spark.sparkContext.broadcast((number, clustered, (class_of, number.get(END, clustered))))
-    seen = np.zeros((clustered - core, classes + 1))
-    before, after, n = _gathered(_pair_counts(rows, shared, context))  # at most clustered * (classes + 1) numbers
-    seen[after - core, before] = n
+    # One exchange step for the words that follow: counts of (class before, word), grouped by word.
     hot = np.zeros((core + 1, classes + 1))
     hot[np.arange(core + 1), core_class] = 1
     table = hot.T @ pairs @ hot + 0.1
-    if seen.size:
-        gains = seen @ np.log(table / table.sum(axis=0))
-        class_of[core:clustered] = np.argmax(gains[:, :classes], axis=1)
-
-    def transitions(numbers: np.ndarray, extra: tuple) -> np.ndarray:
-        by_number, end = extra
-        return by_number[_before(numbers, end)] * (1 << 32) + by_number[numbers]
-
-    shared = spark.sparkContext.broadcast((number, clustered, (class_of, number.get(END, clustered))))
+    logs = spark.sparkContext.broadcast(np.log(table / table.sum(axis=0)))
+    shared = spark.sparkContext.broadcast((words, core_class, core, classes + 1))
+    classed = written(_word_classes(_context_counts(rows, shared), logs), "word-classes")
+    class_of = np.full(len(top) + 1, classes)
+    class_of[:core] = core_class[:-1]
+    if len(top) > core:
+        table = classed.filter(F.col("n") >= lowest).toArrow()
+        for w, c in zip(table["word"].to_pylist(), table["class"].to_pylist()):
+            i = number.get(w, core)
+            if i >= core and (i < clustered or top[i][0] >= least):
+                class_of[i] = c
+    tail = classed.filter((F.col("n") < lowest) & (F.col("word") != F.lit(END)))
+    tail = tail.select("word", "n", F.when(F.col("n") >= least, F.col("class")).otherwise(classes).alias("class"))
+
+    shared = spark.sparkContext.broadcast((words, class_of, classes + 1))
+    found = written(_class_pairs(rows, shared), "class-pairs")
+    for side in ("a", "b"):
+        found = _class_of_tail(found, tail, side, classes)
+    table = found.groupBy("a", "b").agg(F.sum("n").alias("n")).toArrow()  # at most (classes + 1) squared rows
     links = np.zeros((classes + 1, classes + 1))
-    before, after, n = _gathered(_pair_counts(rows, shared, transitions))  # at most (classes + 1) squared numbers
-    links[before, after] = n
+    links[table["a"].to_numpy(), table["b"].to_numpy()] = table["n"].to_numpy()
     tokens_in, words_in = np.zeros(classes + 1), np.zeros(classes + 1)
-    words: dict[bytes, tuple[int, int]] = {}
-    for i, (n, w) in enumerate(top):
-        c = int(class_of[i]) if i < clustered else classes
-        words[w] = (n, c)
+    for c, n, k in tail.groupBy("class").agg(F.sum("n"), F.count("*")).collect():
+        tokens_in[c] += n
+        words_in[c] += k
+    known: dict[bytes, tuple[int, int]] = {}
+    for (n, w), c in zip(top, class_of.tolist()):
+        known[w] = (n, c)
         tokens_in[c] += n
         words_in[c] += 1
-    tokens_in[classes] += total - sum(n for n, _ in top)
-    words_in[classes] += vocabulary - len(top)
-    return BrownModel(words, total, vocabulary, links, words_in, tokens_in, weight), counts
+    tokens_in[classes] += total - tokens_in.sum()
+    words_in[classes] += vocabulary - words_in.sum()
+    return BrownModel(known, total, vocabulary, links, words_in, tokens_in, weight), tail
 
 
 def score(
-    docs: DataFrame, model: BrownModel, counts: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+    docs: DataFrame, model: BrownModel, tail: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     carried: tuple[str, ...] = (),
 ) -> DataFrame:
     """One row per row of ``docs``: id, the ``carried`` columns, n_tokens,
@@ -289,58 +417,56 @@ def score(
         count = np.array([n for n, _ in own.head.values()] + [0], np.float64)
         cls = np.array([c for _, c in own.head.values()] + [own.other], np.int64)
         log_count = np.log10(count + 1)
-        end = number.get(END, count.size - 1)
-        get, rare = number.get, count.size - 1
+        rare = count.size - 1
+        end = number.get(END, rare)
+        empty = [pa.nulls(0, t) for t in (pa.int32(), pa.binary(), pa.int32(), pa.binary())]
+        columns = ["row", *names, "n", "n_known", "counts", "links", "a", "a_word", "b", "b_word"]
         for batch, texts in _batches(batches):
-            ids: list[int] = []
-            sizes, tail_row, tail_word, tail_n = [], [], [], []
-            row_ids = batch.column(0).to_pylist()
-            for row, text in zip(row_ids, texts):
-                words = words_of(text)
-                numbers = [get(w, rare) for w in words]
-                ids += numbers
-                ids.append(end)
-                sizes.append(len(words) + 1)
-                if rare in numbers:
-                    found = Counter([w for w, i in zip(words, numbers) if i == rare])
-                    tail_row += [row] * len(found)
-                    tail_word += found
-                    tail_n += found.values()
-            flat, size = np.array(ids, np.int64), np.array(sizes, np.int64)
+            size = np.array([len(words_of(t)) + 1 for t in texts], np.int64)
+            words = _flat(texts)
+            flat = _numbers(words, number, rare)
             first = np.cumsum(size) - size
             linked = own.link[cls[_before(flat, end)], cls[flat]]
-            sums = [np.add.reduceat(x, first) for x in (log_count[flat], linked, (flat != rare).astype(np.int64))] if len(texts) else [np.zeros(0)] * 3
-            none, n = pa.nulls(len(texts), pa.binary()), len(tail_row)
+            at, pairs = _tail_pairs(words, flat, cls, rare, end) if own.has_tail else (flat[:0], [])
+            linked[at] = 0
+            sums = [np.add.reduceat(x, first) for x in (log_count[flat], linked, (count[flat] > 0).astype(np.int64))] if texts else [np.zeros(0)] * 3
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), *(batch.column(1 + i) for i in range(len(names))), pa.array(size), pa.array(sums[2].astype(np.int64)),
-                 pa.array(sums[0]), pa.array(sums[1]), none], names=["row", *names, "n", "n_known", "counts", "links", "word"],
+                 pa.array(sums[0]), pa.array(sums[1]), *(pa.nulls(len(texts), x.type) for x in empty)], names=columns,
             )
-            if n:
+            found = Counter(zip(np.repeat(batch.column(0).to_numpy(), size)[at].tolist(), pairs))
+            if n := len(found):
+                *sides, times = _pair_columns([p for _, p in found], list(found.values()))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(tail_row, pa.int64()), *(pa.nulls(n, batch.column(1 + i).type) for i in range(len(names))),
-                     pa.array(tail_n, pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.float64()),
-                     pa.nulls(n, pa.float64()), pa.array(tail_word, pa.binary())],
-                    names=["row", *names, "n", "n_known", "counts", "links", "word"],
+                    [pa.array([r for r, _ in found], pa.int64()), *(pa.nulls(n, batch.column(1 + i).type) for i in range(len(names))),
+                     times, pa.nulls(n, pa.int64()), pa.nulls(n, pa.float64()), pa.nulls(n, pa.float64()), *sides], names=columns,
                 )
 
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in lead)
-    # One pass gives the documents' rows and, with a word, the rows of words outside the head.
-    made = written(
-        rows.mapInArrow(run, f"row long, {kinds}, n long, n_known long, counts double, links double, word binary"), "scored"
-    )
-    tail = (
-        made.filter("word is not null").select("row", "n", "word")
-        .join(counts.select("word", F.col("n").alias("c")), "word")
-        .groupBy("row").agg(F.sum(F.col("n") * F.log10(F.col("c") + 1)).alias("more"), F.sum("n").alias("also"))
-        .withColumnRenamed("row", "_row")
+    # One pass gives the documents' rows and, without n_known, the neighbours with a word outside the head.
+    made = written(rows.mapInArrow(
+        run, f"row long, {kinds}, n long, n_known long, counts double, links double, a int, a_word binary, b int, b_word binary"
+    ), "scored")
+    found = made.filter("n_known is null").select("row", "n", "a", "a_word", "b", "b_word")
+    for side in ("a", "b"):
+        found = _class_of_tail(found, tail, side, model.other)
+    link = spark.createDataFrame(
+        [(a, b, float(x)) for (a, b), x in np.ndenumerate(model.link)], "_a int, _b int, _link double")
+    more = (
+        found.join(F.broadcast(link), (F.col("a") == F.col("_a")) & (F.col("b") == F.col("_b")))
+        .groupBy(F.col("row").alias("_row")).agg(
+            F.sum(F.col("n") * F.log10(F.coalesce("b_count", F.lit(0)) + 1)).alias("_counts"),
+            F.sum(F.col("n") * F.col("_link")).alias("_links"),
+            F.sum(F.when(F.col("b_count") > 0, F.col("n")).otherwise(0)).alias("_known"),
+        )
     )
-    own = made.filter("word is null").join(tail, F.col("row") == F.col("_row"), "left")
-    logs = F.col("counts") + F.coalesce("more", F.lit(0.0))
+    own = made.filter("n_known is not null").join(more, F.col("row") == F.col("_row"), "left")
+    logs = F.col("counts") + F.coalesce("_counts", F.lit(0.0))
     return own.select(
         *[F.col(f"`{c}`") for c in names], F.col("n").alias("n_tokens"),
-        (F.col("n_known") + F.coalesce("also", F.lit(0))).alias("n_known"),
+        (F.col("n_known") + F.coalesce("_known", F.lit(0))).alias("n_known"),
         F.lit(model.total).cast("long").alias("train_tokens"),
-        (logs + F.col("n") * math.log10(model.uniform)).alias("base_score"), (logs + F.col("links")).alias("score"),
+        (logs + F.col("n") * math.log10(model.uniform)).alias("base_score"), (logs + F.col("links") + F.coalesce("_links", F.lit(0.0))).alias("score"),
     )
 
 
@@ -349,5 +475,5 @@ def score_corpus(
 ) -> DataFrame:
     """Trains on the rows for which ``held_out`` is false and scores all."""
     marked = docs.select(F.col(id_col), F.col(text_col), F.coalesce(held_out, F.lit(False)).alias("held_out"))
-    model, counts = train(marked.filter("not held_out").select(F.col(text_col).cast("string").alias("text")), **options)
-    return score(marked, model, counts, id_col, text_col, carried=("held_out",))
+    model, tail = train(marked.filter("not held_out").select(F.col(text_col).cast("string").alias("text")), **options)
+    return score(marked, model, tail, id_col, text_col, carried=("held_out",))

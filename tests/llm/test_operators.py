@@ -75,6 +75,25 @@ def test_brown_lm(spark, docs, empty):
     assert nothing == 0
 
 
+def test_brown_words_outside_the_head_have_classes(spark):
+    rng = random.Random(7)
+    rows = []
+    for i in range(400):
+        pairs = [f"{side}{rng.randrange(4)} {side}word{int(60 * rng.random() ** 2)}" for side in rng.choices("xy", k=10)]
+        rows.append((i, " ".join(pairs)))
+    rows += [(1000, "x0 xword40"), (1001, "x0 yword40"), (1002, "xword40 x0 unseen xword50"), (1003, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    held_out = F.col("doc_id") >= 1000
+    got = [
+        {r.id: r for r in brown_lm.score_corpus(docs, held_out, classes=8, core=30, clustered=30, head=head).collect()}
+        for head in (40, 80, 1000)
+    ]
+    right, wrong = got[0][1000], got[0][1001]
+    assert right.score - right.base_score > wrong.score - wrong.base_score + 1
+    for other in got[1:]:  # what is broadcast and what is joined changes nothing
+        assert all(got[0][i].n_known == r.n_known and got[0][i].score == pytest.approx(r.score) for i, r in other.items())
+
+
 def test_brown_probabilities_add_up(spark):
     rows = spark.createDataFrame([(t,) for t in ["a b a c", "b a b d e", "a a f"] * 3], "text string")
     model, _ = brown_lm.train(rows, classes=3, core=4, clustered=6, head=100)
