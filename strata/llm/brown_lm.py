@@ -2,7 +2,7 @@
 
 Counting. Every training word is counted over the whole corpus. Words at or
 above a count that at most ``head`` words reach are the head, whose counts are
-broadcast (a bounded table); the others are met by a join, so the vocabulary
+broadcast (a bounded table, always with the end); the others are met by a join, so the vocabulary
 itself may be of any size.
 
 Classes. Exchange clustering of the ``core`` most frequent words: sweep by
@@ -343,6 +343,9 @@ def train(
     if held:
         table = counts.filter(F.col("n") >= lowest).toArrow()
         top = sorted(zip(table["n"].to_pylist(), table["word"].to_pylist()), key=lambda x: (-x[0], x[1]))
+    ends = counts.filter(F.col("word") == F.lit(END)).first()
+    if ends and all(w != END for _, w in top):
+        top.append((ends["n"], END))  # every text has an end: it is in the head whatever its rank
     core, clustered = min(core, len(top)), min(clustered, len(top))
     words = [w for _, w in top]
     number = {w: i for i, w in enumerate(words)}
@@ -367,7 +370,7 @@ def train(
     class_of = np.full(len(top) + 1, classes)
     class_of[:core] = core_class[:-1]
     if len(top) > core:
-        table = classed.filter(F.col("n") >= lowest).toArrow()
+        table = classed.filter((F.col("n") >= lowest) | (F.col("word") == F.lit(END))).toArrow()
         for w, c in zip(table["word"].to_pylist(), table["class"].to_pylist()):
             i = number.get(w, core)
             if i >= core and (i < clustered or top[i][0] >= least):

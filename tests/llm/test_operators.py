@@ -94,6 +94,14 @@ def test_brown_words_outside_the_head_have_classes(spark):
         assert all(got[0][i].n_known == r.n_known and got[0][i].score == pytest.approx(r.score) for i, r in other.items())
 
 
+@pytest.mark.parametrize("head", [3, 4])
+def test_brown_end_is_known_whatever_its_rank(spark, head):
+    docs = spark.createDataFrame([(i, "a b c d " * 50) for i in range(3)], "doc_id long, text string")
+    for r in brown_lm.score_corpus(docs, F.col("doc_id") == 2, classes=2, core=4, clustered=4, head=head).collect():
+        want = 200 * math.log10(101 / 408) + math.log10(3 / 408)
+        assert (r.n_tokens, r.n_known) == (201, 201) and r.base_score == pytest.approx(want)
+
+
 def test_brown_probabilities_add_up(spark):
     rows = spark.createDataFrame([(t,) for t in ["a b a c", "b a b d e", "a a f"] * 3], "text string")
     model, _ = brown_lm.train(rows, classes=3, core=4, clustered=6, head=100)
