@@ -9,7 +9,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import brown_lm, common, decontaminate, line_quality, phrase_dedup, piece_counts, ring_shard, simhash, toxic_crf, url_filter, window_pack
+from strata.llm import (
+    brown_lm, common, cover_codes, decontaminate, line_quality, phrase_dedup, piece_counts, ring_shard, simhash,
+    toxic_crf, url_filter, window_pack,
+)
 from strata.plans.registry import Registered, table
 
 QUERIES: dict[str, Registered] = {}
@@ -216,3 +219,45 @@ def op1_brown_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Score of every document under a class bigram model of those not held out."""
     held_out = F.crc32(F.col("doc_id").cast("string")) % 7 == 2
     return brown_lm.score_corpus(table(spark, sf_dir, "documents"), held_out).withColumnRenamed("id", "doc_id")
+
+
+def _codes_oracle(parts: int = 16, entries: int = 64, rounds: int = 2) -> str:
+    """Plain Lloyd rounds in long form: a row for each (vector, part, place in the part)."""
+    steps = [f"""
+WITH kept AS (SELECT row_number() OVER () AS r, vec_id, label, embedding,
+        list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v
+    FROM embeddings WHERE embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+cells AS (SELECT r, (i - 1) // (len(v) // {parts}) AS p, (i - 1) % (len(v) // {parts}) AS d, v[i] AS x
+    FROM (SELECT r, v, unnest(range(1, len(v) + 1)) AS i FROM kept)),
+first AS (SELECT r, row_number() OVER (ORDER BY vec_id, embedding) - 1 AS e FROM kept WHERE vec_id IS NOT NULL
+    QUALIFY e < {entries}),
+book0 AS (SELECT p, e, d, x FROM cells JOIN first USING (r))"""]
+    for k in range(rounds + 1):
+        steps.append(f"""near{k} AS (SELECT r, p, min(gap)::BIGINT AS gap, arg_min(e, gap * {entries} + e) AS e FROM (
+    SELECT r, p, e, sum((c.x - b.x) * (c.x - b.x)) AS gap FROM cells c JOIN book{k} b USING (p, d) GROUP BY r, p, e)
+    GROUP BY r, p)""")
+        if k < rounds:
+            steps.append(f"""book{k + 1} AS (SELECT b.p, b.e, b.d, coalesce(m.x, b.x) AS x FROM book{k} b LEFT JOIN (
+    SELECT p, e, d, floor(sum(x)::DOUBLE / count(*))::BIGINT AS x FROM near{k} JOIN cells USING (r, p) GROUP BY p, e, d) m
+    USING (p, e, d))""")
+    steps.append(f"""coded AS (SELECT r, string_agg(printf('%02x', e), '' ORDER BY p) AS code, sum(gap)::BIGINT AS error
+    FROM near{rounds} GROUP BY r),
+books AS (SELECT sha256(string_agg(x::VARCHAR, ',' ORDER BY p, e, d)) AS codebooks_sha256 FROM book{rounds})
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256
+FROM kept JOIN coded USING (r), books""")
+    return ",\n".join(steps)
+
+
+@query("op12_cover_codes", _codes_oracle())
+def op12_cover_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """16-byte codes of all vectors, 64 entries a part, two rounds."""
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "label", "embedding")
+    found, books = cover_codes.vector_codes(vectors, "vec_id", "embedding", parts=16, entries=64, rounds=2)
+    numbers = ",".join(str(x) for book in books for entry in book for x in entry)
+    coded = common.written(found.select(f"{common.ROW}.*", "code", "error"), "vector-codes")
+    of_label = coded.groupBy(F.col("label").alias("_label")).agg(F.sum("error").alias("label_error"))
+    return coded.join(of_label, F.col("label").eqNullSafe(F.col("_label"))).select(
+        "vec_id", "code", "error", "label_error",
+        F.sha2(F.lit(numbers).cast("binary"), 256).alias("codebooks_sha256"),
+    )
