@@ -10,8 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.llm import (
-    brown_lm, common, cover_codes, decontaminate, line_quality, phrase_dedup, piece_counts, ring_shard, simhash,
-    toxic_crf, url_filter, window_pack,
+    brown_lm, common, cover_codes, decontaminate, line_quality, phrase_dedup, piece_counts, recompress, ring_shard, simhash,
+    toxic_crf, url_filter, warc_index, window_pack,
 )
 from strata.plans.registry import Registered, table
 
@@ -261,3 +261,50 @@ def op12_cover_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
         "vec_id", "code", "error", "label_error",
         F.sha2(F.lit(numbers).cast("binary"), 256).alias("codebooks_sha256"),
     )
+
+
+_ARCHIVE_ORACLE = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+q AS (SELECT *, strlen(html) AS size, max(page_id) OVER (PARTITION BY html) AS newest FROM p)
+SELECT page_id, size::BIGINT AS payload_bytes, sha1(html) AS payload_digest,
+    CASE WHEN size >= 1000 AND page_id < newest THEN 'revisit' ELSE 'response' END AS record_type,
+    CASE WHEN size >= 1000 AND page_id < newest THEN newest END AS refers_to
+FROM q"""
+
+
+@query("op13_warc_index", _ARCHIVE_ORACLE)
+def op13_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages to WARC files, and every record read back by the index."""
+    index = warc_index.write_archives(table(spark, sf_dir, "pages"), "page_id", "url", "html", revisit_from=1000)
+    return warc_index.read_records(index, payload=False).select(
+        F.col("id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
+def _with_planted_period(docs: DataFrame) -> DataFrame:
+    """The contract's texts: where crc32(doc_id) % 10 is 0, words from a on repeat with period p."""
+    g = F.expr("_h div 10")
+    words = F.when(F.col("_h") % 10 == 0, F.filter(F.split("text", f"[{common.BLANK_CLASS}]+"), lambda w: w != ""))
+    cut = docs.withColumn("_h", F.crc32(F.col("doc_id").cast("string"))).withColumn("_words", words)
+    cut = cut.withColumn("_n", F.size("_words").cast("long")).withColumn("_a", F.when(F.col("_n") > 0, g % F.col("_n")))
+    cut = cut.withColumn("_p", F.expr("1 + (_n - _a) div (3 + (_h div 10) % 8)"))
+    tail = F.expr("slice(flatten(array_repeat(slice(_words, int(_a + 1), int(_p)), int((_n - _a) div _p + 1))), 1, int(_n - _a))")
+    planted = F.array_join(F.concat(F.expr("slice(_words, 1, int(_a))"), tail), " ")
+    return cut.select("doc_id", F.coalesce(planted, F.col("text")).alias("text"))
+
+
+@query("op11_recompression_runs")
+def op11_recompression_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of all documents' words, and the texts without their repeats."""
+    docs = _with_planted_period(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    found = recompress.find_runs(docs, exponent=4, least=6)
+    # the greatest length; then the smallest start, then period
+    longest = F.array_max(F.transform("runs", lambda r: F.struct(r["length"], -r["start"], -r["period"])))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return found.select(f"{common.ROW}.doc_id", "runs", "collapsed", longest.alias("best"), lines.alias("lines")).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("best.col2")).alias("start"),
+        F.col("best.length").alias("length"), (-F.col("best.col3")).alias("period"),
+        F.expr("1000 * best.length div -best.col3").alias("exponent_milli"),
+        F.sha2(F.array_join("lines", "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )

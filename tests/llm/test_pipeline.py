@@ -24,7 +24,7 @@ def test_stages(spark):
 
 def test_oracles(spark):
     db = duckdb.connect()
-    for name in ("documents", "benchmark", "pages"):
+    for name in ("documents", "benchmark", "pages", "embeddings"):
         db.execute(f"CREATE VIEW {name} AS SELECT * FROM '{SF}/{name}.parquet'")
     for name, reg in QUERIES.items():
         if reg.oracle:
@@ -38,4 +38,4 @@ def test_oracles(spark):
 
 
 def test_names():
-    assert {n.split("_")[0] for n in QUERIES} == {f"op{k}" for k in range(1, 11)}
+    assert {n.split("_")[0] for n in QUERIES} == {f"op{k}" for k in range(1, 14)}
