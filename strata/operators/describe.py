@@ -17,7 +17,7 @@ from pyspark.sql.types import NumericType
 
 from strata.functions.exprs import ColumnOrName, _col, bin_column, pct
 from strata.operators.cohort import _totals_join
-from strata.operators.quantiles import per_group, quantiles_long, quantiles_wide
+from strata.operators.quantiles import per_group, quantiles_long, quantiles_wide, quoted, text_literal
 
 PERCENTILES = (0.25, 0.5, 0.75)
 
@@ -155,21 +155,20 @@ def describe_numeric(
     One aggregate computes the moments of every column (``inline`` makes
     the wide row long); the percentiles of all columns are narrowed together."""
     pnames = [_pname(p) for p in percentiles]
-    one_pass = bool(accuracy)  # approximate percentiles join the moments in one aggregate
-    aggs = []
+    aggs, rows = [], []
     for i, c in enumerate(columns):
-        v = F.col(f"`{c}`").cast("double")
-        v = F.when(~F.isnan(v), v)
-        aggs += [F.count(v).alias(f"n{i}"), F.avg(v).alias(f"m{i}"), F.stddev_samp(v).alias(f"s{i}"),
-                 F.min(v).alias(f"lo{i}"), F.max(v).alias(f"hi{i}")]
-        if one_pass:
-            aggs.append(F.percentile_approx(v, list(percentiles), accuracy).alias(f"q{i}"))
-    rows = [F.struct(F.lit(c).alias("column"), F.col(f"n{i}").alias("count"), F.col(f"m{i}").alias("mean"),
-                     F.col(f"s{i}").alias("std"), F.col(f"lo{i}").alias("min"), F.col(f"hi{i}").alias("max"),
-                     *([F.col(f"q{i}")[j].alias(n) for j, n in enumerate(pnames)] if one_pass else []))
-            for i, c in enumerate(columns)]
-    out = df.agg(*aggs).select(F.inline(F.array(*rows)))
-    if not one_pass:
+        v = f"nanvl(double({quoted(c)}), NULL)"
+        names = ["count", "mean", "std", "min", "max"]
+        measures = [f"count({v})", f"avg({v})", f"stddev_samp({v})", f"min({v})", f"max({v})"]
+        if accuracy:  # approximate percentiles join the moments in one aggregate
+            q = f"percentile_approx({v}, array({', '.join(map(repr, percentiles))}), {accuracy})"
+            names += pnames
+            measures += [f"{q}[{j}]" for j in range(len(pnames))]
+        aggs += [f"{m} AS _{i}_{j}" for j, m in enumerate(measures)]
+        rows.append(f"named_struct('column', {text_literal(c)}, " + ", ".join(
+            f"'{n}', _{i}_{j}" for j, n in enumerate(names)) + ")")
+    out = df.agg(*map(F.expr, aggs)).selectExpr(f"inline(array({', '.join(rows)}))")
+    if not accuracy:
         out = out.join(quantiles_wide(df, columns, percentiles, pnames), "column", "left")
     rd = lambda c: F.round(F.col(c), decimals).alias(c)
     return out.select("column", "count", rd("mean"), rd("std"), rd("min"), *[rd(n) for n in pnames], rd("max"))

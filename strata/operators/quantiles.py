@@ -1,46 +1,73 @@
 """Exact quantiles (linear interpolation, as pandas/numpy and Spark's
-``percentile``) without gathering a group's values in one task.
+``percentile``) without sorting values or gathering a group in one task.
 
 ``percentile``/``median`` merge a value->count map of every distinct value
 into a single task per group, which does not scale to a hot group or a
-high-cardinality column. Here, at every size, one aggregate brackets each
-quantile by two approximate ones, a second counts exactly how many values lie
-below and inside each bracket, and only the (pre-aggregated) values inside it
-are put in order. Several columns are handled in one pass by unpivoting them
-into (column, value) rows. ``accuracy`` switches to ``percentile_approx``
-(one pass, bounded memory) when an approximation is acceptable.
+high-cardinality column. Here the wanted ranks are narrowed by radix, at every
+size. A first aggregate counts the values in cells of their leading bits (sign,
+exponent and the first ten of the mantissa), all columns and groups together;
+running sums over the cells tell which cell holds each wanted rank. A cell whose
+least and greatest value are equal gives its rank's value; the others are cut
+into 65,536 parts and counted again, until none is left (a double has no bits
+for more than three such rounds; two-decimal amounts take one). Only counts of
+cells are shuffled. ``accuracy`` switches to ``percentile_approx`` (one pass,
+bounded memory) when an approximation is acceptable.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from strata.session import cut_lineage
 
-# A per-group table of at most this many rows is broadcast to the rows (which
-# keeps few or hot groups from being shuffled); a larger one is joined by key.
+# A per-group table of at most this many rows is held as local rows and
+# broadcast (which keeps few or hot groups from being shuffled); a larger one
+# is a table of the cluster and joined by key.
 BROADCAST_GROUPS = 100_000
-# Accuracy of the bracketing: a bracket holds about six rows in this many.
-BRACKETING = 10_000
+# Cells per power of two in the first round, and per unsettled cell later.
+FIRST_CELLS = 1 << 10
+CELLS = 1 << 16
+
+
+def local_rows(table: DataFrame) -> pa.Table | None:
+    """The rows of a per-group table if there are few enough to hold, else None."""
+    rows = table.limit(BROADCAST_GROUPS + 1).toArrow()
+    return rows if rows.num_rows <= BROADCAST_GROUPS else None
 
 
 def per_group(table: DataFrame) -> DataFrame:
-    """A small per-group table, computed once, with a broadcast hint if its
-    checked size allows one."""
-    table = cut_lineage(table)
-    return F.broadcast(table) if table.count() <= BROADCAST_GROUPS else table
+    """A small per-group table, computed once: local rows with a broadcast hint
+    if their checked number allows it, else a table cut from its lineage."""
+    rows = local_rows(table)
+    if rows is None:
+        return cut_lineage(table)
+    return F.broadcast(table.sparkSession.createDataFrame(rows, table.schema))
+
+
+def quoted(name: str) -> str:
+    """A column name for SQL text."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def text_literal(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
 def _long(df: DataFrame, columns: Sequence[str], by: Sequence[str]) -> DataFrame:
-    pairs = [F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").cast("double").alias("v")) for c in columns]
-    long = df.select(*[F.col(b) for b in by], F.inline(F.array(*pairs)))
-    return long.filter(F.col("v").isNotNull() & ~F.isnan("v"))
+    pairs = ", ".join(f"named_struct('column', {text_literal(c)}, 'v', double({quoted(c)}))" for c in columns)
+    long = df.select(*[F.col(b) for b in by], F.expr(f"inline(array({pairs}))"))
+    return long.filter("v IS NOT NULL AND NOT isnan(v)")
 
 
-def quantiles_long(
+def quantile_arrays(
     df: DataFrame,
     columns: Sequence[str],
     ps: Sequence[float],
@@ -48,77 +75,31 @@ def quantiles_long(
     *,
     accuracy: int | None = None,
 ) -> DataFrame:
-    """(*by, column, p, value) for every group and requested quantile;
+    """(*by, column, values): an array of the quantiles ``ps`` for every group;
     nulls and NaN ignored; groups with no values are absent."""
     by = list(by)
     long = _long(df, columns, by)
     groups = [*by, "column"]
     if accuracy:
-        q = long.groupBy(*groups).agg(F.percentile_approx("v", list(ps), accuracy).alias("q"))
-        return q.select(*groups, F.posexplode("q").alias("i", "value")).select(
-            *groups, F.element_at(F.array(*[F.lit(float(p)) for p in ps]), F.col("i") + 1).alias("p"), "value")
-    return _narrowed(long, groups, [float(p) for p in ps])
+        values = long.groupBy(*groups).agg(F.percentile_approx("v", list(ps), accuracy).alias("values"))
+    else:
+        values = _narrowed(long, groups, [float(p) for p in ps])
+    return values
 
 
-def _same_group(groups: Sequence[str]):
-    cond = F.lit(True)
-    for g in groups:
-        cond = cond & F.col(g).eqNullSafe(F.col(f"_g_{g}"))
-    return cond
-
-
-def _narrowed(long: DataFrame, groups: list[str], ps: list[float]) -> DataFrame:
-    """(*groups, p, value) for the rows (*groups, v): see the module's text."""
-    margin = 3 / BRACKETING
-    n_p = len(ps)
-    own = [F.col(g).alias(f"_g_{g}") for g in groups]
-    while True:
-        edges = [max(p - margin, 0.0) for p in ps] + [min(p + margin, 1.0) for p in ps]
-        approx = long.groupBy(*groups).agg(F.percentile_approx("v", edges, BRACKETING).alias("_q"))
-        bracketed = long.join(per_group(approx.select(*own, "_q")), _same_group(groups))
-        measures = []
-        for i in range(n_p):
-            a, b, v = F.col("_q")[i], F.col("_q")[n_p + i], F.col("v")
-            measures += [F.count(F.when(v < a, 1)).alias(f"b{i}"), F.count(F.when((v >= a) & (v <= b), 1)).alias(f"i{i}"),
-                         F.max(F.when(v < a, v)).alias(f"u{i}"), F.min(F.when(v > b, v)).alias(f"o{i}")]
-        counted = bracketed.groupBy(*groups).agg(F.count(F.lit(1)).alias("n"), F.first("_q").alias("_q"), *measures)
-        each = [F.struct(F.lit(p).alias("p"), F.col("_q")[i].alias("a"), F.col("_q")[n_p + i].alias("b"),
-                         F.col(f"b{i}").alias("below"), F.col(f"i{i}").alias("inside"), F.col(f"u{i}").alias("under"),
-                         F.col(f"o{i}").alias("over")) for i, p in enumerate(ps)]
-        found = counted.select(*own, "n", F.inline(F.array(*each)))
-        pos = F.col("p") * (F.col("n") - 1)
-        found = found.withColumns({"lo": F.floor(pos).cast("long"), "hi": F.ceil(pos).cast("long"),
-                                   "frac": pos - F.floor(pos)})
-        found = cut_lineage(found)
-        # the two wanted ranks lie in the bracket or next to it; else (never seen) it is widened
-        missed = (F.col("lo") < F.col("below") - 1) | (F.col("hi") > F.col("below") + F.col("inside"))
-        if margin >= 1 or found.filter(missed).isEmpty():
-            break
-        margin *= 8
-    few = found.count() <= BROADCAST_GROUPS
-    wanted = F.broadcast(found) if few else found
-    inside = long.join(wanted, _same_group(groups) & F.col("v").between(F.col("a"), F.col("b")))
-    keys = [f"_g_{g}" for g in groups]
-    values = inside.groupBy(*keys, "p", "v").agg(F.count(F.lit(1)).alias("k"), F.first("below").alias("below"),
-                                                 F.first("lo").alias("lo"), F.first("hi").alias("hi"))
-    upto = Window.partitionBy(*keys, "p").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
-    values = values.withColumn("last", F.col("below") + F.sum("k").over(upto) - 1)
-    at = lambda r: (F.col("last") >= F.col(r)) & (F.col("last") - F.col("k") < F.col(r))
-    picked = values.groupBy(*keys, "p").agg(F.max(F.when(at("lo"), F.col("v"))).alias("v_lo"),
-                                            F.max(F.when(at("hi"), F.col("v"))).alias("v_hi"))
-    names = {k: f"_x{k}" for k in [*keys, "p"]}
-    picked = picked.select(*[F.col(k).alias(x) for k, x in names.items()], "v_lo", "v_hi")
-    cond = F.lit(True)
-    for k, x in names.items():
-        cond = cond & F.col(k).eqNullSafe(F.col(x))
-    out = found.join(picked, cond, "left")
-    lo = F.when(F.col("lo") < F.col("below"), F.col("under")).otherwise(F.col("v_lo"))
-    hi = F.when(F.col("hi") >= F.col("below") + F.col("inside"), F.col("over")).otherwise(F.col("v_hi"))
-    # an outer neighbour may also serve as the upper value when the bracket ends right before it
-    hi = F.when(F.col("hi") < F.col("below"), F.col("under")).otherwise(hi)
-    lo = F.when(F.col("lo") >= F.col("below") + F.col("inside"), F.col("over")).otherwise(lo)
-    return out.select(*[F.col(f"_g_{g}").alias(g) for g in groups], "p",
-                      (lo + (hi - lo) * F.col("frac")).alias("value"))
+def quantiles_long(
+    df: DataFrame,
+    columns: Sequence[str],
+    ps: Sequence[float],
+    by: Sequence[str] = (),
+    *,
+    accuracy: int | None = None,
+) -> DataFrame:
+    """(*by, column, p, value) for every group and requested quantile;
+    nulls and NaN ignored; groups with no values are absent."""
+    values = quantile_arrays(df, columns, ps, by, accuracy=accuracy)
+    each = [F.struct(F.lit(float(p)).alias("p"), F.col("values")[i].alias("value")) for i, p in enumerate(ps)]
+    return values.select(*by, "column", F.inline(F.array(*each)))
 
 
 def quantiles_wide(
@@ -131,13 +112,102 @@ def quantiles_wide(
     accuracy: int | None = None,
 ) -> DataFrame:
     """(*by, column, <name per p>...) — one row per group and column."""
-    long = quantiles_long(df, columns, ps, by, accuracy=accuracy)
-    return long.groupBy(*by, "column").pivot("p", [float(p) for p in ps]).agg(F.first("value")).select(
-        *by, "column", *[F.col(f"`{float(p)}`").alias(n) for p, n in zip(ps, names)])
+    values = quantile_arrays(df, columns, ps, by, accuracy=accuracy)
+    return values.select(*by, "column", *[F.col("values")[i].alias(n) for i, n in enumerate(names)])
+
+
+def leading_bits(v: str) -> str:
+    """Cell of a double: a whole number that never falls as the value rises, as
+    the sign, exponent and first mantissa bits do. Logarithm, product and floor
+    never fall either, so values of one cell are neighbours."""
+    cell = f"floor(ln(abs({v})) * {FIRST_CELLS / math.log(2)!r}D) + {2048 * FIRST_CELLS}"
+    cell = f"if(abs({v}) = double('Infinity'), {4096 * FIRST_CELLS}, {cell})"
+    return f"bigint(CASE WHEN {v} > 0 THEN {cell} WHEN {v} < 0 THEN -{cell} ELSE 0 END)"
+
+
+def _cells(rows: DataFrame, keys: list[str], cell: str, *more: str) -> DataFrame:
+    """Count, least and greatest value of each cell of each key."""
+    measures = ("count(1) AS k", "min(v) AS least", "max(v) AS most", *more)
+    return rows.groupBy(*keys, F.expr(cell).alias("_cell")).agg(*map(F.expr, measures))
+
+
+def _holding(cells: DataFrame, keys: list[str], before: str, ranks: str) -> DataFrame:
+    """The cells that hold one of the ranks, with those ranks and the number of values below the cell."""
+    over = ", ".join(map(quoted, keys))
+    cells = cells.selectExpr("*", f"{before} + sum(k) OVER (PARTITION BY {over} ORDER BY _cell ROWS UNBOUNDED PRECEDING) - k AS below")
+    cells = cells.selectExpr("*", f"filter({ranks}, r -> r.rank >= below AND r.rank < below + k) AS ranks")
+    return cells.filter("size(ranks) > 0")
+
+
+def _narrowed(long: DataFrame, groups: list[str], ps: list[float]) -> DataFrame:
+    """(*groups, values) for the rows (*groups, v): see the module's text.
+
+    A running sum goes over one group's cells: those that hold its values, of
+    1,024 to a power of two (later: of 65,536), whatever the number of rows."""
+    by = ", ".join(map(quoted, groups))
+    cells = _cells(long, groups, leading_bits("v")).selectExpr("*", f"sum(k) OVER (PARTITION BY {by}) AS n")
+    places = ", ".join(
+        f"named_struct('i', {i}, 'upper', {upper}, 'rank', bigint({rank}({p!r}D * (n - 1))))"
+        for i, p in enumerate(ps) for upper, rank in (("false", "floor"), ("true", "ceil")))
+    columns = [*groups, "n", "below", "least", "most", "ranks"]
+    found = _holding(cells, groups, "0", f"array({places})").select(*columns)
+    settled, spark = [], long.sparkSession
+    while True:
+        rows = local_rows(found)
+        if rows is None:
+            found = cut_lineage(found)
+            settled.append(found.filter("least = most"))
+            left = found.filter("least < most")
+            if left.isEmpty():
+                break
+        else:
+            closed = pc.equal(rows["least"], rows["most"])
+            settled.append(rows.filter(closed))
+            left = rows.filter(pc.invert(closed))
+            if not left.num_rows:
+                break
+            left = F.broadcast(spark.createDataFrame(left, found.schema))
+        # each cell becomes a key of its own: a value lies in one cell of its group at most
+        left = left.withColumnsRenamed({g: f"_g_{g}" for g in groups})
+        same = " AND ".join(f"{quoted(g)} <=> {quoted('_g_' + g)}" for g in groups)
+        near = long.join(left, F.expr(f"{same} AND v BETWEEN least AND most"))
+        near = near.selectExpr(*map(quoted, groups), "n", "below AS start", "least AS lowest", "ranks AS wanted", "v",
+                               f"(most - least) / {CELLS} AS width")
+        cut = _cells(near, [*groups, "n", "start", "lowest"],
+                     "if(width > 0, floor((v - lowest) / width), bigint(v > lowest))", "first(wanted) AS wanted")
+        found = _holding(cut, [*groups, "lowest"], "start", "wanted").select(*columns)
+    if all(isinstance(t, pa.Table) for t in settled):
+        return _local_values(spark, settled, found, groups, ps)
+    tables = [spark.createDataFrame(t, found.schema) if isinstance(t, pa.Table) else t for t in settled]
+    each = reduce(DataFrame.unionByName, tables).selectExpr(*map(quoted, groups), "n", "least AS v", "inline(ranks)")
+    ends = each.groupBy(*groups).agg(F.first("n").alias("n"), *[
+        F.expr(f"max(v) FILTER (WHERE i = {i} AND upper = {upper}) AS _{i}_{upper}")
+        for i in range(len(ps)) for upper in ("false", "true")])
+    values = ", ".join(f"if(_{i}_false = _{i}_true, _{i}_false, _{i}_false + (_{i}_true - _{i}_false)"
+                       f" * ({p!r}D * (n - 1) - floor({p!r}D * (n - 1))))" for i, p in enumerate(ps))
+    return ends.select(*groups, F.expr(f"array({values})").alias("values"))
+
+
+def _local_values(spark: SparkSession, settled: list[pa.Table], like: DataFrame, groups: list[str], ps: list[float]) -> DataFrame:
+    """(*groups, values) from the settled cells, few enough to be local rows."""
+    ends: dict[str, dict] = {}
+    for r in (r for t in settled for r in t.to_pylist()):
+        own = ends.setdefault(repr([r[g] for g in groups]), {"row": r})
+        own.update({(x["i"], x["upper"]): r["least"] for x in r["ranks"]})
+    out = []
+    for own in ends.values():
+        values = []
+        for i, p in enumerate(ps):
+            lo, hi, pos = own[i, False], own[i, True], p * (own["row"]["n"] - 1)
+            values.append(lo if lo == hi else lo + (hi - lo) * (pos - math.floor(pos)))
+        out.append({**{g: own["row"][g] for g in groups}, "values": values})
+    kinds = pa.schema([*[settled[0].schema.field(g) for g in groups], pa.field("values", pa.list_(pa.float64()))])
+    fields = [*[like.schema[g] for g in groups], T.StructField("values", T.ArrayType(T.DoubleType()))]
+    return spark.createDataFrame(pa.Table.from_pylist(out, kinds), T.StructType(fields))
 
 
 def medians_by_column(df: DataFrame, columns: Sequence[str], *, accuracy: int | None = None) -> dict:
-    """Median of each column (columns without values are absent): one
-    sort for all columns; one small row per column reaches the driver."""
+    """Median of each column (columns without values are absent), all
+    narrowed together; one small row per column reaches the driver."""
     q = quantiles_long(df, columns, [0.5], accuracy=accuracy)
     return {r.column: r.value for r in q.collect()}

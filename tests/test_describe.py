@@ -6,6 +6,7 @@ import pytest
 
 from strata.operators import describe as D
 from strata.operators import filters as FL
+from strata.operators import quantiles
 
 
 @pytest.fixture(scope="module")
@@ -109,3 +110,31 @@ def test_narrowed_quantiles_match_pandas(frame):
     gs = {r.g: r.median for r in D.group_summary(sdf, "g", "v", decimals=6).collect()}
     for g, part in pdf.groupby("g")["v"]:
         assert gs[g] == pytest.approx(part.median(), abs=1e-6)
+
+
+@pytest.mark.parametrize("held", [100_000, 3])  # per-group tables as local rows, and as tables of the cluster
+def test_quantiles_of_awkward_doubles(spark, monkeypatch, held):
+    monkeypatch.setattr(quantiles, "BROADCAST_GROUPS", held)
+    rng = np.random.default_rng(8)
+    groups = {
+        "tiny": [5e-324, -5e-324, 0.0, -0.0, 2.2e-308, 1e-310],
+        "wide": [float(x) for x in rng.choice([-1.0, 1.0], 400) * 10.0 ** rng.uniform(-300, 300, 400)],
+        "close": [1.0 + k * 2.0**-52 for k in range(300)] * 2,
+        "powers": [x for k in range(-60, 60) for x in (2.0**k, np.nextafter(2.0**k, 0), -(2.0**k))],
+        "endless": [float("inf"), float("-inf"), 1.0, 2.0, 3.0],
+        "cents": [round(float(x), 2) for x in rng.uniform(0, 1e5, 3000)],
+        "one": [7.5], "it's `odd`": [1.0, 2.0], None: [3.0, 4.0],
+    }
+    rows = [(g, float(v)) for g, vs in groups.items() for v in vs] + [("one", None), ("one", float("nan")), ("none", None)]
+    df = spark.createDataFrame(rows, "g string, `o'v` double").repartition(3)
+    ps = [0.0, 0.1, 0.25, 0.5, 0.9, 1.0]
+    got = {r.g: r["values"] for r in quantiles.quantile_arrays(df, ["o'v"], ps, ["g"]).collect()}
+    assert set(got) == set(groups)
+    for g, vs in groups.items():
+        vs = np.sort(np.array(vs))
+        for p, v in zip(ps, got[g]):
+            pos = p * (len(vs) - 1)
+            lo, hi = vs[int(np.floor(pos))], vs[int(np.ceil(pos))]
+            with np.errstate(invalid="ignore"):
+                want = lo if lo == hi else lo + (hi - lo) * (pos - np.floor(pos))
+            assert v == want or np.isnan([v, want]).all(), (g, p)
