@@ -1,22 +1,27 @@
 """Overlap audit between an external dataset and the training data.
 
-Training keys are pre-aggregated to one row per key before joining, so the
-audit never multiplies rows. Rows with an empty key cannot match; their
-join key is replaced by a per-row unique value so they spread evenly over
-shuffle partitions instead of piling into the partition of ``''``. Hot
-non-empty keys are left to AQE skew-join splitting.
+Keys are compared by digest: one pass over the training rows gives the digests
+of both key kinds, counted per digest, and external rows meet the same counted
+table once per kind. Shuffles carry 32-byte SHA-256 digests (of the kind and
+the key, so that the kinds share a table; no two texts with one such digest are
+known), never a key text as their key, and the audit never multiplies rows.
+Rows with an empty key cannot match; their join key is replaced by a per-row
+unique value so they spread evenly over shuffle partitions instead of piling
+into one. Hot non-empty keys are left to AQE skew-join splitting.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.functions.text import code_key, name_key
+from strata.session import cut_lineage
 
 RULES = ("either", "both", "name", "ticket")
+# Names of the audit's columns.
 AUDIT_COLUMNS = ("NormalizedName", "NormalizedTicket", "NameMatch", "TicketMatch", "NameAndTicketMatch",
                  "NameOrTicketMatch", "NameMatchCount", "TicketMatchCount", "OverlapEvidence")
 
@@ -32,35 +37,72 @@ def training_match_keys(training: DataFrame, name_col: str, ticket_col: str, id_
                            code_key(ticket_col).alias("NormalizedTicket"))
 
 
-def match_lookup(keys: DataFrame, key: str) -> DataFrame:
-    """All training ids per non-empty key in long form: (key, TrainingId,
-    match_count). Linear in the training rows and exact; a hot key is just
-    many rows (spread by AQE skew handling), never one collected group."""
-    valid = keys.filter(F.col(key).isNotNull() & (F.col(key) != "")).select(key, "TrainingId")
-    counts = valid.groupBy(key).agg(F.count(F.lit(1)).alias("match_count"))
-    return valid.join(counts, key)
+def _digest(kind: str, key: Column) -> Column:
+    """Digest of a non-empty key; null for an empty or null one. The key must be a
+    column of its own already: the accent UDF inside is not to be run twice."""
+    return F.when(key != "", F.unhex(F.sha2(F.concat(F.lit(kind + ":"), key).cast("binary"), 256)))
+
 
+def _digested(keys: DataFrame, key: str) -> DataFrame:
+    """(_digest, key, TrainingId) of the rows with a non-empty key."""
+    return keys.select(_digest(key, F.col(key)).alias("_digest"), key, "TrainingId").filter("_digest IS NOT NULL")
 
-def match_id_lists(keys: DataFrame, key: str, max_ids_per_key: int) -> DataFrame:
-    """(key, match_count, matched_ids) with the sorted ids as an array.
 
-    An array is built in one task, so its size is checked first: a key
-    with more than ``max_ids_per_key`` ids raises (use ``match_lookup``'s
-    long form) instead of being truncated or overflowing a task."""
-    valid = keys.filter(F.col(key).isNotNull() & (F.col(key) != ""))
-    worst = valid.groupBy(key).count().agg(F.max("count")).first()[0] or 0
-    if worst > max_ids_per_key:
-        raise ValueError(f"a {key} value matches {worst} training rows (> {max_ids_per_key}); "
-                         "use match_lookup for the long form")
-    return valid.groupBy(key).agg(F.count(F.lit(1)).alias("match_count"),
-                                  F.array_sort(F.collect_list("TrainingId")).alias("matched_ids"))
+def _counted(digests: DataFrame) -> DataFrame:
+    return digests.groupBy("_digest").agg(F.count(F.lit(1)).alias("match_count"))
 
 
-def _spread_empty(key: Column, row_id: Column) -> Column:
-    """'' -> a value no key can take, unique per row (the row id, or a
-    generated per-row number when the id is null)."""
+def match_lookup(keys: DataFrame, key: str) -> DataFrame:
+    """All training ids per non-empty key in long form: (key, TrainingId,
+    match_count). Linear in the training rows and exact; a hot key is just
+    many rows (spread by AQE skew handling), never one collected group."""
+    valid = _digested(keys, key)
+    return valid.join(_counted(valid), "_digest").drop("_digest")
+
+
+def _lists(rows: DataFrame, *more: str) -> DataFrame:
+    key = next(c for c in rows.columns if c not in ("_digest", "TrainingId", "match_count", "chunk"))
+    return rows.groupBy("_digest", *more).agg(
+        F.first(key).alias(key), F.count(F.lit(1)).alias("_n"), F.array_sort(F.collect_list("TrainingId")).alias("matched_ids"))
+
+
+def _id_lists(keys: DataFrame, key: str, ids_per_row: int) -> DataFrame:
+    valid = _digested(keys, key)
+    counts = _counted(valid)
+    columns = ("_digest", key, "match_count", "chunk", "matched_ids")
+    long = counts.filter(F.col("match_count") > ids_per_row)
+    if long.isEmpty():
+        return _lists(valid).withColumns({"match_count": F.col("_n"), "chunk": F.lit(0).cast("long")}).select(*columns)
+    short = valid.join(counts.filter(F.col("match_count") <= ids_per_row), "_digest", "left_semi")
+    short = _lists(short).withColumns({"match_count": F.col("_n"), "chunk": F.lit(0).cast("long")})
+    # A long key's rows lie in order over as many partitions as they need; an id's
+    # place is its place in the partition and the key's rows in the partitions before.
+    ranged = valid.join(long, "_digest").repartitionByRange("_digest", "TrainingId")
+    ranged = cut_lineage(ranged.withColumn("_part", F.spark_partition_id()))
+    before = Window.partitionBy("_digest").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = ranged.groupBy("_digest", "_part").agg(F.count(F.lit(1)).alias("_n"))
+    parts = parts.select("_digest", "_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    own = Window.partitionBy("_digest", "_part").orderBy("TrainingId")
+    place = F.col("_before") + F.row_number().over(own) - 1
+    ranked = ranged.join(parts, ["_digest", "_part"]).withColumn("chunk", F.floor(place / ids_per_row).cast("long"))
+    chunks = _lists(ranked.select("_digest", key, "TrainingId", "match_count", "chunk"), "match_count", "chunk")
+    return short.select(*columns).unionByName(chunks.select(*columns))
+
+
+def match_id_lists(keys: DataFrame, key: str, ids_per_row: int = 10_000) -> DataFrame:
+    """(key, match_count, chunk, matched_ids): the sorted ids of every non-empty key.
+
+    A row holds at most ``ids_per_row`` ids; a key with more of them has further
+    rows, ``chunk`` 0, 1, 2 and so on, whose ids ascend from one to the next. No
+    task gathers a key's ids beyond that number."""
+    return _id_lists(keys, key, ids_per_row).drop("_digest")
+
+
+def _spread_empty(digest: Column, row_id: Column) -> Column:
+    """A digest, or where there is none a value that no digest takes, unique per
+    row (the row id, or a generated per-row number when the id is null)."""
     unique = F.coalesce(row_id.cast("string"), F.concat(F.lit("#"), F.monotonically_increasing_id().cast("string")))
-    return F.when(key == "", F.concat(F.lit("\u0000"), unique)).otherwise(key)
+    return F.coalesce(digest, F.concat(F.lit("\u0000"), unique).cast("binary"))
 
 
 def audit_overlap(
@@ -76,24 +118,26 @@ def audit_overlap(
 ) -> DataFrame:
     """External rows + normalized keys, match flags, match counts, evidence
     (``name_and_ticket`` > ``name_only`` > ``ticket_only`` > ``none``) and,
-    with ``with_ids``, the sorted matching training ids per key (checked
-    against ``max_ids_per_key``; the long form is ``match_lookup``)."""
+    with ``with_ids``, the sorted matching training ids per key. A key with
+    more than ``max_ids_per_key`` ids has null for its list beside its count:
+    ``match_id_lists`` has them all, in rows of bounded size."""
     keys = training_match_keys(training, name_col, ticket_col,
                                training_id if training_id in training.columns else None)
     audit = external.withColumns({"NormalizedName": name_key(name_col), "NormalizedTicket": code_key(ticket_col)})
-    rid = F.col(external_id)
-    for kind, col in (("Name", "NormalizedName"), ("Ticket", "NormalizedTicket")):
+    kinds = {"Name": "NormalizedName", "Ticket": "NormalizedTicket"}
+    audit = audit.select("*", *[
+        _spread_empty(_digest(c, F.col(c)), F.col(external_id)).alias(f"_d{kind}") for kind, c in kinds.items()])
+    # one scan of the training rows for both kinds: both joins read the same counted exchange
+    digests = keys.select(F.explode(F.array(*[_digest(c, F.col(c)) for c in kinds.values()])).alias("_digest"))
+    counts = _counted(digests.filter("_digest IS NOT NULL"))
+    for kind, c in kinds.items():
+        own = counts.select(F.col("_digest").alias(f"_k{kind}"), F.col("match_count").alias(f"{kind}MatchCount"))
+        audit = audit.join(own, F.col(f"_d{kind}") == F.col(f"_k{kind}"), "left").drop(f"_k{kind}")
         if with_ids:
-            agg = match_id_lists(keys, col, max_ids_per_key).withColumnsRenamed(
-                {"match_count": f"{kind}MatchCount", "matched_ids": f"MatchedTrainingIdsBy{kind}"})
-        else:
-            # the '' group is kept: it can never match (empty external keys
-            # are replaced by unique values), and dropping it first would let
-            # the optimizer re-evaluate the key expression for the filter
-            agg = keys.groupBy(col).agg(F.count(F.lit(1)).alias(f"{kind}MatchCount"))
-        agg = agg.withColumnRenamed(col, f"_k{kind}")
-        audit = audit.withColumn(f"_j{kind}", _spread_empty(F.col(col), rid))
-        audit = audit.join(agg, audit[f"_j{kind}"] == agg[f"_k{kind}"], "left").drop(f"_j{kind}", f"_k{kind}")
+            lists = _id_lists(keys, c, max_ids_per_key).filter(F.col("match_count") <= max_ids_per_key)
+            lists = lists.select(F.col("_digest").alias(f"_k{kind}"), F.col("matched_ids").alias(f"MatchedTrainingIdsBy{kind}"))
+            audit = audit.join(lists, F.col(f"_d{kind}") == F.col(f"_k{kind}"), "left").drop(f"_k{kind}")
+    audit = audit.drop(*[f"_d{kind}" for kind in kinds])
     name_m = F.col("NameMatchCount").isNotNull()
     ticket_m = F.col("TicketMatchCount").isNotNull()
     audit = audit.withColumns({
@@ -105,8 +149,10 @@ def audit_overlap(
         .when(ticket_m, "ticket_only").otherwise("none"),
     })
     if with_ids:
-        audit = audit.withColumns({c: F.coalesce(F.col(c), F.array().cast("array<long>"))
-                                   for c in ("MatchedTrainingIdsByName", "MatchedTrainingIdsByTicket")})
+        none = F.array().cast(keys.schema["TrainingId"].dataType.simpleString().join(("array<", ">")))
+        audit = audit.withColumns({
+            f"MatchedTrainingIdsBy{kind}": F.when(F.col(f"{kind}MatchCount") == 0, none).otherwise(F.col(f"MatchedTrainingIdsBy{kind}"))
+            for kind in kinds})
     return audit
 
 

@@ -174,7 +174,7 @@ def q_match_lookup(spark, sf):
 
 
 @register("match_id_lists", "J04 F28", oracle=f"""
-SELECT nk AS NormalizedName, COUNT(*) AS match_count,
+SELECT nk AS NormalizedName, COUNT(*) AS match_count, 0::BIGINT AS chunk,
        '[' || array_to_string(list_sort(list(doc_id)), ', ') || ']' AS matched_ids
 FROM (SELECT doc_id, {_name_key_sql('text')} AS nk FROM documents WHERE doc_id % 2 = 0) WHERE nk <> ''
 GROUP BY nk
@@ -182,10 +182,23 @@ GROUP BY nk
 def q_match_id_lists(spark, sf):
     _, tr = _sides(spark, sf)
     keys = O.training_match_keys(tr, "Name", "Ticket", "PassengerId")
-    lists = O.match_id_lists(keys, "NormalizedName", max_ids_per_key=10_000)
+    lists = O.match_id_lists(keys, "NormalizedName", ids_per_row=10_000)
     return lists.withColumn("matched_ids", X.ids_json("matched_ids"))
 
 
+@register("match_id_chunks", "J04 F28", oracle="""
+WITH ranked AS (SELECT lang, doc_id, ROW_NUMBER() OVER (PARTITION BY lang ORDER BY doc_id) - 1 AS r,
+                       COUNT(*) OVER (PARTITION BY lang) AS n FROM documents WHERE lang <> '')
+SELECT lower(lang) AS NormalizedName, MAX(n) AS match_count, (r // 64)::BIGINT AS chunk,
+       '[' || array_to_string(list_sort(list(doc_id)), ', ') || ']' AS matched_ids
+FROM ranked GROUP BY lang, r // 64
+""")
+def q_match_id_chunks(spark, sf):
+    # few hot keys: every key's ids are spread over many rows of at most 64
+    keys = O.training_match_keys(table(spark, sf, "documents"), "lang", "source", "doc_id")
+    return O.match_id_lists(keys, "NormalizedName", ids_per_row=64).withColumn("matched_ids", X.ids_json("matched_ids"))
+
+
 @register("nonoverlap", "J06 H05", oracle=_AUDIT_SQL + """
 SELECT PassengerId, lang FROM audit WHERE NOT (NameMatch OR TicketMatch)
 """)

@@ -12,6 +12,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from strata.operators import quality as Q
+from strata.operators.rows import with_row_number
 from strata.plans.registry import register, table
 from strata.session import checkpoint_dir
 from strata.sources import io as IO
@@ -41,6 +42,22 @@ def q_csv_roundtrip(spark, sf):
                                               F.count("o_orderdate").alias("dated_orders"))
 
 
+@register("file_order_numbers", "P18 N04 S03", oracle="""
+SELECT o_orderkey, o_orderstatus, ROW_NUMBER() OVER (ORDER BY o_orderkey) AS row_number
+FROM orders WHERE o_orderstatus <> 'P'
+""")
+def q_file_order_numbers(spark, sf):
+    # the orders in ten files, each larger than the one before: Spark reads the largest first
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus")
+    last = orders.agg(F.max("o_orderkey")).scalar()
+    part = F.floor(F.sqrt(F.col("o_orderkey") / last) * 9.999).cast("int")
+    path = _scratch(spark, "many-files")
+    orders.withColumn("part", part).repartition("part").sortWithinPartitions("part", "o_orderkey").write.partitionBy(
+        "part").parquet(path)
+    kept = spark.read.parquet(path).filter("o_orderstatus <> 'P'").drop("part")
+    return with_row_number(kept)
+
+
 @register("sql_utilities", "S05 S06 S07 S08", oracle="""
 SELECT c_mktsegment AS segment, COUNT(*) AS customers, ROUND(AVG(c_acctbal), 2) AS average_balance,
        3 AS registered_objects

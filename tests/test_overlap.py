@@ -80,3 +80,45 @@ def test_harmonize_domain_and_integer_rules(spark):
         H.harmonize_external(ext.withColumn("gender", F.lit("unknown")))
     with pytest.raises(ValueError, match="non-integer"):
         H.harmonize_external(ext.withColumn("sibsp", F.lit(1.5)))
+
+
+def test_id_lists_of_a_hot_key_come_in_chunks(spark):
+    rows = [(i, "Hot" if i % 3 else f"cold {i}", f"T{i % 2}") for i in range(5000)] + [(None, "", "T0")]
+    train = spark.createDataFrame(rows, "PassengerId long, Name string, Ticket string").repartition(5)
+    keys = O.training_match_keys(train, "Name", "Ticket", "PassengerId")
+    got = O.match_id_lists(keys, "NormalizedName", ids_per_row=100).collect()
+    hot = sorted((r for r in got if r.NormalizedName == "hot"), key=lambda r: r.chunk)
+    want = [i for i in range(5000) if i % 3]
+    assert [r.chunk for r in hot] == list(range(-(-len(want) // 100)))
+    assert [i for r in hot for i in r.matched_ids] == want
+    assert {r.match_count for r in hot} == {len(want)} and max(len(r.matched_ids) for r in hot) == 100
+    cold = {r.NormalizedName: (r.match_count, r.chunk, r.matched_ids) for r in got if r.NormalizedName != "hot"}
+    assert cold == {f"cold {i}": (1, 0, [i]) for i in range(0, 5000, 3)}
+    whole = O.match_id_lists(keys, "NormalizedName").filter("NormalizedName = 'hot'").collect()
+    assert [(r.chunk, r.matched_ids) for r in whole] == [(0, want)]
+
+
+def test_audit_leaves_long_lists_to_the_chunks(spark):
+    train = spark.createDataFrame([(i, "A", f"t{i}") for i in range(30)], "PassengerId long, Name string, Ticket string")
+    ext = spark.createDataFrame([(1, "a", "t3"), (2, "b", ""), (3, None, None), (3, "A.", "T-4")], train.schema)
+    audit = O.audit_overlap(ext, train, with_ids=True, max_ids_per_key=10).collect()
+    got = {(r.PassengerId, r.Name): (r.NameMatchCount, r.MatchedTrainingIdsByName, r.TicketMatchCount, r.MatchedTrainingIdsByTicket)
+           for r in audit}
+    assert got == {(1, "a"): (30, None, 1, [3]), (2, "b"): (0, [], 0, []), (3, None): (0, [], 0, []), (3, "A."): (30, None, 1, [4])}
+
+
+def test_shuffles_carry_digests_and_training_is_read_once(spark, tmp_path):
+    rows = [(i, f"name {i}", f"T{i}") for i in range(100)]
+    spark.createDataFrame(rows, "PassengerId long, Name string, Ticket string").write.parquet(str(tmp_path / "t"))
+    ext = spark.createDataFrame(rows[:9], "PassengerId long, Name string, Ticket string")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        audit = O.audit_overlap(ext, spark.read.parquet(str(tmp_path / "t"))).select("PassengerId", "NameMatch", "TicketMatch")
+        assert audit.filter("NameMatch AND TicketMatch").count() == 9
+        audit.collect()
+        plan = audit._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    keys = [x.split(",")[0] for x in plan.split("hashpartitioning(")[1:]]
+    assert keys and all(k.startswith(("_d", "_digest")) for k in keys)
+    assert plan.count("FileScan parquet") == 1
