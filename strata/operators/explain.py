@@ -81,26 +81,31 @@ def permutation_importance(
     """Drop in macro F1 when one raw feature column is shuffled, mean and
     population std over ``repeats`` shuffles, sorted descending.
 
-    All (feature, repeat) permutations are scored in one ``transform``: the
-    rows are replicated once per (feature, repeat) with ``explode``, every
-    copy gets a seeded-hash rank, and the donor row with the same rank
-    under a second hash supplies the shuffled value (an equi-join on rank).
-    Metrics for all copies come from one grouped confusion table.
+    A shuffle gives every row the values of another, its donor: rows have one
+    place for all repeats (a rank of their ids by a seeded hash), and a rank per
+    repeat says whose values stand there. Only ids are ranked; each repeat's
+    donor values then meet the row by id. Rows are copied per feature on the
+    way into the model alone, after the last shuffle, and only counts leave it:
+    metrics of all copies come from one grouped confusion table. Ids must be
+    unique and not null.
     """
     base_pred = model.transform(data)
     base = metrics_from_confusion(confusion_counts(base_pred, label_col, "prediction")).first()["f1_macro"]
-    combos = F.array(*[F.struct(F.lit(f).alias("pf"), F.lit(r).alias("pr")) for f in features for r in range(repeats)])
-    copies = data.select("*", F.inline(combos)).withColumn("_grp", F.concat_ws("#", "pf", F.col("pr").cast("string")))
-    donor_rows = copies.select("_grp", id_col, *[F.col(f).alias(f"_d_{f}") for f in features])
-    target = hash_rank(copies, "_grp", seeded_hash(seed + 1, "_grp", id_col), [id_col], "_rk", bits=6)
-    donor = hash_rank(donor_rows, "_grp", seeded_hash(seed, "_grp", id_col), [id_col], "_rk", bits=6).drop(id_col)
-    joined = target.join(donor, ["_grp", "_rk"])
-    permuted = joined.withColumns({f: F.when(F.col("pf") == f, F.col(f"_d_{f}")).otherwise(F.col(f)) for f in features})
-    permuted = permuted.drop(*[f"_d_{f}" for f in features], "_rk")
-    pred = model.transform(permuted)
-    scores = metrics_from_confusion(confusion_counts(pred, label_col, "prediction", group=["pf", "pr"]),
-                                    group=["pf", "pr"])
-    return (scores.groupBy(F.col("pf").alias("feature"))
+    ids = data.select(F.col(id_col).alias("_id"), F.lit(-1).alias("_repeat"))
+    again = ids.select("_id", F.explode(F.sequence(F.lit(0), F.lit(repeats - 1))).alias("_repeat"))
+    order = seeded_hash(seed, "_repeat", "_id")
+    place = hash_rank(ids, "_repeat", order, ["_id"], "_place").drop("_repeat")
+    donor = hash_rank(again, "_repeat", order, ["_id"], "_place").withColumnRenamed("_id", "_donor")
+    values = data.select(F.col(id_col).alias("_donor"), F.struct(*[F.col(f"`{f}`") for f in features]).alias("_values"))
+    given = place.join(donor, "_place").join(values, "_donor").select("_id", "_repeat", "_values")
+    which = F.explode(F.array(*[F.lit(f) for f in features])).alias("_feature")
+    copies = data.join(given, F.col(id_col) == F.col("_id")).select("*", which)
+    permuted = copies.withColumns({
+        f: F.when(F.col("_feature") == f, F.col("_values")[f]).otherwise(F.col(f"`{f}`")) for f in features})
+    pred = model.transform(permuted.drop("_values", "_id"))
+    groups = ["_feature", "_repeat"]
+    scores = metrics_from_confusion(confusion_counts(pred, label_col, "prediction", group=groups), group=groups)
+    return (scores.groupBy(F.col("_feature").alias("feature"))
             .agg(F.avg(F.lit(base) - F.col("f1_macro")).alias("importance_mean"),
                  F.stddev_pop(F.lit(base) - F.col("f1_macro")).alias("importance_std"))
             .orderBy(F.col("importance_mean").desc(), "feature"))
