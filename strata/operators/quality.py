@@ -218,19 +218,19 @@ def validate_ids(df: DataFrame, id_column: str) -> None:
 def type_profile(df: DataFrame, columns: Sequence[str] | None = None, *,
                  relative_sd: float | None = None) -> DataFrame:
     """Column, Spark type, kind (numeric/categorical) and distinct non-null
-    count: exact from one group-by over the unpivoted values, or, with
-    ``relative_sd``, HyperLogLog++ estimates from a single aggregate (no
-    shuffle of the values) for very large or wide tables."""
+    count: exact, each column's values counted in their own type by one
+    aggregate over one scan, or, with ``relative_sd``, HyperLogLog++ estimates
+    (no shuffle of the values) for very large or wide tables. Maps count as text."""
     columns = list(columns or df.columns)
-    if relative_sd is not None:
-        wide = df.agg(*[F.approx_count_distinct(F.col(f"`{c}`"), relative_sd).alias(f"d{i}")
-                        for i, c in enumerate(columns)])
-        distinct = wide.select(F.inline(F.array(*[
-            F.struct(F.lit(c).alias("column"), F.col(f"d{i}").alias("distinct_count"))
-            for i, c in enumerate(columns)])))
-    else:
-        distinct = (_melt_text(df, columns).filter(F.col("value").isNotNull()).distinct()
-                    .groupBy("column").agg(F.count(F.lit(1)).alias("distinct_count")))
+
+    def distinct_count(c: str) -> Column:
+        v = F.col(f"`{c}`")
+        v = v.cast("string") if "map<" in df.schema[c].dataType.simpleString() else v
+        return F.count_distinct(v) if relative_sd is None else F.approx_count_distinct(v, relative_sd)
+
+    wide = df.agg(*[distinct_count(c).alias(f"d{i}") for i, c in enumerate(columns)])
+    distinct = wide.select(F.inline(F.array(*[
+        F.struct(F.lit(c).alias("column"), F.col(f"d{i}").alias("distinct_count")) for i, c in enumerate(columns)])))
     spark = df.sparkSession
     meta = spark.createDataFrame(
         [(c, df.schema[c].dataType.simpleString(),
@@ -290,43 +290,65 @@ def quality_report(
     ranges: Mapping[str, Column] | None = None,
 ) -> DataFrame:
     """Long-form report ``(section, column, metric, value)``: shape, missing
-    values, duplicates, type profile, unexpected values, range violations."""
-    spark = df.sparkSession
-    parts = [df.agg(F.count(F.lit(1)).cast("string").alias("value")).select(
-        F.lit("shape").alias("section"), F.lit("*").alias("column"), F.lit("rows").alias("metric"), "value"),
-        spark.createDataFrame([("shape", "*", "columns", str(len(df.columns)))], "section string, column string, "
-                                                                                 "metric string, value string")]
-    mp = missing_profile(df)
-    parts.append(mp.select(F.lit("missing").alias("section"), "column", F.lit("missing_count").alias("metric"),
-                           F.col("missing_count").cast("string").alias("value")))
-    parts.append(mp.select(F.lit("missing").alias("section"), "column", F.lit("missing_percent").alias("metric"),
-                           F.col("missing_percent").cast("string").alias("value")))
-    dup = duplicate_rows(df)
-    parts.append(dup.select(F.lit("duplicates").alias("section"), F.lit("*").alias("column"),
-                            F.lit("duplicate_rows").alias("metric"), F.col("duplicate_rows").cast("string").alias("value")))
+    values, duplicates, type profile, unexpected values, range violations.
+
+    One scan: every row gives one key for each column (the value, in its own
+    type) and one for the whole row; equal keys are counted map-side, and all
+    sections follow from those counts. Maps count as text."""
+    names, spark = df.columns, df.sparkSession
+    kinds = [df.schema[c].dataType for c in names]
+    typed = [F.col(f"`{c}`").cast("string") if "map<" in t.simpleString() else F.col(f"`{c}`") for c, t in zip(names, kinds)]
+    ranges = dict(ranges or {})
+    cells = df.select(*[c.alias(f"_c{i}") for i, c in enumerate(typed)],
+                      *[cond.cast("int").alias(f"_r{i}") for i, cond in enumerate(ranges.values())])
+    types = [cells.schema[f"_c{i}"].dataType.simpleString() for i in range(len(names))]
+
+    def key(kind: int) -> str:  # -1 is the whole row, else the number of the column
+        fields = [f"'_k{i}', " + (f"_c{i}" if kind in (-1, i) else f"cast(NULL AS {t})") for i, t in enumerate(types)]
+        return f"named_struct('_kind', {kind}, {', '.join(fields)})"
+
+    keys = f"inline(array({', '.join(key(k) for k in range(-1, len(names)))}))"
+    keyed = cells.selectExpr(*[f"_r{i}" for i in range(len(ranges))], keys)
+    sums = [f"sum(if(_kind = -1, _r{i}, 0)) AS _r{i}" for i in range(len(ranges))]
+    counted = keyed.groupBy("_kind", *[f"_k{i}" for i in range(len(names))]).agg(F.expr("count(1) AS n"), *map(F.expr, sums))
+
+    own = "CASE _kind " + " ".join(f"WHEN {i} THEN _k{i} IS NULL" for i in range(len(names))) + " ELSE false END"
+    odd = F.lit(None).cast("string")
+    for c, allowed in (expected or {}).items():
+        if c in names:
+            i, text = names.index(c), F.col(f"_k{names.index(c)}").cast("string")
+            odd = F.when((F.col("_kind") == i) & ~text.isin([str(v) for v in allowed]), text).otherwise(odd)
+    counted = counted.select("_kind", "n", F.expr(own).alias("_null"), odd.alias("_odd"), *[f"_r{i}" for i in range(len(ranges))])
+    # a row of each kind that counts nothing: an empty table is reported too
+    nothing = spark.range(-1, len(names)).selectExpr(
+        "int(id) AS _kind", "0L AS n", "true AS _null", "string(NULL) AS _odd", *[f"0L AS _r{i}" for i in range(len(ranges))])
+    totals = counted.unionByName(nothing).rollup("_kind", "_odd").agg(
+        F.grouping_id().alias("_of"), F.expr("sum(n) AS row_count"), F.expr("sum(n) FILTER (WHERE _null) AS missing"),
+        F.expr("count_if(NOT _null) AS distinct_count"), F.expr("sum(n) - count_if(n > 0) AS repeated"),
+        F.expr("count_if(n > 1 AND NOT _null) AS repeated_keys"), *[F.expr(f"sum(_r{i}) AS _r{i}") for i in range(len(ranges))])
+
+    whole, column = F.col("_kind") == -1, F.col("_kind") >= 0
+    total, listed = F.col("_of") == 1, (F.col("_of") == 0) & F.col("_odd").isNotNull()
+    missing = F.coalesce("missing", F.lit(0))
+    name_of = F.when(column, F.get(F.array(*[F.lit(c) for c in names]), F.col("_kind"))).otherwise("*")
+    dtype_of = F.get(F.array(*[F.lit(t.simpleString()) for t in kinds]), F.col("_kind"))
+    lines = [
+        ("shape", whole & total, "rows", F.col("row_count")),
+        ("shape", whole & total, "columns", F.lit(len(names))),
+        ("missing", column & total & (missing > 0), "missing_count", missing),
+        ("missing", column & total & (missing > 0), "missing_percent", pct(missing, F.col("row_count"), 2)),
+        ("duplicates", whole & total, "duplicate_rows", F.col("repeated")),
+        ("types", column & total, "dtype", dtype_of),
+        ("types", column & total, "distinct_count", F.col("distinct_count")),
+        ("unexpected", column & listed, "value", F.col("_odd")),
+        *[("ranges", whole & total, n, F.col(f"_r{i}")) for i, n in enumerate(ranges)],
+    ]
     if id_column:
-        di = duplicate_ids(df, id_column)
-        parts.append(di.select(F.lit("duplicates").alias("section"), F.lit(id_column).alias("column"),
-                               F.lit("duplicated_ids").alias("metric"),
-                               F.col("duplicated_ids").cast("string").alias("value")))
-    tp = type_profile(df)
-    parts.append(tp.select(F.lit("types").alias("section"), "column", F.lit("dtype").alias("metric"),
-                           F.col("dtype").alias("value")))
-    parts.append(tp.select(F.lit("types").alias("section"), "column", F.lit("distinct_count").alias("metric"),
-                           F.col("distinct_count").cast("string").alias("value")))
-    if expected:
-        uv = unexpected_values(df, expected)
-        parts.append(uv.select(F.lit("unexpected").alias("section"), "column", F.lit("value").alias("metric"),
-                               "value"))
-    if ranges:
-        rv = range_violations(df, ranges)
-        rows = [F.struct(F.lit(n).alias("metric"), F.col(f"`{n}`").cast("string").alias("value")) for n in ranges]
-        parts.append(rv.select(F.inline(F.array(*rows))).select(F.lit("ranges").alias("section"),
-                                                                F.lit("*").alias("column"), "metric", "value"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+        lines.append(("duplicates", total & (F.col("_kind") == names.index(id_column)), "duplicated_ids", F.col("repeated_keys")))
+    report = F.array(*[
+        F.when(cond, F.struct(F.lit(section).alias("section"), name_of.alias("column"), F.lit(metric).alias("metric"),
+                              value.cast("string").alias("value"))) for section, cond, metric, value in lines])
+    return totals.select(F.inline(F.filter(report, lambda x: x.isNotNull())))
 
 
 def preparation_summary(raw: DataFrame, processed: DataFrame) -> DataFrame:

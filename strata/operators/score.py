@@ -41,11 +41,11 @@ def with_score_columns(
     rd = (lambda c: F.round(c, decimals)) if decimals is not None else (lambda c: c)
     out = df.withColumn("_p", probabilities)
     best = F.array_position(arr, F.array_max(arr))
-    cols = {PREDICTION: F.element_at(F.array(*[F.lit(c) for c in classes]), best.cast("int"))}
+    cols = {PREDICTION: F.try_element_at(F.array(*[F.lit(c) for c in classes]), best.cast("int"))}
     for i, c in enumerate(classes):
-        cols[probability_column_name(c)] = rd(arr[i])
+        cols[probability_column_name(c)] = rd(F.get(arr, F.lit(i)))
     cols[CONFIDENCE] = rd(F.array_max(arr))
-    cols[SECOND] = rd(F.element_at(F.array_sort(arr), -2)) if len(classes) >= 2 else F.lit(0.0)
+    cols[SECOND] = rd(F.try_element_at(F.array_sort(arr), F.lit(-2))) if len(classes) >= 2 else F.lit(0.0)
     out = out.withColumns(cols)
     out = out.withColumns({MARGIN: rd(F.col(CONFIDENCE) - F.col(SECOND)),
                            LOW: F.array_max(arr) < F.lit(threshold)})
@@ -57,20 +57,28 @@ def model_probabilities(prob_col: str = "probability") -> Column:
     return vector_to_array(F.col(prob_col))
 
 
+def probability_faults(probabilities: Column, n_classes: int, atol: float = 1e-6) -> list[Column]:
+    """Aggregates for one pass, or for ``observe``: rows, and those with another
+    number of probabilities, non-finite ones, or a sum off 1 by over ``atol``."""
+    total = F.aggregate(probabilities, F.lit(0.0), lambda acc, x: acc + x)
+    finite = F.forall(probabilities, lambda x: ~F.isnan(x) & (F.abs(x) != F.lit(float("inf"))))
+    return [F.count(F.lit(1)).alias("rows"), F.count_if(F.size(probabilities) != n_classes).alias("shape"),
+            F.count_if(~finite).alias("nonfinite"), F.count_if(F.abs(total - 1.0) > atol).alias("badsum")]
+
+
+def raise_faults(faults: dict, n_classes: int) -> None:
+    if faults["shape"]:
+        raise ValueError(f"{faults['shape']} rows do not have {n_classes} class probabilities")
+    if faults["nonfinite"]:
+        raise ValueError(f"{faults['nonfinite']} rows contain non-finite probabilities")
+    if faults["badsum"]:
+        raise ValueError(f"{faults['badsum']} rows have probabilities that do not sum to one")
+
+
 def check_probabilities(df: DataFrame, probabilities: Column, n_classes: int, atol: float = 1e-6) -> None:
     """Raise unless every row has ``n_classes`` finite probabilities
     summing to 1 within ``atol`` (one aggregate)."""
-    total = F.aggregate(probabilities, F.lit(0.0), lambda acc, x: acc + x)
-    finite = F.forall(probabilities, lambda x: ~F.isnan(x) & (F.abs(x) != F.lit(float("inf"))))
-    row = df.agg(F.sum((F.size(probabilities) != n_classes).cast("int")).alias("shape"),
-                 F.sum((~finite).cast("int")).alias("nonfinite"),
-                 F.sum((F.abs(total - 1.0) > atol).cast("int")).alias("badsum")).first()
-    if row.shape:
-        raise ValueError(f"{row.shape} rows do not have {n_classes} class probabilities")
-    if row.nonfinite:
-        raise ValueError(f"{row.nonfinite} rows contain non-finite probabilities")
-    if row.badsum:
-        raise ValueError(f"{row.badsum} rows have probabilities that do not sum to one")
+    raise_faults(df.agg(*probability_faults(probabilities, n_classes, atol)).first().asDict(), n_classes)
 
 
 def confidence_from_columns(df: DataFrame, prob_cols: Sequence[str] | None = None) -> Column:

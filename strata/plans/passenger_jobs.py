@@ -11,8 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.operators import quality as Q
-from strata.plans.scoring import (add_context_columns, evaluate_scored, prepare_for_scoring, save_scoring_outputs,
-                                  score_batch)
+from strata.operators.filters import reorder_columns
+from strata.plans.scoring import evaluate_scored, prepare_for_scoring, save_scoring_outputs, score_batch
 from strata.plans.training import TrainingConfig, TrainingResult, load_model, run_training
 from strata.presets import passenger as P
 from strata.sources import io as IO
@@ -61,8 +61,9 @@ def predict_job(spark: SparkSession, input_csv: str, model_dir: str, output_dir:
     labelled = P.TARGET in prepared.columns
     # ids were verified (non-null, unique) by prepare_for_scoring
     scored = score_batch(model, prepared, classes, id_col=P.ID, features=features,
-                         label=P.TARGET if labelled else None, check_ids=False)
-    scored = add_context_columns(scored, prepared, P.ID, CONTEXT, preferred=CONTEXT)
+                         label=P.TARGET if labelled else None, context=[c for c in CONTEXT if c != P.TARGET],
+                         check_ids=False)
+    scored = reorder_columns(scored, [P.ID, *CONTEXT])
     metrics = report = None
     if labelled:
         metrics, report = evaluate_scored(scored, P.TARGET, classes)

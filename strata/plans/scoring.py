@@ -1,19 +1,26 @@
 """Batch scoring: validate input, prepare features once, transform, add
 probability/confidence columns, optionally evaluate against known labels,
-summarize and write."""
+summarize and write.
+
+The model runs once: scored rows are written as they come out of it, the
+checks of the probabilities are observed on that write, and everything after
+(id checks, summaries, metrics, artifacts) reads the written predictions."""
 
 from __future__ import annotations
 
 import os
+import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from strata.operators import evaluate as EV
 from strata.operators import quality as Q
 from strata.operators import score as SC
+from strata.session import checkpoint_dir
+from strata.sources import io as IO
 
 
 def score_batch(
@@ -28,24 +35,42 @@ def score_batch(
     prepare: Callable[[DataFrame], DataFrame] | None = None,
     validate: bool = True,
     check_ids: bool | None = None,
+    allow_empty: bool = False,
+    output: str | None = None,
 ) -> DataFrame:
     """Scored rows: id, context columns, PredictedClass, one probability
     column per class, confidence, second-highest, margin, low-confidence
-    flag, and PredictionCorrect when ``label`` is present. ``validate``
-    checks ids (null/duplicate) and probabilities; ``check_ids=False``
-    skips the id check when the caller already verified them."""
+    flag, and PredictionCorrect when ``label`` is present.
+
+    The rows are written to ``output`` (by default a folder of their own under
+    the shared checkpoint folder) and read back, so that nothing downstream
+    runs the model again. ``validate`` checks that there are rows (unless
+    ``allow_empty``), then probabilities and ids (null/duplicate), and raises
+    after the write; ``check_ids=False`` skips the id check when the caller
+    already verified them."""
     Q.require_columns(df, [id_col, *features], "scoring input")
-    if validate if check_ids is None else check_ids:
-        Q.validate_ids(df, id_col)
     prepared = prepare(df) if prepare else df
     pred = model.transform(prepared)
     probs = SC.model_probabilities("probability")
-    if validate:
-        SC.check_probabilities(pred, probs, len(classes))
     keep = [id_col, *[c for c in context if c in pred.columns]] + ([label] if label and label in pred.columns else [])
-    scored = SC.with_score_columns(pred.select(*keep, probs.alias("_probs")), F.col("_probs"), classes).drop("_probs")
+    pred = pred.select(*keep, probs.alias("_probs"))
+    seen = Observation()
+    if validate:
+        pred = pred.observe(seen, *SC.probability_faults(F.col("_probs"), len(classes)))
+    scored = SC.with_score_columns(pred, F.col("_probs"), classes).drop("_probs")
     if label and label in scored.columns:
         scored = SC.add_correctness(scored, label)
+    path = output or os.path.join(checkpoint_dir(df.sparkSession), f"scored-{uuid.uuid4().hex}")
+    schema = scored.schema
+    scored.write.mode("overwrite").parquet(path)
+    if validate:
+        faults = seen.get
+        if not faults["rows"] and not allow_empty:
+            raise ValueError("scoring input must contain at least one row")
+        SC.raise_faults(faults, len(classes))
+    scored = df.sparkSession.read.schema(schema).parquet(path)
+    if validate if check_ids is None else check_ids:
+        Q.validate_ids(scored, id_col)
     return scored
 
 
@@ -67,6 +92,8 @@ def prepare_for_scoring(raw: DataFrame, prepare: Callable[[DataFrame], DataFrame
     prepared = prepare(raw)
     Q.require_columns(prepared, features, "prepared scoring data")
     before = raw.agg(F.count(F.lit(1)).alias("n")).first().n
+    if not before:
+        raise ValueError("scoring input must contain at least one row")
     after = prepared.agg(F.count(F.lit(1)).alias("n"), F.count_distinct(id_col).alias("ids"),
                          F.sum(F.col(id_col).isNull().cast("int")).alias("null_ids")).first()
     if after.n != before:
@@ -98,11 +125,11 @@ def save_scoring_outputs(scored: DataFrame, output_dir: str, classes: Sequence,
              "class_distribution": os.path.join(output_dir, "class_distribution")}
     scored.write.mode("overwrite").parquet(paths["predictions"])
     SC.prediction_summary(scored, classes).write.mode("overwrite").json(paths["summary"])
-    SC.class_distribution(scored).write.mode("overwrite").option("header", True).csv(paths["class_distribution"])
+    IO.write_csv(SC.class_distribution(scored), paths["class_distribution"])
     if metrics is not None:
         paths["metrics"] = os.path.join(output_dir, "metrics")
         metrics.write.mode("overwrite").json(paths["metrics"])
     if report is not None:
         paths["classification_report"] = os.path.join(output_dir, "classification_report")
-        report.write.mode("overwrite").option("header", True).csv(paths["classification_report"])
+        IO.write_csv(report, paths["classification_report"])
     return paths

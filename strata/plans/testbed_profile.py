@@ -79,25 +79,30 @@ def q_describe(spark, sf):
     return D.describe_numeric(table(spark, sf, "lineitem"), list(_DESCRIBE_COLS))
 
 
-@register("describe_all", "A20", oracle="""
-WITH melted AS (
-  SELECT 'p_brand' AS "column", CAST(p_brand AS VARCHAR) AS value FROM part
-  UNION ALL SELECT 'p_type', CAST(p_type AS VARCHAR) FROM part
-  UNION ALL SELECT 'p_size', CAST(p_size AS VARCHAR) FROM part),
+_PART = {"p_partkey": True, "p_name": False, "p_brand": False, "p_type": False, "p_size": True, "p_retailprice": True}
+
+
+def _describe_all_sql(values: str) -> str:
+    number = " UNION ALL ".join(f"""
+    SELECT '{c}' AS "column", ROUND(AVG({c}), 4) AS mean, ROUND(STDDEV_SAMP({c}), 4) AS std, ROUND(MIN({c})::DOUBLE, 4) AS min,
+        ROUND(QUANTILE_CONT({c}, 0.25), 4) AS p25, ROUND(QUANTILE_CONT({c}, 0.5), 4) AS p50,
+        ROUND(QUANTILE_CONT({c}, 0.75), 4) AS p75, ROUND(MAX({c})::DOUBLE, 4) AS max FROM part""" for c, n in _PART.items() if n)
+    return f"""
+WITH melted AS ({values}),
 counts AS (SELECT "column", value, COUNT(*) AS n FROM melted WHERE value IS NOT NULL GROUP BY ALL),
 ranked AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY "column" ORDER BY n DESC, value) AS rk FROM counts),
 cat AS (SELECT "column", SUM(n)::BIGINT AS count, COUNT(*) AS "unique",
                MAX(CASE WHEN rk = 1 THEN value END) AS top, MAX(CASE WHEN rk = 1 THEN n END) AS freq
         FROM ranked GROUP BY "column"),
-num AS (SELECT 'p_size' AS "column", ROUND(AVG(p_size), 4) AS mean, ROUND(STDDEV_SAMP(p_size), 4) AS std,
-               ROUND(MIN(p_size)::DOUBLE, 4) AS min, ROUND(QUANTILE_CONT(p_size, 0.25), 4) AS p25,
-               ROUND(QUANTILE_CONT(p_size, 0.5), 4) AS p50, ROUND(QUANTILE_CONT(p_size, 0.75), 4) AS p75,
-               ROUND(MAX(p_size)::DOUBLE, 4) AS max FROM part)
-SELECT cat.*, num.mean, num.std, num.min, num.p25, num.p50, num.p75, num.max
-FROM cat LEFT JOIN num USING ("column")
-""")
+num AS ({number})
+SELECT cat.*, num.mean, num.std, num.min, num.p25, num.p50, num.p75, num.max FROM cat LEFT JOIN num USING ("column")
+"""
+
+
+@register("describe_all", "A20", oracle=_describe_all_sql(
+    " UNION ALL ".join(f"SELECT '{c}' AS \"column\", CAST({c} AS VARCHAR) AS value FROM part" for c in _PART)))
 def q_describe_all(spark, sf):
-    return D.describe_all(table(spark, sf, "part"), ["p_brand", "p_type", "p_size"])
+    return D.describe_all(table(spark, sf, "part"))
 
 
 @register("group_summary", "A13", oracle="""
@@ -179,13 +184,13 @@ def q_band_counts(spark, sf):
 # --------------------------------------------------------------------------
 
 _ORDERS_NULLED = """(SELECT o_orderkey, o_custkey, NULLIF(o_orderstatus, 'P') AS o_orderstatus,
-    o_totalprice, NULLIF(o_orderpriority, '5-LOW') AS o_orderpriority FROM orders)"""
+    o_totalprice, o_orderdate, NULLIF(o_orderpriority, '5-LOW') AS o_orderpriority FROM orders)"""
 
 
 def _orders_nulled(spark, sf):
-    o = table(spark, sf, "orders")
-    return o.select("o_orderkey", "o_custkey", F.nullif("o_orderstatus", F.lit("P")).alias("o_orderstatus"),
-                    "o_totalprice", F.nullif("o_orderpriority", F.lit("5-LOW")).alias("o_orderpriority"))
+    return table(spark, sf, "orders").withColumns({
+        "o_orderstatus": F.nullif("o_orderstatus", F.lit("P")),
+        "o_orderpriority": F.nullif("o_orderpriority", F.lit("5-LOW"))})
 
 
 @register("missing_profile", "V07 V08", oracle=f"""
@@ -194,6 +199,7 @@ WITH t AS {_ORDERS_NULLED}, m AS (
   UNION ALL SELECT 'o_custkey', COUNT(*) - COUNT(o_custkey), COUNT(*) FROM t
   UNION ALL SELECT 'o_orderstatus', COUNT(*) - COUNT(o_orderstatus), COUNT(*) FROM t
   UNION ALL SELECT 'o_totalprice', COUNT(*) - COUNT(o_totalprice), COUNT(*) FROM t
+  UNION ALL SELECT 'o_orderdate', COUNT(*) - COUNT(o_orderdate), COUNT(*) FROM t
   UNION ALL SELECT 'o_orderpriority', COUNT(*) - COUNT(o_orderpriority), COUNT(*) FROM t)
 SELECT "column", missing_count, ROUND(100.0 * CAST(missing_count AS DOUBLE) / n, 2) AS missing_percent,
        ROUND(missing_count / n, 6) AS missing_fraction
@@ -204,12 +210,14 @@ def q_missing_profile(spark, sf):
 
 
 @register("duplicates", "V09", oracle="""
-WITH g AS (SELECT l_returnflag, l_linestatus, l_quantity, COUNT(*) AS n FROM lineitem GROUP BY ALL)
+WITH twice AS (SELECT * FROM lineitem UNION ALL SELECT * FROM lineitem WHERE l_linenumber = 1),
+g AS (SELECT *, COUNT(*) AS n FROM twice GROUP BY ALL)
 SELECT SUM(n)::BIGINT AS row_count, COUNT(*) AS distinct_rows, SUM(n - 1)::BIGINT AS duplicate_rows FROM g
 """)
 def q_duplicates(spark, sf):
-    li = table(spark, sf, "lineitem").select("l_returnflag", "l_linestatus", "l_quantity")
-    return Q.duplicate_rows(li)
+    # whole rows of all columns; the first lines of the orders stand twice
+    li = table(spark, sf, "lineitem")
+    return Q.duplicate_rows(li.unionByName(li.filter("l_linenumber = 1")))
 
 
 @register("duplicate_ids", "V10", oracle="""
@@ -329,12 +337,11 @@ def q_literal_search(spark, sf):
 
 
 @register("row_search", "P11", oracle="""
-SELECT c_custkey, c_name, c_mktsegment FROM customer
-WHERE contains(lower(concat_ws(' ', CAST(c_custkey AS VARCHAR), c_name, c_mktsegment)), '7 customer#')
+SELECT * FROM customer WHERE contains(lower(concat_ws(' ', COALESCE(CAST(c_custkey AS VARCHAR), ''), COALESCE(c_name, ''),
+    COALESCE(CAST(c_nationkey AS VARCHAR), ''), COALESCE(CAST(c_acctbal AS VARCHAR), ''), COALESCE(c_mktsegment, ''))), '7 customer#')
 """)
 def q_row_search(spark, sf):
-    c = table(spark, sf, "customer").select("c_custkey", "c_name", "c_mktsegment")
-    return FL.row_search(c, "7 Customer#")
+    return FL.row_search(table(spark, sf, "customer"), "7 Customer#")
 
 
 @register("reorder_rename", "P01 P02 P03", oracle="""

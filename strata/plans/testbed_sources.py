@@ -78,19 +78,22 @@ def q_sql_utilities(spark, sf):
 
 
 def _orders_nulled(spark, sf):
-    o = table(spark, sf, "orders")
-    return o.select("o_orderkey", F.nullif("o_orderstatus", F.lit("P")).alias("o_orderstatus"),
-                    F.nullif("o_orderpriority", F.lit("5-LOW")).alias("o_orderpriority"))
+    return table(spark, sf, "orders").withColumns({
+        "o_orderstatus": F.nullif("o_orderstatus", F.lit("P")),
+        "o_orderpriority": F.nullif("o_orderpriority", F.lit("5-LOW"))})
 
 
-@register("quality_report", "V07 V09 V10 V11 V13 V05 V06", oracle="""
-WITH t AS (SELECT o_orderkey, NULLIF(o_orderstatus, 'P') AS o_orderstatus,
-                  NULLIF(o_orderpriority, '5-LOW') AS o_orderpriority FROM orders),
+_REPORT_TYPES = {"o_orderkey": "bigint", "o_custkey": "bigint", "o_orderstatus": "string", "o_totalprice": "double",
+                 "o_orderdate": "timestamp_ntz", "o_orderpriority": "string"}
+
+
+@register("quality_report", "V07 V09 V10 V11 V13 V05 V06", oracle=f"""
+WITH t AS (SELECT * REPLACE (NULLIF(o_orderstatus, 'P') AS o_orderstatus,
+                             NULLIF(o_orderpriority, '5-LOW') AS o_orderpriority) FROM orders),
 n AS (SELECT COUNT(*) AS n FROM t),
-m AS (SELECT 'o_orderstatus' AS "column", COUNT(*) - COUNT(o_orderstatus) AS c FROM t
-      UNION ALL SELECT 'o_orderpriority', COUNT(*) - COUNT(o_orderpriority) FROM t)
+m AS ({" UNION ALL ".join(f"SELECT '{c}' AS {chr(34)}column{chr(34)}, COUNT(*) - COUNT({c}) AS c FROM t" for c in _REPORT_TYPES)})
 SELECT 'shape' AS section, '*' AS "column", 'rows' AS metric, CAST(n AS VARCHAR) AS value FROM n
-UNION ALL SELECT 'shape', '*', 'columns', '3'
+UNION ALL SELECT 'shape', '*', 'columns', '{len(_REPORT_TYPES)}'
 UNION ALL SELECT 'missing', "column", 'missing_count', CAST(c AS VARCHAR) FROM m WHERE c > 0
 UNION ALL SELECT 'missing', "column", 'missing_percent', CAST(ROUND(100.0 * c / (SELECT n FROM n), 2) AS VARCHAR)
           FROM m WHERE c > 0
@@ -98,12 +101,8 @@ UNION ALL SELECT 'duplicates', '*', 'duplicate_rows',
           CAST((SELECT n FROM n) - (SELECT COUNT(*) FROM (SELECT DISTINCT * FROM t)) AS VARCHAR)
 UNION ALL SELECT 'duplicates', 'o_orderkey', 'duplicated_ids',
           CAST((SELECT COUNT(*) FROM (SELECT o_orderkey FROM t GROUP BY o_orderkey HAVING COUNT(*) > 1)) AS VARCHAR)
-UNION ALL SELECT 'types', 'o_orderkey', 'dtype', 'bigint'
-UNION ALL SELECT 'types', 'o_orderstatus', 'dtype', 'string'
-UNION ALL SELECT 'types', 'o_orderpriority', 'dtype', 'string'
-UNION ALL SELECT 'types', 'o_orderkey', 'distinct_count', CAST(COUNT(DISTINCT o_orderkey) AS VARCHAR) FROM t
-UNION ALL SELECT 'types', 'o_orderstatus', 'distinct_count', CAST(COUNT(DISTINCT o_orderstatus) AS VARCHAR) FROM t
-UNION ALL SELECT 'types', 'o_orderpriority', 'distinct_count', CAST(COUNT(DISTINCT o_orderpriority) AS VARCHAR) FROM t
+{" ".join(f"UNION ALL SELECT 'types', '{c}', 'dtype', '{k}'" for c, k in _REPORT_TYPES.items())}
+{" ".join(f"UNION ALL SELECT 'types', '{c}', 'distinct_count', CAST(COUNT(DISTINCT {c}) AS VARCHAR) FROM t" for c in _REPORT_TYPES)}
 UNION ALL SELECT DISTINCT 'unexpected', 'o_orderstatus', 'value', o_orderstatus FROM t
           WHERE o_orderstatus IS NOT NULL AND o_orderstatus NOT IN ('F')
 UNION ALL SELECT 'ranges', '*', 'key_above_10000', CAST(SUM(CASE WHEN o_orderkey > 10000 THEN 1 ELSE 0 END) AS VARCHAR)

@@ -43,9 +43,9 @@ def score_stream(
               .parquet(source_dir))
 
     def write_batch(batch: DataFrame, epoch_id: int) -> None:
-        scored = score_batch(model, batch, classes, id_col=id_col, features=features, prepare=prepare,
-                             validate=False)
-        scored.write.mode("overwrite").parquet(f"{output_dir.rstrip('/')}/epoch={epoch_id}")
+        # one model pass per batch; a batch with bad probabilities or ids fails and is tried again
+        score_batch(model, batch, classes, id_col=id_col, features=features, prepare=prepare, allow_empty=True,
+                    output=f"{output_dir.rstrip('/')}/epoch={epoch_id}")
 
     writer = source.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint_dir)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="30 seconds")

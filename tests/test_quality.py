@@ -92,3 +92,29 @@ def test_numeric_range_reaches_the_scan(spark, tmp_path):
     out = apply_filters(spark.read.parquet(path), FilterSpec(ranges={"v": (3, 5)}))
     assert out.count() == 3
     assert "GreaterThanOrEqual(v" in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_quality_report_is_one_scan_and_reports_empty_tables(spark, tmp_path):
+    rows = [(1, "a", 1.5, {"k": 1}), (1, "a", 1.5, {"k": 1}), (2, None, float("nan"), None), (None, "b", -1.0, {"k": 2})]
+    df = spark.createDataFrame(rows, "id long, kind string, `x y` double, m map<string,int>")
+    df.write.parquet(str(tmp_path / "t"))
+    read = spark.read.parquet(str(tmp_path / "t"))
+
+    def report(d):
+        out = Q.quality_report(d, id_column="id", expected={"kind": ["a"], "absent": [1]}, ranges={"negative": F.col("`x y`") < 0})
+        found = sorted((r.section, r.column, r.metric, r.value) for r in out.collect())
+        return found, out._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+
+    found, plan = report(read)
+    assert plan.count("FileScan") == 1
+    assert found == sorted([
+        ("shape", "*", "rows", "4"), ("shape", "*", "columns", "4"), ("duplicates", "*", "duplicate_rows", "1"),
+        ("duplicates", "id", "duplicated_ids", "1"), ("unexpected", "kind", "value", "b"), ("ranges", "*", "negative", "1"),
+        *[x for c in ("id", "kind", "m") for x in (("missing", c, "missing_count", "1"), ("missing", c, "missing_percent", "25.0"))],
+        *[("types", c, "dtype", t) for c, t in (("id", "bigint"), ("kind", "string"), ("x y", "double"), ("m", "map<string,int>"))],
+        *[("types", c, "distinct_count", n) for c, n in (("id", "2"), ("kind", "2"), ("x y", "3"), ("m", "2"))]])
+    empty, _ = report(read.limit(0))
+    assert {(s, c, m): v for s, c, m, v in empty if s != "types"} == {
+        ("shape", "*", "rows"): "0", ("shape", "*", "columns"): "4", ("duplicates", "*", "duplicate_rows"): "0",
+        ("duplicates", "id", "duplicated_ids"): "0", ("ranges", "*", "negative"): "0"}
+    assert {v for s, c, m, v in empty if m == "distinct_count"} == {"0"}
