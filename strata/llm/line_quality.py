@@ -3,8 +3,8 @@
 Lines are normalised (A-Z lower-cased, blank runs to one space, trimmed) and
 hashed. Per host, documents are counted by a digest of the whole text, so exact
 copies of a document count once. A line is above the limits when it stands in
-more than ``max(min_docs, share * documents of the host)`` distinct documents,
-however many copies some of them have. Such lines are removed, and a document is
+more than ``max(min_docs, share * distinct documents of the host)`` distinct
+documents, however many copies some of them have. Such lines are removed, and a document is
 rejected when less than ``min_left`` of its words remain, or when a base rule
 fails.
 
@@ -114,7 +114,9 @@ def frequent_lines(
         .groupBy("_host", "_line").agg(F.count("*").alias("_docs"))
         .filter(F.col("_docs") > min_docs)
     )
-    hosts = rows.groupBy("_host").agg(F.count("*").alias("_all"))
+    # copies of a document count once here too, else they would lift the limit for all other lines
+    hosts = rows.select("_host", text_digest(F.col("_text")).alias("_doc")).distinct()
+    hosts = hosts.groupBy("_host").agg(F.count("*").alias("_all"))
     over = seen.join(hosts.withColumnRenamed("_host", "_h"), F.col("_host").eqNullSafe(F.col("_h")))
     return over.filter(F.col("_docs") > F.lit(share) * F.col("_all")).select("_host", "_line")
 

@@ -125,15 +125,14 @@ again AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, g) AS n
 covered AS (SELECT r, count(DISTINCT i + k) AS n FROM again, (SELECT unnest(range(5)) AS k) GROUP BY r),
 base AS (SELECT p.*, len(words) AS n_words, length(array_to_string(words, '')) AS word_chars,
     length(text) - length(regexp_replace(text, '{line_quality.SYMBOLS}', '', 'g')) AS n_symbols,
-    len(lines) - len(list_distinct(lines)) AS n_dup_lines, coalesce(c.n, 0) AS n_repeat_words,
-    list_max(list_transform(words, lambda w, i: {{'l': length(w), 'w': w, 'i': i}})) AS best
+    len(lines) - len(list_distinct(lines)) AS n_dup_lines, coalesce(c.n, 0) AS n_repeat_words
     FROM parts p LEFT JOIN covered c USING (r)),
-held AS (SELECT r, source, concat_ws(' ', best.w, words[best.i + 1]) AS sketch, unnest(lines) AS x FROM base),
-normal AS (SELECT r, source, sketch, {normal} AS line, len({words.format('x')}) AS n FROM held),
+held AS (SELECT r, source, text, unnest(lines) AS x FROM base),
+normal AS (SELECT r, source, text, {normal} AS line, len({words.format('x')}) AS n FROM held),
 frequent AS (SELECT source, line FROM (
-    SELECT source, line, count(DISTINCT sketch) AS d, count(DISTINCT r) AS s FROM normal GROUP BY ALL)
-    JOIN (SELECT source, count(*) AS every FROM docs GROUP BY source) USING (source)
-    WHERE d > {line_quality.MIN_DOCS} AND 2 * d >= s AND d > {line_quality.SHARE} * every),
+    SELECT source, line, count(DISTINCT text) AS d FROM normal GROUP BY ALL)
+    JOIN (SELECT source, count(DISTINCT text) AS every FROM docs GROUP BY source) USING (source)
+    WHERE d > {line_quality.MIN_DOCS} AND d > {line_quality.SHARE} * every),
 gone AS (SELECT r, sum(n) AS n FROM normal JOIN frequent USING (source, line) GROUP BY r)
 SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_symbols::BIGINT AS n_symbols,
     n_dup_lines::BIGINT AS n_dup_lines, n_repeat_words::BIGINT AS n_repeat_words,

@@ -512,3 +512,13 @@ def test_components_of_chains_and_stars(spark):
     assert len(got) == len({r.node for r in got}) == 41 + 55 + 2
     assert {r.root for r in got} == {100, 5, 199}
     assert components.connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_copies_do_not_lift_the_limit_for_other_lines(spark):
+    footer = "all rights reserved by the example press"
+    rows = [(i, f"page number {i} says something of its own\n{footer}", "h") for i in range(40)]
+    for copies in (0, 30_000):
+        docs = spark.createDataFrame(rows, "doc_id long, text string, source string").unionByName(
+            spark.range(1000, 1000 + copies).selectExpr("id AS doc_id", "'one page that stands many times over' AS text", "'h' AS source"))
+        removed = {r.doc_id: r.n_removed_words for r in line_quality.line_quality(docs)[0].filter("doc_id < 1000").collect()}
+        assert set(removed.values()) == {7}, copies
