@@ -42,6 +42,18 @@ def q_csv_roundtrip(spark, sf):
                                               F.count("o_orderdate").alias("dated_orders"))
 
 
+@register("csv_quoted_text", "S01", oracle="""
+SELECT doc_id, md5(coalesce(nullif(text, ''), 'null')) AS text_md5, lang, n_chars FROM documents
+""")
+def q_csv_quoted_text(spark, sf):
+    # texts with line breaks, quotes, commas and blanks at their ends, through CSV and back
+    path = _scratch(spark, "quoted.csv")
+    documents = table(spark, sf, "documents").select("doc_id", "text", "lang", "n_chars")
+    IO.write_csv(documents, path)
+    back = IO.read_csv(spark, path, documents.schema, malformed="fail", name="documents csv")
+    return back.select("doc_id", F.md5(F.coalesce("text", F.lit("null"))).alias("text_md5"), "lang", "n_chars")
+
+
 @register("file_order_numbers", "P18 N04 S03", oracle="""
 SELECT o_orderkey, o_orderstatus, ROW_NUMBER() OVER (ORDER BY o_orderkey) AS row_number
 FROM orders WHERE o_orderstatus <> 'P'

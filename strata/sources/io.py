@@ -1,7 +1,7 @@
 """File and table I/O.
 
 CSV is read with a declared schema (no inference pass) and ``escape='"'``
-so quoted fields with commas parse; Parquet keeps column pruning and
+so quoted fields with commas, quotes and line breaks parse; Parquet keeps column pruning and
 predicate pushdown. Writers never collect: they write partitioned files.
 """
 
@@ -12,7 +12,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -38,16 +38,44 @@ def write_text_file(spark: SparkSession, path: str, text: str) -> str:
     return path
 
 
+CORRUPT = "_corrupt_record"
+
+
 def read_csv(spark: SparkSession, path: str, schema: StructType | str | None = None, *, header: bool = True,
-             reject_empty: bool = True, name: str = "dataset") -> DataFrame:
+             reject_empty: bool = True, name: str = "dataset", multi_line: bool = True,
+             malformed: str = "null", max_examples: int = 10) -> DataFrame:
     """CSV with header; missing file -> FileNotFoundError; empty -> ValueError.
 
     Without a schema every column is read as text (callers standardize
-    types explicitly); inference would cost an extra pass over the data."""
+    types explicitly); inference would cost an extra pass over the data.
+    Quoted fields may hold line breaks, so a file is read by one task; where
+    none does, ``multi_line=False`` lets Spark split files.
+
+    ``malformed`` says what becomes of a line with too few or too many fields,
+    or a field that its column's type cannot hold: ``null`` leaves nulls,
+    ``report`` also keeps the line's text in a ``_corrupt_record`` column, and
+    ``fail`` raises with the number of such lines and a few of them (one more
+    pass over the file)."""
+    if malformed not in ("null", "report", "fail"):
+        raise ValueError("malformed must be null, report or fail")
     if not _exists(spark, path):
         raise FileNotFoundError(f"{name} file not found: {path}")
-    reader = spark.read.option("header", header).option("escape", '"').option("multiLine", False)
+    reader = spark.read.option("header", header).option("escape", '"').option("multiLine", multi_line)
+    if malformed != "null":
+        if schema is None:
+            schema = reader.csv(path).schema  # the header's names
+        fields = schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
+        schema = StructType([*fields.fields, StructField(CORRUPT, StringType())])
+        reader = reader.option("columnNameOfCorruptRecord", CORRUPT)
     df = reader.schema(schema).csv(path) if schema is not None else reader.csv(path)
+    if malformed == "fail":
+        # all columns are asked for: a line is only found short where its last fields are wanted
+        used = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns if c != CORRUPT])
+        n = df.agg(F.count(CORRUPT).alias("n"), F.bit_xor(used)).first().n
+        if n:
+            found = df.filter(F.col(CORRUPT).isNotNull()).select(CORRUPT, used).limit(max_examples).collect()
+            raise ValueError(f"{name} has {n} malformed lines: {[r[CORRUPT] for r in found]}")
+        df = df.drop(CORRUPT)
     if reject_empty and df.isEmpty():
         raise ValueError(f"{name} is empty: {path}")
     return df
@@ -69,7 +97,11 @@ def write_parquet(df: DataFrame, path: str, *, mode: str = "overwrite",
 
 
 def write_csv(df: DataFrame, path: str, *, mode: str = "overwrite") -> str:
-    df.write.mode(mode).option("header", True).option("escape", '"').csv(path)
+    """CSV that ``read_csv`` gives back as it was: quotes doubled, line breaks
+    inside quotes, blanks at the ends kept. (Empty texts are read as nulls, as in
+    any CSV without a marker for nulls.)"""
+    writer = df.write.mode(mode).option("header", True).option("escape", '"')
+    writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
     return path
 
 
