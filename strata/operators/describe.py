@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
@@ -85,17 +85,49 @@ def modes(df: DataFrame, columns: Sequence[str]) -> dict:
     return out
 
 
+class TooManyHeaders(ValueError):
+    """More distinct values than a wide table may have columns."""
+
+
 def _distinct_values(df: DataFrame, column: str, limit: int = MAX_PIVOT_VALUES) -> list:
     """Pivot headers: the distinct non-null values of the column. They
     become output columns, so their number is checked (``limit`` + 1 fetched
-    at most) and a wider crosstab raises."""
+    at most)."""
     rows = (df.select(column).filter(F.col(column).isNotNull()).distinct().orderBy(column)
             .limit(limit + 1).collect())
     if len(rows) > limit:
-        raise ValueError(f"column {column!r} has more than {limit} distinct values; pass `values` explicitly")
+        raise TooManyHeaders(f"column {column!r} has more than {limit} distinct values; pass `values` explicitly")
     return [r[0] for r in rows]
 
 
+def crosstab_cells(df: DataFrame, row: str, col: str) -> DataFrame:
+    """Counts per (row, col) in long form, (row, col, count), for any number of
+    values on either side; null keys and empty cells are left out."""
+    src = df.filter(F.col(row).isNotNull() & F.col(col).isNotNull())
+    return src.groupBy(row, col).agg(F.count(F.lit(1)).alias("count"))
+
+
+def crosstab_shares(df: DataFrame, row: str, col: str, normalize: str = "columns", decimals: int = 4) -> DataFrame:
+    """(row, col, fraction): cells as fractions of their column's, row's
+    (``index``) or the table's (``all``) total. Totals are aggregated cells
+    joined back on the key."""
+    cells = crosstab_cells(df, row, col).withColumnRenamed("count", "n")
+    if normalize == "columns":
+        cells = _totals_join(cells, [col], "n")
+    elif normalize == "index":
+        cells = _totals_join(cells, [row], "n")
+    elif normalize == "all":
+        cells = cells.withColumn("_total", cells.agg(F.sum("n")).scalar())
+    else:
+        raise ValueError(f"normalize must be columns, index or all, not {normalize!r}")
+    return cells.select(row, col, F.round(F.try_divide(F.col("n"), F.col("_total")), decimals).alias("fraction"))
+
+
+def _wide(cells: DataFrame, row: str, col: str, value: str, values: Sequence, empty: Column) -> DataFrame:
+    wide = cells.groupBy(row).pivot(col, list(values)).agg(F.first(value))
+    return wide.select(row, *[F.coalesce(F.col(f"`{v}`"), empty).alias(str(v)) for v in values])
+
+
 def crosstab(
     df: DataFrame,
     row: str,
@@ -104,11 +136,15 @@ def crosstab(
 ) -> DataFrame:
     """Counts per (row, col) as a wide table, missing cells 0, null keys
     dropped (``pd.crosstab``). Column headers are the ``col`` values as text.
-    Pass ``values`` to fix the header set (and skip the distinct job)."""
+    Pass ``values`` to fix the header set (and skip the distinct job). A
+    column with more values than a table may have columns gives the long form
+    of ``crosstab_cells``."""
     src = df.filter(F.col(row).isNotNull() & F.col(col).isNotNull())
-    values = list(values) if values is not None else _distinct_values(src, col)
-    wide = src.groupBy(row).pivot(col, values).agg(F.count(F.lit(1)))
-    return wide.select(row, *[F.coalesce(F.col(f"`{v}`"), F.lit(0)).cast("long").alias(str(v)) for v in values])
+    try:
+        values = list(values) if values is not None else _distinct_values(src, col)
+    except TooManyHeaders:
+        return crosstab_cells(df, row, col)
+    return _wide(crosstab_cells(df, row, col), row, col, "count", values, F.lit(0).cast("long"))
 
 
 def crosstab_normalized(
@@ -122,24 +158,14 @@ def crosstab_normalized(
     """Crosstab of fractions: ``columns`` -> each column sums to 1,
     ``index`` -> each row sums to 1, ``all`` -> the table sums to 1.
 
-    Fractions are computed on the long (row, col, count) form before the
-    pivot; column/row totals are aggregated cells joined back on the key.
-    """
-    src = df.filter(F.col(row).isNotNull() & F.col(col).isNotNull())
-    values = list(values) if values is not None else _distinct_values(src, col)
-    cells = src.groupBy(row, col).agg(F.count(F.lit(1)).alias("n"))
-    if normalize == "columns":
-        cells = _totals_join(cells, [col], "n")
-    elif normalize == "index":
-        cells = _totals_join(cells, [row], "n")
-    elif normalize == "all":
-        cells = cells.withColumn("_total", cells.agg(F.sum("n")).scalar())
-    else:
-        raise ValueError(f"normalize must be columns, index or all, not {normalize!r}")
-    denom = F.col("_total")
-    frac = cells.withColumn("f", F.round(F.try_divide(F.col("n"), denom), decimals))
-    wide = frac.groupBy(row).pivot(col, values).agg(F.first("f"))
-    return wide.select(row, *[F.coalesce(F.col(f"`{v}`"), F.lit(0.0)).alias(str(v)) for v in values])
+    Fractions are computed on the long form before the pivot; too many headers
+    give that long form (``crosstab_shares``)."""
+    shares = crosstab_shares(df, row, col, normalize, decimals)
+    try:
+        values = list(values) if values is not None else _distinct_values(df.filter(F.col(row).isNotNull()), col)
+    except TooManyHeaders:
+        return shares
+    return _wide(shares, row, col, "fraction", values, F.lit(0.0))
 
 
 def describe_numeric(

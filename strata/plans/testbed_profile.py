@@ -47,6 +47,23 @@ def q_crosstab(spark, sf):
     return D.crosstab(table(spark, sf, "orders"), "o_orderstatus", "o_orderpriority")
 
 
+@register("crosstab_cells", "A17", oracle="""
+SELECT o_custkey, o_orderpriority, COUNT(*) AS count FROM orders
+WHERE o_custkey IS NOT NULL AND o_orderpriority IS NOT NULL GROUP BY ALL
+""")
+def q_crosstab_cells(spark, sf):
+    return D.crosstab_cells(table(spark, sf, "orders"), "o_custkey", "o_orderpriority")
+
+
+@register("crosstab_shares", "A18 N02", oracle="""
+SELECT o_orderstatus, o_custkey, ROUND(n / SUM(n) OVER (PARTITION BY o_custkey), 4) AS fraction
+FROM (SELECT o_orderstatus, o_custkey, COUNT(*) AS n FROM orders
+      WHERE o_custkey IS NOT NULL AND o_orderstatus IS NOT NULL GROUP BY ALL)
+""")
+def q_crosstab_shares(spark, sf):
+    return D.crosstab_shares(table(spark, sf, "orders"), "o_orderstatus", "o_custkey", "columns")
+
+
 @register("crosstab_norm", "A18 N02", oracle=f"""
 WITH cells AS (
   SELECT o_orderstatus, o_orderpriority, COUNT(*) AS n FROM orders

@@ -59,3 +59,11 @@ def test_small_column_helpers(spark):
     bad = spark.createDataFrame([("maybe",)], "y string")
     with pytest.raises(Exception, match="Unexpected yes/no value"):
         bad.select(X.yes_no_code("y")).collect()
+
+
+def test_wide_crosstab_gives_its_cells(spark, monkeypatch):
+    monkeypatch.setattr(D, "_distinct_values", lambda df, c, f=D._distinct_values: f(df, c, 10))
+    df = spark.range(0, 50).selectExpr("id % 2 AS r", "id % 25 AS c")
+    assert {(x.r, x.c, x["count"]) for x in D.crosstab(df, "r", "c").collect()} == {(i % 2, i % 25, 1) for i in range(50)}
+    shares = D.crosstab_normalized(df, "r", "c", "index").collect()
+    assert len(shares) == 50 and {x.fraction for x in shares} == {0.04}

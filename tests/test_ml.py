@@ -147,3 +147,26 @@ def test_format_comparison(spark):
     out = EV.format_comparison(df, 2).collect()
     assert [r.model for r in out] == ["b", "a"] and out[1].fit_time_mean == 1.23
     assert EV.select_best(EV.format_comparison(df)) == "b"
+
+
+@pytest.mark.parametrize("classes", [3, 40])
+def test_split_and_folds_do_not_depend_on_where_the_counts_are(spark, monkeypatch, classes):
+    from strata.operators import quantiles as QN
+
+    rows = [(i, f"c{(i * i) % classes:03d}" if i % 11 else None) for i in range(3000)]
+    df = spark.createDataFrame(rows, "id long, label string").repartition(4)
+
+    def both():
+        split = SP.stratified_split(df, "label", "id", 0.23, 5)
+        folds = SP.stratified_folds(df, "label", "id", 4, 5)
+        return ({r.id: r.is_test for r in split.collect()}, {r.id: r.fold for r in folds.collect()})
+
+    local = both()
+    monkeypatch.setattr(QN, "BROADCAST_GROUPS", 2)
+    assert both() == local
+    assert sum(local[0].values()) == -(-23 * 3000 // 100)
+    few = df.filter("id < 5")
+    for held in (100_000, 0):
+        monkeypatch.setattr(QN, "BROADCAST_GROUPS", held)
+        with pytest.raises(ValueError, match="at least 4 rows"):
+            SP.stratified_folds(few, "label", "id", 4)
