@@ -14,6 +14,12 @@ predicts them from the classes before them: these counts are grouped by word
 over the corpus and never gathered. Rarer words and unseen ones share the last
 class. The driver holds the head and tables by class only.
 
+Coding. One more pass over the texts writes each as a string of classes, a byte
+a word, with the sum of the logs of its words' counts; neighbours with a word
+outside the head are rows of their own, met with the tail's counts and classes
+by joins. Both what the classes' links are counted from and what is scored are
+these tables: no text is split again.
+
 Score. P(w | v) = weight * P(class w | class v) * P(w | class w)
 + (1 - weight) * P(w); classes follow each other with counts smoothed towards
 their shares, words with one added to their counts, unseen words together
@@ -29,12 +35,14 @@ from __future__ import annotations
 import math
 from collections import Counter
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from strata.llm.common import encoded, ship_by_value, slices, written
 
@@ -47,8 +55,9 @@ CLUSTERED = 20_000
 LEAST = 5  # count from which every word has a class of its own choice
 HEAD = 200_000
 WEIGHT = 0.9
+TAIL = 255  # stands for the class of a word outside the head
 PRIOR = 20.0
-HELD = 400_000  # words whose counts a task gathers before it hands them on
+HELD = 200_000  # words whose counts a task gathers before it hands them on
 
 
 def words_of(text: bytes) -> list[bytes]:
@@ -56,17 +65,20 @@ def words_of(text: bytes) -> list[bytes]:
 
 
 def _batches(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
-    for batch in slices(batches, column, 4 << 20):
+    for batch in slices(batches, column, 2 << 20):
         yield batch, encoded(batch.column(batch.schema.names.index(column)))
 
 
-def _flat(texts: list[bytes]) -> list[bytes]:
-    """The words of all texts in turn, the end after each."""
+def _flat(texts: list[bytes]) -> tuple[list[bytes], np.ndarray]:
+    """The words of all texts in turn, the end after each, and how many each text has."""
     out: list[bytes] = []
-    for text in texts:
+    size = np.empty(len(texts), np.int64)
+    for i, text in enumerate(texts):
+        n = len(out)
         out += words_of(text)
         out.append(END)
-    return out
+        size[i] = len(out) - n
+    return out, size
 
 
 def _numbers(words: list[bytes], number: dict[bytes, int], other: int) -> np.ndarray:
@@ -115,7 +127,7 @@ def _pair_counts(
             return value, np.bincount(at, np.concatenate(n_kept), value.size).astype(np.int64)
 
         for _, texts in _batches(batches):
-            value, n = np.unique(pairs(_numbers(_flat(texts), number, other), extra), return_counts=True)
+            value, n = np.unique(pairs(_numbers(_flat(texts)[0], number, other), extra), return_counts=True)
             kept.append(value)
             n_kept.append(n)
             if sum(x.size for x in kept) > 4_000_000:
@@ -138,62 +150,67 @@ def _gathered(pair_counts: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarra
 
 
 def _context_counts(rows: DataFrame, shared: Broadcast) -> DataFrame:
-    """(word, before, n): each word outside the core by the core class before it
-    (the last class for words outside), counted."""
+    """(number, word, before, n): each word outside the core by the core class
+    before it (the last class for words outside), counted. Head words have their
+    number, others their word."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, class_of, core, size = shared.value  # head words in order; class of each core word and of all others
         number = {w: i for i, w in enumerate(words)}
-        rare, classes = len(words), class_of[core]
+        rare = len(words)
         end = number.get(END, rare)
-        found = np.zeros((0, 2), np.int64)
+        table = np.zeros((rare - core) * size, np.int32)  # bounded by the head's size
         tail: Counter = Counter()
 
-        def out() -> pa.RecordBatch:
-            value, n = found[:, 0], found[:, 1]
-            keys = list(tail)
+        def out(numbers: pa.Array, tails: pa.Array, before: list | np.ndarray, n: list | np.ndarray) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays(
-                [pa.array([words[i] for i in (value // size).tolist()] + [w for w, _ in keys], pa.binary()),
-                 pa.array(np.concatenate((value % size, np.array([c for _, c in keys], np.int64)))),
-                 pa.array(np.concatenate((n, np.array(list(tail.values()), np.int64))))], names=["word", "before", "n"],
-            )
+                [numbers, tails, pa.array(before, pa.int32()), pa.array(n, pa.int64())], names=["number", "word", "before", "n"])
+
+        def out_tail() -> pa.RecordBatch:
+            keys = list(tail)
+            return out(pa.nulls(len(keys), pa.int32()), pa.array([w for w, _ in keys], pa.binary()), [c for _, c in keys],
+                       list(tail.values()))
 
         for _, texts in _batches(batches):
-            flat = _flat(texts)
+            flat, _ = _flat(texts)
             numbers = _numbers(flat, number, rare)
             before = class_of[np.minimum(_before(numbers, end), core)]
             known = (numbers >= core) & (numbers < rare)
-            value, n = np.unique(numbers[known] * size + before[known], return_counts=True)
-            both = np.concatenate((found, np.stack((value, n), axis=1)))
-            value, at = np.unique(both[:, 0], return_inverse=True)
-            found = np.stack((value, np.bincount(at, both[:, 1], value.size).astype(np.int64)), axis=1)
+            value, n = np.unique((numbers[known] - core) * size + before[known], return_counts=True)
+            table[value] += n.astype(np.int32)
             at = np.nonzero(numbers == rare)[0]
             tail.update(zip([flat[i] for i in at.tolist()], before[at].tolist()))
-            if len(tail) + len(found) > HELD:
-                yield out()
-                found, tail = found[:0], Counter()
-        yield out()
+            if len(tail) > HELD:
+                yield out_tail()
+                tail = Counter()
+        yield out_tail()
+        found = np.nonzero(table)[0]
+        for i in range(0, found.size, 1 << 18):
+            at = found[i : i + (1 << 18)]
+            yield out(pa.array((at // size + core).astype(np.int32)), pa.nulls(at.size, pa.binary()), (at % size).astype(np.int32),
+                      table[at].astype(np.int64))
 
-    made = rows.mapInArrow(run, "word binary, before long, n long")
-    return made.groupBy("word", "before").agg(F.sum("n").alias("n"))
+    made = rows.mapInArrow(run, "number int, word binary, before int, n long")
+    return made.groupBy("number", "word", "before").agg(F.sum("n").alias("n"))
 
 
 def _word_classes(contexts: DataFrame, shared: Broadcast) -> DataFrame:
-    """(word, n, class): each word's count, and the class in which its contexts gain most."""
-    by_word = contexts.groupBy("word").agg(F.sum("n").alias("n"), F.collect_list(F.struct("before", "n")).alias("seen"))
+    """(number, word, n, class): each word's count, and the class in which its contexts gain most."""
+    by_word = contexts.groupBy("number", "word").agg(
+        F.sum("n").alias("n"), F.collect_list(F.struct("before", "n")).alias("seen"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         logs = shared.value  # by class before and class
         for batch in batches:
             seen = np.zeros((batch.num_rows, logs.shape[0]))
-            at = np.repeat(np.arange(batch.num_rows), batch.column(2).value_lengths().to_numpy())
-            before, n = batch.column(2).flatten().flatten()
+            at = np.repeat(np.arange(batch.num_rows), batch.column(3).value_lengths().to_numpy())
+            before, n = batch.column(3).flatten().flatten()
             seen[at, before.to_numpy()] = n.to_numpy()
             best = np.argmax((seen @ logs)[:, :-1], axis=1)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(best.astype(np.int32))], names=["word", "n", "class"])
+                [*batch.columns[:3], pa.array(best.astype(np.int32))], names=["number", "word", "n", "class"])
 
-    return by_word.mapInArrow(run, "word binary, n long, class int")
+    return by_word.mapInArrow(run, "number int, word binary, n long, class int")
 
 
 def _class_of_tail(pairs: DataFrame, tail: DataFrame, side: str, other: int) -> DataFrame:
@@ -222,41 +239,12 @@ def _tail_pairs(
     ]
 
 
-PAIR = "a int, a_word binary, b int, b_word binary, n long"
-
-
 def _pair_columns(pairs: list[tuple], n: list[int]) -> list[pa.Array]:
     a, a_word, b, b_word = zip(*pairs) if pairs else ((), (), (), ())
     return [pa.array(a, pa.int32()), pa.array(a_word, pa.binary()), pa.array(b, pa.int32()), pa.array(b_word, pa.binary()),
             pa.array(n, pa.int64())]
 
 
-def _class_pairs(rows: DataFrame, shared: Broadcast) -> DataFrame:
-    """(a, a_word, b, b_word, n): neighbours by class, by word where outside the head, counted."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, cls, size = shared.value  # head words in order, the class of each and of all others
-        number = {w: i for i, w in enumerate(words)}
-        rare, end, names = len(words), number.get(END, len(words)), ["a", "a_word", "b", "b_word", "n"]
-        table = np.zeros(size * size, np.int64)
-        tail: Counter = Counter()
-        for _, texts in _batches(batches):
-            flat = _flat(texts)
-            numbers = _numbers(flat, number, rare)
-            before = _before(numbers, end)
-            known = (numbers != rare) & (before != rare)
-            table += np.bincount(cls[before[known]] * size + cls[numbers[known]], minlength=size * size)
-            tail.update(_tail_pairs(flat, numbers, cls, rare, end)[1])
-            if len(tail) > HELD:
-                yield pa.RecordBatch.from_arrays(_pair_columns(list(tail), list(tail.values())), names=names)
-                tail = Counter()
-        at = np.nonzero(table)[0].tolist()
-        both = [(i // size, None, i % size, None) for i in at] + list(tail)
-        yield pa.RecordBatch.from_arrays(_pair_columns(both, table[at].tolist() + list(tail.values())), names=names)
-
-    return rows.mapInArrow(run, PAIR)
-
-
 def _xlogx(x: np.ndarray) -> np.ndarray:
     return x * np.log(np.maximum(x, 1e-300))
 
@@ -307,33 +295,53 @@ def exchange_classes(pairs: np.ndarray, classes: int, sweeps: int = 12) -> np.nd
     return cls
 
 
+@dataclass
+class Vocabulary:
+    """The head: word -> (count, class), the end always among them; how many tokens
+    and words all training texts have; tokens and words of each class, of which the
+    last is for words without a class."""
+
+    head: dict[bytes, tuple[int, int]]
+    total: int
+    size: int
+    tokens_in: np.ndarray
+    words_in: np.ndarray
+
+    @property
+    def other(self) -> int:
+        return self.words_in.size - 1
+
+    @property
+    def has_tail(self) -> bool:
+        return self.size > len(self.head)
+
+
 class BrownModel:
-    """Counts of the head words, their classes and the logs that scoring adds up."""
-
-    def __init__(self, head: dict[bytes, tuple[int, int]], total: int, vocabulary: int, links: np.ndarray,
-                 words_in: np.ndarray, tokens_in: np.ndarray, weight: float) -> None:
-        self.head, self.total, self.vocabulary = head, total, vocabulary
-        self.other = links.shape[0] - 1
-        self.has_tail = vocabulary > len(head)
-        share = (tokens_in + 1e-9) / (tokens_in.sum() + 1e-9 * tokens_in.size)
+    """A vocabulary and the logs that scoring adds up."""
+
+    def __init__(self, words: Vocabulary, links: np.ndarray, weight: float) -> None:
+        self.head, self.total, self.other = words.head, words.total, words.other
+        share = (words.tokens_in + 1e-9) / (words.tokens_in.sum() + 1e-9 * words.tokens_in.size)
         follow = (links + PRIOR * share) / (links.sum(axis=1, keepdims=True) + PRIOR)
-        size = tokens_in + words_in
+        size = words.tokens_in + words.words_in
         size[self.other] += 1  # the unseen word
-        self.uniform = 1 / (total + vocabulary + 1)
+        self.uniform = 1 / (words.total + words.size + 1)
         # log10 of what a word's count plus one is multiplied by, by class before and own class
         self.link = np.log10(weight * follow / np.maximum(size, 1) + (1 - weight) * self.uniform)
 
 
-def train(
-    rows: DataFrame, classes: int = CLASSES, core: int = CORE, clustered: int = CLUSTERED, head: int = HEAD,
-    weight: float = WEIGHT, least: int = LEAST,
-) -> tuple[BrownModel, DataFrame]:
-    """The model and the words outside its head (word, n, class), from the text column of ``rows``."""
+def vocabulary(
+    rows: DataFrame, classes: int = CLASSES, core: int = CORE, clustered: int = CLUSTERED, head: int = HEAD, least: int = LEAST,
+) -> tuple[Vocabulary, DataFrame]:
+    """The counted and clustered words of the text column of ``rows``, and those
+    outside the head as a table (word, n, class)."""
+    if classes >= TAIL:
+        raise ValueError(f"at most {TAIL - 1} classes")
     spark = rows.sparkSession
     counts = written(word_counts(rows), "word-counts")
     # How many words have each count: a small table, from which the head's least count follows.
     levels = sorted(map(tuple, counts.groupBy("n").agg(F.count("*")).collect()), reverse=True)
-    total, vocabulary = sum(n * k for n, k in levels), sum(k for _, k in levels)
+    total, distinct = sum(n * k for n, k in levels), sum(k for _, k in levels)
     lowest, held = math.inf, 0
     for n, k in levels:
         if held + k > head:
@@ -369,22 +377,13 @@ def train(
     classed = written(_word_classes(_context_counts(rows, shared), logs), "word-classes")
     class_of = np.full(len(top) + 1, classes)
     class_of[:core] = core_class[:-1]
-    if len(top) > core:
-        table = classed.filter((F.col("n") >= lowest) | (F.col("word") == F.lit(END))).toArrow()
-        for w, c in zip(table["word"].to_pylist(), table["class"].to_pylist()):
-            i = number.get(w, core)
-            if i >= core and (i < clustered or top[i][0] >= least):
-                class_of[i] = c
-    tail = classed.filter((F.col("n") < lowest) & (F.col("word") != F.lit(END)))
+    table = classed.filter("number is not null").select("number", "class").toArrow()  # bounded by the head's size
+    at, own = table["number"].to_numpy(), table["class"].to_numpy()
+    frequent = (at < clustered) | (np.array([n for n, _ in top] or [0])[at] >= least)
+    class_of[at[frequent]] = own[frequent]
+    tail = classed.filter("number is null")
     tail = tail.select("word", "n", F.when(F.col("n") >= least, F.col("class")).otherwise(classes).alias("class"))
 
-    shared = spark.sparkContext.broadcast((words, class_of, classes + 1))
-    found = written(_class_pairs(rows, shared), "class-pairs")
-    for side in ("a", "b"):
-        found = _class_of_tail(found, tail, side, classes)
-    table = found.groupBy("a", "b").agg(F.sum("n").alias("n")).toArrow()  # at most (classes + 1) squared rows
-    links = np.zeros((classes + 1, classes + 1))
-    links[table["a"].to_numpy(), table["b"].to_numpy()] = table["n"].to_numpy()
     tokens_in, words_in = np.zeros(classes + 1), np.zeros(classes + 1)
     for c, n, k in tail.groupBy("class").agg(F.sum("n"), F.count("*")).collect():
         tokens_in[c] += n
@@ -395,88 +394,163 @@ def train(
         tokens_in[c] += n
         words_in[c] += 1
     tokens_in[classes] += total - tokens_in.sum()
-    words_in[classes] += vocabulary - words_in.sum()
-    return BrownModel(known, total, vocabulary, links, words_in, tokens_in, weight), tail
-
-
-def score(
-    docs: DataFrame, model: BrownModel, tail: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-    carried: tuple[str, ...] = (),
-) -> DataFrame:
-    """One row per row of ``docs``: id, the ``carried`` columns, n_tokens,
-    n_known, train_tokens, base_score, score."""
+    words_in[classes] += distinct - words_in.sum()
+    return Vocabulary(known, total, distinct, tokens_in, words_in), tail
+
+
+def coded(
+    docs: DataFrame, words: Vocabulary, tail: DataFrame, text_col: str = "text", carried: tuple[str, ...] = (),
+    learn: Column | None = None,
+) -> tuple[DataFrame, DataFrame]:
+    """One pass over the texts, written. Texts: (row, carried, learn, n, n_known,
+    counts: sum of the logs of the words' counts, classes: a byte a word, ``TAIL``
+    for those outside the head). Neighbours of which one or both stand outside the
+    head: (row, learn, n, a, b, b_count), met with the tail's counts and classes by joins."""
     spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(model)  # bounded by the head's size
+    shared = spark.sparkContext.broadcast(words)  # bounded by the head's size
     rows = docs.select(
-        F.monotonically_increasing_id().alias("row"), docs[id_col].alias("id"), *[docs[c].alias(c) for c in carried],
-        docs[text_col].cast("string").alias("text"),
+        F.monotonically_increasing_id().alias("row"), *[docs[c].alias(c) for c in carried],
+        (F.lit(True) if learn is None else learn).alias("learn"), docs[text_col].cast("string").alias("text"),
     )
-    lead = [f for f in rows.schema.fields if f.name not in ("row", "text")]
-    names = [f.name for f in lead]
+    lead = [f for f in rows.schema.fields if f.name not in ("row", "learn", "text")]
+    names, kinds = [f.name for f in lead], "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in lead)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
         number = {w: i for i, w in enumerate(own.head)}
+        rare, end = len(number), number.get(END, len(number))
+        outside = TAIL if own.has_tail else own.other
         count = np.array([n for n, _ in own.head.values()] + [0], np.float64)
-        cls = np.array([c for _, c in own.head.values()] + [own.other], np.int64)
+        cls = np.array([c for _, c in own.head.values()] + [outside], np.uint8)
         log_count = np.log10(count + 1)
-        rare = count.size - 1
-        end = number.get(END, rare)
         empty = [pa.nulls(0, t) for t in (pa.int32(), pa.binary(), pa.int32(), pa.binary())]
-        columns = ["row", *names, "n", "n_known", "counts", "links", "a", "a_word", "b", "b_word"]
+        columns = ["row", *names, "learn", "n", "n_known", "counts", "classes", "a", "a_word", "b", "b_word"]
         for batch, texts in _batches(batches):
-            size = np.array([len(words_of(t)) + 1 for t in texts], np.int64)
-            words = _flat(texts)
-            flat = _numbers(words, number, rare)
-            first = np.cumsum(size) - size
-            linked = own.link[cls[_before(flat, end)], cls[flat]]
-            at, pairs = _tail_pairs(words, flat, cls, rare, end) if own.has_tail else (flat[:0], [])
-            linked[at] = 0
-            sums = [np.add.reduceat(x, first) for x in (log_count[flat], linked, (count[flat] > 0).astype(np.int64))] if texts else [np.zeros(0)] * 3
+            flat, size = _flat(texts)
+            numbers = _numbers(flat, number, rare)
+            stop = np.cumsum(size)
+            first, own_classes = stop - size, cls[numbers].tobytes()
+            sums = [np.add.reduceat(x, first) for x in (log_count[numbers], (count[numbers] > 0).astype(np.int64))] if texts else [np.zeros(0)] * 2
+            learned = batch.column(1 + len(names))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), *(batch.column(1 + i) for i in range(len(names))), pa.array(size), pa.array(sums[2].astype(np.int64)),
-                 pa.array(sums[0]), pa.array(sums[1]), *(pa.nulls(len(texts), x.type) for x in empty)], names=columns,
+                [batch.column(0), *(batch.column(1 + i) for i in range(len(names))), learned, pa.array(size),
+                 pa.array(sums[1].astype(np.int64)), pa.array(sums[0]),
+                 pa.array([own_classes[i:j] for i, j in zip(first.tolist(), stop.tolist())], pa.binary()),
+                 *(pa.nulls(len(texts), x.type) for x in empty)], names=columns,
             )
-            found = Counter(zip(np.repeat(batch.column(0).to_numpy(), size)[at].tolist(), pairs))
+            if not own.has_tail:
+                continue
+            at, pairs = _tail_pairs(flat, numbers, cls, rare, end)
+            found = Counter(zip(np.repeat(np.arange(size.size), size)[at].tolist(), pairs))
             if n := len(found):
+                doc = pa.array([r for r, _ in found], pa.int64())
                 *sides, times = _pair_columns([p for _, p in found], list(found.values()))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([r for r, _ in found], pa.int64()), *(pa.nulls(n, batch.column(1 + i).type) for i in range(len(names))),
-                     times, pa.nulls(n, pa.int64()), pa.nulls(n, pa.float64()), pa.nulls(n, pa.float64()), *sides], names=columns,
+                    [batch.column(0).take(doc), *(pa.nulls(n, batch.column(1 + i).type) for i in range(len(names))), learned.take(doc),
+                     times, pa.nulls(n, pa.int64()), pa.nulls(n, pa.float64()), pa.nulls(n, pa.binary()), *sides], names=columns,
                 )
 
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in lead)
-    # One pass gives the documents' rows and, without n_known, the neighbours with a word outside the head.
     made = written(rows.mapInArrow(
-        run, f"row long, {kinds}, n long, n_known long, counts double, links double, a int, a_word binary, b int, b_word binary"
-    ), "scored")
-    found = made.filter("n_known is null").select("row", "n", "a", "a_word", "b", "b_word")
+        run, f"row long, {kinds}learn boolean, n long, n_known long, counts double, classes binary, a int, a_word binary, b int, b_word binary"
+    ), "coded")
+    found = made.filter("n_known is null").select("row", "learn", "n", "a", "a_word", "b", "b_word")
     for side in ("a", "b"):
-        found = _class_of_tail(found, tail, side, model.other)
-    link = spark.createDataFrame(
-        [(a, b, float(x)) for (a, b), x in np.ndenumerate(model.link)], "_a int, _b int, _link double")
+        found = _class_of_tail(found, tail, side, words.other)
+    texts = made.filter("n_known is not null").drop("a", "a_word", "b", "b_word")
+    return texts, written(found.select("row", "learn", "n", "a", "b", "b_count"), "tail-neighbours")
+
+
+def _known_neighbours(classes: list[bytes], end: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """For the words of all texts in turn: class before, class, whether both are
+    known, and where each text begins."""
+    size = np.array([len(c) for c in classes], np.int64)
+    own = np.frombuffer(b"".join(classes), np.uint8)
+    first = np.cumsum(size) - size
+    before = np.concatenate((np.zeros(min(1, own.size), np.uint8), own[:-1]))
+    before[first] = end
+    return before, own, (before != TAIL) & (own != TAIL), first
+
+
+def class_links(texts: DataFrame, neighbours: DataFrame, words: Vocabulary) -> np.ndarray:
+    """How often each class follows each, over the texts and neighbours to learn from."""
+    size, end = words.other + 1, words.head[END][1] if END in words.head else words.other
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = np.zeros(size * size, np.int64)
+        for batch in slices(batches, "classes", 4 << 20):
+            before, own, known, _ = _known_neighbours(batch.column(0).to_pylist(), end)
+            table += np.bincount(before[known].astype(np.int64) * size + own[known], minlength=size * size)
+        at = np.nonzero(table)[0]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array((at // size).astype(np.int32)), pa.array((at % size).astype(np.int32)), pa.array(table[at])], names=["a", "b", "n"])
+
+    inside = texts.filter("learn").select("classes").mapInArrow(run, "a int, b int, n long")
+    counted = inside.unionByName(neighbours.filter("learn").select("a", "b", "n")).groupBy("a", "b").agg(F.sum("n").alias("n"))
+    table, links = counted.toArrow(), np.zeros((size, size))  # at most size squared rows
+    links[table["a"].to_numpy(), table["b"].to_numpy()] = table["n"].to_numpy()
+    return links
+
+
+def train(rows: DataFrame, weight: float = WEIGHT, **options) -> tuple[BrownModel, Vocabulary, DataFrame]:
+    """The model, its vocabulary and the words outside the head (word, n, class),
+    from the text column of ``rows``; ``options`` are those of ``vocabulary``."""
+    words, tail = vocabulary(rows, **options)
+    return BrownModel(words, class_links(*coded(rows, words, tail), words), weight), words, tail
+
+
+def scores(texts: DataFrame, neighbours: DataFrame, model: BrownModel, carried: tuple[str, ...]) -> DataFrame:
+    """One row for each coded text: the carried columns, n_tokens, n_known,
+    train_tokens, base_score, score."""
+    spark, other = texts.sparkSession, model.other
+    shared = spark.sparkContext.broadcast((model.link, model.head[END][1] if END in model.head else other))
+    kept = [c for c in texts.columns if c != "classes"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        link, end = shared.value
+        for batch in slices(batches, "classes", 4 << 20):
+            at = batch.schema.names.index("classes")
+            before, own, known, first = _known_neighbours(batch.column(at).to_pylist(), end)
+            linked = np.zeros(own.size)
+            linked[known] = link[before[known], own[known]]
+            sums = np.add.reduceat(linked, first) if first.size else linked
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), pa.array(sums)], names=[*kept, "links"])
+
+    schema = T.StructType([*[texts.schema[c] for c in kept], T.StructField("links", T.DoubleType())])
+    link = spark.createDataFrame([(a, b, float(x)) for (a, b), x in np.ndenumerate(model.link)], "_a int, _b int, _link double")
     more = (
-        found.join(F.broadcast(link), (F.col("a") == F.col("_a")) & (F.col("b") == F.col("_b")))
+        neighbours.join(F.broadcast(link), (F.col("a") == F.col("_a")) & (F.col("b") == F.col("_b")))
         .groupBy(F.col("row").alias("_row")).agg(
             F.sum(F.col("n") * F.log10(F.coalesce("b_count", F.lit(0)) + 1)).alias("_counts"),
             F.sum(F.col("n") * F.col("_link")).alias("_links"),
             F.sum(F.when(F.col("b_count") > 0, F.col("n")).otherwise(0)).alias("_known"),
         )
     )
-    own = made.filter("n_known is not null").join(more, F.col("row") == F.col("_row"), "left")
+    own = texts.mapInArrow(run, schema).join(more, F.col("row") == F.col("_row"), "left")
     logs = F.col("counts") + F.coalesce("_counts", F.lit(0.0))
     return own.select(
-        *[F.col(f"`{c}`") for c in names], F.col("n").alias("n_tokens"),
+        *[F.col(f"`{c}`") for c in carried], F.col("n").alias("n_tokens"),
         (F.col("n_known") + F.coalesce("_known", F.lit(0))).alias("n_known"),
         F.lit(model.total).cast("long").alias("train_tokens"),
-        (logs + F.col("n") * math.log10(model.uniform)).alias("base_score"), (logs + F.col("links") + F.coalesce("_links", F.lit(0.0))).alias("score"),
+        (logs + F.col("n") * math.log10(model.uniform)).alias("base_score"),
+        (logs + F.col("links") + F.coalesce("_links", F.lit(0.0))).alias("score"),
     )
 
 
+def score(docs: DataFrame, model: BrownModel, words: Vocabulary, tail: DataFrame, id_col: str = "doc_id",
+          text_col: str = "text") -> DataFrame:
+    """One row per row of ``docs``: id, n_tokens, n_known, train_tokens, base_score, score."""
+    named = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
+    return scores(*coded(named, words, tail, carried=("id",)), model, ("id",))
+
+
 def score_corpus(
-    docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str = "text", **options
+    docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str = "text", weight: float = WEIGHT, **options
 ) -> DataFrame:
-    """Trains on the rows for which ``held_out`` is false and scores all."""
-    marked = docs.select(F.col(id_col), F.col(text_col), F.coalesce(held_out, F.lit(False)).alias("held_out"))
-    model, tail = train(marked.filter("not held_out").select(F.col(text_col).cast("string").alias("text")), **options)
-    return score(marked, model, tail, id_col, text_col, carried=("held_out",))
+    """Trains on the rows for which ``held_out`` is false and scores all; the
+    texts are coded once for both."""
+    marked = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"),
+                         F.coalesce(held_out, F.lit(False)).alias("held_out"))
+    words, tail = vocabulary(marked.filter("not held_out").select("text"), **options)
+    texts, neighbours = coded(marked, words, tail, carried=("id", "held_out"), learn=~F.col("held_out"))
+    model = BrownModel(words, class_links(texts, neighbours, words), weight)
+    return scores(texts, neighbours, model, ("id", "held_out"))

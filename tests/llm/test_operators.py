@@ -104,7 +104,7 @@ def test_brown_end_is_known_whatever_its_rank(spark, head):
 
 def test_brown_probabilities_add_up(spark):
     rows = spark.createDataFrame([(t,) for t in ["a b a c", "b a b d e", "a a f"] * 3], "text string")
-    model, _ = brown_lm.train(rows, classes=3, core=4, clustered=6, head=100)
+    model, _, _ = brown_lm.train(rows, classes=3, core=4, clustered=6, head=100)
     for before in range(model.link.shape[0]):
         known = sum((n + 1) * 10 ** model.link[before, c] for n, c in model.head.values())
         assert known + 10 ** model.link[before, model.other] == pytest.approx(1, abs=1e-6)
