@@ -169,14 +169,17 @@ def cross_validate(
     label_col: str = "label_idx",
     prediction_col: str = "prediction",
     parallelism: int = 1,
+    train_scores: bool = False,
 ) -> dict:
     """Fit on k-1 folds, score the held-out fold, for every fold; metrics
-    of all folds come from one grouped confusion table. With
+    of all folds come from one grouped confusion table. ``train_scores`` also
+    scores each model on the folds it was fitted to, in the same table. With
     ``parallelism`` > 1 fold fits are submitted from that many driver
     threads and Spark runs their jobs concurrently (as
     ``CrossValidator(parallelism=...)`` does); each concurrent forest fit
     needs its own split-statistics memory, so size it to the executors.
-    Returns means, population stds and mean fit/score seconds."""
+    Returns means, population stds (``cv_...`` of held-out folds, ``train_...``
+    of fitted ones) and mean fit/score seconds."""
 
     def run_fold(f: int):
         train = folds.filter(F.col(fold_col) != f)
@@ -185,7 +188,10 @@ def cross_validate(
         model = pipeline_factory().fit(train)
         fit_time = time.perf_counter() - t0
         t0 = time.perf_counter()
-        pred = model.transform(test).select(fold_col, label_col, prediction_col)
+        pred = model.transform(test).select(F.lit("test").alias("_part"), F.lit(f).alias(fold_col), label_col, prediction_col)
+        if train_scores:
+            own = model.transform(train).select(F.lit("train").alias("_part"), F.lit(f).alias(fold_col), label_col, prediction_col)
+            pred = pred.unionByName(own)
         return pred, fit_time, time.perf_counter() - t0
 
     with ThreadPoolExecutor(max_workers=max(1, min(parallelism, k))) as pool:
@@ -193,10 +199,13 @@ def cross_validate(
     allpred = runs[0][0]
     for pred, _, _ in runs[1:]:
         allpred = allpred.unionByName(pred)
-    conf = confusion_counts(allpred, label_col, prediction_col, group=[fold_col])
-    per_fold = metrics_from_confusion(conf, group=[fold_col])
-    agg = per_fold.agg(*[F.avg(m).alias(f"cv_{m}_mean") for m in ("accuracy", "balanced_accuracy", "f1_macro")],
-                       *[F.stddev_pop(m).alias(f"cv_{m}_std") for m in ("accuracy", "balanced_accuracy", "f1_macro")])
+    groups = ["_part", fold_col]
+    per_fold = metrics_from_confusion(confusion_counts(allpred, label_col, prediction_col, group=groups), group=groups)
+    measured = ("accuracy", "balanced_accuracy", "f1_macro")
+    parts = {"test": "cv", "train": "train"} if train_scores else {"test": "cv"}
+    agg = per_fold.agg(*[f(F.when(F.col("_part") == part, F.col(m))).alias(f"{prefix}_{m}_{kind}")
+                         for part, prefix in parts.items() for kind, f in (("mean", F.avg), ("std", F.stddev_pop))
+                         for m in measured])
     t0 = time.perf_counter()
     result = agg.first().asDict()
     score_total = time.perf_counter() - t0

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from strata.operators import evaluate as EV
 from strata.operators import explain as XP
 from strata.operators.models import class_of
+from strata.sources import io as IO
 
 
 @dataclass
@@ -40,5 +41,5 @@ def model_report(model: PipelineModel, test: DataFrame, classes: Sequence, featu
     bundle = ReportBundle(report, conf, importance, aggregated, permutation, top)
     if output_dir:
         for name in ("report", "confusion", "importance", "aggregated_importance", "permutation_importance"):
-            getattr(bundle, name).write.mode("overwrite").option("header", True).csv(os.path.join(output_dir, name))
+            IO.write_csv(getattr(bundle, name), os.path.join(output_dir, name))
     return bundle

@@ -198,7 +198,7 @@ s AS (SELECT *, GREATEST(p1, p2, p3) AS conf,
              list_sort([p1, p2, p3])[2] AS second FROM p)"""
 
 
-@register("score_columns", "G03 G07 N05 P19", oracle=_SOFTMAX_SQL + """
+@register("score_columns", "G03 N05 P19", oracle=_SOFTMAX_SQL + """
 SELECT doc_id, pred AS PredictedClass, ROUND(p1, 6) AS ProbabilityClass1, ROUND(p2, 6) AS ProbabilityClass2,
        ROUND(p3, 6) AS ProbabilityClass3, ROUND(conf, 6) AS PredictionConfidence,
        ROUND(second, 6) AS SecondHighestProbability, ROUND(ROUND(conf, 6) - ROUND(second, 6), 6) AS ProbabilityMargin,
@@ -268,7 +268,7 @@ def q_context_join(spark, sf):
     return add_context_columns(scored, docs, "doc_id", ["lang", "source"], preferred=["lang"])
 
 
-@register("lowest_confidence", "O06 G08 P19", oracle=_SOFTMAX_SQL + """
+@register("lowest_confidence", "O06 P19", oracle=_SOFTMAX_SQL + """
 SELECT doc_id, pred AS PredictedClass, ROUND(conf, 6) AS PredictionConfidence,
        CASE WHEN ROUND(conf, 6) >= 0.8 THEN 'High model confidence' WHEN ROUND(conf, 6) >= 0.6
             THEN 'Moderate model confidence' ELSE 'Low model confidence' END AS ConfidenceBand

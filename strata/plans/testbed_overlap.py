@@ -55,7 +55,7 @@ def external_source(spark, sf):
     )
 
 
-@register("harmonize", "H02 F13 F17 F18 F19 F20 V03 V04 V17 P14 P15 P18 N04", oracle=f"""
+_HARMONIZED_SQL = f"""
 WITH src AS {_EXTERNAL_SQL},
 kept AS (SELECT *, ROW_NUMBER() OVER (ORDER BY c_custkey) AS rn FROM src
          WHERE lower(trim("class")) IN ('automobile', 'building', 'furniture'))
@@ -78,7 +78,10 @@ SELECT rn AS PassengerId,
        NULLIF(trim(country), '') AS Country,
        rn AS ExternalSourceRow
 FROM kept
-""")
+"""
+
+
+@register("harmonize", "H02 F13 F17 F18 F19 F20 V03 V04 V17 P14 P15 P18 N04", oracle=_HARMONIZED_SQL)
 def q_harmonize(spark, sf):
     return H.harmonize_external(external_source(spark, sf).drop("c_custkey"), SPEC)
 
@@ -241,7 +244,17 @@ def q_overlap_class_counts(spark, sf):
     return O.class_counts_before_after(O.audit_overlap(ext, tr), "either", "lang")
 
 
-@register("external_preparation", "H05 S20 A27 J06")
+def _external_sql() -> str:
+    from strata.plans.testbed_passenger import _PASSENGERS_SQL
+    trained = f"SELECT {_name_key_sql('Name')} AS nk, {_code_key_sql('Ticket')} AS tk FROM ({_PASSENGERS_SQL} SELECT * FROM p)"
+    return f"""
+WITH clean AS ({_HARMONIZED_SQL}), trained AS ({trained}),
+keyed AS (SELECT *, {_name_key_sql('Name')} AS nk, {_code_key_sql('Ticket')} AS tk FROM clean)
+SELECT * EXCLUDE (nk, tk) FROM keyed
+WHERE NOT (nk <> '' AND nk IN (SELECT nk FROM trained)) AND NOT (tk <> '' AND tk IN (SELECT tk FROM trained))"""
+
+
+@register("external_preparation", "H05 S20 A27 J06", oracle=_external_sql())
 def q_external_preparation(spark, sf):
     from strata.plans.external import prepare_external
     from strata.plans.testbed_passenger import passengers

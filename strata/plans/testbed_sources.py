@@ -9,8 +9,10 @@ from __future__ import annotations
 import os
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
+from strata.operators import cohort as C
 from strata.operators import quality as Q
 from strata.operators.rows import with_row_number
 from strata.plans.registry import register, table
@@ -146,3 +148,64 @@ def q_label_checks(spark, sf):
     labels = table(spark, sf, "labels")
     Q.assert_trainable(labels, "quality", ["toxic"])
     return Q.label_checks(labels, "quality")
+
+
+@register("saved_table_modes", "S05", oracle="""
+SELECT c_mktsegment, 2 * COUNT(*) AS customers, 2 * SUM(c_custkey)::BIGINT AS keys, true AS second_create_refused FROM customer
+GROUP BY c_mktsegment
+""")
+def q_saved_table_modes(spark, sf):
+    # replaced once, appended to once; a table that is there is not created again
+    name, path = f"strata_saved_{uuid.uuid4().hex}", _scratch(spark, "saved-table")
+    customers = table(spark, sf, "customer")
+    IO.write_table(customers.filter("c_custkey % 2 = 0"), name, "fail", path=path)
+    IO.write_table(customers, name, "replace", path=path)
+    IO.write_table(customers, name, "append")
+    try:
+        IO.write_table(customers, name, "fail")
+        refused = False
+    except AnalysisException:
+        refused = True
+    saved = spark.table(name)
+    return saved.groupBy("c_mktsegment").agg(F.count(F.lit(1)).alias("customers"), F.sum("c_custkey").alias("keys"),
+                                             F.lit(refused).alias("second_create_refused"))
+
+
+@register("required_columns", "V01", oracle="""
+SELECT COUNT(*) AS rows, 'orders is missing required columns: absent_one, absent_two' AS message FROM orders
+""")
+def q_required_columns(spark, sf):
+    orders = table(spark, sf, "orders")
+    Q.require_columns(orders, orders.columns[:3], "orders")
+    try:
+        Q.require_columns(orders, ["absent_two", "o_orderkey", "absent_one"], "orders")
+        message = None
+    except ValueError as refused:
+        message = str(refused)
+    return orders.agg(F.count(F.lit(1)).alias("rows"), F.lit(message).alias("message"))
+
+
+@register("null_order", "O07", oracle="""
+WITH t AS (SELECT o_orderkey, NULLIF(o_orderpriority, '1-URGENT') AS priority FROM orders)
+SELECT 'first' AS nulls, * FROM (SELECT * FROM t ORDER BY priority ASC NULLS FIRST, o_orderkey LIMIT 25)
+UNION ALL SELECT 'last', * FROM (SELECT * FROM t ORDER BY priority DESC NULLS LAST, o_orderkey DESC LIMIT 25)
+""")
+def q_null_order(spark, sf):
+    t = table(spark, sf, "orders").select("o_orderkey", F.nullif("o_orderpriority", F.lit("1-URGENT")).alias("priority"))
+    first = C.top_k(t, [F.col("priority").asc_nulls_first(), F.col("o_orderkey")], 25)
+    last = C.top_k(t, [F.col("priority").desc_nulls_last(), F.col("o_orderkey").desc()], 25)
+    return first.select(F.lit("first").alias("nulls"), "*").unionByName(last.select(F.lit("last").alias("nulls"), "*"))
+
+
+@register("strict_types", "V02 V03", oracle="""
+SELECT o_orderkey, o_custkey, o_totalprice, o_orderpriority FROM orders
+""")
+def q_strict_types(spark, sf):
+    # everything as text, some integers with a fraction of zero, back to types by the strict path
+    orders = table(spark, sf, "orders")
+    texts = orders.select(
+        F.when(F.col("o_orderkey") % 3 == 0, F.concat(F.col("o_orderkey").cast("string"), F.lit(".0")))
+        .otherwise(F.col("o_orderkey").cast("string")).alias("o_orderkey"),
+        F.col("o_custkey").cast("string").alias("o_custkey"), F.col("o_totalprice").cast("string").alias("o_totalprice"),
+        "o_orderpriority")
+    return Q.standardize_types(texts, strings=["o_orderpriority"], doubles=["o_totalprice"], integers=["o_orderkey", "o_custkey"])

@@ -122,9 +122,11 @@ def load_table(spark: SparkSession, path: str) -> DataFrame:
 _MODES = {"replace": "overwrite", "append": "append", "fail": "errorifexists"}
 
 
-def write_table(df: DataFrame, name: str, if_exists: str = "replace", *, temporary: bool = False) -> None:
+def write_table(df: DataFrame, name: str, if_exists: str = "replace", *, temporary: bool = False,
+                path: str | None = None) -> None:
     """Register ``df`` as table ``name``: replace / append / fail. With
-    ``temporary`` it becomes a session view (replace only)."""
+    ``temporary`` it becomes a session view (replace only); ``path`` puts a new
+    table's files into a folder of yours instead of the warehouse."""
     if if_exists not in _MODES:
         raise ValueError(f"if_exists must be one of {sorted(_MODES)}")
     if temporary:
@@ -132,7 +134,8 @@ def write_table(df: DataFrame, name: str, if_exists: str = "replace", *, tempora
             raise ValueError("temporary views only support if_exists='replace'")
         df.createOrReplaceTempView(name)
         return
-    df.write.mode(_MODES[if_exists]).saveAsTable(name)
+    writer = df.write.mode(_MODES[if_exists])
+    (writer.option("path", path) if path else writer).saveAsTable(name)
 
 
 def split_statements(script: str) -> list[str]:
