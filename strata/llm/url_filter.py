@@ -1,12 +1,17 @@
 """URL filter: host/path rules, then a list of canonical URLs.
 
 Listed canonical URLs set bits in a blocked Bloom filter (256-bit blocks, one
-64-bit word per probe). The filter has a fixed number of blocks, so what is
-broadcast never grows with the list; a longer list only raises the share of
-false positives, and an exact hash join on the canonical URL removes those.
+64-bit word per probe), sized from the counted list: ``BITS`` bits an entry,
+which lets about one page in 300 through that is not listed. Up to
+``BROADCAST_BLOCKS`` blocks (some 60 MB, 16 million entries) the filter is
+broadcast; a larger one meets the pages by block number. An exact hash join on
+the canonical URL removes the false positives of either.
 
 Null or malformed URLs have empty host and path, fit no rule and are never
-listed. Repeated rows are judged alike; an empty list blocks nothing.
+listed. Very long URLs are hashed whole. Repeated rows are judged alike; an
+empty list blocks nothing; an empty table of pages gives no rows. Columns of
+``pages`` other than the ids and the URL are not kept, so their names clash
+with none of the result's.
 """
 
 from __future__ import annotations
@@ -17,10 +22,12 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import ascii_lower
+from strata.llm.common import ascii_lower, written
 
 URL_PATTERN = "(?s)^.*?://([^/?#]*)([^?#]*)"
 WORDS = 4
+BITS = 16  # of the filter for each listed URL
+BROADCAST_BLOCKS = 1 << 20
 
 
 def host_of(url: Column) -> Column:
@@ -87,25 +94,25 @@ def judge_urls(
     url_col: str = "url",
     listed_col: str = "url",
     id_cols: Sequence[str] = ("page_id",),
-    blocks: int = 1 << 16,
+    broadcast_blocks: int = BROADCAST_BLOCKS,
 ) -> DataFrame:
     """Judge every URL of ``pages``.
 
     A fitting rule decides; otherwise a URL whose canonical form is in
     ``listed`` is blocked and any other is allowed. Returns the id columns,
     host, path, rule, verdict, canonical and is_listed (one row per row).
-    ``blocks`` fixes the filter's size: 32 bytes each.
+    A filter of more than ``broadcast_blocks`` blocks of 32 bytes is not broadcast.
     """
     url = F.col(url_col)
-    entries = (
-        listed.select(canonical_url(F.col(listed_col)).alias("canonical"))
-        .filter(F.col("canonical").isNotNull()).distinct()
-    )
+    entries = listed.select(canonical_url(F.col(listed_col)).alias("canonical"))
+    entries = written(entries.filter(F.col("canonical").isNotNull()).distinct(), "listed-urls")
+    blocks = max(1, entries.count() * BITS // 256)
     judged = pages.select(
         *id_cols, host_of(url).alias("host"), path_of(url).alias("path"), canonical_url(url).alias("canonical")
     ).withColumn("_rule", match_rule(F.col("host"), F.col("path"), rules))
-    # At most ``blocks`` rows of five numbers: a size that does not depend on the data.
-    bloom = F.broadcast(bloom_blocks(entries, blocks))
+    bloom = bloom_blocks(entries, blocks)  # at most ``blocks`` rows of five numbers
+    if blocks <= broadcast_blocks:
+        bloom = F.broadcast(bloom)
     canonical = F.col("canonical")
     probed = judged.withColumn("block", _block(canonical, blocks)).join(bloom, "block", "left")
     possible = reduce(

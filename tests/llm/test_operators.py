@@ -420,8 +420,10 @@ def test_url_filter(spark):
             "https://bad.org/p/?utm_source=x#t", "http://notexample.com/en/", "http://EXAMPLE.COM?x/en/"]
     pages = spark.createDataFrame([(i, u, "w") for i, u in enumerate(urls)], "page_id long, url string, host string")
     listed = spark.createDataFrame([("http://m.bad.org/p",), (None,), ("http://m.bad.org/p/",)], "url string")
-    for blocks in (1 << 16, 1):  # one block: almost everything is a possible hit, the join decides
-        got = {r.page_id: r for r in url_filter.judge_urls(pages, listed, rules, blocks=blocks).collect()}
+    many = listed.unionByName(spark.range(5000).selectExpr("concat('http://other.org/', id) AS url"))
+    # the filter follows the list; too large to broadcast, it meets the pages by block number
+    for given, limit in ((listed, 1 << 20), (many, 1 << 20), (listed, 0), (many, 0)):
+        got = {r.page_id: r for r in url_filter.judge_urls(pages, given, rules, broadcast_blocks=limit).collect()}
         assert [got[i].verdict for i in range(len(urls))] == [
             "block", "allow", "allow", "allow", "allow", "allow", "allow", "block", "block", "allow", "allow", "block",
             "allow", "allow"]
@@ -432,6 +434,20 @@ def test_url_filter(spark):
     assert url_filter.judge_urls(pages.limit(0), listed, rules).count() == 0
 
 
+def test_url_filter_lets_few_others_through(spark):
+    listed = spark.range(20_000).selectExpr("concat('x.org/', id) AS canonical")
+    blocks = 20_000 * url_filter.BITS // 256
+    bloom = {r.block: r for r in url_filter.bloom_blocks(listed, blocks).collect()}
+    assert len(bloom) <= blocks
+    canonical = F.col("canonical")
+    others = spark.range(20_000).selectExpr("concat('y.org/', id) AS canonical").select(
+        url_filter._block(canonical, blocks).alias("block"), *[b.alias(f"w{i}") for i, b in enumerate(url_filter._bits(canonical))])
+    through = sum(r.block in bloom and all(bloom[r.block][f"w{i}"] & r[f"w{i}"] == r[f"w{i}"] for i in range(4)) for r in others.collect())
+    assert through < 20_000 * 0.02
+    long = spark.createDataFrame([(1, "http://x.org/" + "p" * 500_000)], "page_id long, url string")
+    assert [r.is_listed for r in url_filter.judge_urls(long, long.select("url"), ()).collect()] == [True]
+
+
 def brute_print(text, size):
     words = lower_words(text)
     if not words:
