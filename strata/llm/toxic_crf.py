@@ -1,20 +1,23 @@
 """Toxicity by a linear-chain conditional random field over words.
 
-Labels mark documents, so training words get theirs from the words that toxic
-labelled documents hold far more often than the others: such a word in a toxic
-document is labelled toxic, every other word clean. A two-state chain with
-weights for a word, its first bytes and its neighbours is fitted to these labels by gradient
-ascent on the exact log-likelihood. Forward-backward marginals then give each
-word's chance of being toxic in every document; their largest value and sum,
-through a logistic curve fitted on the training documents, make the document's
-score, and words above one half its offending spans.
+Labels mark documents: a clean document has no toxic word, a toxic one at least
+one. A two-state chain with weights for a word, its first bytes and its
+neighbours is fitted to just that, by gradient ascent on the log-likelihood of
+the documents' labels: the chance that all words are clean comes from the same
+forward pass as the marginals, so no word list stands between labels and
+tokens, and toxic words may be many and rare. Forward-backward marginals then
+give each word's chance of being toxic in every document; their largest value
+and sum, through a logistic curve fitted on the training documents, make the
+document's score, and words above one half its offending spans.
 
 Chains are ``CHAIN`` consecutive words (all words of a text lie in one), so a
 very long text is many short chains. The fit uses a bounded sample of labelled
 documents (``sample_docs`` of each label, by hash of the id); scoring covers
 every document. Null and empty texts have no words and get the score of a text
 without toxic words. Without labels of both kinds every score is the share of
-toxic labels (0 without labels). Repeated rows are scored alike.
+toxic labels (0 without labels). Repeated rows are scored alike, and in the
+sample texts that are equal count once; an empty table gives no rows; other
+columns are not kept, so their names clash with none of the result's.
 """
 
 from __future__ import annotations
@@ -22,7 +25,7 @@ from __future__ import annotations
 import math
 import re
 import zlib
-from collections import Counter, defaultdict
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,6 +42,7 @@ SAMPLE_DOCS = 2000
 FOLDS = 3
 PREFIX = 5
 SAMPLE_BYTES = 16384
+LEAST_HELD = 3  # documents that hold a word of the vocabulary
 # Bytes of words: digits, letters (A-Z lower-cased) and everything beyond ASCII.
 WORD_BYTES = bytes(
     b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256)
@@ -50,34 +54,6 @@ def longest(words: list[bytes]) -> bytes:
     return max(words, key=lambda w: (len(w), w), default=b"")
 
 
-def toxic_words(docs: list[list[bytes]], toxic: np.ndarray, share: float) -> set[bytes]:
-    """Words that make a document likelier toxic than not at the labels' own
-    ``share``, by four standard deviations more often in toxic ones than chance
-    would have it, held by at least 4 toxic documents and a fiftieth of them. Near
-    copies (texts with the same longest word) count as one document."""
-    held: list[dict[bytes, set[bytes]]] = [defaultdict(set), defaultdict(set)]
-    groups: list[set[bytes]] = [set(), set()]
-    for words, label in zip(docs, toxic.tolist()):
-        if words:
-            group = longest(words)
-            groups[label].add(group)
-            for w in set(words):
-                held[label][w].add(group)
-    n = [len(g) for g in groups]
-    odds = share / max(1 - share, 1e-9)
-    out = set()
-    for w, own in held[1].items():
-        k = len(own)
-        if k >= max(4, 0.02 * n[1]):
-            others = len(held[0].get(w, ()))
-            chance = n[1] / sum(n)  # of a holder being toxic if the word said nothing
-            spread = math.sqrt((k + others) * chance * (1 - chance)) + 1e-9
-            surprising = k - (k + others) * chance > 4 * spread
-            if surprising and odds * k / (n[1] + 1) > (others + 0.5) / (n[0] + 1):
-                out.add(w)
-    return out
-
-
 class Chain:
     """Two states; weights u of a word, q of its first bytes, l and r of its
     left and right neighbour for the toxic state, and a 2 x 2 table of
@@ -115,27 +91,35 @@ class Chain:
         e[:, :-1] += self.r[words[:, 1:]]
         return e
 
-    def messages(self, e: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Forward (own evidence included) and backward log odds of the toxic state."""
+    def messages(self, e: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Forward (own evidence included) and backward log odds of the toxic state,
+        and the log of the chance that a whole chain is clean."""
         t = np.exp(self.t)
         f, b = np.empty_like(e), np.zeros_like(e)
         f[:, 0] = e[:, 0]
+        total = np.zeros(len(e))  # log weight of all ways that end clean
         for k in range(1, e.shape[1]):
             odds = np.exp(f[:, k - 1])
-            f[:, k] = e[:, k] + np.log((t[0, 1] + odds * t[1, 1]) / (t[0, 0] + odds * t[1, 0]))
+            from_clean = np.log(t[0, 0] + odds * t[1, 0])
+            total += from_clean
+            f[:, k] = e[:, k] + np.log(t[0, 1] + odds * t[1, 1]) - from_clean
         for k in range(e.shape[1] - 2, -1, -1):
             odds = np.exp(e[:, k + 1] + b[:, k + 1])
             b[:, k] = np.log((t[1, 0] + odds * t[1, 1]) / (t[0, 0] + odds * t[0, 1]))
-        return f, b
+        clean = (e.shape[1] - 1) * self.t[0, 0] - total - np.logaddexp(0, f[:, -1])
+        return f, b, clean
 
     def marginals(self, ids: np.ndarray, used: np.ndarray) -> np.ndarray:
-        f, b = self.messages(np.where(used, np.clip(self.evidence(ids), -30, 30), -30.0))
+        f, b, _ = self.messages(np.where(used, np.clip(self.evidence(ids), -30, 30), -30.0))
         return np.where(used, 1 / (1 + np.exp(-np.clip(f + b, -60, 60))), 0.0)
 
-    def fit(self, ids: np.ndarray, used: np.ndarray, labels: np.ndarray, rounds: int = 40, rate: float = 0.5) -> None:
-        """Gradient ascent (Adagrad) on the log-likelihood: seen minus expected features."""
+    def fit(self, ids: np.ndarray, used: np.ndarray, doc: np.ndarray, toxic: np.ndarray, rounds: int = 40, rate: float = 0.5) -> None:
+        """Gradient ascent (Adagrad) on the log-likelihood of the documents' labels.
+
+        With c the chance that a document is all clean, log c of a clean one grows
+        by what clean words have less what is expected; log(1 - c) of a toxic one by
+        c / (1 - c) times the opposite."""
         pair = used[:, 1:] & used[:, :-1]
-        seen = np.array([[np.sum(pair & (labels[:, :-1] == a) & (labels[:, 1:] == b)) for b in (0, 1)] for a in (0, 1)])
         words, starts = ids
         weights = {"u": np.zeros_like(self.u), "q": np.zeros_like(self.q), "l": np.zeros_like(self.l), "r": np.zeros_like(self.r)}
         total_t = np.zeros((2, 2))
@@ -143,9 +127,11 @@ class Chain:
         n = self.u.size
         for _ in range(rounds):
             e = np.where(used, np.clip(self.evidence(ids), -30, 30), -30.0)
-            f, b = self.messages(e)
+            f, b, clean = self.messages(e)
             p = 1 / (1 + np.exp(-np.clip(f + b, -60, 60)))
-            miss = np.where(used, labels - p, 0.0)
+            clean = np.minimum(np.bincount(doc, clean, toxic.size), -1e-9)
+            pull = np.where(toxic == 1, np.exp(clean) / -np.expm1(clean), -1.0)[doc]
+            miss = np.where(used, pull[:, None] * p, 0.0)
             steps = {
                 "u": np.bincount(words.ravel(), miss.ravel(), n),
                 "q": np.bincount(starts.ravel(), miss.ravel(), self.q.size),
@@ -162,8 +148,9 @@ class Chain:
                 [self.t[x, y] + x * left + y * right for x in (0, 1) for y in (0, 1)], axis=0
             )
             joint = np.exp(joint - joint.max(axis=0))
-            joint = np.where(pair, joint / joint.sum(axis=0), 0.0).sum(axis=(1, 2)).reshape(2, 2)
-            step = (seen - joint) - 0.01 * self.t
+            joint /= joint.sum(axis=0)
+            joint[0] -= 1  # an all clean document has this pair everywhere
+            step = np.where(pair, joint * pull[:, None], 0.0).sum(axis=(1, 2)).reshape(2, 2) - 0.01 * self.t
             total_t += step**2
             self.t += rate * 0.3 * step / np.sqrt(total_t + 1e-6)
 
@@ -190,15 +177,12 @@ class Chain:
         return 1 / (1 + np.exp(-np.clip(features @ self.curve, -30, 30)))
 
 
-def _fitted(docs: list[list[bytes]], toxic: np.ndarray, share: float, vocabulary: int) -> Chain:
-    marked = toxic_words(docs, toxic, share)
-    counts = Counter(w for d in docs for w in d)
-    known = sorted(marked | {w for w, _ in counts.most_common(vocabulary)})
-    chain = Chain(known)
+def _fitted(docs: list[list[bytes]], toxic: np.ndarray, vocabulary: int) -> Chain:
+    """Words of fewer than ``LEAST_HELD`` documents tell nothing that other documents share."""
+    held = Counter(w for d in docs for w in set(d))
+    chain = Chain(sorted(w for w, n in held.most_common(vocabulary) if n >= LEAST_HELD))
     ids, used, doc = chain.chains(docs)
-    is_marked = np.array([False, *(w in marked for w in known)])
-    labels = (is_marked[ids[0]] & used & (toxic[doc] == 1)[:, None]).astype(np.int64)
-    chain.fit(ids, used, labels)
+    chain.fit(ids, used, doc, toxic)
     return chain
 
 
@@ -207,17 +191,18 @@ def fit_chain(texts: list[bytes], toxic: np.ndarray, share: float, vocabulary: i
     to which the (label-balanced) sample is weighted back. The curve is fitted to
     documents that the chain scoring them has not seen: folds, near copies in
     the same one, each scored by the chain of the others."""
-    docs = [t.translate(WORD_BYTES).split() for t in texts]
+    once = sorted({(t, y): i for i, (t, y) in enumerate(zip(texts, toxic.tolist()))}.values())
+    docs, toxic = [texts[i].translate(WORD_BYTES).split() for i in once], toxic[once]
     fold = np.array([zlib.crc32(longest(d)) % FOLDS for d in docs])
     x = np.zeros((len(docs), 3))
     x[:, 0] = 1
     for own in range(FOLDS):
         seen, unseen = np.nonzero(fold != own)[0], np.nonzero(fold == own)[0]
         if seen.size and unseen.size:
-            chain = _fitted([docs[i] for i in seen], toxic[seen], share, vocabulary)
+            chain = _fitted([docs[i] for i in seen], toxic[seen], vocabulary)
             ids, used, doc = chain.chains([docs[i] for i in unseen])
             x[unseen] = chain.document_features(chain.marginals(ids, used), doc, unseen.size)
-    chain = _fitted(docs, toxic, share, vocabulary)
+    chain = _fitted(docs, toxic, vocabulary)
     weight = np.where(toxic == 1, share / max(toxic.mean(), 1e-9), (1 - share) / max(1 - toxic.mean(), 1e-9))
     chain.fit_curve(x, toxic.astype(float), weight)
     return chain
@@ -236,12 +221,13 @@ def training_sample(
         return [], np.zeros(0, np.int64), 0.0
     held = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_text"))
     held = held.filter(F.octet_length("_text") <= max_bytes)
+    # ids of labelled documents with a text of that size; no text is shuffled for them
+    fit = marks.join(held.select("_id").distinct(), "_id", "left_semi")
     texts, found = [], []
     for value in (0, 1):
-        # twice as many ids as are asked for, as some have no text or a longer one
-        ids = marks.filter(F.col("_toxic") == value).orderBy(F.xxhash64("_id"), "_id").limit(2 * per_label)
-        rows = held.join(F.broadcast(ids), "_id").dropDuplicates(["_id"]).orderBy(F.xxhash64("_id"), "_id").limit(per_label)
-        own = [r["_text"].encode() for r in rows.select("_text").collect()]
+        ids = fit.filter(F.col("_toxic") == value).orderBy(F.xxhash64("_id"), "_id").limit(per_label)
+        rows = held.join(F.broadcast(ids), "_id").groupBy("_id").agg(F.min("_text").alias("_text"))
+        own = [r["_text"].encode() for r in rows.orderBy("_id").collect()]
         texts += own
         found += [value] * len(own)
     return texts, np.array(found, np.int64), float(share)

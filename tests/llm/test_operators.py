@@ -187,12 +187,57 @@ def test_toxicity(spark, docs, empty):
     assert toxic_crf.score_toxicity(empty, labels).count() == 0
 
 
+def area(y, s):
+    """Area under the ROC curve, ties shared."""
+    value, at = np.unique(s, return_inverse=True)
+    rank = np.empty(len(s))
+    rank[np.argsort(s)] = np.arange(len(s))
+    rank = (np.bincount(at, rank) / np.bincount(at))[at]
+    n = y.sum()
+    return (rank[y == 1].sum() - n * (n - 1) / 2) / (n * (len(y) - n))
+
+
+@pytest.mark.parametrize("n_bad", [5, 150])
+def test_toxic_words_may_be_many_and_rare(n_bad):
+    rng = random.Random(1)
+    common = [f"w{i}" for i in range(3000)]
+    bad = ["".join(rng.choice("bcdfghjk") for _ in range(7)) for _ in range(n_bad)]
+
+    def text(toxic):
+        words = [common[int(3000 * rng.random() ** 2)] for _ in range(40)]
+        for _ in range(2 * toxic):
+            words[rng.randrange(40)] = rng.choice(bad)
+        return " ".join(words).encode()
+
+    y = np.arange(2400) % 2
+    texts = [text(v) for v in y]
+    chain = toxic_crf.fit_chain(texts[:1200], y[:1200], 0.5)
+    docs = [t.translate(toxic_crf.WORD_BYTES).split() for t in texts[1200:]]
+    ids, used, doc = chain.chains(docs)
+    scores = chain.scores(chain.document_features(chain.marginals(ids, used), doc, len(docs)))
+    assert area(y[1200:], scores) > 0.97
+
+
+def test_chance_that_a_chain_is_clean_matches_enumeration():
+    rng = np.random.default_rng(4)
+    chain = toxic_crf.Chain([b"a", b"b"])
+    chain.t = rng.normal(size=(2, 2))
+    e = rng.normal(size=(3, 7))
+    _, _, clean = chain.messages(e)
+    for row, got in zip(e, clean):
+        weights = {}
+        for path in range(1 << 7):
+            z = [path >> k & 1 for k in range(7)]
+            weights[path] = math.exp(sum(x for x, on in zip(row, z) if on) + sum(chain.t[a, b] for a, b in zip(z, z[1:])))
+        assert got == pytest.approx(math.log(weights[0] / sum(weights.values())))
+
+
 def test_chain_marginals_match_enumeration():
     rng = np.random.default_rng(0)
     chain = toxic_crf.Chain([b"a"])
     chain.t = rng.normal(size=(2, 2))
     e = rng.normal(size=(1, 6))
-    f, b = chain.messages(e)
+    f, b, _ = chain.messages(e)
     weight = np.zeros(6)
     total = 0.0
     for path in range(64):
