@@ -10,18 +10,18 @@ running sums over the cells tell which cell holds each wanted rank. A cell whose
 least and greatest value are equal gives its rank's value; the others are cut
 into 65,536 parts and counted again, until none is left (a double has no bits
 for more than three such rounds; two-decimal amounts take one). Only counts of
-cells are shuffled. ``accuracy`` switches to ``percentile_approx`` (one pass,
+cells are shuffled; few cells are looked through as local rows. ``accuracy`` switches to ``percentile_approx`` (one pass,
 bounded memory) when an approximation is acceptable.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
+from operator import itemgetter
 
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -37,6 +37,11 @@ FIRST_CELLS = 1 << 10
 CELLS = 1 << 16
 
 
+RANK = "struct<i:int,upper:boolean,rank:bigint>"
+ARROW = {"bigint": pa.int64(), "double": pa.float64(), "array<double>": pa.list_(pa.float64()),
+         f"array<{RANK}>": pa.list_(pa.struct([("i", pa.int32()), ("upper", pa.bool_()), ("rank", pa.int64())]))}
+
+
 def local_rows(table: DataFrame) -> pa.Table | None:
     """The rows of a per-group table if there are few enough to hold, else None."""
     rows = table.limit(BROADCAST_GROUPS + 1).toArrow()
@@ -139,46 +144,84 @@ def _holding(cells: DataFrame, keys: list[str], before: str, ranks: str) -> Data
     return cells.filter("size(ranks) > 0")
 
 
+def _holding_rows(cells: list[dict], keys: list[str], ranks: Callable[[dict, int], list[dict]]) -> list[dict]:
+    """``_holding`` for cells that are few enough to be local rows; ``start`` is the
+    number of values below a key's cells."""
+    by_key: dict[str, list[dict]] = {}
+    for r in cells:
+        by_key.setdefault(repr([r[k] for k in keys]), []).append(r)
+    out = []
+    for own in by_key.values():
+        own.sort(key=itemgetter("_cell"))
+        below, n = own[0].get("start", 0), sum(r["k"] for r in own)
+        wanted = ranks(own[0], n)
+        for r in own:
+            if held := [x for x in wanted if below <= x["rank"] < below + r["k"]]:
+                out.append({"n": n, **r, "below": below, "ranks": held})
+            below += r["k"]
+    return out
+
+
 def _narrowed(long: DataFrame, groups: list[str], ps: list[float]) -> DataFrame:
     """(*groups, values) for the rows (*groups, v): see the module's text.
 
     A running sum goes over one group's cells: those that hold its values, of
     1,024 to a power of two (later: of 65,536), whatever the number of rows."""
-    by = ", ".join(map(quoted, groups))
-    cells = _cells(long, groups, leading_bits("v")).selectExpr("*", f"sum(k) OVER (PARTITION BY {by}) AS n")
-    places = ", ".join(
-        f"named_struct('i', {i}, 'upper', {upper}, 'rank', bigint({rank}({p!r}D * (n - 1))))"
-        for i, p in enumerate(ps) for upper, rank in (("false", "floor"), ("true", "ceil")))
-    columns = [*groups, "n", "below", "least", "most", "ranks"]
-    found = _holding(cells, groups, "0", f"array({places})").select(*columns)
-    settled, spark = [], long.sparkSession
-    while True:
+    spark, by = long.sparkSession, ", ".join(map(quoted, groups))
+    schema = T.StructType([*[long.schema[g] for g in groups], *T.StructType.fromDDL(
+        f"n bigint, below bigint, least double, most double, ranks array<{RANK}>").fields])
+
+    def all_ranks(_: dict, n: int) -> list[dict]:
+        return [{"i": i, "upper": upper, "rank": int(end(p * (n - 1)))}
+                for i, p in enumerate(ps) for upper, end in ((False, math.floor), (True, math.ceil))]
+
+    cells = _cells(long, groups, leading_bits("v"))
+    rows = local_rows(cells)
+    if rows is not None:
+        kinds, found = [rows.schema.field(g) for g in groups], _holding_rows(rows.to_pylist(), groups, all_ranks)
+    else:
+        places = ", ".join(
+            f"named_struct('i', {i}, 'upper', {upper}, 'rank', bigint({rank}({p!r}D * (n - 1))))"
+            for i, p in enumerate(ps) for upper, rank in (("false", "floor"), ("true", "ceil")))
+        cells = cells.selectExpr("*", f"sum(k) OVER (PARTITION BY {by}) AS n")
+        found = _holding(cells, groups, "0", f"array({places})").select(*schema.names)
         rows = local_rows(found)
-        if rows is None:
+        kinds = [] if rows is None else [rows.schema.field(g) for g in groups]
+        found = found if rows is None else rows.to_pylist()
+    local, tables = [], []  # settled cells: local rows, and tables of the cluster
+    while True:
+        if isinstance(found, DataFrame):
             found = cut_lineage(found)
-            settled.append(found.filter("least = most"))
+            tables.append(found.filter("least = most"))
             left = found.filter("least < most")
             if left.isEmpty():
                 break
         else:
-            closed = pc.equal(rows["least"], rows["most"])
-            settled.append(rows.filter(closed))
-            left = rows.filter(pc.invert(closed))
-            if not left.num_rows:
+            local += [r for r in found if r["least"] == r["most"]]
+            left = [r for r in found if r["least"] < r["most"]]
+            if not left:
                 break
-            left = F.broadcast(spark.createDataFrame(left, found.schema))
+            left = F.broadcast(_local_table(spark, left, schema, kinds))
         # each cell becomes a key of its own: a value lies in one cell of its group at most
         left = left.withColumnsRenamed({g: f"_g_{g}" for g in groups})
         same = " AND ".join(f"{quoted(g)} <=> {quoted('_g_' + g)}" for g in groups)
         near = long.join(left, F.expr(f"{same} AND v BETWEEN least AND most"))
         near = near.selectExpr(*map(quoted, groups), "n", "below AS start", "least AS lowest", "ranks AS wanted", "v",
                                f"(most - least) / {CELLS} AS width")
-        cut = _cells(near, [*groups, "n", "start", "lowest"],
-                     "if(width > 0, floor((v - lowest) / width), bigint(v > lowest))", "first(wanted) AS wanted")
-        found = _holding(cut, [*groups, "lowest"], "start", "wanted").select(*columns)
-    if all(isinstance(t, pa.Table) for t in settled):
-        return _local_values(spark, settled, found, groups, ps)
-    tables = [spark.createDataFrame(t, found.schema) if isinstance(t, pa.Table) else t for t in settled]
+        keys = [*groups, "lowest"]
+        cut = _cells(near, [*keys, "n", "start"], "if(width > 0, floor((v - lowest) / width), bigint(v > lowest))",
+                     "first(wanted) AS wanted")
+        rows = local_rows(cut) if not isinstance(found, DataFrame) else None
+        if rows is not None:
+            found = _holding_rows(rows.to_pylist(), keys, lambda r, n: r["wanted"])
+        else:
+            held = _holding(cut, keys, "start", "wanted").select(*schema.names)
+            rows = local_rows(held) if not isinstance(found, DataFrame) else None
+            found = held if rows is None else rows.to_pylist()
+    if not tables:
+        return _local_values(spark, local, schema, kinds, groups, ps)
+    if local:
+        tables.append(_local_table(spark, local, schema, kinds))
     each = reduce(DataFrame.unionByName, tables).selectExpr(*map(quoted, groups), "n", "least AS v", "inline(ranks)")
     ends = each.groupBy(*groups).agg(F.first("n").alias("n"), *[
         F.expr(f"max(v) FILTER (WHERE i = {i} AND upper = {upper}) AS _{i}_{upper}")
@@ -188,10 +231,18 @@ def _narrowed(long: DataFrame, groups: list[str], ps: list[float]) -> DataFrame:
     return ends.select(*groups, F.expr(f"array({values})").alias("values"))
 
 
-def _local_values(spark: SparkSession, settled: list[pa.Table], like: DataFrame, groups: list[str], ps: list[float]) -> DataFrame:
+def _local_table(spark: SparkSession, rows: list[dict], schema: T.StructType, kinds: list[pa.Field]) -> DataFrame:
+    """Rows as a local relation; ``kinds`` are Arrow's types of the first columns."""
+    rest = [pa.field(f.name, ARROW[f.dataType.simpleString()]) for f in schema.fields[len(kinds):]]
+    return spark.createDataFrame(pa.Table.from_pylist(rows, pa.schema([*kinds, *rest])), schema)
+
+
+def _local_values(
+    spark: SparkSession, settled: list[dict], schema: T.StructType, kinds: list[pa.Field], groups: list[str], ps: list[float]
+) -> DataFrame:
     """(*groups, values) from the settled cells, few enough to be local rows."""
     ends: dict[str, dict] = {}
-    for r in (r for t in settled for r in t.to_pylist()):
+    for r in settled:
         own = ends.setdefault(repr([r[g] for g in groups]), {"row": r})
         own.update({(x["i"], x["upper"]): r["least"] for x in r["ranks"]})
     out = []
@@ -200,10 +251,9 @@ def _local_values(spark: SparkSession, settled: list[pa.Table], like: DataFrame,
         for i, p in enumerate(ps):
             lo, hi, pos = own[i, False], own[i, True], p * (own["row"]["n"] - 1)
             values.append(lo if lo == hi else lo + (hi - lo) * (pos - math.floor(pos)))
-        out.append({**{g: own["row"][g] for g in groups}, "values": values})
-    kinds = pa.schema([*[settled[0].schema.field(g) for g in groups], pa.field("values", pa.list_(pa.float64()))])
-    fields = [*[like.schema[g] for g in groups], T.StructField("values", T.ArrayType(T.DoubleType()))]
-    return spark.createDataFrame(pa.Table.from_pylist(out, kinds), T.StructType(fields))
+        out.append({**own["row"], "values": values})
+    fields = [*schema.fields[: len(groups)], T.StructField("values", T.ArrayType(T.DoubleType()))]
+    return _local_table(spark, out, T.StructType(fields), kinds)
 
 
 def medians_by_column(df: DataFrame, columns: Sequence[str], *, accuracy: int | None = None) -> dict:

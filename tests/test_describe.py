@@ -112,7 +112,7 @@ def test_narrowed_quantiles_match_pandas(frame):
         assert gs[g] == pytest.approx(part.median(), abs=1e-6)
 
 
-@pytest.mark.parametrize("held", [100_000, 3])  # per-group tables as local rows, and as tables of the cluster
+@pytest.mark.parametrize("held", [100_000, 40, 3])  # per-group tables as local rows, and as tables of the cluster
 def test_quantiles_of_awkward_doubles(spark, monkeypatch, held):
     monkeypatch.setattr(quantiles, "BROADCAST_GROUPS", held)
     rng = np.random.default_rng(8)
