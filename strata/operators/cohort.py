@@ -247,20 +247,21 @@ def shared_keys(
     """Keys used by at least ``min_count`` rows, with the number of distinct
     categories, mean value and the sorted category list, top ``k`` by size.
 
-    The category list is a ``collect_set`` per key: bounded by the number of
-    distinct categories, not by the group size.
+    Only the top keys have their categories listed: these are gathered from the
+    distinct (key, category) pairs of at most ``k`` keys, after the limit.
     """
     key_c, cat, val = _col(key), _col(category), _col(value)
-    kept = df.filter(key_c.isNotNull() & (F.trim(key_c) != ""))
-    grouped = kept.groupBy(key_c.alias(key_name)).agg(
-        F.count(F.lit(1)).alias("row_count"),
-        F.count_distinct(cat).alias("distinct_categories"),
-        F.round(F.avg(val), decimals).alias("average_value"),
-        F.array_join(F.array_sort(F.collect_set(cat)).cast("array<string>"), ",").alias("categories"),
-    )
-    return (grouped.filter(F.col("row_count") >= min_count)
-            .orderBy(F.col("row_count").desc(), F.col(key_name))
-            .limit(k))
+    kept = df.filter(key_c.isNotNull() & (F.trim(key_c) != "")).select(
+        key_c.alias(key_name), cat.alias("_category"), val.alias("_value"))
+    grouped = kept.groupBy(key_name).agg(
+        F.count(F.lit(1)).alias("row_count"), F.count_distinct("_category").alias("distinct_categories"),
+        F.round(F.avg("_value"), decimals).alias("average_value"))
+    order = (F.col("row_count").desc(), F.col(key_name))
+    top = grouped.filter(F.col("row_count") >= min_count).orderBy(*order).limit(k)
+    listed = kept.join(F.broadcast(top.select(key_name)), key_name, "left_semi").select(key_name, "_category").distinct()
+    listed = listed.groupBy(key_name).agg(
+        F.array_join(F.array_sort(F.collect_set("_category")).cast("array<string>"), ",").alias("categories"))
+    return top.join(listed, key_name, "left").orderBy(*order)
 
 
 def profile_join(

@@ -15,13 +15,17 @@ from pyspark.ml import Pipeline
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from strata.operators.split import MAX_CLASSES
+
 REPORT_COLUMNS = ("label", "precision", "recall", "f1-score", "support")
 
 
 def resolve_labels(df: DataFrame, label: str, prediction: str) -> list:
-    """Sorted union of true and predicted labels (bounded by #classes)."""
-    rows = (df.select(F.col(label).alias("v")).union(df.select(F.col(prediction).alias("v")))
-            .filter(F.col("v").isNotNull()).distinct().collect())
+    """Sorted union of true and predicted labels; more than ``MAX_CLASSES`` are refused."""
+    rows = (df.select(F.inline(F.array(F.struct(F.col(label).alias("v")), F.struct(F.col(prediction).alias("v")))))
+            .filter(F.col("v").isNotNull()).distinct().limit(MAX_CLASSES + 1).collect())
+    if len(rows) > MAX_CLASSES:
+        raise ValueError(f"'{label}' and '{prediction}' have more than {MAX_CLASSES} distinct values")
     return sorted(r.v for r in rows)
 
 
@@ -34,11 +38,9 @@ def confusion_counts(df: DataFrame, label: str, prediction: str, labels: Sequenc
     labels = list(labels) if labels is not None else resolve_labels(df, label, prediction)
     counts = df.groupBy(*group, F.col(label).alias("label"), F.col(prediction).alias("predicted")).agg(
         F.count(F.lit(1)).alias("count"))
-    pairs = F.array(*[F.struct(F.lit(a).alias("label"), F.lit(b).alias("predicted")) for a in labels for b in labels])
-    if group:
-        keys = counts.select(*group).distinct().select(*group, F.inline(pairs))
-    else:
-        keys = df.sparkSession.range(1).select(F.inline(pairs))
+    every = F.array(*[F.lit(a) for a in labels])
+    keys = counts.select(*group).distinct() if group else df.sparkSession.range(1)
+    keys = keys.select(*group, F.explode(every).alias("label")).select("*", F.explode(every).alias("predicted"))
     grid = keys.join(counts, [*group, "label", "predicted"], "left")
     return grid.select(*group, "label", "predicted", F.coalesce("count", F.lit(0)).cast("long").alias("count"))
 

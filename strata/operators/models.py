@@ -22,14 +22,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.operators.mlprep import preprocessing_stages
+from strata.operators.split import MAX_CLASSES
 
 RANDOM_STATE = 42
 MAX_TREE_DEPTH = 30  # Spark's limit; deeper (or unlimited) trees are capped
 
 
 def sorted_classes(df: DataFrame, label: str) -> list:
-    """Distinct non-null labels, sorted (one row per class to the driver)."""
-    return sorted(r[0] for r in df.select(label).distinct().collect() if r[0] is not None)
+    """Distinct non-null labels, sorted: one row per class to the driver. A column
+    of more than ``MAX_CLASSES`` values is no class label and is refused."""
+    rows = df.select(label).filter(F.col(label).isNotNull()).distinct().limit(MAX_CLASSES + 1).collect()
+    if len(rows) > MAX_CLASSES:
+        raise ValueError(f"column '{label}' has more than {MAX_CLASSES} distinct values")
+    return sorted(r[0] for r in rows)
 
 
 def label_index(label: str, classes: Sequence) -> Column:

@@ -9,11 +9,15 @@ import os
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from strata.operators import harmonize as H
 from strata.operators import overlap as O
 from strata.operators import quality as Q
 from strata.session import cut_lineage
+from strata.sources import io as IO
+
+LISTED = 1_000  # rows of the class filter table in the run's summary
 
 
 @dataclass
@@ -31,7 +35,9 @@ def summarize(clean: DataFrame, audit: DataFrame, training_rows: int, filter_sum
     overlap = O.overlap_summary(audit, training_rows, rule).first().asDict()
     classes = {str(r.Pclass): {"before": r.rows_before, "after": r.rows_after}
                for r in O.class_counts_before_after(audit, rule).collect()}
-    filters = [r.asDict() for r in filter_summary.collect()]
+    # excluded classes are free text: the most frequent are listed, the table of all is an artifact
+    filters = [r.asDict() for r in filter_summary.orderBy(F.col("metric") == "excluded_class_rows", F.desc("value"), "key")
+               .limit(LISTED).collect()]
     kept = O.nonoverlap(audit, rule)
     missing = {r.column: r.missing_count for r in Q.missing_profile(kept).collect()}
     return {"overlap_rule": rule, **overlap, "class_counts": classes, "class_filter": filters,
@@ -53,8 +59,8 @@ def prepare_external(external: DataFrame, training: DataFrame, *, rule: str = "e
     if output_dir:
         clean.write.mode("overwrite").parquet(os.path.join(output_dir, "external_clean"))
         kept.write.mode("overwrite").parquet(os.path.join(output_dir, "external_nonoverlap"))
-        audit.write.mode("overwrite").option("header", True).option("escape", '"').csv(os.path.join(output_dir, "overlap_audit"))
-        from strata.sources.io import write_text_file
-        write_text_file(external.sparkSession, os.path.join(output_dir, "external_overlap_summary.json"),
+        IO.write_csv(audit, os.path.join(output_dir, "overlap_audit"))
+        IO.write_csv(H.class_filter_summary(external, spec), os.path.join(output_dir, "class_filter"))
+        IO.write_text_file(external.sparkSession, os.path.join(output_dir, "external_overlap_summary.json"),
                         json.dumps(summary, indent=2, default=str))
     return ExternalPreparation(clean, audit, kept, summary)

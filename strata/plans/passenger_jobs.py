@@ -35,8 +35,12 @@ def prepare_data_job(spark: SparkSession, raw_csv: str, processed_parquet: str)
     IO.write_parquet(prepared, processed_parquet)
     written = IO.read_parquet(spark, processed_parquet)
     summary = Q.preparation_summary(raw, written).first().asDict()
-    quality = [r.asDict() for r in P.quality_report(P.standardize(raw)).collect()]  # long report, small
-    return {"summary": summary, "quality": quality}
+    # the whole report is a table beside the data; what reaches the driver is sized by the schema:
+    # unexpected values, one row each, may be as many as the rows
+    quality_path = IO.write_csv(P.quality_report(P.standardize(raw)), f"{processed_parquet.rstrip('/')}_quality")
+    report = spark.read.option("header", True).option("escape", '"').csv(quality_path)
+    quality = [r.asDict() for r in report.filter("section <> 'unexpected'").collect()]
+    return {"summary": summary, "quality": quality, "quality_path": quality_path}
 
 
 def train_job(spark: SparkSession, processed_parquet: str, output_dir: str, **config) -> TrainingResult:
