@@ -7,11 +7,18 @@ alone (the prefix for full containment) is joined with the documents' shingles.
 A match fixes where the window would begin (positional bound); it must lie in
 the document (length bound), and its words are then compared one by one.
 
-The benchmark is taken in blocks of bounded size, each against all documents,
-so what is broadcast is bounded however large the benchmark is; one block is
-the usual case. Null or wordless items have no window; items with a null id
-are left out. Null and empty documents have no words. Repeated rows of
-documents are each judged; repeated items count once.
+A benchmark of up to ``block_bytes``, the usual case, is an index that every
+task holds. A larger one stays a table: its shingles set bits in a filter of at
+most ``FILTER_BYTES``, through which one pass over the documents counts them
+and a second one lets out the places where a prefix may stand, with the words
+around; these meet the windows in a join, where the bounds and the words are
+checked. Both passes stay two however large the benchmark is.
+
+Null or wordless items have no window; items with a null id are left out. Null
+and empty documents have no words, very long ones are taken whole. Repeated rows
+of documents are each judged; repeated items count once; an empty table of
+either gives no rows or no hits. Columns other than id and text are not kept
+(``drop_leaks`` keeps all, of any name).
 """
 
 from __future__ import annotations
@@ -21,6 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -33,6 +41,8 @@ WORD_BYTES = bytes(
     b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256)
 )
 BLOCK_BYTES = 4 << 20
+FILTER_BYTES = 64 << 20
+ODD = np.uint64(0x9E3779B97F4A7C15)
 SHINGLE = 3
 SPANS = "array<struct<start:int,stop:int>>"
 
@@ -162,7 +172,7 @@ def _shingle_counts(docs: DataFrame, index, window: int) -> dict[int, np.ndarray
     return out
 
 
-def _search(docs: DataFrame, index, only_hits: bool, kind: str) -> DataFrame:
+def _search(docs: DataFrame, index, kind: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = index.value
         for batch in slices(batches, "text", 2 << 20):
@@ -182,10 +192,9 @@ def _search(docs: DataFrame, index, only_hits: bool, kind: str) -> DataFrame:
             docs_of = np.searchsorted(first, start, side="right") - 1
             for doc, r in {(int(d), int(r)) for d, r in zip(docs_of, row)}:
                 items[doc].update(own.owners[r])
-            at = [i for i in range(batch.num_rows) if not only_hits or i in items]
-            kept = batch.take(pa.array(at, pa.int64()))
+            at = range(batch.num_rows)
             yield pa.RecordBatch.from_arrays(
-                [kept.column(0), kept.column(1), pa.array(sizes[at]),
+                [batch.column(0), batch.column(1), pa.array(sizes),
                  pa.array([spans.get(i, []) for i in at], pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32())]))),
                  pa.array([sorted(items.get(i, ())) for i in at], pa.list_(pa.string()))],
                 names=["id", "digest", "n_words", "spans", "items"],
@@ -211,6 +220,164 @@ def merged_spans(spans: Column) -> Column:
     return F.aggregate(F.array_sort(spans), F.expr(f"cast(array() as {SPANS})"), add)
 
 
+def shingle_codes(hashes: np.ndarray, size: int) -> np.ndarray:
+    """A 64-bit code for each ``size`` consecutive word hashes."""
+    n = hashes.size - size + 1
+    code = np.full(max(n, 0), size, np.uint64)
+    for k in range(size if n > 0 else 0):
+        code = (code ^ hashes[k : n + k]) * ODD
+        code ^= code >> np.uint64(29)
+    return code
+
+
+def _hashes(words: list[bytes]) -> np.ndarray:
+    return np.fromiter((xxhash.xxh64_intdigest(w) for w in words), np.uint64, len(words))
+
+
+def _bits(code: np.ndarray) -> np.ndarray:
+    """Two bits of a filter's word for each code."""
+    one = np.uint64(1)
+    return (one << (code >> np.uint64(58))) | (one << ((code >> np.uint64(52)) & np.uint64(63)))
+
+
+class CodeFilter:
+    """A filter of codes: about 16 bits for each, ``FILTER_BYTES`` at most."""
+
+    def __init__(self, codes: DataFrame) -> None:
+        distinct = codes.select("code").distinct()
+        self.words = int(min(FILTER_BYTES // 8, 1 + distinct.count() // 4))
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                code = batch.column(0).to_numpy().view(np.uint64)
+                at = (code % np.uint64(self.words)).astype(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(_bits(code).view(np.int64))], names=["at", "bits"])
+
+        # bounded by the filter's size
+        table = distinct.mapInArrow(run, "at long, bits long").groupBy("at").agg(F.bit_or("bits").alias("bits")).toArrow()
+        self.table = np.zeros(self.words, np.uint64)
+        self.table[table["at"].to_numpy()] = table["bits"].to_numpy().view(np.uint64)
+
+    def maybe(self, code: np.ndarray) -> np.ndarray:
+        bits = _bits(code)
+        return self.table[(code % np.uint64(self.words)).astype(np.int64)] & bits == bits
+
+
+def _bench_windows(bench: DataFrame, window: int) -> DataFrame:
+    """(item, win, n): the windows of all items, words joined by a blank."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text", 1 << 20):
+            items, wins, sizes = [], [], []
+            for item, text in zip(batch.column(0).to_pylist(), encoded(batch.column(1))):
+                words = item_words(text)
+                n = min(window, len(words))
+                for i in range(len(words) - n + 1 if n else 0):
+                    items.append(item)
+                    wins.append(b" ".join(words[i : i + n]).decode())
+                    sizes.append(n)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(items, pa.string()), pa.array(wins, pa.string()), pa.array(sizes, pa.int32())], names=["item", "win", "n"])
+
+    return bench.mapInArrow(run, "item string, win string, n int").distinct()
+
+
+def _window_shingles(windows: DataFrame) -> DataFrame:
+    """(code, place, win, n): the shingles of each window; one of fewer words has its first word."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            codes, places, rows = [], [], []
+            for row, win in enumerate(batch.column(0).to_pylist()):
+                words = win.encode().split(b" ")
+                code = shingle_codes(_hashes(words), SHINGLE) if len(words) >= SHINGLE else shingle_codes(_hashes(words[:1]), 1)
+                codes.append(code)
+                places += range(code.size)
+                rows += [row] * code.size
+            code = np.concatenate(codes) if codes else np.zeros(0, np.uint64)
+            own = batch.take(pa.array(rows, pa.int64()))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(code.view(np.int64)), pa.array(places, pa.int32()), *own.columns], names=["code", "place", "win", "n"])
+
+    return windows.mapInArrow(run, "code long, place int, win string, n int")
+
+
+def _code_counts(docs: DataFrame, wanted) -> DataFrame:
+    """(code, count) over the corpus, of the codes that pass the filter."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text", 4 << 20):
+            found = []
+            for text in encoded(batch.column(0)):
+                hashes = _hashes(item_words(text))
+                for size in (SHINGLE, 1):
+                    code = shingle_codes(hashes, size)
+                    found.append(code[wanted.value.maybe(code)])
+            code, n = np.unique(np.concatenate(found) if found else np.zeros(0, np.uint64), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(code.view(np.int64)), pa.array(n)], names=["code", "count"])
+
+    return docs.select("text").mapInArrow(run, "code long, count long").groupBy("code").agg(F.sum("count").alias("count"))
+
+
+def _prefix_places(docs: DataFrame, wanted, window: int, kind: str) -> DataFrame:
+    """A row (id, digest, n_words) for each document, and (id, digest, code, at,
+    before, around) for each place where a prefix may stand: the words around it,
+    and how many of them come before."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["id", "digest", "n_words", "code", "at", "before", "around"]
+        for batch in slices(batches, "text", 1 << 20):
+            sizes, rows, codes, places, before, around = [], [], [], [], [], []
+            for row, text in enumerate(encoded(batch.column(2))):
+                words = item_words(text)
+                sizes.append(len(words))
+                hashes = _hashes(words)
+                for size in (SHINGLE, 1):
+                    code = shingle_codes(hashes, size)
+                    for i in np.nonzero(wanted.value.maybe(code))[0].tolist():
+                        low = max(0, i - window + 1)
+                        rows.append(row)
+                        codes.append(code[i])
+                        places.append(i)
+                        before.append(i - low)
+                        around.append(b" ".join(words[low : i + window]).decode())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), *(pa.nulls(len(sizes), t) for t in (
+                    pa.int64(), pa.int32(), pa.int32(), pa.string()))], names=names)
+            own = batch.take(pa.array(rows, pa.int64()))
+            yield pa.RecordBatch.from_arrays(
+                [own.column(0), own.column(1), pa.nulls(len(rows), pa.int64()), pa.array(np.array(codes, np.uint64).view(np.int64)),
+                 pa.array(places, pa.int32()), pa.array(before, pa.int32()), pa.array(around, pa.string())], names=names)
+
+    return docs.select("id", "digest", "text").mapInArrow(
+        run, f"id {kind}, digest long, n_words long, code long, at int, before int, around string")
+
+
+def _joined_leaks(rows: DataFrame, bench: DataFrame, window: int, kind: str) -> DataFrame:
+    """``find_leaks`` for a benchmark that no task holds."""
+    broadcast = rows.sparkSession.sparkContext.broadcast
+    windows = written(_bench_windows(bench, window), "bench-windows")
+    shingles = written(_window_shingles(windows.select("win", "n").distinct()), "bench-shingles")
+    counts = _code_counts(rows, broadcast(CodeFilter(shingles)))
+    rank = F.struct(F.coalesce("count", F.lit(0)).alias("count"), "code", "place")
+    prefix = shingles.join(counts, "code", "left").groupBy("win", "n").agg(F.min(rank).alias("best"))
+    prefix = written(prefix.select("best.code", "best.place", "win", "n"), "bench-prefixes")
+    places = written(_prefix_places(rows, broadcast(CodeFilter(prefix)), window, kind), "prefix-places")
+    near = places.filter("code is not null").drop("n_words").join(prefix, "code")
+    # the window begins in the document, and its words are these
+    fits = "before >= place AND array_join(slice(split(around, ' '), greatest(before - place, 0) + 1, n), ' ') = win"
+    hits = written(near.filter(fits).selectExpr("id", "digest", "at - place AS start", "at - place + n AS stop", "win").distinct(), "hits")
+    spans = hits.groupBy("id", "digest").agg(merged_spans(F.collect_set(F.struct("start", "stop"))).alias("_spans"))
+    items = hits.select("id", "digest", "win").distinct().join(windows.select("win", "item"), "win")
+    items = items.groupBy("id", "digest").agg(F.array_sort(F.collect_set("item")).alias("_items"))
+    found = places.filter("code is null").select("id", "digest", "n_words")
+    for table, name, none in ((spans, "spans", SPANS), (items, "items", "array<string>")):
+        own = table.withColumnsRenamed({"id": "_id", "digest": "_d"})
+        found = found.join(own, F.col("id").eqNullSafe(F.col("_id")) & (F.col("digest") == F.col("_d")), "left")
+        found = found.withColumn(name, F.coalesce(f"_{name}", F.array().cast(none))).drop("_id", "_d", f"_{name}")
+    return found
+
+
 def find_leaks(
     docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
     item_text_col: str = "text", window: int = 10, block_bytes: int = BLOCK_BYTES,
@@ -224,29 +391,12 @@ def find_leaks(
     kind = rows.schema["id"].dataType.simpleString()
     bench = items.select(F.col(item_col).cast("string").alias("item"), F.col(item_text_col).cast("string").alias("text"))
     bench = bench.filter("item is not null and text is not null").distinct()
-    total = bench.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    blocks = 1 + total // block_bytes
-    found = None
-    for number in range(blocks):
-        part = bench.filter(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == number) if blocks > 1 else bench
-        index = WindowIndex([(r["item"], r["text"].encode()) for r in part.toLocalIterator()], window)
-        shared = spark.sparkContext.broadcast(index)
-        index.set_prefixes(_shingle_counts(rows, shared, window))
-        ready = spark.sparkContext.broadcast(index)
-        own = _search(rows, ready, only_hits=number > 0, kind=kind)
-        if found is None:
-            found = own
-            continue
-        more = own.dropDuplicates(["id", "digest"]).select(
-            F.col("id").alias("_id"), F.col("digest").alias("_d"), F.col("spans").alias("_spans"), F.col("items").alias("_items")
-        )
-        none = F.array()
-        found = found.join(more, F.col("id").eqNullSafe(F.col("_id")) & (F.col("digest") == F.col("_d")), "left").select(
-            "id", "digest", "n_words",
-            merged_spans(F.concat("spans", F.coalesce("_spans", none.cast(SPANS)))).alias("spans"),
-            F.array_union("items", F.coalesce("_items", none.cast("array<string>"))).alias("items"),
-        )
-    return found
+    if (bench.agg(F.sum(F.octet_length("text"))).first()[0] or 0) > block_bytes:
+        return _joined_leaks(rows, bench, window, kind)
+    index = WindowIndex([(r["item"], r["text"].encode()) for r in bench.toLocalIterator()], window)
+    shared = spark.sparkContext.broadcast(index)
+    index.set_prefixes(_shingle_counts(rows, shared, window))
+    return _search(rows, spark.sparkContext.broadcast(index), kind)
 
 
 def drop_leaks(
