@@ -36,6 +36,7 @@ import math
 from collections import Counter
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -82,8 +83,7 @@ def _flat(texts: list[bytes]) -> tuple[list[bytes], np.ndarray]:
 
 
 def _numbers(words: list[bytes], number: dict[bytes, int], other: int) -> np.ndarray:
-    get = number.get
-    return np.array([get(w, other) for w in words], np.int64)
+    return np.fromiter(map(number.get, words, repeat(other)), np.int64, len(words))
 
 
 def _before(numbers: np.ndarray, first: int) -> np.ndarray:
@@ -227,22 +227,17 @@ def _class_of_tail(pairs: DataFrame, tail: DataFrame, side: str, other: int) ->
 
 def _tail_pairs(
     flat: list[bytes], numbers: np.ndarray, cls: np.ndarray, rare: int, end: int
-) -> tuple[np.ndarray, list[tuple]]:
+) -> tuple[np.ndarray, list[pa.Array]]:
     """Places of the neighbours of which one or both stand outside the head, and
-    their (class, word) before and (class, word) after: a word only where outside."""
+    their class and word before, class and word after: a word only where outside."""
     before = _before(numbers, end)
     at = np.nonzero((numbers == rare) | (before == rare))[0]
-    return at, [
-        (*((None, flat[i - 1]) if v == rare else (v_class, None)), *((None, flat[i]) if w == rare else (w_class, None)))
-        for i, v, w, v_class, w_class in zip(
-            at.tolist(), before[at].tolist(), numbers[at].tolist(), cls[before[at]].tolist(), cls[numbers[at]].tolist())
-    ]
-
-
-def _pair_columns(pairs: list[tuple], n: list[int]) -> list[pa.Array]:
-    a, a_word, b, b_word = zip(*pairs) if pairs else ((), (), (), ())
-    return [pa.array(a, pa.int32()), pa.array(a_word, pa.binary()), pa.array(b, pa.int32()), pa.array(b_word, pa.binary()),
-            pa.array(n, pa.int64())]
+    columns = []
+    for own, shift in ((before[at], 1), (numbers[at], 0)):
+        outside = own == rare
+        words = [flat[i] if out else None for i, out in zip((at - shift).tolist(), outside.tolist())]
+        columns += [pa.array(cls[own].astype(np.int32), mask=outside), pa.array(words, pa.binary())]
+    return at, columns
 
 
 def _xlogx(x: np.ndarray) -> np.ndarray:
@@ -441,13 +436,12 @@ def coded(
             if not own.has_tail:
                 continue
             at, pairs = _tail_pairs(flat, numbers, cls, rare, end)
-            found = Counter(zip(np.repeat(np.arange(size.size), size)[at].tolist(), pairs))
-            if n := len(found):
-                doc = pa.array([r for r, _ in found], pa.int64())
-                *sides, times = _pair_columns([p for _, p in found], list(found.values()))
+            if n := at.size:
+                doc = pa.array(np.repeat(np.arange(size.size), size)[at])
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).take(doc), *(pa.nulls(n, batch.column(1 + i).type) for i in range(len(names))), learned.take(doc),
-                     times, pa.nulls(n, pa.int64()), pa.nulls(n, pa.float64()), pa.nulls(n, pa.binary()), *sides], names=columns,
+                     pa.array(np.ones(n, np.int64)), pa.nulls(n, pa.int64()), pa.nulls(n, pa.float64()), pa.nulls(n, pa.binary()), *pairs],
+                    names=columns,
                 )
 
     made = written(rows.mapInArrow(
