@@ -110,6 +110,47 @@ def test_brown_probabilities_add_up(spark):
         assert known + 10 ** model.link[before, model.other] == pytest.approx(1, abs=1e-6)
 
 
+@pytest.mark.parametrize("head", [12, 1000])
+def test_brown_score_equals_a_plain_model(spark, head):
+    rng = random.Random(5)
+    texts = [" ".join(f"w{int(40 * rng.random() ** 2)}" for _ in range(rng.randint(0, 30))) for _ in range(150)]
+    rows = [(i, t) for i, t in enumerate(texts)] + [(500, None), (501, "never seen w1 never"), (502, "w39 w38 w37")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    options = dict(classes=5, core=8, clustered=10, head=head, least=2)
+    learn = docs.filter("doc_id % 4 <> 0 AND doc_id < 500").select("text")
+    words, tail = brown_lm.vocabulary(learn, **options)
+    count = {w: n for w, (n, _) in words.head.items()} | {bytes(r.word): r.n for r in tail.collect()}
+    cls = {w: c for w, (_, c) in words.head.items()} | {bytes(r.word): r["class"] for r in tail.collect()}
+    assert (len(words.head) < len(count)) == (head == 12)
+    other, total = words.other, sum(count.values())
+
+    def tokens(text):
+        return lower_words(text) + [brown_lm.END]
+
+    links, size, held = np.zeros((other + 1, other + 1)), np.zeros(other + 1), np.zeros(other + 1)
+    for i, t in rows:
+        if i % 4 and i < 500:
+            own = tokens(t)
+            for v, w in zip([brown_lm.END, *own], own):
+                links[cls[v], cls[w]] += 1
+    for w, n in count.items():
+        size[cls[w]] += n
+        held[cls[w]] += 1
+    unseen = held + size
+    unseen[other] += 1
+    share = (size + 1e-9) / (size.sum() + 1e-9 * size.size)
+
+    def chance(v, w):
+        a, b, n = cls.get(v, other), cls.get(w, other), count.get(w, 0)
+        follow = (links[a, b] + brown_lm.PRIOR * share[b]) / (links[a].sum() + brown_lm.PRIOR)
+        return brown_lm.WEIGHT * follow * (n + 1) / unseen[b] + (1 - brown_lm.WEIGHT) * (n + 1) / (total + len(count) + 1)
+
+    got = {r.id: r.score for r in brown_lm.score_corpus(docs, (F.col("doc_id") % 4 == 0) | (F.col("doc_id") >= 500), **options).collect()}
+    for i, t in rows:
+        own = tokens(t)
+        assert got[i] == pytest.approx(sum(math.log10(chance(v, w)) for v, w in zip([brown_lm.END, *own], own)))
+
+
 def test_exchange_ends_where_no_single_move_helps():
     rng = np.random.default_rng(3)
     topic = rng.integers(0, 3, 13)
