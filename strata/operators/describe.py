@@ -3,8 +3,8 @@ grouped numeric summaries, histograms, box statistics and band counts.
 
 pandas-style semantics (nulls dropped, sample std, linear-interpolated
 percentiles). Moments come from single-pass aggregations; exact
-percentiles from ``strata.operators.quantiles`` (one distributed sort, no
-per-group value buffers). Pass ``accuracy`` to use ``percentile_approx``.
+percentiles from ``strata.operators.quantiles`` (counts of cells, no sort of
+values and no per-group value buffers). Pass ``accuracy`` to use ``percentile_approx``.
 """
 
 from __future__ import annotations
