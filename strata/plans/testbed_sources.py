@@ -156,7 +156,7 @@ GROUP BY c_mktsegment
 """)
 def q_saved_table_modes(spark, sf):
     # replaced once, appended to once; a table that is there is not created again
-    name, path = f"strata_saved_{uuid.uuid4().hex}", _scratch(spark, "saved-table")
+    name, path = f"saved_customers_{uuid.uuid4().hex}", _scratch(spark, "saved-table")
     customers = table(spark, sf, "customer")
     IO.write_table(customers.filter("c_custkey % 2 = 0"), name, "fail", path=path)
     IO.write_table(customers, name, "replace", path=path)
