@@ -11,13 +11,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
 from strata.functions.exprs import ColumnOrName, _col, bin_column, pct
 from strata.operators.cohort import _totals_join
-from strata.operators.quantiles import per_group, quantiles_long, quantiles_wide, quoted, text_literal
+from strata.operators.quantiles import per_group, quantile_arrays, quantiles_long, quantiles_wide
 
 PERCENTILES = (0.25, 0.5, 0.75)
 
@@ -178,24 +179,14 @@ def describe_numeric(
 ) -> DataFrame:
     """One row per column: count, mean, sample std, min, percentiles, max.
 
-    One aggregate computes the moments of every column (``inline`` makes
-    the wide row long); the percentiles of all columns are narrowed together."""
+    Moments and the first counts of the percentiles come from one aggregate over
+    all columns; a column without values has a count of 0 and nulls."""
     pnames = [_pname(p) for p in percentiles]
-    aggs, rows = [], []
-    for i, c in enumerate(columns):
-        v = f"nanvl(double({quoted(c)}), NULL)"
-        names = ["count", "mean", "std", "min", "max"]
-        measures = [f"count({v})", f"avg({v})", f"stddev_samp({v})", f"min({v})", f"max({v})"]
-        if accuracy:  # approximate percentiles join the moments in one aggregate
-            q = f"percentile_approx({v}, array({', '.join(map(repr, percentiles))}), {accuracy})"
-            names += pnames
-            measures += [f"{q}[{j}]" for j in range(len(pnames))]
-        aggs += [f"{m} AS _{i}_{j}" for j, m in enumerate(measures)]
-        rows.append(f"named_struct('column', {text_literal(c)}, " + ", ".join(
-            f"'{n}', _{i}_{j}" for j, n in enumerate(names)) + ")")
-    out = df.agg(*map(F.expr, aggs)).selectExpr(f"inline(array({', '.join(rows)}))")
-    if not accuracy:
-        out = out.join(quantiles_wide(df, columns, percentiles, pnames), "column", "left")
+    found = quantile_arrays(df, columns, percentiles, accuracy=accuracy, moments=True)
+    named = df.sparkSession.createDataFrame(pa.table({"column": list(columns)}))
+    out = F.broadcast(named).join(found, "column", "left").select(
+        "column", F.coalesce("n", F.lit(0)).cast("long").alias("count"), "mean", "std", F.col("least").alias("min"),
+        *[F.get("values", F.lit(i)).alias(n) for i, n in enumerate(pnames)], F.col("most").alias("max"))
     rd = lambda c: F.round(F.col(c), decimals).alias(c)
     return out.select("column", "count", rd("mean"), rd("std"), rd("min"), *[rd(n) for n in pnames], rd("max"))
 
@@ -252,9 +243,12 @@ def group_summary(
         med = F.percentile_approx(v, 0.5, accuracy)
         out = src.groupBy(by).agg(*aggs, F.round(med, decimals).alias("median"))
     else:
-        stats = src.groupBy(by).agg(*aggs)
-        med = quantiles_long(src, ["_v"], [0.5], [by]).select(by, F.round("value", decimals).alias("median"))
-        out = stats.join(med, by, "left")
+        found = quantile_arrays(src, ["_v"], [0.5], [by], moments=True)
+        rd = lambda c, name: F.round(c, decimals).alias(name)
+        found = found.select(F.col(by).alias("_of"), F.col("n").alias("count"), rd("mean", "mean"), rd("std", "std"),
+                             rd("least", "min"), rd("most", "max"), rd(F.col("values")[0], "median"))
+        every = src.select(by).distinct()  # groups without a value are groups too
+        out = every.join(found, F.col(by) == F.col("_of"), "left").withColumn("count", F.coalesce("count", F.lit(0)).cast("long"))
     out = out.select(by, "count", "mean", "median", "std", "min", "max")
     if groups is None:
         return out

@@ -38,6 +38,7 @@ CELLS = 1 << 16
 
 
 RANK = "struct<i:int,upper:boolean,rank:bigint>"
+MOMENTS = "n bigint, mean double, std double, least double, most double"
 ARROW = {"bigint": pa.int64(), "double": pa.float64(), "array<double>": pa.list_(pa.float64()),
          f"array<{RANK}>": pa.list_(pa.struct([("i", pa.int32()), ("upper", pa.bool_()), ("rank", pa.int64())]))}
 
@@ -79,17 +80,20 @@ def quantile_arrays(
     by: Sequence[str] = (),
     *,
     accuracy: int | None = None,
+    moments: bool = False,
 ) -> DataFrame:
     """(*by, column, values): an array of the quantiles ``ps`` for every group;
-    nulls and NaN ignored; groups with no values are absent."""
+    nulls and NaN ignored; groups with no values are absent. ``moments`` adds n,
+    mean, std (of a sample), least and most, from the same pass as the first
+    counts."""
     by = list(by)
     long = _long(df, columns, by)
     groups = [*by, "column"]
-    if accuracy:
-        values = long.groupBy(*groups).agg(F.percentile_approx("v", list(ps), accuracy).alias("values"))
-    else:
-        values = _narrowed(long, groups, [float(p) for p in ps])
-    return values
+    if not accuracy:
+        return _narrowed(long, groups, [float(p) for p in ps], moments)
+    values = F.percentile_approx("v", list(ps), accuracy).alias("values")
+    plain = ("count(1) AS n", "avg(v) AS mean", "stddev_samp(v) AS std", "min(v) AS least", "max(v) AS most")
+    return long.groupBy(*groups).agg(values, *map(F.expr, plain if moments else ()))
 
 
 def quantiles_long(
@@ -162,8 +166,28 @@ def _holding_rows(cells: list[dict], keys: list[str], ranks: Callable[[dict, int
     return out
 
 
-def _narrowed(long: DataFrame, groups: list[str], ps: list[float]) -> DataFrame:
-    """(*groups, values) for the rows (*groups, v): see the module's text.
+def _local_moments(cells: list[dict]) -> dict:
+    """n, mean, std, least and most of a group from those of its cells."""
+    n = sum(c["k"] for c in cells)
+    mean = sum(c["k"] * c["mean"] for c in cells) / n
+    square = sum(c["k"] * (c["var"] + (c["mean"] - mean) * (c["mean"] - mean)) for c in cells)
+    return {"n": n, "mean": mean, "std": math.sqrt(square / (n - 1)) if n > 1 else None,
+            "least": min(c["least"] for c in cells), "most": max(c["most"] for c in cells)}
+
+
+def _moments(cells: DataFrame, groups: list[str]) -> DataFrame:
+    """The same for any number of groups."""
+    over = f"OVER (PARTITION BY {', '.join(map(quoted, groups))})"
+    cells = cells.selectExpr("*", f"sum(k * mean) {over} / sum(k) {over} AS whole")
+    return cells.groupBy(*groups).agg(
+        F.expr("sum(k) AS n"), F.expr("first(whole) AS mean"),
+        F.expr("if(sum(k) > 1, sqrt(sum(k * (var + (mean - whole) * (mean - whole))) / (sum(k) - 1)), NULL) AS std"),
+        F.expr("min(least) AS least"), F.expr("max(most) AS most"))
+
+
+def _narrowed(long: DataFrame, groups: list[str], ps: list[float], moments: bool = False) -> DataFrame:
+    """(*groups, values) for the rows (*groups, v), and with ``moments`` n, mean,
+    std, least and most: see the module's text.
 
     A running sum goes over one group's cells: those that hold its values, of
     1,024 to a power of two (later: of 65,536), whatever the number of rows."""
@@ -175,11 +199,20 @@ def _narrowed(long: DataFrame, groups: list[str], ps: list[float]) -> DataFrame:
         return [{"i": i, "upper": upper, "rank": int(end(p * (n - 1)))}
                 for i, p in enumerate(ps) for upper, end in ((False, math.floor), (True, math.ceil))]
 
-    cells = _cells(long, groups, leading_bits("v"))
+    more = ("avg(v) AS mean", "var_pop(v) AS var") if moments else ()
+    cells = _cells(long, groups, leading_bits("v"), *more)
     rows = local_rows(cells)
+    measured: dict[str, dict] | DataFrame = {}
     if rows is not None:
-        kinds, found = [rows.schema.field(g) for g in groups], _holding_rows(rows.to_pylist(), groups, all_ranks)
+        kinds, rows = [rows.schema.field(g) for g in groups], rows.to_pylist()
+        if moments:
+            by_group: dict[str, list[dict]] = {}
+            for r in rows:
+                by_group.setdefault(repr([r[g] for g in groups]), []).append(r)
+            measured = {key: {**{g: own[0][g] for g in groups}, **_local_moments(own)} for key, own in by_group.items()}
+        found = _holding_rows(rows, groups, all_ranks)
     else:
+        measured = _moments(cells, groups) if moments else measured
         places = ", ".join(
             f"named_struct('i', {i}, 'upper', {upper}, 'rank', bigint({rank}({p!r}D * (n - 1))))"
             for i, p in enumerate(ps) for upper, rank in (("false", "floor"), ("true", "ceil")))
@@ -219,7 +252,8 @@ def _narrowed(long: DataFrame, groups: list[str], ps: list[float]) -> DataFrame:
             rows = local_rows(held) if not isinstance(found, DataFrame) else None
             found = held if rows is None else rows.to_pylist()
     if not tables:
-        return _local_values(spark, local, schema, kinds, groups, ps)
+        out = _local_values(spark, local, schema, kinds, groups, ps)
+        return _joined(out, measured, schema, kinds, groups) if moments else out
     if local:
         tables.append(_local_table(spark, local, schema, kinds))
     each = reduce(DataFrame.unionByName, tables).selectExpr(*map(quoted, groups), "n", "least AS v", "inline(ranks)")
@@ -228,7 +262,20 @@ def _narrowed(long: DataFrame, groups: list[str], ps: list[float]) -> DataFrame:
         for i in range(len(ps)) for upper in ("false", "true")])
     values = ", ".join(f"if(_{i}_false = _{i}_true, _{i}_false, _{i}_false + (_{i}_true - _{i}_false)"
                        f" * ({p!r}D * (n - 1) - floor({p!r}D * (n - 1))))" for i, p in enumerate(ps))
-    return ends.select(*groups, F.expr(f"array({values})").alias("values"))
+    ends = ends.select(*groups, F.expr(f"array({values})").alias("values"))
+    return _joined(ends, measured, schema, kinds, groups) if moments else ends
+
+
+def _joined(
+    values: DataFrame, measured: DataFrame | dict[str, dict], schema: T.StructType, kinds: list[pa.Field], groups: list[str]
+) -> DataFrame:
+    """``values`` with the moments of the groups, be they local rows or a table."""
+    if isinstance(measured, dict):
+        fields = [*schema.fields[: len(groups)], *T.StructType.fromDDL(MOMENTS).fields]
+        measured = F.broadcast(_local_table(values.sparkSession, list(measured.values()), T.StructType(fields), kinds))
+    own = measured.withColumnsRenamed({g: f"_g_{g}" for g in groups})
+    same = " AND ".join(f"{quoted(g)} <=> {quoted('_g_' + g)}" for g in groups)
+    return values.join(own, F.expr(same)).drop(*[f"_g_{g}" for g in groups])
 
 
 def _local_table(spark: SparkSession, rows: list[dict], schema: T.StructType, kinds: list[pa.Field]) -> DataFrame:

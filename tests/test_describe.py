@@ -128,8 +128,16 @@ def test_quantiles_of_awkward_doubles(spark, monkeypatch, held):
     rows = [(g, float(v)) for g, vs in groups.items() for v in vs] + [("one", None), ("one", float("nan")), ("none", None)]
     df = spark.createDataFrame(rows, "g string, `o'v` double").repartition(3)
     ps = [0.0, 0.1, 0.25, 0.5, 0.9, 1.0]
-    got = {r.g: r["values"] for r in quantiles.quantile_arrays(df, ["o'v"], ps, ["g"]).collect()}
-    assert set(got) == set(groups)
+    found = quantiles.quantile_arrays(df, ["o'v"], ps, ["g"], moments=True).collect()
+    got = {r.g: r["values"] for r in found}
+    assert set(got) == set(groups) and len(found) == len(groups)
+    for r in found:
+        if r.g not in ("endless", "wide"):
+            own = np.array(groups[r.g])
+            assert (r.n, r.least, r.most) == (own.size, own.min(), own.max())
+            assert r.mean == pytest.approx(own.mean(), rel=1e-9, abs=1e-14 * abs(own).max())
+            assert r.std == (None if own.size == 1 else pytest.approx(own.std(ddof=1), rel=1e-9, abs=1e-14 * abs(own).max()))
+    assert quantiles.quantile_arrays(df.limit(0), ["o'v"], ps, ["g"], moments=True).count() == 0
     for g, vs in groups.items():
         vs = np.sort(np.array(vs))
         for p, v in zip(ps, got[g]):
