@@ -28,6 +28,8 @@ counting as one more word. It is a distribution over the known words and
 
 Null and empty texts are the end alone; repeated rows are scored alike and
 learned from as often as they stand; without training rows every word is unseen.
+Very long texts are taken whole; an empty table gives no rows; other columns are
+not kept, so their names clash with none of the result's.
 """
 
 from __future__ import annotations

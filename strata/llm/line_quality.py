@@ -9,7 +9,8 @@ rejected when less than ``min_left`` of its words remain, or when a base rule
 fails.
 
 Null and empty texts have no words and fail the base rule. A null host is a
-host of its own. Repeated rows are judged alike. An empty table gives no rows.
+host of its own. Repeated rows are judged alike. Very long texts and lines are
+taken whole. An empty table gives no rows. ``clean`` keeps all columns, of any name.
 """
 
 from __future__ import annotations

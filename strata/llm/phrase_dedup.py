@@ -19,7 +19,8 @@ judged on the input.
 
 Ids are integers. A document with a null id is left as it is and is no source;
 null and empty texts have no words; rows that repeat an id are one document to
-each other and are all treated; an empty table gives no rows.
+each other and are all treated; very long texts are taken whole; an empty table
+gives no rows; all other columns, of any name, come back.
 """
 
 from __future__ import annotations

@@ -7,7 +7,10 @@ pass over its characters, without building pieces.
 
 Words are runs of characters other than the six ASCII blanks; a word's first
 piece begins with the vocabulary's word mark. A word that the vocabulary
-cannot spell counts as one unknown token. Null and empty texts count zero.
+cannot spell counts as one unknown token. Null and empty texts count zero; very
+long texts and words are counted whole; repeated rows are counted each; an empty
+table gives no rows. Columns other than id and text are not kept, so their names
+clash with none of the result's.
 """
 
 from __future__ import annotations

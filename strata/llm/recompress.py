@@ -21,7 +21,8 @@ q and ``least`` words long, that no neighbouring word extends with that period.
 Whole documents go through one task each, batches hold a bounded size of text
 (one document at least). No suffix arrays are made.
 
-Null and empty texts have no words and no runs. Repeated rows are treated each;
+Null and empty texts have no words and no runs; very long ones are taken whole.
+Repeated rows are treated each;
 an empty table gives no rows; all other columns, of any name, come back in one
 struct.
 """

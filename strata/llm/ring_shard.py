@@ -11,7 +11,8 @@ from their rank in the arc. No row passes the driver.
 With ``slack`` 0 the capacities add up to the row count, so shard sizes differ
 by one at most; a larger slack lets keys stay nearer their first choice.
 Null keys hash like any value; repeated rows keep one ring position and are
-told apart only by their rank; an empty table gives no rows.
+told apart only by their rank; an empty table gives no rows. Rows are grouped
+whole, so a map-typed column must be left out and joined on later.
 """
 
 from __future__ import annotations

@@ -13,6 +13,8 @@ spanning forest, so a group of copies costs as many rows as it has members.
 Equal fingerprints are one fingerprint from the start. Null and empty texts
 have fingerprint zero and are linked like any other. Repeated rows fall into
 one component. Null ids never become a component's id unless it has no other.
+Very long texts are taken whole; an empty table gives no rows. ``near_duplicates``
+keeps no other columns, ``drop_near_duplicates`` all of them, of any name.
 """
 
 from __future__ import annotations

@@ -20,8 +20,8 @@ of the attempt that counted, so files that it does not name are leftovers.
 A null payload is empty; a null URL is written without a target; null ids are
 smaller than any id, and where all ids of equal payloads are null all records
 are responses. Rows that repeat the largest id with the same payload are all
-responses. An empty table gives no files and an empty index. Other columns of
-the table are not archived.
+responses. A record is packed and unpacked in memory whole, however long. An empty
+table gives no files and an empty index. Other columns of the table are not archived.
 """
 
 from __future__ import annotations

@@ -9,7 +9,8 @@ partitions until one group is left, so no task ever holds more than a fixed
 number of open windows.
 
 Null and empty texts are documents of the end token alone. Repeated rows are
-packed each on its own. An empty table gives no rows.
+packed each on its own. Very long texts are cut into pieces of one sequence each.
+An empty table gives no rows. Other columns are not kept.
 """
 
 from __future__ import annotations
