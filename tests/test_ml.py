@@ -170,3 +170,17 @@ def test_split_and_folds_do_not_depend_on_where_the_counts_are(spark, monkeypatc
         monkeypatch.setattr(QN, "BROADCAST_GROUPS", held)
         with pytest.raises(ValueError, match="at least 4 rows"):
             SP.stratified_folds(few, "label", "id", 4)
+
+
+def test_forest_keeps_node_ids_and_grows_the_same_trees(spark):
+    from pyspark.ml.functions import array_to_vector
+    from strata.operators.models import random_forest
+    x = [(F.xxhash64(F.lit(i), "id") % 1000).cast("double") for i in range(6)]
+    rows = spark.range(0, 600, 1, 3).select(array_to_vector(F.array(*x)).alias("features"), F.lit(1.0).alias("weight"),
+                                            (F.abs(F.xxhash64(F.lit(9), "id")) % 3).cast("double").alias("label_idx")).cache()
+    forest = random_forest(num_trees=4)
+    assert forest.getCacheNodeIds()
+    kept, walked = forest.fit(rows), forest.copy().setCacheNodeIds(False).fit(rows)
+    assert kept.toDebugString.split("\n")[1:] == walked.toDebugString.split("\n")[1:]
+    assert max(t.depth for t in kept.trees) > forest.getCheckpointInterval()
+    rows.unpersist()
